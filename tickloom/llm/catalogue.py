@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import media, mixing, tokens, warc
+from . import media, mixing, scoring, tokens, warc
 
-QUERIES = {"op1_flac": media.op1_flac, "op2_mixing": mixing.op2_mixing, "op4_warc": warc.op4_warc, "op5_tokens": tokens.op5_tokens}
+QUERIES = {"op1_flac": media.op1_flac, "op2_mixing": mixing.op2_mixing, "op4_warc": warc.op4_warc, "op5_tokens": tokens.op5_tokens, "op10_lattice_score": scoring.op10_lattice_score}
 ORACLES = dict(warc.SQL)
