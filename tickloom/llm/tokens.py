@@ -11,6 +11,7 @@ are left out. An empty table gives no files.
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 import zlib
@@ -23,7 +24,9 @@ from pyspark.sql import functions as F
 from .common import bound_batches, shared_dir, table
 from .files import joined, located, made
 
-LENGTH, ROWS, END, CACHE = 2048, 64, 0, 300_000
+LENGTH, ROWS, END, CACHE, TOGETHER = 2048, 64, 0, 300_000, 64
+#: How byte-level vocabularies write a space.
+SPACE = "\u0120"
 MANIFEST = "part int, file string, index string, n_ids long, n_docs long"
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 #: A space between two characters that aren't white space: no token of a byte-level vocabulary reaches over it from the left.
@@ -47,7 +50,9 @@ class Encoder:
         self.kind = np.uint16 if self.of.get_vocab_size() <= 1 << 16 else np.uint32
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
-        self.most = cache
+        self.most, self.order = cache, np.dtype(self.kind).newbyteorder("<")
+        self.begins = np.zeros(self.of.get_vocab_size(), bool)
+        self.begins[[i for x, i in self.of.get_vocab().items() if x.startswith(SPACE)]] = True
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of little-endian integers of self.kind.
@@ -62,11 +67,35 @@ class Encoder:
         new = [x for x in met if x not in before]
         for x, ids in zip(new, self._ids([" " + x for x in new]), strict=True):
             known[x] = ids
-        return [first + b"".join(map(known.__getitem__, own[1:])) for first, own in zip(self._ids([own[0] for own in parts]), parts, strict=True)]
+        return [first + b"".join(map(known.__getitem__, own[1:])) for first, own in zip(self._alone([own[0] for own in parts]), parts, strict=True)]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        kind = np.dtype(self.kind).newbyteorder("<")
-        return [np.array(e.ids, kind).tobytes() for e in self.of.encode_batch_fast(texts, add_special_tokens=False)]
+        """The ids of words with a space before them, many in one text: a token that begins with a space begins a word."""
+        own = [texts[i : i + TOGETHER] for i in range(0, len(texts), TOGETHER)]
+        out: list[bytes] = []
+        for words, e in zip(own, self.of.encode_batch_fast(["".join(x) for x in own], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, self.order)
+            at = np.flatnonzero(self.begins[ids])
+            if len(at) == len(words):
+                raw, ends = ids.tobytes(), [*(at[1:] * ids.itemsize).tolist(), len(ids) * ids.itemsize]
+                out += [raw[a:z] for a, z in zip([0, *ends], ends, strict=False)]
+            else:
+                out += self._alone(words)
+        return out
+
+    def _alone(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.order).tobytes() for e in self.of.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_for(path: str) -> Encoder:
+    """One for each Python worker, so that later tasks find the words of earlier ones."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 class _Writer:
@@ -152,7 +181,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, length: int = LE
             if writer is None:
                 fs, inner = located(folder)
                 fs.create_dir(inner, recursive=True)
-                encoder = Encoder(vocabulary)
+                encoder = encoder_for(vocabulary)
                 tail = np.array([end], np.dtype(encoder.kind).newbyteorder("<")).tobytes()
                 file, index = f"tokens-{part:06d}-{name}.arrow", f"docs-{part:06d}-{name}.arrow"
                 sinks = [fs.open_output_stream(joined(inner, x)) for x in (file, index)]
