@@ -24,9 +24,11 @@ from pyspark.sql import functions as F
 from .common import bound_batches, shared_dir, table
 from .files import joined, located, made
 
-LENGTH, ROWS, END, CACHE, TOGETHER = 2048, 64, 0, 300_000, 64
+LENGTH, ROWS, END, CACHE, TOGETHER = 2048, 64, 0, 600_000, 64
 #: How byte-level vocabularies write a space.
 SPACE = "\u0120"
+#: All characters but the space that str.isspace() holds for.
+SPACES = [chr(c) for c in range(33 + 0x3000) if chr(c).isspace() and c != 32]
 MANIFEST = "part int, file string, index string, n_ids long, n_docs long"
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 #: A space between two characters that aren't white space: no token of a byte-level vocabulary reaches over it from the left.
@@ -39,6 +41,13 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _uneven(text: str) -> bool:
+    """Whether a space stands at an end or beside other white space, so that not every space may be cut at."""
+    if text[:1].isspace() or text[-1:].isspace() or "  " in text:
+        return True
+    return any(x + " " in text or " " + x in text for x in SPACES if x in text)
+
+
 class Encoder:
     """Byte-level BPE by the tokenizers library; the ids of words that were met before are kept."""
 
@@ -58,16 +67,25 @@ class Encoder:
         """The ids of each text, as bytes of little-endian integers of self.kind.
 
         All words but a text's first are encoded with the space before them, once while they are among the words met lately."""
-        parts = [CUT.split(t) for t in texts]
+        words: list[str] = []
+        first = []
+        for t in texts:
+            first.append(len(words))
+            words += CUT.split(t) if _uneven(t) else t.split(" ")
         if len(self.known) > self.most:
             self.known, self.before = {}, self.known
         known, before = self.known, self.before
-        met = {x for own in parts for x in own[1:]}.difference(known)
+        ids = list(map(known.get, words))
+        for i, x in zip(first, self._alone([words[i] for i in first]), strict=True):
+            ids[i] = x
+        missed = [i for i, x in enumerate(ids) if x is None]
+        met = dict.fromkeys(words[i] for i in missed)
         known.update((x, before[x]) for x in met if x in before)
         new = [x for x in met if x not in before]
-        for x, ids in zip(new, self._ids([" " + x for x in new]), strict=True):
-            known[x] = ids
-        return [first + b"".join(map(known.__getitem__, own[1:])) for first, own in zip(self._alone([own[0] for own in parts]), parts, strict=True)]
+        known.update(zip(new, self._ids([" " + x for x in new]), strict=True))
+        for i in missed:
+            ids[i] = known[words[i]]
+        return [b"".join(ids[a:z]) for a, z in zip(first, [*first[1:], len(ids)], strict=True)]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         """The ids of words with a space before them, many in one text: a token that begins with a space begins a word."""
