@@ -7,7 +7,7 @@ must hold one of these. A document keeps, for each partition, its hashes up to t
 through the sorted sketches; what hits is a candidate and is verified on the shingles' words. No leak can be missed, at
 any length of document, where banded signatures lose short items in long texts.
 
-Items come in blocks of a bounded number that each task holds at once, one pass over the documents for each block; the
+Items come in blocks of a bounded number that each task holds at once, one after another on the same pass over the documents; the
 benchmark is the stated query set, documents are never joined among each other nor shuffled.
 
 Words are runs of letters, digits and _, in lower case. An item of fewer than five words is one shingle of all its words.
@@ -107,7 +107,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     spark = docs.sparkSession
     bound_batches(spark)
     keep = [c for c in docs.columns if c != out]
-    schema = T.StructType([docs.schema[c] for c in keep]).add(out, MATCH_SQL)
+    schema = T.StructType([docs.schema[c] for c in keep]).add(out, T.DataType.fromDDL(MATCH_SQL))
     found = docs.select(*keep).withColumn(out, F.array().cast(MATCH_SQL))
     for items in _blocks(benchmark, block):
         held = spark.sparkContext.broadcast(Sketches(items, size, threshold))

@@ -89,7 +89,7 @@ def predict(df: DataFrame, model: BiGru | None, text: str = "text", runs: bool =
     from pyspark.sql import types as T
 
     schema = T.StructType([df.schema[c] for c in keep]).add("lang_pred", "string").add("score", "double").add("position_share", "double")
-    return df.select(*keep).mapInArrow(run, schema.add("runs", "array<struct<start:bigint,end:bigint,lang:string>>") if runs else schema)
+    return df.select(*keep).mapInArrow(run, schema.add("runs", T.DataType.fromDDL("array<struct<start:bigint,end:bigint,lang:string>>")) if runs else schema)
 
 
 def op8_language(spark, sf_dir: str) -> DataFrame:
