@@ -4,8 +4,8 @@
 2. Sets that can link share one of their rarest shingles: of n shingles, the n - ceil(0.85 n) + 1 first in the order of
    corpus-wide frequency (log classes of a count sketch over all documents) share at least one with any link's.
    Frequent lines and passages come last in this order.
-3. Copies are linked first: each set is verified against one centre among the sets that it shares a rare shingle with,
-   in ROUNDS of other centres. What is linked need not be compared again: groups of thousands of copies stay linear.
+3. Copies are linked first: each set is verified against two centres of each group that it shares a rare shingle with.
+   What is linked need not be compared again: groups of thousands of copies stay linear.
 4. Within each shingle's group, an R-tree over count vectors gives the pairs of different components whose summed
    coordinate minima reach the overlap that a link needs; these are verified on the sets. Large groups are dealt in
    tiles by size. No pair that links is lost; pairs within a component aren't listed.
@@ -28,7 +28,7 @@ from .common import bound_batches, maybe_broadcast, shingle_hashes, stored, tabl
 from .components import components
 from .rtree import RTree
 
-SIZE, SHARE, GROUPS, ROUNDS, TILE = 4, (85, 100), 128, 2, 2048
+SIZE, SHARE, GROUPS, TILE = 4, (85, 100), 128, 2048
 SKETCH_BLOCKS = 64
 
 
@@ -57,42 +57,64 @@ def _counts(docs: DataFrame, bits: int, size: int) -> np.ndarray:
 
 
 def shingle_sets(docs: DataFrame, size: int = SIZE, share: tuple[int, int] = SHARE) -> DataFrame:
-    """doc_id, n, sig (128-bit hash of the set, null if empty) and keys: the rarest shingles, one of which any link shares."""
+    """doc_id, n, sig (128-bit hash of the set, null if empty), vec (its count vector) and keys: the rarest shingles, one of which any link shares."""
     bits = min(26, max(18, math.ceil(math.log2(max(2, docs.count())))))
     levels = docs.sparkSession.sparkContext.broadcast(_counts(docs, bits, size))
 
     def run(it):
         for b in it:
-            n, sig, keys = [], [], []
+            n, sig, vec, keys = [], [], [], []
             for t in b.column("text").to_pylist():
                 h = shingle_hashes(words_of(t), size)
                 n.append(len(h))
                 sig.append(xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None)
+                vec.append(_vector(h))
                 level = levels.value[(h >> np.uint64(64 - bits)).astype(np.int64)]
                 first = np.lexsort((h, level))[: len(h) - -(-share[0] * len(h) // share[1]) + 1] if len(h) else []
                 keys.append(h[first].view(np.int64) if len(h) else np.empty(0, np.int64))
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(k) for k in keys])]), pa.int32()), pa.array(np.concatenate(keys) if keys else [], pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), lists], ["doc_id", "n", "sig", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.array(vec, pa.binary()), lists], ["doc_id", "n", "sig", "vec", "keys"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n long, sig binary, keys array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n long, sig binary, vec binary, keys array<long>")
 
 
-def _needed(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """sig, shingles and vec of the wanted classes (sig, doc): their texts are read again, not moved around."""
+def _vector(h: np.ndarray) -> bytes:
+    return np.minimum(np.bincount((h % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS), 65535).astype(np.uint16).tobytes()
+
+
+def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """id and shingles of the wanted classes (id, sig, doc): their texts are read again, not moved around."""
 
     def run(it):
         for b in it:
             sets = [shingle_hashes(words_of(t), size) for t in b.column("text").to_pylist()]
-            vecs = [np.minimum(np.bincount((h % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS), 65535).astype(np.uint16).tobytes() for h in sets]
-            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(h.tobytes()) for h in sets], pa.binary()), pa.array([h.tobytes() for h in sets], pa.binary()), pa.array(vecs, pa.binary())], ["sig", "shingles", "vec"])
+            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(h.tobytes()) for h in sets], pa.binary()), pa.array([h.tobytes() for h in sets], pa.binary())], ["sig", "shingles"])
 
     few = maybe_broadcast(wanted)
-    own = docs.select("doc_id", "text").join(few.select(F.col("doc").alias("of")).distinct(), F.col("doc_id").eqNullSafe(F.col("of")), "left_semi")
-    return own.mapInArrow(run, "sig binary, shingles binary, vec binary").join(few.select("sig"), "sig", "left_semi").dropDuplicates(["sig"])
+    own = docs.select("doc_id", "text").join(few.select(F.col("doc").alias("of")), F.col("doc_id").eqNullSafe(F.col("of")), "left_semi")
+    return own.mapInArrow(run, "sig binary, shingles binary").join(few.select("sig", "id"), "sig").select("id", "shingles")
+
+
+def _both(pairs: DataFrame, rows: DataFrame, what: str) -> DataFrame:
+    """pairs (a, b) with the values x and y of a column of rows (id, what)."""
+    with_x = pairs.join(rows.select(F.col("id").alias("a"), F.col(what).alias("x")), "a")
+    return with_x.join(rows.select(F.col("id").alias("b"), F.col(what).alias("y")), "b").select("a", "b", "x", "y")
+
+
+def _bounded(pairs: DataFrame, classes: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Those of pairs (a, b) whose summed coordinate minima allow a link."""
+
+    def run(it):
+        for b in it:
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(len(b), GROUPS) for c in "xy")
+            keep = np.minimum(x, y).sum(1, dtype=np.int64) * sum(share) >= share[0] * (x.sum(1, dtype=np.int64) + y.sum(1, dtype=np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(c).filter(pa.array(keep)) for c in "ab"], ["a", "b"])
+
+    return _both(pairs, classes, "vec").mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Those of pairs (a, b) whose sets overlap enough."""
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, share: tuple[int, int], name: str) -> DataFrame:
+    """Those of pairs (a, b) whose sets overlap enough; just the sets that pairs name are made."""
 
     def run(it):
         for b in it:
@@ -101,46 +123,50 @@ def _verified(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> Data
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(share[1] * both >= share[0] * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([b.column("a").filter(pa.array(keep, pa.bool_())), b.column("b").filter(pa.array(keep, pa.bool_()))], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([b.column(c).filter(pa.array(keep, pa.bool_())) for c in "ab"], ["a", "b"])
 
-    with_x = pairs.join(sets.select(F.col("sig").alias("a"), F.col("shingles").alias("x")), "a")
-    return with_x.join(sets.select(F.col("sig").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
+    pairs = stored(pairs, f"{name}_pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    wanted = stored(ids.join(classes.select("id", "sig", "doc"), "id"), f"{name}_wanted")
+    sets = stored(_sets(docs, wanted, size), f"{name}_sets")
+    return stored(_both(pairs, sets, "shingles").mapInArrow(run, "a long, b long"), f"{name}_links")
 
 
 def _compatible(x: str, y: str, share: tuple[int, int]):
     return (F.col(x) * share[1] >= F.col(y) * share[0]) & (F.col(y) * share[1] >= F.col(x) * share[0])
 
 
-def _centres(groups: DataFrame, seed: int, share: tuple[int, int]) -> DataFrame:
-    """One pair (a, b) for each set: with the centre, of the groups that it is in, that comes first by a hash."""
-    rank = F.xxhash64(F.lit(seed), "sig")
-    centre = F.min(F.struct(rank.alias("r"), F.col("sig").alias("b"), F.col("n").alias("m"))).over(Window.partitionBy("key"))
-    rows = groups.withColumn("c", centre).select("sig", "n", "c.*").where((F.col("b") != F.col("sig")) & _compatible("n", "m", share))
-    return rows.groupBy(F.col("sig").alias("a")).agg(F.min_by("b", "r").alias("b"))
+def _centres(groups: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) of sets with the centres of their groups: those that come first and last by a hash."""
+    one = F.struct(F.xxhash64("id").alias("r"), F.col("id").alias("b"), F.col("n").alias("m"))
+    every = Window.partitionBy("key")
+    ends = groups.withColumns({"c": F.min(one).over(every), "d": F.max(one).over(every)})
+    rows = ends.select("id", "n", F.explode(F.array("c", "d")).alias("e")).select("id", "n", "e.*")
+    return rows.where((F.col("b") != F.col("id")) & _compatible("n", "m", share)).select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
 
 
-def _tree_pairs(groups: DataFrame, sets: DataFrame, share: tuple[int, int], tile: int) -> DataFrame:
-    """Pairs (a, b) of different roots in a group whose count vectors allow a link. groups: key, sig, n, root."""
-    place = F.row_number().over(Window.partitionBy("key").orderBy("n", "sig"))
+def _tree_pairs(groups: DataFrame, classes: DataFrame, share: tuple[int, int], tile: int) -> DataFrame:
+    """Pairs (a, b) of different roots in a group whose count vectors allow a link. groups: key, id, n, root."""
+    place = F.row_number().over(Window.partitionBy("key").orderBy("n", "id"))
     rows = groups.withColumn("tile", F.floor((place - 1) / tile).cast("int"))
     ends = rows.groupBy("key", "tile").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     meets = ends.select("key", F.col("tile").alias("i"), F.col("hi").alias("top")).join(ends.select("key", F.col("tile").alias("j"), "lo"), "key").where((F.col("i") <= F.col("j")) & (F.col("lo") * share[0] <= F.col("top") * share[1]))
     meets = meets.select("key", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("tile"))
-    dealt = rows.join(meets, ["key", "tile"]).join(sets.select("sig", "vec"), "sig")
+    dealt = rows.join(meets, ["key", "tile"]).join(classes.select("id", "vec"), "id")
     parts = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.select("key", "i", "j", "tile", "sig", "n", "root", "vec").repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+    dealt = dealt.select("key", "i", "j", "tile", "id", "n", "root", "vec").repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
 
-    def group(b: pa.Table) -> list[tuple[bytes, bytes]]:
-        sig, root, size, t = b["sig"].to_pylist(), b["root"].to_pylist(), b["n"].to_numpy(), b["tile"].to_numpy()
+    def group(b: pa.Table) -> list[tuple[int, int]]:
+        ids, root, size, t = b["id"].to_pylist(), b["root"].to_pylist(), b["n"].to_numpy(), b["tile"].to_numpy()
         i, j = b["i"][0].as_py(), b["j"][0].as_py()
-        vec = np.frombuffer(b"".join(b["vec"].to_pylist()), np.uint16).reshape(len(sig), -1)
+        vec = np.frombuffer(b"".join(b["vec"].to_pylist()), np.uint16).reshape(len(ids), -1)
         right = np.flatnonzero(t == j)
         tree = RTree(vec[right], size[right])
         out = []
         for q in np.flatnonzero(t == i):
             for r in right[tree.search(vec[q], int(size[q]), share)]:
-                if root[q] != root[r] and (i != j or sig[q] < sig[r]):
-                    out.append((min(sig[q], sig[r]), max(sig[q], sig[r])))
+                if root[q] != root[r] and (i != j or ids[q] < ids[r]):
+                    out.append((min(ids[q], ids[r]), max(ids[q], ids[r])))
         return out
 
     def run(it):
@@ -155,7 +181,7 @@ def _tree_pairs(groups: DataFrame, sets: DataFrame, share: tuple[int, int], tile
             done = cut if last else cut[:-1]
             held = None if last else t.slice(cut[-2])
             pairs = {p for a, z in zip(done, done[1:], strict=False) for p in group(t.slice(a, z - a))}
-            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in pairs], pa.binary()), pa.array([b for _, b in pairs], pa.binary())], ["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64())], ["a", "b"])
 
         for b in it:
             t = pa.Table.from_batches([b])
@@ -165,31 +191,25 @@ def _tree_pairs(groups: DataFrame, sets: DataFrame, share: tuple[int, int], tile
         if held is not None:
             yield flush(held, True)
 
-    return dealt.mapInArrow(run, "a binary, b binary").distinct()
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def jaccard_components(docs: DataFrame, size: int = SIZE, share: tuple[int, int] = SHARE, rounds: int = ROUNDS, tile: int = TILE) -> DataFrame:
+def jaccard_components(docs: DataFrame, size: int = SIZE, share: tuple[int, int] = SHARE, tile: int = TILE) -> DataFrame:
     """doc_id, n_shingles, component_id (the least doc_id reachable by links), copies (rows with an equal set), of docs (doc_id, text)."""
     bound_batches(docs.sparkSession)
     own = stored(shingle_sets(docs, size, share), "sets")
-    classes = stored(own.where("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("keys").alias("keys")), "classes")
-    keyed = classes.select("sig", "n", F.explode("keys").alias("key"))
+    same = own.where("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("n", "vec", "keys")))
+    classes = stored(same.withColumn("id", F.monotonically_increasing_id()), "classes")
+    keyed = classes.select("id", "n", F.explode("keys").alias("key"))
     groups = stored(keyed.withColumn("members", F.count("*").over(Window.partitionBy("key"))).where("members > 1").drop("members"), "groups")
-    wanted = stored(groups.select("sig").distinct().join(classes.select("sig", "doc"), "sig"), "wanted")
-    sets = stored(_needed(docs, wanted, size), "needed")
-    links = left = None
-    roots = groups.withColumn("root", F.col("sig"))
-    for i in range(rounds):
-        found = stored(_verified(_centres(roots if left is None else left, i, share), sets, share), f"links{i}")
-        links = found if links is None else links.unionByName(found)
-        marks = components(links)
-        rooted = groups.join(maybe_broadcast(marks.withColumnRenamed("node", "sig")), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
-        every = Window.partitionBy("key")
-        left = rooted.withColumns({"a": F.min("root").over(every), "z": F.max("root").over(every)}).where("a <> z").drop("a", "z")
-        left = stored(left.select("key", "sig", "n", "root"), f"left{i}")
-    found = stored(_verified(_tree_pairs(left, sets, share, tile), sets, share), "tree")
+    links = _verified(_bounded(_centres(groups, share), classes, share), docs, classes, size, share, "centres")
+    marks = components(links)
+    rooted = groups.join(maybe_broadcast(marks.withColumnRenamed("node", "id")), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    every = Window.partitionBy("key")
+    left = rooted.withColumns({"a": F.min("root").over(every), "z": F.max("root").over(every)}).where("a <> z").select("key", "id", "n", "root")
+    found = _verified(_tree_pairs(stored(left, "left"), classes, share, tile), docs, classes, size, share, "tree")
     marks = components(links.unionByName(found))
-    linked = classes.select("sig", "doc", "copies").join(marks.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    linked = classes.select("id", "sig", "doc", "copies").join(marks.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     least = linked.groupBy("root").agg(F.min("doc").alias("component_id"), F.count("*").alias("members"))
     of = stored(linked.join(least, "root").where("members > 1 OR copies > 1").select("sig", "component_id", "copies"), "of")
     out = own.select("doc_id", F.col("n").alias("n_shingles"), "sig").join(maybe_broadcast(of), "sig", "left")
