@@ -29,6 +29,8 @@ from .components import components
 from .rtree import RTree
 
 SIZE, SHARE, GROUPS, TILE = 4, (85, 100), 128, 2048
+#: Groups with so few sets are one leaf, compared directly; groups of a tree's vectors at most.
+SMALL, MOST_GROUPS = 12, 1024
 SKETCH_BLOCKS = 64
 
 
@@ -79,7 +81,22 @@ def shingle_sets(docs: DataFrame, size: int = SIZE, share: tuple[int, int] = SHA
 
 
 def _vector(h: np.ndarray) -> bytes:
-    return np.minimum(np.bincount((h % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS), 65535).astype(np.uint16).tobytes()
+    """Counts of the hashes by their remainder; the number of groups, a power of two, grows with the set, so that counts stay small."""
+    groups = GROUPS << (len(h) // (4 * GROUPS)).bit_length()
+    while (v := np.bincount((h % np.uint64(groups)).astype(np.int64), minlength=groups)).max() > 255:
+        groups *= 2
+    return v.astype(np.uint8).tobytes()
+
+
+def _folded(v: bytes, groups: int) -> np.ndarray:
+    """The count vector over fewer groups."""
+    return np.frombuffer(v, np.uint8).reshape(-1, groups).sum(0, dtype=np.uint16)
+
+
+def _may_link(x: bytes, y: bytes, both: int, share: tuple[int, int]) -> bool:
+    """Whether the summed minima of two count vectors reach what sets of together `both` elements need."""
+    groups = min(len(x), len(y))
+    return int(np.minimum(_folded(x, groups), _folded(y, groups)).sum(dtype=np.int64)) * sum(share) >= share[0] * both
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -106,9 +123,9 @@ def _bounded(pairs: DataFrame, classes: DataFrame, share: tuple[int, int]) -> Da
 
     def run(it):
         for b in it:
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(len(b), GROUPS) for c in "xy")
-            keep = np.minimum(x, y).sum(1, dtype=np.int64) * sum(share) >= share[0] * (x.sum(1, dtype=np.int64) + y.sum(1, dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(c).filter(pa.array(keep)) for c in "ab"], ["a", "b"])
+            xs, ys = b.column("x").to_pylist(), b.column("y").to_pylist()
+            keep = pa.array([_may_link(x, y, sum(x) + sum(y), share) for x, y in zip(xs, ys, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column(c).filter(keep) for c in "ab"], ["a", "b"])
 
     return _both(pairs, classes, "vec").mapInArrow(run, "a long, b long")
 
@@ -136,13 +153,15 @@ def _compatible(x: str, y: str, share: tuple[int, int]):
     return (F.col(x) * share[1] >= F.col(y) * share[0]) & (F.col(y) * share[1] >= F.col(x) * share[0])
 
 
-def _centres(groups: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) of sets with the centres of their groups: those that come first and last by a hash."""
+def _centres(groups: DataFrame, share: tuple[int, int], each: int = 2) -> DataFrame:
+    """Pairs (a, b) of each set with the centres that it shares most groups with. A group's centres come first and last by a hash."""
     one = F.struct(F.xxhash64("id").alias("r"), F.col("id").alias("b"), F.col("n").alias("m"))
     every = Window.partitionBy("key")
     ends = groups.withColumns({"c": F.min(one).over(every), "d": F.max(one).over(every)})
-    rows = ends.select("id", "n", F.explode(F.array("c", "d")).alias("e")).select("id", "n", "e.*")
-    return rows.where((F.col("b") != F.col("id")) & _compatible("n", "m", share)).select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
+    rows = ends.select("id", "n", F.explode(F.array("c", "d")).alias("e")).select("id", "n", "e.*").where((F.col("b") != F.col("id")) & _compatible("n", "m", share))
+    place = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("shared"), "b"))
+    best = rows.groupBy("id", "b").agg(F.count("*").alias("shared")).withColumn("place", place).where(F.col("place") <= each)
+    return best.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
 
 
 def _tree_pairs(groups: DataFrame, classes: DataFrame, share: tuple[int, int], tile: int) -> DataFrame:
@@ -157,16 +176,27 @@ def _tree_pairs(groups: DataFrame, classes: DataFrame, share: tuple[int, int], t
     dealt = dealt.select("key", "i", "j", "tile", "id", "n", "root", "vec").repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def group(b: pa.Table) -> list[tuple[int, int]]:
-        ids, root, size, t = b["id"].to_pylist(), b["root"].to_pylist(), b["n"].to_numpy(), b["tile"].to_numpy()
-        i, j = b["i"][0].as_py(), b["j"][0].as_py()
-        vec = np.frombuffer(b"".join(b["vec"].to_pylist()), np.uint16).reshape(len(ids), -1)
+        ids, root, size, vec, out = b["id"].to_pylist(), b["root"].to_pylist(), b["n"].to_numpy(), b["vec"].to_pylist(), []
+
+        def meet(q: int, r: int) -> None:
+            x, y = int(size[q]), int(size[r])
+            if root[q] != root[r] and share[0] * max(x, y) <= share[1] * min(x, y) and _may_link(vec[q], vec[r], x + y, share):
+                out.append((min(ids[q], ids[r]), max(ids[q], ids[r])))
+
+        if len(ids) <= SMALL:
+            for q in range(len(ids)):
+                for r in range(q):
+                    meet(q, r)
+            return out
+        t, i, j = b["tile"].to_numpy(), b["i"][0].as_py(), b["j"][0].as_py()
+        groups = min(MOST_GROUPS, *map(len, vec))
+        points = np.stack([_folded(v, groups) for v in vec])
         right = np.flatnonzero(t == j)
-        tree = RTree(vec[right], size[right])
-        out = []
+        tree = RTree(points[right], size[right])
         for q in np.flatnonzero(t == i):
-            for r in right[tree.search(vec[q], int(size[q]), share)]:
-                if root[q] != root[r] and (i != j or ids[q] < ids[r]):
-                    out.append((min(ids[q], ids[r]), max(ids[q], ids[r])))
+            for r in right[tree.search(points[q], int(size[q]), share)]:
+                if i != j or ids[q] < ids[r]:
+                    meet(q, r)
         return out
 
     def run(it):
@@ -201,7 +231,9 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, share: tuple[int, int]
     same = own.where("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("n", "vec", "keys")))
     classes = stored(same.withColumn("id", F.monotonically_increasing_id()), "classes")
     keyed = classes.select("id", "n", F.explode("keys").alias("key"))
-    groups = stored(keyed.withColumn("members", F.count("*").over(Window.partitionBy("key"))).where("members > 1").drop("members"), "groups")
+    near = Window.partitionBy("key").orderBy("n")
+    beside = keyed.withColumns({"less": F.lag("n").over(near), "more": F.lead("n").over(near)})
+    groups = stored(beside.where((F.col("less") * share[1] >= F.col("n") * share[0]) | (F.col("more") * share[0] <= F.col("n") * share[1])).drop("less", "more"), "groups")
     links = _verified(_bounded(_centres(groups, share), classes, share), docs, classes, size, share, "centres")
     marks = components(links)
     rooted = groups.join(maybe_broadcast(marks.withColumnRenamed("node", "id")), "id", "left").withColumn("root", F.coalesce("root", "id"))
