@@ -117,3 +117,9 @@ def op2_mixing(spark, sf_dir: str) -> DataFrame:
     """All documents with the words that the mix takes of each."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mix(docs).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: each document as many times as it is taken."""
+    taken = mix(docs).where("copies > 0")
+    return taken.withColumn("copy_", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(*docs.columns)

@@ -253,3 +253,8 @@ def op5_tokens(spark, sf_dir: str) -> DataFrame:
     """All documents written as token ids and read back."""
     docs = table(spark, sf_dir, "documents")
     return read_documents(write_tokens(docs, f"{shared_dir(spark)}/tokens", default_vocabulary()))
+
+
+def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The corpus as token files; returns what they hold of each document."""
+    return read_documents(write_tokens(docs, f"{shared_dir(spark)}/tokens", default_vocabulary()))
