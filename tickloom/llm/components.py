@@ -1,4 +1,4 @@
-"""Connected components of links, by spreading the least label with pointer jumping; each round is written, none collected."""
+"""Connected components of links by contraction; each round is written in the shared folder, none is collected."""
 
 from __future__ import annotations
 
@@ -8,16 +8,25 @@ from pyspark.sql import functions as F
 from .common import stored
 
 
-def components(links: DataFrame) -> DataFrame:
-    """node, root for the nodes of links (a, b); root is the least node of the component. No links give no rows."""
-    both = stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "edges")
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")), "labels0")
-    for i in range(1, 1000):
-        near = both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("m"))
-        now = labels.join(near, "node").select("node", F.col("root").alias("old"), F.least("root", "m").alias("root"))
-        jump = labels.select(F.col("node").alias("root"), F.col("root").alias("far"))
-        now = stored(now.join(jump, "root", "left").select("node", "old", F.least("root", F.coalesce("far", "root")).alias("root")), f"labels{i}")
-        labels = now.drop("old")
-        if now.where("root <> old").isEmpty():
-            break
-    return labels
+def components(links: DataFrame, jumps: int = 2) -> DataFrame:
+    """node, root for the nodes of links (a, b); root is the least node of the component. No links give no rows.
+
+    Each node points to the least of its neighbours and itself, pointers are followed some steps, and links are drawn
+    between what their ends point to; links within one node fall away. Rounds end when no link is left."""
+    edges = stored(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    labels = stored(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("root", F.col("node")), "labels")
+    for i in range(10_000):
+        if edges.isEmpty():
+            return labels
+        least = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up"))
+        least = stored(least, f"up{i}")
+        for j in range(jumps):
+            far = least.select(F.col("node").alias("up"), F.col("up").alias("far"))
+            least = stored(least.join(far, "up", "left").select("node", F.coalesce("far", "up").alias("up")), f"up{i}_{j}")
+        moved = labels.join(least.select(F.col("node").alias("root"), "up"), "root", "left")
+        labels = stored(moved.select("node", F.coalesce("up", "root").alias("root")), f"labels{i}")
+        for end in ("a", "b"):
+            edges = edges.join(least.select(F.col("node").alias(end), "up"), end, "left").withColumn(end, F.coalesce("up", end)).drop("up")
+        edges = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        edges = stored(edges, f"edges{i}")
+    raise RuntimeError("components did not converge")

@@ -6,7 +6,8 @@
    Frequent lines and passages come last in this order.
 3. Copies are linked first: each set is verified against two centres of each group that it shares a rare shingle with.
    What is linked need not be compared again: groups of thousands of copies stay linear.
-4. Within each shingle's group, an R-tree over count vectors gives the pairs of different components whose summed
+4. In large groups the nearest few of each set by the R-tree's bound come next, for the same reason.
+5. Within each shingle's group, an R-tree over count vectors gives the pairs of different components whose summed
    coordinate minima reach the overlap that a link needs; these are verified on the sets. Large groups are dealt in
    tiles by size. No pair that links is lost; pairs within a component aren't listed.
 
@@ -31,6 +32,8 @@ from .rtree import RTree
 SIZE, SHARE, GROUPS, TILE = 4, (85, 100), 128, 2048
 #: Groups with so few sets are one leaf, compared directly; groups of a tree's vectors at most.
 SMALL, MOST_GROUPS = 12, 1024
+#: Partners of each set in large groups that are verified before all others.
+NEAREST = 3
 SKETCH_BLOCKS = 64
 
 
@@ -93,10 +96,15 @@ def _folded(v: bytes, groups: int) -> np.ndarray:
     return np.frombuffer(v, np.uint8).reshape(-1, groups).sum(0, dtype=np.uint16)
 
 
-def _may_link(x: bytes, y: bytes, both: int, share: tuple[int, int]) -> bool:
-    """Whether the summed minima of two count vectors reach what sets of together `both` elements need."""
+def _bound(x: bytes, y: bytes) -> int:
+    """The summed minima of two count vectors: an upper bound on the overlap of their sets."""
     groups = min(len(x), len(y))
-    return int(np.minimum(_folded(x, groups), _folded(y, groups)).sum(dtype=np.int64)) * sum(share) >= share[0] * both
+    return int(np.minimum(_folded(x, groups), _folded(y, groups)).sum(dtype=np.int64))
+
+
+def _may_link(x: bytes, y: bytes, both: int, share: tuple[int, int]) -> bool:
+    """Whether this bound reaches what sets of together `both` elements need."""
+    return _bound(x, y) * sum(share) >= share[0] * both
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -164,8 +172,9 @@ def _centres(groups: DataFrame, share: tuple[int, int], each: int = 2) -> DataFr
     return best.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
 
 
-def _tree_pairs(groups: DataFrame, classes: DataFrame, share: tuple[int, int], tile: int) -> DataFrame:
-    """Pairs (a, b) of different roots in a group whose count vectors allow a link. groups: key, id, n, root."""
+def _tree_pairs(groups: DataFrame, classes: DataFrame, share: tuple[int, int], tile: int, nearest: int | None = None) -> DataFrame:
+    """Pairs (a, b) of different roots in a group whose count vectors allow a link; with nearest, just so many of each set,
+    those of the highest bounds, for a first round. groups: key, id, n, root."""
     place = F.row_number().over(Window.partitionBy("key").orderBy("n", "id"))
     rows = groups.withColumn("tile", F.floor((place - 1) / tile).cast("int"))
     ends = rows.groupBy("key", "tile").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
@@ -178,15 +187,18 @@ def _tree_pairs(groups: DataFrame, classes: DataFrame, share: tuple[int, int], t
     def group(b: pa.Table) -> list[tuple[int, int]]:
         ids, root, size, vec, out = b["id"].to_pylist(), b["root"].to_pylist(), b["n"].to_numpy(), b["vec"].to_pylist(), []
 
-        def meet(q: int, r: int) -> None:
-            x, y = int(size[q]), int(size[r])
-            if root[q] != root[r] and share[0] * max(x, y) <= share[1] * min(x, y) and _may_link(vec[q], vec[r], x + y, share):
-                out.append((min(ids[q], ids[r]), max(ids[q], ids[r])))
+        def meet(q: int, others) -> None:
+            found = []
+            for r in others:
+                x, y = int(size[q]), int(size[r])
+                if root[q] != root[r] and share[0] * max(x, y) <= share[1] * min(x, y) and (most := _bound(vec[q], vec[r])) * sum(share) >= share[0] * (x + y):
+                    found.append((-most / (x + y), ids[r]))
+            found = sorted(found)[:nearest] if nearest else found
+            out.extend((min(ids[q], r), max(ids[q], r)) for _, r in found)
 
         if len(ids) <= SMALL:
             for q in range(len(ids)):
-                for r in range(q):
-                    meet(q, r)
+                meet(q, range(q))
             return out
         t, i, j = b["tile"].to_numpy(), b["i"][0].as_py(), b["j"][0].as_py()
         groups = min(MOST_GROUPS, *map(len, vec))
@@ -194,9 +206,8 @@ def _tree_pairs(groups: DataFrame, classes: DataFrame, share: tuple[int, int], t
         right = np.flatnonzero(t == j)
         tree = RTree(points[right], size[right])
         for q in np.flatnonzero(t == i):
-            for r in right[tree.search(points[q], int(size[q]), share)]:
-                if i != j or ids[q] < ids[r]:
-                    meet(q, r)
+            others = right[tree.search(points[q], int(size[q]), share)]
+            meet(q, [r for r in others if i != j or nearest or ids[q] < ids[r]])
         return out
 
     def run(it):
@@ -224,6 +235,14 @@ def _tree_pairs(groups: DataFrame, classes: DataFrame, share: tuple[int, int], t
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def _open(groups: DataFrame, marks: DataFrame, more_than: int) -> DataFrame:
+    """Rows (key, id, n, root) of the groups of more than so many sets that aren't all of one component yet."""
+    rooted = groups.join(maybe_broadcast(marks.withColumnRenamed("node", "id")), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    every = Window.partitionBy("key")
+    rows = rooted.withColumns({"a": F.min("root").over(every), "z": F.max("root").over(every), "m": F.count("*").over(every)})
+    return rows.where((F.col("a") != F.col("z")) & (F.col("m") > more_than)).select("key", "id", "n", "root")
+
+
 def jaccard_components(docs: DataFrame, size: int = SIZE, share: tuple[int, int] = SHARE, tile: int = TILE) -> DataFrame:
     """doc_id, n_shingles, component_id (the least doc_id reachable by links), copies (rows with an equal set), of docs (doc_id, text)."""
     bound_batches(docs.sparkSession)
@@ -234,13 +253,11 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, share: tuple[int, int]
     near = Window.partitionBy("key").orderBy("n")
     beside = keyed.withColumns({"less": F.lag("n").over(near), "more": F.lead("n").over(near)})
     groups = stored(beside.where((F.col("less") * share[1] >= F.col("n") * share[0]) | (F.col("more") * share[0] <= F.col("n") * share[1])).drop("less", "more"), "groups")
-    links = _verified(_bounded(_centres(groups, share), classes, share), docs, classes, size, share, "centres")
-    marks = components(links)
-    rooted = groups.join(maybe_broadcast(marks.withColumnRenamed("node", "id")), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    every = Window.partitionBy("key")
-    left = rooted.withColumns({"a": F.min("root").over(every), "z": F.max("root").over(every)}).where("a <> z").select("key", "id", "n", "root")
-    found = _verified(_tree_pairs(stored(left, "left"), classes, share, tile), docs, classes, size, share, "tree")
-    marks = components(links.unionByName(found))
+    marks = components(_verified(_bounded(_centres(groups, share), classes, share), docs, classes, size, share, "centres"))
+    for nearest in (NEAREST, None):
+        left = stored(_open(groups, marks, SMALL if nearest else 1), f"left{nearest}")
+        found = _verified(_tree_pairs(left, classes, share, tile, nearest), docs, classes, size, share, f"tree{nearest}")
+        marks = components(found.unionByName(marks.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     linked = classes.select("id", "sig", "doc", "copies").join(marks.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     least = linked.groupBy("root").agg(F.min("doc").alias("component_id"), F.count("*").alias("members"))
     of = stored(linked.join(least, "root").where("members > 1 OR copies > 1").select("sig", "component_id", "copies"), "of")
@@ -254,7 +271,12 @@ def op9_ngram_join(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the least doc_id; documents without words stay."""
-    rows = docs.withColumn("row_", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))).where("row_ = 1 OR doc_id IS NULL").drop("row_")
-    gone = stored(jaccard_components(rows.select("doc_id", "text"), SIZE + 1, (80, 100)).where("component_id <> doc_id").select(F.col("doc_id").alias("gone")), "gone")
-    return rows.join(maybe_broadcast(gone), F.col("doc_id") == F.col("gone"), "left_anti").select(*docs.columns)
+    """One document of each group of near copies stays (five words, 80 %): the one with the least doc_id. Documents without
+    words or without an id stay; of rows with one doc_id, each distinct text stays once at most."""
+    twice = stored(docs.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("of")), "twice")
+    rows = docs
+    if not twice.isEmpty():
+        few = maybe_broadcast(twice)
+        rows = docs.join(few, F.col("doc_id") == F.col("of"), "left_anti").unionByName(docs.join(few, F.col("doc_id") == F.col("of"), "left_semi").dropDuplicates(["doc_id", "text"]))
+    gone = jaccard_components(rows.select("doc_id", "text"), SIZE + 1, (80, 100)).where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
+    return rows.join(maybe_broadcast(stored(gone, "gone")), F.col("doc_id") == F.col("gone"), "left_anti").select(*docs.columns)
