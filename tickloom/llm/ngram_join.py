@@ -7,7 +7,7 @@
 3. Copies are linked first: each set is verified against two centres of each group that it shares a rare shingle with.
    What is linked need not be compared again: groups of thousands of copies stay linear.
 4. In large groups the nearest few of each set by the R-tree's bound come next, for the same reason.
-5. Within each shingle's group, an R-tree over count vectors gives the pairs of different components whose summed
+5. Within each shingle's group of more than a few sets, an R-tree over count vectors gives the pairs of different components whose summed
    coordinate minima reach the overlap that a link needs; these are verified on the sets. Large groups are dealt in
    tiles by size. No pair that links is lost; pairs within a component aren't listed.
 
@@ -30,7 +30,7 @@ from .components import components
 from .rtree import RTree
 
 SIZE, SHARE, GROUPS, TILE = 4, (85, 100), 128, 2048
-#: Groups with so few sets are one leaf, compared directly; groups of a tree's vectors at most.
+#: In groups of so few sets pairs are compared directly; groups of a tree's vectors at most.
 SMALL, MOST_GROUPS = 12, 1024
 #: Partners of each set in large groups that are verified before all others.
 NEAREST = 3
@@ -196,10 +196,6 @@ def _tree_pairs(groups: DataFrame, classes: DataFrame, share: tuple[int, int], t
             found = sorted(found)[:nearest] if nearest else found
             out.extend((min(ids[q], r), max(ids[q], r)) for _, r in found)
 
-        if len(ids) <= SMALL:
-            for q in range(len(ids)):
-                meet(q, range(q))
-            return out
         t, i, j = b["tile"].to_numpy(), b["i"][0].as_py(), b["j"][0].as_py()
         groups = min(MOST_GROUPS, *map(len, vec))
         points = np.stack([_folded(v, groups) for v in vec])
@@ -240,7 +236,13 @@ def _open(groups: DataFrame, marks: DataFrame, more_than: int) -> DataFrame:
     rooted = groups.join(maybe_broadcast(marks.withColumnRenamed("node", "id")), "id", "left").withColumn("root", F.coalesce("root", "id"))
     every = Window.partitionBy("key")
     rows = rooted.withColumns({"a": F.min("root").over(every), "z": F.max("root").over(every), "m": F.count("*").over(every)})
-    return rows.where((F.col("a") != F.col("z")) & (F.col("m") > more_than)).select("key", "id", "n", "root")
+    return rows.where((F.col("a") != F.col("z")) & (F.col("m") > more_than)).select("key", "id", "n", "root", (F.col("m") <= SMALL).alias("small"))
+
+
+def _small_pairs(groups: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """All pairs (a, b) of like size and different roots in groups of a few sets."""
+    other = groups.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("root").alias("of"))
+    return groups.join(other, "key").where((F.col("id") < F.col("b")) & (F.col("root") != F.col("of")) & _compatible("n", "m", share)).select(F.col("id").alias("a"), "b").distinct()
 
 
 def jaccard_components(docs: DataFrame, size: int = SIZE, share: tuple[int, int] = SHARE, tile: int = TILE) -> DataFrame:
@@ -256,7 +258,10 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, share: tuple[int, int]
     marks = components(_verified(_bounded(_centres(groups, share), classes, share), docs, classes, size, share, "centres"))
     for nearest in (NEAREST, None):
         left = stored(_open(groups, marks, SMALL if nearest else 1), f"left{nearest}")
-        found = _verified(_tree_pairs(left, classes, share, tile, nearest), docs, classes, size, share, f"tree{nearest}")
+        pairs = _tree_pairs(left.where("NOT small").drop("small"), classes, share, tile, nearest)
+        if nearest is None:
+            pairs = pairs.unionByName(_bounded(stored(_small_pairs(left.where("small"), share), "small"), classes, share)).distinct()
+        found = _verified(pairs, docs, classes, size, share, f"tree{nearest}")
         marks = components(found.unionByName(marks.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     linked = classes.select("id", "sig", "doc", "copies").join(marks.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     least = linked.groupBy("root").agg(F.min("doc").alias("component_id"), F.count("*").alias("members"))
