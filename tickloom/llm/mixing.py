@@ -38,7 +38,7 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, cap: float = CAP) -> DataF
     level = (F.sum("source_size").over(every) - F.coalesce(F.sum(full).over(before), F.lit(0.0))) / (F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
     filled = ranked.withColumn("fill", full / F.col("weight")).withColumn("level", level).withColumn("place", F.row_number().over(order))
     cut = F.min(F.when(F.col("fill") >= F.col("level"), F.struct("place", "level"))).over(every)
-    return filled.select("source", "source_size", (F.col("sum_importance") / F.col("source_size")).alias("mean_importance"), F.least(full, F.coalesce(cut["level"] * F.col("weight"), full)).alias("target"))
+    return filled.select("source", "source_size", F.try_divide("sum_importance", "source_size").alias("mean_importance"), F.least(full, F.coalesce(cut["level"] * F.col("weight"), full)).alias("target"))
 
 
 def _uniform(seed: int, *cols: str) -> Column:
@@ -48,9 +48,9 @@ def _uniform(seed: int, *cols: str) -> Column:
 
 def _ranked(df: DataFrame) -> DataFrame:
     """Adds base (certain whole copies) and rank in [0, 1]: odds / inclusion odds, as a share."""
-    ratio = F.col("target") / F.col("source_size")
+    ratio = F.try_divide(F.col("target"), F.col("source_size"))
     base = F.coalesce(F.floor(ratio), F.lit(0)).cast("long")
-    inclusion = F.least((ratio - F.floor(ratio)) * F.col("importance") / F.col("mean_importance"), F.lit(1.0))
+    inclusion = F.least((ratio - F.floor(ratio)) * F.try_divide(F.col("importance"), F.col("mean_importance")), F.lit(1.0))
     odds = F.col("draw") / (1 - F.col("draw"))
     against = F.when(inclusion > 0, (1 - inclusion) / inclusion)
     return df.withColumn("base", F.when(F.col("size") > 0, base).otherwise(0)).withColumn("rank", F.when(F.col("size") > 0, odds * against / (1 + odds * against)))
@@ -89,12 +89,14 @@ def _cuts(sized: DataFrame, targets: DataFrame, bins: int, passes: int) -> DataF
         at = own.join(maybe_broadcast(edge), ["key", "bin"])
         upto = F.col("before") + F.sum("size").over(Window.partitionBy("key").orderBy("rank", F.col("doc_id")).rowsBetween(Window.unboundedPreceding, 0))
         cut = at.withColumn("upto", upto).where("upto > gap").groupBy("key").agg(F.min_by(F.struct(F.struct("rank", "doc_id").alias("cut"), F.col("size").alias("over"), (F.col("gap") - F.col("upto") + F.col("size")).alias("rest")), F.struct("rank", "doc_id")).alias("found")).select("key", "found.*")
-        out = out.withColumn("key", _keyed("source")).join(cut, "key", "left").drop("key")
-        extra = F.when(F.col("over") - F.col("rest") < F.col("rest"), F.col("cut"))  # of the last pass: the one that comes nearer to the size
-        rest = F.coalesce("rest", F.lit(0.0))
-        out = out.withColumns({f"all{i}": F.col("cut").isNull(), f"cut{i}": F.col("cut"), f"gap{i}": rest, "gap": rest, "extra": extra}).drop("cut", "over", "rest")
+        total = sums.groupBy("key").agg(F.sum("words").alias("total"))
+        out = out.withColumn("key", _keyed("source")).join(cut, "key", "left").join(total, "key", "left").drop("key")
+        rest = F.coalesce("rest", F.col("gap") - F.coalesce("total", F.lit(0)))
+        out = out.withColumns({f"all{i}": F.col("cut").isNull(), f"cut{i}": F.col("cut"), f"over{i}": F.col("over"), f"gap{i}": rest, "gap": rest}).drop("cut", "over", "rest", "total")
         out = stored(out, f"cuts{i}")
-    return out.drop("gap")
+    # Of the documents that didn't fit, the one with which the words come nearer to the size than without.
+    best = F.array_min(F.array(*(F.when(F.col(f"over{i}") < 2 * F.col("gap"), F.struct(F.abs(F.col(f"over{i}") - F.col("gap")).alias("off"), F.col(f"cut{i}").alias("cut"))) for i in range(passes))))
+    return out.withColumn("extra", best["cut"]).drop("gap", *(f"over{i}" for i in range(passes)))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, cap: float = CAP, importance: Column | None = None, seed: int = 17, bins: int = BINS, passes: int = PASSES) -> DataFrame:
