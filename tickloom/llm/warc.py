@@ -7,6 +7,8 @@ the blocks of records that don't fit, or all payloads with option payload=false.
 Writing: each task writes files of its own, closed at `roll` bytes (so that a file stays a fair unit of reading); the
 names of the tasks that succeeded make the manifest, files of failed attempts are ignored and deleted on abort.
 
+Load a path anew for each query: Spark 4.1 keeps the filters that were pushed into a loaded table for its later queries.
+
 Columns: see SCHEMA; the writer takes those of WRITTEN, in any order, extra columns are ignored. A null payload is empty.
 """
 
