@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom.functions.calendars import easter
 from tickloom.operators import dividends as dv
 from tickloom.operators import event_windows as ew
 from tickloom.operators import gaps, inventory, normalize, quality, rollup
@@ -84,6 +85,24 @@ def test_coverage_lists_absent_symbols_and_unknown_calendars(spark):
     assert rows["Z"].notes.startswith("NO_ROWS; missing_days=5") and gaps.FALLBACK_NOTE in rows["A"].notes and rows["A"].coverage_days_pct == pytest.approx(0.2)
 
 
+def test_exchange_calendar(spark):
+    """Counts of trading days are public figures of the exchange; 2024 has three early closes."""
+    counts = {1999: 252, 2001: 248, 2004: 252, 2007: 251, 2012: 250, 2013: 252, 2014: 252, 2015: 252, 2016: 252, 2017: 251, 2018: 251, 2019: 252, 2020: 253, 2021: 252, 2022: 251, 2023: 250, 2024: 252, 2025: 250}
+    days = gaps.calendar(spark, "xnys", "1999-01-01", "2025-12-31")
+    got = {r.y: r["count"] for r in days.groupBy(F.year("session_date").alias("y")).count().collect()}
+    assert {y: got[y] for y in counts} == counts
+    assert [str(r[0]) for r in days.where("minutes = 210 AND year(session_date) = 2024").orderBy("idx").select("session_date").collect()] == ["2024-07-03", "2024-11-29", "2024-12-24"]
+    easters = {2008: "2008-03-23", 2011: "2011-04-24", 2019: "2019-04-21", 2024: "2024-03-31", 2025: "2025-04-20"}
+    assert {r.y: str(r.e) for r in spark.createDataFrame([(y,) for y in easters], "y int").select("y", easter(F.col("y")).alias("e")).collect()} == easters
+
+
+def test_calendars_of_no_days(spark):
+    assert gaps.calendar(spark, "XNYS", "2024-01-06", "2024-01-07").count() == 0  # a weekend
+    assert gaps.calendar(spark, "ALL", "2024-01-07", "2024-01-06").count() == 0  # the end comes first
+    assert tuple(gaps.expected_bars(spark, "2024-01-05", "2024-01-05").first()) == (0, 0)
+    assert tuple(gaps.expected_bars(spark, "2024-01-05", "2024-01-20", mode="NYSE").first()) == (10, 3900)
+
+
 def test_normalize_bars(spark):
     raw = [("2025-01-02T10:01:00+01:00", "1", "2", "0.5", "1.5", None, 0), ("2025-01-02T09:01:00Z", "1", "2", "0.5", "1.6", "7.9", 1), ("2025-01-02T09:00:00Z", "bad", "2", "1", "1", "1", 2)]
     df = spark.createDataFrame(raw, "timestamp string, open string, high string, low string, close string, volume string, ordinal int")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.calendars import KNOWN, is_session, session_minutes
 from ..functions.columns import minutes_between, sessions
 
 MINUTES = 390
@@ -40,6 +41,12 @@ def weekday_calendar(spark, start: str, end: str) -> DataFrame:
     return spark.range(1).select(F.posexplode(sessions(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("idx", "session_date"))
 
 
+def calendar(spark, mode: str, start: str, end: str) -> DataFrame:
+    """Sessions of a calendar from start to end, both included: session_date, its index idx, and its minutes."""
+    days, _ = expected_days(mode, start, end)
+    return spark.range(1).select(F.posexplode(days).alias("idx", "session_date")).withColumn("minutes", session_minutes(F.col("session_date"), mode))
+
+
 def daily_gaps(bars: DataFrame, calendar: DataFrame, day: str = "d") -> DataFrame:
     """symbol, gap_count, gap_segments, max_gap_len: runs of sessions that a symbol misses.
 
@@ -56,11 +63,10 @@ def daily_gaps(bars: DataFrame, calendar: DataFrame, day: str = "d") -> DataFram
 
 
 def expected_days(mode: str, start: str, end: str) -> tuple[Column, str | None]:
-    """The days that a calendar mode expects, and a note if the mode isn't known: weekdays stand in."""
-    days = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    if mode in ("ALL", "ALL_DAYS"):
-        return days, None
-    return F.filter(days, lambda d: F.weekday(d) < 5), None if mode == "WEEKDAY" else FALLBACK_NOTE
+    """The days that a calendar mode expects, none if the end comes first; a note if the mode isn't known: weekdays stand in."""
+    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+    days = F.when(first <= last, F.sequence(first, F.greatest(first, last))).otherwise(F.array().cast("array<date>"))
+    return F.filter(days, lambda d: is_session(d, mode)), None if mode.strip().upper() in KNOWN else FALLBACK_NOTE
 
 
 def coverage(bars: DataFrame, expected: DataFrame, mode: str, start: str, end: str, day: str = "d") -> DataFrame:
@@ -80,7 +86,8 @@ def coverage(bars: DataFrame, expected: DataFrame, mode: str, start: str, end: s
     )
 
 
-def expected_bars(spark, start: str, end: str, minutes: int = MINUTES) -> DataFrame:
-    """Sessions and minutes that weekdays between start and end (excluded) hold."""
-    days = sessions(F.lit(start).cast("date"), F.date_sub(F.lit(end).cast("date"), 1))
-    return spark.range(1).select(F.size(days).cast("long").alias("daily_bars"), (F.size(days) * minutes).cast("long").alias("minute_bars"))
+def expected_bars(spark, start: str, end: str, minutes: int | None = None, mode: str = "WEEKDAY") -> DataFrame:
+    """Sessions between start and end (excluded) and the minutes that they hold; with minutes, all sessions are of that length."""
+    days, _ = expected_days(mode, start, F.date_sub(F.lit(end).cast("date"), 1))
+    each = F.transform(days, lambda d: session_minutes(d, mode) if minutes is None else F.lit(minutes))
+    return spark.range(1).select(F.size(days).cast("long").alias("daily_bars"), F.aggregate(each, F.lit(0).cast("long"), lambda a, m: a + m).alias("minute_bars"))

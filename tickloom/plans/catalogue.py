@@ -122,6 +122,18 @@ def gap_daily_islands(spark, d):
     return gaps.daily_gaps(daily(spark, d), gaps.weekday_calendar(spark, YEAR_START, YEAR_END))
 
 
+# Holidays of the New York exchange in the years of the derived tables.
+CLOSED_DAYS = ["1996-01-01", "1996-02-19", "1996-04-05", "1996-05-27", "1996-07-04", "1996-09-02", "1996-11-28", "1996-12-25"]
+CLOSED_2024 = ["2024-01-01", "2024-01-15", "2024-02-19", "2024-03-29", "2024-05-27", "2024-06-19", "2024-07-04", "2024-09-02", "2024-11-28", "2024-12-25"]
+SHORT_2024 = ["2024-07-03", "2024-11-29", "2024-12-24"]
+EXCHANGE = CALENDAR.replace("isodow(day) < 6", f"isodow(day) < 6 AND strftime(day, '%Y-%m-%d') NOT IN ({', '.join(map(repr, CLOSED_DAYS))})")
+
+
+@_query(ORACLES["gap_daily_islands"].replace(CALENDAR, EXCHANGE))
+def gap_daily_exchange(spark, d):
+    return gaps.daily_gaps(daily(spark, d), gaps.calendar(spark, "XNYS", YEAR_START, YEAR_END))
+
+
 @_query(f"""{D}, w AS (SELECT * FROM b WHERE isodow(d) < 6), x AS (SELECT symbol, min(d) AS min_date, max(d) AS max_date, count(DISTINCT d) AS actual_days FROM w GROUP BY symbol),
 y AS (SELECT *, len(list_filter(generate_series(min_date, max_date, INTERVAL 1 DAY), lambda t: isodow(t) < 6)) AS expected_days FROM x) SELECT *, greatest(expected_days - actual_days, 0) AS missing_days FROM y""")
 def gap_daily_approx(spark, d):
@@ -174,6 +186,12 @@ def coverage_by_symbol(spark, d):
     return gaps.coverage(daily(spark, d), expected, "WEEKDAY", YEAR_START, YEAR_END)
 
 
+@_query(_coverage_sql(D, "d", UNIVERSE, YEAR_START, YEAR_END, f"(SELECT count(*) - {len(CLOSED_DAYS)} FROM (SELECT unnest(generate_series(DATE '{YEAR_START}', DATE '{YEAR_END}', INTERVAL 1 DAY)) AS t) WHERE isodow(t) < 6)"))
+def coverage_exchange(spark, d):
+    expected = spark.range(1).select(F.explode(F.array(*map(F.lit, UNIVERSE))).alias("symbol"))
+    return gaps.coverage(daily(spark, d), expected, "XNYS", YEAR_START, YEAR_END)
+
+
 @_query(_coverage_sql(B, "CAST(ts_utc AS DATE)", ["CLICK", "VIEW", "PURCHASE", "ABSENT"], START, END, "CAST(16 AS BIGINT)"))
 def coverage_all_days(spark, d):
     expected = spark.range(1).select(F.explode(F.array(*map(F.lit, ["CLICK", "VIEW", "PURCHASE", "ABSENT"]))).alias("symbol"))
@@ -185,6 +203,12 @@ def expected_bars(spark, d):
     return gaps.expected_bars(spark, START, END)
 
 
+@_query(f"""SELECT count(*) AS daily_bars, CAST(sum(CASE WHEN strftime(t, '%Y-%m-%d') IN ({', '.join(map(repr, SHORT_2024))}) THEN 210 ELSE 390 END) AS BIGINT) AS minute_bars
+FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-12-31', INTERVAL 1 DAY)) AS t) WHERE isodow(t) < 6 AND strftime(t, '%Y-%m-%d') NOT IN ({', '.join(map(repr, CLOSED_2024))})""")
+def expected_bars_exchange(spark, d):
+    return gaps.expected_bars(spark, "2024-01-01", "2025-01-01", mode="XNYS")
+
+
 def _by_symbol(spark, d):
     return rollup.qa_by_symbol(bars(spark, d), N_DAYS * gaps.MINUTES)
 
