@@ -256,8 +256,8 @@ def test_op6_decontamination(spark, docs, empty):
                 Q, X = decontamination._shingles(q, n), decontamination._shingles(decontamination.words(r[1]), n)
                 if len(Q & X) >= 0.8 * len(Q):
                     expected[(r[0], i, len(Q & X), len(Q))] += 1
-    for block in (20_000, 2):
-        got = decontamination.find_leaks(docs, bench, block=block).select("doc_id", F.inline("leaks")).collect()
+    for block, chars in ((20_000, 4 << 20), (2, 4 << 20), (20_000, 100)):
+        got = decontamination.find_leaks(docs, bench, block=block, block_chars=chars).select("doc_id", F.inline("leaks")).collect()
         assert collections.Counter((r.doc_id, r.item_id, r.n_shared, r.n_item) for r in got) == expected and len(expected) >= 3
     assert decontamination.find_leaks(empty, bench).count() == 0
     assert decontamination.find_leaks(docs, bench.limit(0)).where("size(leaks) > 0").count() == 0

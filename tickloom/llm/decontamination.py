@@ -7,8 +7,9 @@ must hold one of these. A document keeps, for each partition, its hashes up to t
 through the sorted sketches; what hits is a candidate and is verified on the shingles' words. No leak can be missed, at
 any length of document, where banded signatures lose short items in long texts.
 
-Items come in blocks of a bounded number that each task holds at once, one after another on the same pass over the documents; the
-benchmark is the stated query set, documents are never joined among each other nor shuffled.
+Items come in blocks of bounded number and length. A pass over the documents holds HELD blocks at most; of a longer
+benchmark each pass writes what it found in the shared folder for the next. The benchmark is the stated query set:
+documents are never joined among each other nor shuffled.
 
 Words are runs of letters, digits and _, in lower case. An item of fewer than five words is one shingle of all its words.
 Null, empty and wordless items and documents match nothing. Repeated items and documents match each time. Null ids pass.
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import _MIX, bound_batches, mixed, table
+from .common import _MIX, bound_batches, mixed, stored, table
 
-SIZE, THRESHOLD, BLOCK = 5, 0.8, 20_000
+#: Items and characters of a block, and blocks that a pass holds.
+SIZE, THRESHOLD, BLOCK, BLOCK_CHARS, HELD = 5, 0.8, 20_000, 4 << 20, 4
 WORDS = re.compile(r"\w+")
 MATCH = pa.struct([("item_id", pa.int64()), ("n_shared", pa.int64()), ("n_item", pa.int64()), ("containment", pa.float64())])
 MATCH_SQL = "array<struct<item_id: bigint, n_shared: bigint, n_item: bigint, containment: double>>"
@@ -94,22 +97,25 @@ class Sketches:
         return out
 
 
-def _blocks(benchmark: DataFrame, most: int) -> list[list[tuple]]:
-    """Items in blocks of at most about `most`, split by hash; each is collected when its turn comes."""
+def _blocks(benchmark: DataFrame, most: int, most_chars: int) -> Iterator[list[tuple]]:
+    """Items in blocks of at most about `most` items and `most_chars` characters, split by hash; each is collected when its turn comes."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    parts = max(1, math.ceil(rows.count() / most))
+    n, chars = rows.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    parts = max(1, math.ceil(n / most), math.ceil(chars / most_chars))
     for i in range(parts):
         yield [tuple(r) for r in rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == i).collect()]
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, size: int = SIZE, block: int = BLOCK, out: str = "leaks") -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, size: int = SIZE, block: int = BLOCK, block_chars: int = BLOCK_CHARS, out: str = "leaks") -> DataFrame:
     """docs with an array of the items they hold: item_id, n_shared, n_item, containment. Extra columns are kept."""
     spark = docs.sparkSession
     bound_batches(spark)
     keep = [c for c in docs.columns if c != out]
     schema = T.StructType([docs.schema[c] for c in keep]).add(out, T.DataType.fromDDL(MATCH_SQL))
     found = docs.select(*keep).withColumn(out, F.array().cast(MATCH_SQL))
-    for items in _blocks(benchmark, block):
+    for i, items in enumerate(_blocks(benchmark, block, block_chars)):
+        if i and i % HELD == 0:
+            found = stored(found, f"leaks{i}")
         held = spark.sparkContext.broadcast(Sketches(items, size, threshold))
 
         def run(it, held=held):
