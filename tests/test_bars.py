@@ -220,6 +220,43 @@ def test_rest_source_pages_and_retries():
     assert [p.symbol for p in reader.partitions()] == ["A", "B"] and len(list(reader.read(reader.partitions()[0]))) == 2
 
 
+def fake_actions(url: str, params: dict) -> tuple[int, str]:
+    """Two pages: dividends in groups below corporate_actions, then groups at the top."""
+    cash = [{"id": f"c-{s}", "symbol": s, "ex_date": "2025-01-10", "process_date": "2025-01-15", "rate": "0.25"} for s in params["symbols"].split(",")]
+    if params.get("page_token"):
+        return 200, json.dumps({"stock_dividends": [{"id": "s-" + params["symbols"], "symbol": "MSFT", "ex_date": "2025-02-10", "process_date": "2025-02-15", "stock_amount": "0.05"}], "next_page_token": None})
+    return 200, json.dumps({"corporate_actions": {"cash_dividends": cash}, "next_page_token": "2"})
+
+
+def test_rest_dividends_reach_the_snapshot(spark):
+    options = {"symbols": "aapl, msft,aapl,x", "symbolsPerRequest": "2", "transport": f"{__name__}:fake_actions"}
+    reader = rest.DividendsReader(options)
+    assert [p.symbols for p in reader.partitions()] == [["AAPL", "MSFT"], ["X"]]
+    rows = [r for p in reader.partitions() for r in reader.read(p)]
+    assert [(r[0], r[1]) for r in rows] == [("AAPL,MSFT", 0), ("AAPL,MSFT", 1), ("X", 0), ("X", 1)]
+    flat = dv.flatten_payloads(spark.createDataFrame(rows, rest.PAGES)).collect()
+    assert sorted((r.action_type, json.loads(r.raw)["id"]) for r in flat) == [("cash_dividend", "c-AAPL"), ("cash_dividend", "c-MSFT"), ("cash_dividend", "c-X"), ("stock_dividend", "s-AAPL,MSFT"), ("stock_dividend", "s-X")]
+
+
+@pytest.mark.parametrize("bad", [{"types": "merger"}, {"limit": "0"}, {"limit": "1001"}, {"sort": "up"}, {"symbolsPerRequest": "0"}])
+def test_rest_dividends_options(bad):
+    with pytest.raises(ValueError):
+        rest.DividendsReader({"symbols": "a"} | bad)
+
+
+def test_rest_pages_of_another_form():
+    with pytest.raises(RuntimeError, match="no JSON object"):
+        rest.fetched(lambda u, p: (200, "[]"), "u", {})
+    with pytest.raises(ValueError, match="symbols"):
+        rest.DividendsReader({"symbols": " ,"}).partitions()
+
+
+def test_rest_dividends_as_a_source(spark):
+    spark.dataSource.register(rest.RestDividends)
+    with pytest.raises(Exception, match="limit must be"):
+        spark.read.format("rest_dividends").option("symbols", "a").option("limit", "5000").load().collect()
+
+
 def test_backfill_keeps_the_last(spark, tmp_path):
     spark.sparkContext.setCheckpointDir(str(tmp_path / "cp"))
     (tmp_path / "raw").mkdir()

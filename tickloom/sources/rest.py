@@ -1,7 +1,10 @@
-"""Paged REST bars as a Python data source, `rest_bars`: a partition for each symbol, retries with backoff.
+"""Paged REST tables as Python data sources, with retries and backoff.
 
-Options: symbols (comma-separated), start, end, timeframe, url, and transport, the `module:function` that gets a page:
-function(url, params) -> (status, body). The default is an HTTP GET. Pages carry `bars` and `next_page_token`."""
+`rest_bars`: a partition for each symbol; options symbols (comma-separated), start, end, timeframe.
+`rest_dividends`: a partition for each `symbolsPerRequest` symbols; a row for each page, whose body `flatten_payloads` takes
+apart on the cluster; options symbols, types, start, end, limit (1 to 1000), sort (asc or desc).
+Both: url, and transport, the `module:function` that gets a page: function(url, params) -> (status, body). The default is an
+HTTP GET. Pages are JSON objects with a `next_page_token`, null or left out on the last."""
 
 from __future__ import annotations
 
@@ -14,9 +17,11 @@ from dataclasses import dataclass
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..schemas import DIVIDEND_TYPES
+
 SCHEMA = "symbol string, timestamp string, open double, high double, low double, close double, volume double, ordinal bigint"
-RETRIED = {429, 500, 502, 503, 504}
-MOST_TRIES, BASE, CAP, PAGE = 5, 1.0, 30.0, 10_000
+PAGES = "symbols string, page int, body string"
+MOST_TRIES, BASE, CAP, PAGE, MOST_ACTIONS = 5, 1.0, 30.0, 10_000, 1000
 
 
 def http_get(url: str, params: dict) -> tuple[int, str]:
@@ -39,8 +44,11 @@ def fetched(get: Callable, url: str, params: dict, sleep: Callable = time.sleep)
         except OSError:
             status, body = 503, ""
         if status == 200:
-            return json.loads(body)
-        if status not in RETRIED:
+            page = json.loads(body)
+            if not isinstance(page, dict):
+                raise RuntimeError(f"{url}: the page is no JSON object: {body[:100]}")
+            return page
+        if status != 429 and not 500 <= status <= 599:
             raise RuntimeError(f"{url}: status {status}")
         if i < MOST_TRIES - 1:
             sleep(min(CAP, BASE * 2**i) * (1 + random.random() / 4))
@@ -48,7 +56,7 @@ def fetched(get: Callable, url: str, params: dict, sleep: Callable = time.sleep)
 
 
 def pages(get: Callable, url: str, params: dict, sleep: Callable = time.sleep):
-    token = None
+    params, token = {k: v for k, v in params.items() if v is not None}, None
     while True:
         page = fetched(get, url, params | ({"page_token": token} if token else {}), sleep)
         yield page
@@ -57,22 +65,39 @@ def pages(get: Callable, url: str, params: dict, sleep: Callable = time.sleep):
             return
 
 
+def listed(text: str | None) -> list[str]:
+    """The values of a comma-separated option, each once."""
+    return list(dict.fromkeys(x.strip() for x in (text or "").split(",") if x.strip()))
+
+
+def transport(options: dict) -> Callable:
+    module, _, name = options.get("transport", f"{__name__}:http_get").partition(":")
+    return getattr(importlib.import_module(module), name)
+
+
+def wanted_symbols(options: dict) -> list[str]:
+    symbols = listed(options.get("symbols", "").upper())
+    if not symbols:
+        raise ValueError("option symbols is needed")
+    return symbols
+
+
 @dataclass
 class OneSymbol(InputPartition):
     symbol: str
 
 
+@dataclass
+class SomeSymbols(InputPartition):
+    symbols: list[str]
+
+
 class BarsReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.options = options
-        module, _, name = options.get("transport", f"{__name__}:http_get").partition(":")
-        self.get = getattr(importlib.import_module(module), name)
+        self.options, self.get = options, transport(options)
 
     def partitions(self):
-        symbols = [s.strip().upper() for s in self.options.get("symbols", "").split(",") if s.strip()]
-        if not symbols:
-            raise ValueError("option symbols is needed")
-        return [OneSymbol(s) for s in dict.fromkeys(symbols)]
+        return [OneSymbol(s) for s in wanted_symbols(self.options)]
 
     def read(self, partition):
         o, n = self.options, 0
@@ -93,3 +118,38 @@ class RestBars(DataSource):
 
     def reader(self, schema):
         return BarsReader(dict(self.options))
+
+
+class DividendsReader(DataSourceReader):
+    def __init__(self, options: dict):
+        self.options, self.get = options, transport(options)
+        self.types, self.limit, self.sort = listed(options.get("types")) or sorted(DIVIDEND_TYPES), int(options.get("limit", MOST_ACTIONS)), options.get("sort", "asc")
+        self.each = int(options.get("symbolsPerRequest", options.get("symbolsperrequest", 50)))
+        for bad, message in (
+            (set(self.types) - set(DIVIDEND_TYPES), f"types must be of {', '.join(DIVIDEND_TYPES)}"), (not 1 <= self.limit <= MOST_ACTIONS, f"limit must be 1 to {MOST_ACTIONS}"),
+            (self.sort not in ("asc", "desc"), "sort must be asc or desc"), (self.each < 1, "symbolsPerRequest must be positive"),
+        ):
+            if bad:
+                raise ValueError(message)
+
+    def partitions(self):
+        symbols = wanted_symbols(self.options)
+        return [SomeSymbols(symbols[i : i + self.each]) for i in range(0, len(symbols), self.each)]
+
+    def read(self, partition):
+        o, own = self.options, ",".join(partition.symbols)
+        params = {"symbols": own, "types": ",".join(self.types), "start": o.get("start"), "end": o.get("end"), "limit": self.limit, "sort": self.sort}
+        for i, page in enumerate(pages(self.get, f"{o.get('url', '')}/v1/corporate-actions", params)):
+            yield own, i, json.dumps(page)
+
+
+class RestDividends(DataSource):
+    @classmethod
+    def name(cls):
+        return "rest_dividends"
+
+    def schema(self):
+        return PAGES
+
+    def reader(self, schema):
+        return DividendsReader(dict(self.options))
