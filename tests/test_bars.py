@@ -13,6 +13,7 @@ from tickloom.operators import gaps, inventory, normalize, quality, rollup
 from tickloom.schemas import CANONICAL_BAR, DIVIDEND
 from tickloom.session import configured
 from tickloom.sources import rest, tables
+from tickloom.sources.backfill import backfill_bars
 from tickloom.streaming.backfill import run_backfill
 
 T = dt.datetime
@@ -257,6 +258,39 @@ def test_rest_dividends_as_a_source(spark):
         spark.read.format("rest_dividends").option("symbols", "a").option("limit", "5000").load().collect()
 
 
+def fake_days(url: str, params: dict) -> tuple[int, str]:
+    """A bar a day; symbol BAD fails on its second page of 2025-01-03."""
+    if "/BAD/" in url and params["start"] == "2025-01-03" and params.get("page_token"):
+        return 403, ""
+    bar = {"t": params["start"] + ("T10:01:00Z" if params.get("page_token") else "T10:00:00Z"), "o": 1, "h": 2, "l": 1, "c": 2, "v": 3}
+    return 200, json.dumps({"bars": [bar], "next_page_token": None if params.get("page_token") else "2"})
+
+
+def test_backfill_goes_on_after_failures(spark, tmp_path):
+    spark.sparkContext.setCheckpointDir(str(tmp_path / "cp"))
+    options = {"symbols": "ok,bad", "start": "2025-01-02", "end": "2025-01-06", "transport": f"{__name__}:fake_days"}
+    for _ in range(2):  # a second run replaces the bars and appends to the failures
+        got = backfill_bars(spark, options, str(tmp_path / "bars"), str(tmp_path / "failures"))
+        assert sorted(map(tuple, got.collect())) == [("BAD", 2, 1), ("OK", 4, 0)]
+    bars = tables.read_bars(spark, str(tmp_path / "bars")).groupBy("symbol", "date").count().collect()
+    assert sorted(map(tuple, bars)) == [("BAD", "2025-01-02", 2), ("OK", "2025-01-02", 2), ("OK", "2025-01-03", 2)]
+    failed = spark.read.option("header", True).csv(str(tmp_path / "failures")).collect()
+    assert [(r.symbol, r.date) for r in failed] == [("BAD", "2025-01-03")] * 2 and "403" in failed[0].error
+
+
+def test_windows():
+    assert rest.windows("2024-11-29", "2024-12-03", "day") == [("2024-11-29", "2024-11-30"), ("2024-12-02", "2024-12-03")]
+    assert rest.windows("2024-11-15", "2025-01-10", "month") == [("2024-11-15", "2024-12-01"), ("2024-12-01", "2025-01-01"), ("2025-01-01", "2025-01-10")]
+    assert rest.windows("2024-11-15", "2025-01-10", "year") == [("2024-11-15", "2025-01-01"), ("2025-01-01", "2025-01-10")]
+    assert rest.windows("2025-01-10", "2025-01-10", "month") == [] and rest.windows(None, None) == [(None, None)]
+
+
+def test_run_names_and_statuses(spark):
+    assert rollup.run_id("bars_1m", "1min", "2025-11-01", None) == "qa_bars_1m_1min_2025-11-01_ALL_XNYS"
+    rows = spark.createDataFrame([("PASS",), (" warn ",), ("FAIL",), ("?",), (None,)], "overall_status string")
+    assert [r[0] for r in rows.select(rollup.handoff_status()).collect()] == ["passed", "warning", "failed", "available", "available"]
+
+
 def test_backfill_keeps_the_last(spark, tmp_path):
     spark.sparkContext.setCheckpointDir(str(tmp_path / "cp"))
     (tmp_path / "raw").mkdir()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .gaps import minute_gap_rollup, minute_gaps
@@ -45,6 +45,17 @@ def qa_global(by_symbol: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     return total.withColumn("unique_rows", F.col("total_rows") - F.col("duplicate_rows")).withColumn("overall_status", F.when(fail, "FAIL").when(F.col("warn"), "WARN").otherwise("PASS")).drop("warn")
 
 
+def run_id(dataset: str, interval: str, start: str | None = None, end: str | None = None, calendar: str = "XNYS") -> str:
+    """The name of a quality run: equal for equal settings."""
+    return f"qa_{dataset}_{interval}_{start or 'ALL'}_{end or 'ALL'}_{calendar}"
+
+
+def handoff_status(status: str | Column = "overall_status") -> Column:
+    """What a run's status tells the next system; any other text is just available."""
+    own = F.upper(F.trim(F.col(status) if isinstance(status, str) else status))
+    return F.when(own == "PASS", "passed").when(own == "FAIL", "failed").when(own.isin("WARN", "WARNING"), "warning").otherwise("available")
+
+
 def qa_summary(bars: DataFrame) -> DataFrame:
     """By symbol and timeframe: bounds, duplicate keys, sums of rule counts, missing minutes and inversions."""
     out = symbol_bounds(bars, by=("symbol", "timeframe")).withColumnsRenamed({"first_ts": "min_ts", "last_ts": "max_ts", "rows_observed": "row_count"})
@@ -97,4 +108,4 @@ def enforce(by_symbol: DataFrame, gates: Gates = Gates(), missing: list[str] | N
     return Verdict(not reasons, reasons, [r.asDict() for r in top_offenders(by_symbol, top).collect()] if reasons else [])
 
 
-__all__ = ["Gates", "Thresholds", "Verdict", "enforce", "export_rule", "missing_symbols", "qa_by_symbol", "qa_global", "qa_summary", "report_rules", "top_offenders"]
+__all__ = ["Gates", "Thresholds", "Verdict", "enforce", "export_rule", "handoff_status", "missing_symbols", "qa_by_symbol", "qa_global", "qa_summary", "report_rules", "run_id", "top_offenders"]

@@ -1,6 +1,8 @@
 """Paged REST tables as Python data sources, with retries and backoff.
 
-`rest_bars`: a partition for each symbol; options symbols (comma-separated), start, end, timeframe.
+`rest_bars`: a partition for each symbol; options symbols (comma-separated), start, end, timeframe, windows (none, day -
+weekdays -, month, year: pieces that are asked for one after another) and onError (fail, or record: a window that can't be
+had gives one row with its error and no bars).
 `rest_dividends`: a partition for each `symbolsPerRequest` symbols; a row for each page, whose body `flatten_payloads` takes
 apart on the cluster; options symbols, types, start, end, limit (1 to 1000), sort (asc or desc).
 Both: url, and transport, the `module:function` that gets a page: function(url, params) -> (status, body). The default is an
@@ -14,12 +16,13 @@ import random
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..schemas import DIVIDEND_TYPES
 
-SCHEMA = "symbol string, timestamp string, open double, high double, low double, close double, volume double, ordinal bigint"
+SCHEMA = "symbol string, timestamp string, open double, high double, low double, close double, volume double, ordinal bigint, window_start string, error string"
 PAGES = "symbols string, page int, body string"
 MOST_TRIES, BASE, CAP, PAGE, MOST_ACTIONS = 5, 1.0, 30.0, 10_000, 1000
 
@@ -92,6 +95,21 @@ class SomeSymbols(InputPartition):
     symbols: list[str]
 
 
+def windows(start: str | None, end: str | None, unit: str = "none") -> list[tuple[str | None, str | None]]:
+    """Half-open pieces of start to end: weekdays, or what lies in one calendar month or year."""
+    if unit == "none":
+        return [(start, end)]
+    if unit not in ("day", "month", "year") or not start or not end:
+        raise ValueError("windows are day, month or year, from start to end")
+    first, last = date.fromisoformat(start), date.fromisoformat(end)
+    if unit == "day":
+        days = [first + timedelta(i) for i in range((last - first).days)]
+        return [(str(d), str(d + timedelta(1))) for d in days if d.weekday() < 5]
+    begins = [date(y, m, 1) for y in range(first.year, last.year + 1) for m in (range(1, 13) if unit == "month" else (1,))]
+    cuts = [first, *(d for d in begins if first < d < last), last] if first < last else []
+    return [(str(a), str(z)) for a, z in zip(cuts, cuts[1:], strict=False)]
+
+
 class BarsReader(DataSourceReader):
     def __init__(self, options: dict):
         self.options, self.get = options, transport(options)
@@ -100,12 +118,21 @@ class BarsReader(DataSourceReader):
         return [OneSymbol(s) for s in wanted_symbols(self.options)]
 
     def read(self, partition):
-        o, n = self.options, 0
-        url = f"{o.get('url', '')}/v2/stocks/{partition.symbol}/bars"
-        for page in pages(self.get, url, {"start": o.get("start"), "end": o.get("end"), "timeframe": o.get("timeframe", "1Day"), "limit": PAGE}):
-            for b in page.get("bars") or []:
-                yield (partition.symbol, b["t"], *(float(b[k]) for k in "ohlcv"), n)
-                n += 1
+        o, n, own = self.options, 0, partition.symbol
+        url = f"{o.get('url', '')}/v2/stocks/{own}/bars"
+        record = o.get("onError", o.get("onerror", "fail")) == "record"
+        for start, end in windows(o.get("start"), o.get("end"), o.get("windows", "none")):
+            rows = []  # a window's bars come all or not at all
+            try:
+                for page in pages(self.get, url, {"start": start, "end": end, "timeframe": o.get("timeframe", "1Day"), "limit": PAGE}):
+                    for b in page.get("bars") or []:
+                        rows.append((own, b["t"], *(float(b[k]) for k in "ohlcv"), n + len(rows), start, None))
+            except Exception as e:
+                if not record:
+                    raise
+                rows = [(own, None, *[None] * 5, n, start, str(e)[:500])]
+            yield from rows
+            n += len(rows)
 
 
 class RestBars(DataSource):
