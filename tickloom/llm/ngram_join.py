@@ -285,3 +285,20 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
         rows = docs.join(few, F.col("doc_id") == F.col("of"), "left_anti").unionByName(docs.join(few, F.col("doc_id") == F.col("of"), "left_semi").dropDuplicates(["doc_id", "text"]))
     gone = jaccard_components(rows.select("doc_id", "text"), SIZE + 1, (80, 100)).where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
     return rows.join(maybe_broadcast(stored(gone, "gone")), F.col("doc_id") == F.col("gone"), "left_anti").select(*docs.columns)
+
+
+#: All pairs of classes that share a shingle are counted: for small tables.
+SQL = {
+    "op9_ngram_join": r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 1) + 1), lambda i: array_to_string(w[i:i + 3], ' '))) AS g FROM d WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n, md5(string_agg(g, chr(10) ORDER BY g)) AS sig FROM s GROUP BY doc_id),
+c AS (SELECT sig, min(doc_id) AS doc, any_value(n) AS n, count(*) AS copies FROM n GROUP BY sig),
+k AS (SELECT doc, n, g FROM c JOIN s ON doc_id = doc),
+p AS (SELECT a.doc AS a, b.doc AS b FROM k AS a JOIN k AS b ON a.g = b.g AND a.doc < b.doc AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n GROUP BY a.doc, b.doc, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT doc AS a, doc AS root FROM c UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.a WHERE r.root < e.b),
+m AS (SELECT a AS doc, min(root) AS root FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.root, d.doc_id) AS component_id, coalesce(c.copies, 1) AS copies
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (sig) LEFT JOIN m ON m.doc = c.doc"""
+}
