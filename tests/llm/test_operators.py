@@ -286,6 +286,23 @@ def test_wrapper_on_landmarks():
     assert html_lib.unescape("&amp;") == "&" and wrapper.main_text(a, [parsed(a)]) == "T1\none\nsame"
 
 
+def extracted(spark, htmls):
+    rows = [(i, f"http://h.example/{i}", h) for i, h in enumerate(htmls)]
+    return {r.page_id: r.text for r in wrapper.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+
+
+def test_wrapper_counts_all_pages_of_a_host(spark):
+    motto = "A long motto of the house that stands on every page of this layout and is longer than its articles"
+    page = "<body><div class=x>" + motto + "</div><div class=y>{1}</div><div class=z><p>Article {0} of few words</p></div></body>"
+    other = "<body><section><div>Shop</div><p>Offer {0}</p></section></body>"
+    htmls = [page.format(i, "Sale until Friday" if i % 3 == 0 else f"Seen {i} times") for i in range(12)]  # a text of a third of the pages
+    htmls += [other.format(i) for i in range(6)] + [other.format(0)] * 4
+    got = extracted(spark, htmls)
+    for i in range(12):
+        assert got[i] == ("" if i % 3 == 0 else f"Seen {i} times\n") + f"Article {i} of few words"
+    assert [got[12 + i] for i in range(6)] == [f"Offer {i}" for i in range(6)] and got[18] == "Offer 0"
+
+
 def test_simple_tree_matching():
     a, b = parsed("<div><ul><li>1<li>2</ul><p>x</div>"), parsed("<div><p>y</p><ul><li>3</ul></div>")
     pairs = [(p.tag, q.tag) for p, q in matched(a, b)]

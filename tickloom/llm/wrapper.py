@@ -1,31 +1,35 @@
-"""Wrapper induction: the main text of pages, from what pages of a host have in common.
-
-Two pages of each host, first and last by a hash of their html, are its references. Each page's DOM tree is aligned with
-them by simple tree matching. Aligned nodes with equal text are constant: template; nodes whose text differs, or that
-have no partner, are varying slots. The content is the subtree that holds the varying text - a landmark (article, main)
-if the page has one -, without what tags and class names show to be menus, headers, footers, sidebars, notices, adverts,
-forms or comments. Paragraphs within the content stay even if they are equal; other constant nodes there go as template.
-
-A reference that is the page itself or mostly the same text tells nothing and isn't used; pages of hosts with no other
-page, and pages without a host, go by tags and text alone. Null and empty html give an empty text. References are joined
-by host: broadcast if their sizes were counted small, else shuffled (a hot host's pages can be split, its row is one).
-Extra columns are left out; repeated rows give equal results.
+"""Wrapper induction: the main text of pages, from what the pages of a host have in common.
+
+Every page of a host is evidence. A slot is a chain of tags and classes from the root; for each slot of a host, and each
+text there, the distinct pages that have it are counted (exact copies count once). Simple tree matching aligns only nodes
+with equal chains, so these counts hold what an alignment with every other page would give; layouts differ in their
+chains and are judged apart. Text on many of the pages with its slot is constant: template; other text is varying. Prose
+needs more pages to be constant than other elements. The content is the subtree that holds the varying text - a landmark
+(article, main) if the page has one -, without what tags and class names show to be menus, headers, footers, sidebars,
+notices, adverts, forms or comments. Paragraphs within the content stay even if they are equal; other constant leaves
+there, and containers with nothing but constant text, go as template.
+
+Pages without a host, or alone on theirs, and pages whose text is all constant go by tags and text alone. Null and empty
+html give an empty text. A host's constant texts are joined to its pages as hashes: broadcast if they were counted few,
+else shuffled (a hot host's pages can be split, its row is one). Extra columns are left out; repeated rows give equal results.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bound_batches, maybe_broadcast, stored, table
 from .dom import INLINE, RAW, Node, matched, parsed
 
-#: Characters of all references up to which they are broadcast.
-MOST_CHARS = 32 << 20
+#: Constant texts of all hosts up to which their hashes are broadcast.
+MOST_KEYS = 4 << 20
 # Elements and class words that are no content, wherever they stand; elements of prose.
 ASIDE = frozenset("nav footer aside form button select dialog head menu fieldset".split())
 WORDS = frozenset(
@@ -35,6 +39,8 @@ WORDS = frozenset(
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figcaption caption summary".split())
 SPLIT = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
+DIGITS = re.compile(r"\d+")
+MASK = (1 << 64) - 1
 
 
 def is_aside(node: Node, in_content: bool) -> bool:
@@ -103,36 +109,68 @@ def blocks(root: Node, dropped: set[int], in_content: bool) -> list[str]:
     return out
 
 
-def main_text(html: str | None, references: list[Node]) -> str:
+def _signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
+
+
+def slots(root: Node, site: int = 0) -> Iterator[tuple[Node, int, int]]:
+    """Block nodes with text of their own, the hash of their chain of names, and the hash of chain and text. Digits in class names don't count."""
+    stack = [(root, site & MASK)]
+    while stack:
+        node, path = stack.pop()
+        if node.tag in RAW or node.tag == "head":
+            continue
+        path = xxhash.xxh3_64_intdigest(f"{node.tag} {DIGITS.sub('0', node.name()[1])}", path)
+        text = node.own()
+        if text:
+            yield node, path, xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"), path)
+        stack += [(c, path) for c in reversed(node.elements())]
+
+
+def constant_levels(n, of):
+    """Whether a text on n of the pages with its slot is constant if it is no prose, and even if it is prose."""
+    strong = (n >= 3) & (2 * n >= of)
+    return strong | ((n >= 3) & (10 * n >= of)) | ((n >= 2) & (2 * n > of)), strong
+
+
+def main_text(html: str | None, references: Iterable[Node] = (), template: tuple[frozenset, frozenset] | None = None, site: int = 0) -> str:
+    """template: hashes of the host's constant texts, and of those that are constant even as prose; else references are aligned with the page and counted."""
     if not html:
         return ""
     root = parsed(html)
+    weak, strong = set(), set()
+    if template is not None:
+        for node, _, key in slots(root, site):
+            weak |= {id(node)} if key in template[0] else set()
+            strong |= {id(node)} if key in template[1] else set()
+    else:
+        n: Counter = Counter()
+        of: Counter = Counter()
+        for other in references:
+            for p, q in matched(root, other):
+                of[id(p)] += 1
+                n[id(p)] += p.own() == q.own()
+        for i in of:
+            levels = constant_levels(n[i] + 1, of[i] + 1)
+            weak |= {i} if levels[0] else set()
+            strong |= {i} if levels[1] else set()
     own = {id(n): (n, n.own()) for n, _ in _walk(root)}
-    total = sum(len(t) for _, t in own.values())
-    same: list[set[int]] = []
-    for other in references:
-        equal = {id(p) for p, q in matched(root, other) if id(p) in own and own[id(p)][1] == q.own()}
-        if 2 * sum(len(own[i][1]) for i in equal) < total:
-            same.append(equal)
-    constant = set.intersection(*same) if same else set()
+    constant = {i for i, (node, _) in own.items() if i in strong or (i in weak and node.tag not in PROSE)}
+    if all(i in constant for i, (_, text) in own.items() if text):  # nothing varies: the evidence tells nothing
+        constant = set()
     weight: dict[int, int] = {}
-
-    def weigh(node: Node, inside: bool) -> int:
-        if is_aside(node, inside):
-            return 0
-        inside = inside or is_landmark(node)
-        n = sum(weigh(c, inside) for c in node.elements())
-        if id(node) in own and id(node) not in constant:
-            n += len(own[id(node)][1])
-        weight[id(node)] = n
-        return n
-
-    every = weigh(root, False)
+    texts: dict[int, int] = {}
+    for node, _ in reversed(list(_walk(root))):
+        below = [id(c) for c in node.elements() if id(c) in weight]
+        size = len(own[id(node)][1])
+        weight[id(node)] = (0 if id(node) in constant else size) + sum(weight[c] for c in below)
+        texts[id(node)] = size + sum(texts[c] for c in below)
+    every = weight[id(root)]
     marks = [n for n, _ in _walk(root) if is_landmark(n)]
     if marks:
         content = max(marks, key=lambda n: weight[id(n)])
         if weight[id(content)] == 0:
-            content = max(marks, key=lambda n: sum(map(len, blocks(n, set(), True))))
+            content = max(marks, key=lambda n: texts[id(n)])
     else:
         content = root
         while every:
@@ -140,36 +178,59 @@ def main_text(html: str | None, references: list[Node]) -> str:
             if not heavy:
                 break
             content = heavy[0]
-    dropped = {i for i in constant if own[i][0].tag not in PROSE and own[i][1] and not own[i][0].elements()} if len(same) > 1 or not marks else set()
-    if not marks and len(same) > 0:
-        dropped |= {i for i in constant if own[i][1] and not own[i][0].elements()}
+    dropped: set[int] = set()
+    if weight[id(content)]:
+        leaves = {i for i in constant if own[i][0].tag not in PROSE and own[i][1] and not own[i][0].elements()}
+        whole = {i for i in own if own[i][0].tag not in PROSE and texts[i] and not weight[i]}
+        dropped = leaves | whole
     return "\n".join(blocks(content, dropped - {id(content)}, bool(marks)))
 
 
-def extract(pages: DataFrame, most_chars: int = MOST_CHARS) -> DataFrame:
+def constant_texts(rows: DataFrame) -> DataFrame:
+    """For each site of rows (site, html) the hashes of its constant texts: weak, and strong (constant even as prose)."""
+
+    def run(it):
+        for b in it:
+            out: dict[str, list[int]] = {"site": [], "slot": [], "key": [], "page": []}
+            for site, html in {(s, h): None for s, h in zip(*(b.column(c).to_pylist() for c in ("site", "html")), strict=True)}:
+                page = _signed(xxhash.xxh3_64_intdigest(html.encode("utf-8", "surrogatepass")))
+                for slot, key in {pair for _, path, key in slots(parsed(html), site) for pair in ((path, path), (path, key))}:
+                    for name, value in zip(out, (site, _signed(slot), _signed(key), page), strict=True):
+                        out[name].append(value)
+            yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in out.items()})
+
+    seen = rows.mapInArrow(run, "site long, slot long, key long, page long").distinct()
+    counts = stored(seen.groupBy("site", "slot", "key").agg(F.count("*").alias("n")).where("n >= 2"), "slots")
+    of = counts.where("key = slot").select("site", "slot", F.col("n").alias("of"))
+    weak, strong = constant_levels(F.col("n"), F.col("of"))
+    found = counts.where("key <> slot").join(of, ["site", "slot"]).where(weak)
+    return found.groupBy("site").agg(F.collect_list("key").alias("weak"), F.collect_list(F.when(strong, F.col("key"))).alias("strong"))
+
+
+def extract(pages: DataFrame, most_keys: int = MOST_KEYS) -> DataFrame:
     """page_id, url, text and n_chars of pages (page_id, url, html)."""
     spark = pages.sparkSession
     bound_batches(spark, 200)
-    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")).withColumn("host", F.lower(F.try_parse_url("url", F.lit("HOST"))))
-    one = F.struct(F.xxhash64("html"), F.col("html"))
-    hosts = stored(rows.where("host IS NOT NULL AND html <> ''").groupBy(F.col("host").alias("of")).agg(F.min(one)["html"].alias("first"), F.max(one)["html"].alias("last")), "hosts")
-    chars = hosts.agg(F.coalesce(F.sum(F.length("first") + F.length("last")), F.lit(0))).first()[0]
-    rows = rows.join(maybe_broadcast(hosts, chars, most_chars), F.col("host") == F.col("of"), "left").select("page_id", "url", "html", "first", "last")
-    known: dict[str, Node] = {}
+    host = F.lower(F.try_parse_url("url", F.lit("HOST")))
+    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), F.when(host.isNotNull(), F.xxhash64(host)).alias("site"))
+    sites = stored(constant_texts(rows.where("site IS NOT NULL AND html <> ''").select("site", "html")).withColumnRenamed("site", "of"), "sites")
+    keys = sites.agg(F.coalesce(F.sum(F.size("weak") + F.size("strong")), F.lit(0))).first()[0]
+    rows = rows.join(maybe_broadcast(sites, keys, most_keys), F.col("site") == F.col("of"), "left").select("page_id", "url", "html", "site", "weak", "strong")
+    known: dict[int, tuple[frozenset, frozenset]] = {}
+    none = frozenset(), frozenset()
 
     def run(it):
         for b in it:
             texts = []
-            for html, *others in zip(*(b.column(c).to_pylist() for c in ("html", "first", "last")), strict=True):
+            for i, (html, site) in enumerate(zip(b.column("html").to_pylist(), b.column("site").to_pylist(), strict=True)):
                 if len(known) > 64:
                     known.clear()
-                references = []
-                for o in dict.fromkeys(others):
-                    if o is not None and o != html:
-                        if o not in known:
-                            known[o] = parsed(o)
-                        references.append(known[o])
-                texts.append(main_text(html, references))
+                template = none
+                if site is not None and b.column("weak")[i].is_valid:
+                    if site not in known:
+                        known[site] = tuple(frozenset(k & MASK for k in b.column(c)[i].as_py()) for c in ("weak", "strong"))
+                    template = known[site]
+                texts.append(main_text(html, template=template, site=site or 0))
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     return rows.mapInArrow(run, f"page_id {dict(pages.dtypes)['page_id']}, url string, text string, n_chars long")
