@@ -303,6 +303,16 @@ def test_wrapper_counts_all_pages_of_a_host(spark):
     assert [got[12 + i] for i in range(6)] == [f"Offer {i}" for i in range(6)] and got[18] == "Offer 0"
 
 
+def test_wrapper_names_yield_to_text(spark):
+    main = "<{0}><h1>T {{0}}</h1><p>Text {{0}} of this page</p></{0}>"
+    for page in ("<body><div class='layout with-sidebar'>" + main.format("article") + "</div></body>", "<body><div class='post comments'>" + main.format("article") + "</div></body>", "<body><div>menu</div><form id=search>" + main.format("div") + "</form></body>", "<body><article><div class=notice>" + main.format("div") + "</div></article></body>"):
+        got = extracted(spark, [page.format(i) for i in range(4)])
+        assert [got[i] for i in range(4)] == [f"T {i}\nText {i} of this page" for i in range(4)], page
+    page = "<body><article><div>Join {1} now</div><section><p>Get our letter</p></section><p>Text {0}</p><div class=comments><p>Comment {0} is very long {0} {0} {0} {0} {0} {0} {0} {0} {0} {0} {0} {0} {0} {0} {0} {0} {0} {0}</p></div></article></body>"
+    got = extracted(spark, [page.format(i, i % 2) for i in range(8)])
+    assert [got[i] for i in range(8)] == [f"Text {i}" for i in range(8)]
+
+
 def test_simple_tree_matching():
     a, b = parsed("<div><ul><li>1<li>2</ul><p>x</div>"), parsed("<div><p>y</p><ul><li>3</ul></div>")
     pairs = [(p.tag, q.tag) for p, q in matched(a, b)]

@@ -6,7 +6,9 @@ with equal chains, so these counts hold what an alignment with every other page
 chains and are judged apart. Text on many of the pages with its slot is constant: template; other text is varying. Prose
 needs more pages to be constant than other elements. The content is the subtree that holds the varying text - a landmark
 (article, main) if the page has one -, without what tags and class names show to be menus, headers, footers, sidebars,
-notices, adverts, forms or comments. Paragraphs within the content stay even if they are equal; other constant leaves
+notices, adverts, forms or comments. Names yield to the text: an element named so is opened if the page's only landmark is
+within and holds more than what is outside, or if (menus, footers and asides excepted) it holds nearly all varying text
+and no varying prose stands outside. Paragraphs within the content stay even if they are equal; other constant leaves
 there, and containers with nothing but constant text, go as template.
 
 Pages without a host, or alone on theirs, and pages whose text is all constant go by tags and text alone. Null and empty
@@ -18,7 +20,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Container, Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -38,40 +40,106 @@ WORDS = frozenset(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figcaption caption summary".split())
+#: Words of class names after which the next one tells what the element has or lacks, not what it is; elements that varying text doesn't open.
+MODIFIERS, CLOSED = frozenset("with without has have no".split()), frozenset("nav footer aside menu select button".split())
 SPLIT = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
 DIGITS = re.compile(r"\d+")
 MASK = (1 << 64) - 1
 
 
+def is_hidden(node: Node) -> bool:
+    return node.tag in RAW or node.tag == "head" or "hidden" in node.attrs or node.attrs.get("aria-hidden") == "true"
+
+
 def is_aside(node: Node, in_content: bool) -> bool:
     """Whether tag, role, class or id show that the subtree is no main text. A header within an article is the article's own."""
-    if node.tag in RAW or node.tag in ASIDE or node.attrs.get("role", "").lower() in ROLES or "hidden" in node.attrs or node.attrs.get("aria-hidden") == "true":
+    if is_hidden(node) or node.tag in ASIDE or node.attrs.get("role", "").lower() in ROLES:
         return True
     if node.tag == "header":
         return not in_content
     if node.tag in ("html", "body", "article", "main", "#root"):
         return False
-    named = node.attrs.get("class", "") + " " + node.attrs.get("id", "")
-    return named != " " and any(w.lower() in WORDS for w in SPLIT.split(named))
+    for name in (node.attrs.get("class", "") + " " + node.attrs.get("id", "")).split():
+        words = [w.lower() for w in SPLIT.split(name)]
+        if any(w in WORDS and (i == 0 or words[i - 1] not in MODIFIERS) for i, w in enumerate(words)):
+            return True
+    return False
 
 
 def is_landmark(node: Node) -> bool:
     return node.tag in ("article", "main") or node.attrs.get("role", "").lower() in ("main", "article") or node.attrs.get("itemprop") == "articleBody"
 
 
-def _walk(root: Node, in_content: bool = False) -> Iterator[tuple[Node, bool]]:
+def _walk(root: Node, opened: Container[int] = ()) -> Iterator[tuple[Node, bool]]:
     """Block nodes that aren't beside the content, in page order; whether a landmark holds them."""
-    stack = [(root, in_content)]
+    stack = [(root, False)]
     while stack:
         node, inside = stack.pop()
-        if is_aside(node, inside):
+        if is_aside(node, inside) and id(node) not in opened:
             continue
         inside = inside or is_landmark(node)
         yield node, inside
         stack += [(c, inside) for c in reversed(node.elements())]
 
 
-def blocks(root: Node, dropped: set[int], in_content: bool) -> list[str]:
+def opened_by_text(root: Node, constant: Container[int]) -> set[int]:
+    """Elements that names put beside the content although they hold the only landmark or the main varying text."""
+    nodes: list[tuple[Node, int, bool]] = []  # with the parent's place and whether names put it aside
+    stack = [(root, -1, False)]
+    while stack:
+        node, parent, inside = stack.pop()
+        if is_hidden(node):
+            continue
+        nodes.append((node, parent, is_aside(node, inside)))
+        stack += [(c, len(nodes) - 1, inside or is_landmark(node)) for c in reversed(node.elements())]
+    every, free, prose = ([0] * len(nodes) for _ in range(3))  # varying text below, not below asides, and thereof prose
+    below: list[list[int]] = [[] for _ in nodes]
+    for i in range(len(nodes) - 1, -1, -1):
+        node, parent, aside = nodes[i]
+        size = 0 if id(node) in constant else len(node.own())
+        every[i] += size
+        free[i] += size
+        prose[i] += size if node.tag in PROSE else 0
+        if parent >= 0:
+            below[parent].append(i)
+            every[parent] += every[i]
+            if not aside:
+                free[parent] += free[i]
+                prose[parent] += prose[i]
+
+    def reached(start: int, wanted) -> list[int]:
+        """Outermost nodes below start that are wanted, not below asides."""
+        out, stack = [], below[start][:]
+        while stack:
+            i = stack.pop()
+            if wanted(i):
+                out.append(i)
+            elif not nodes[i][2]:
+                stack += below[i]
+        return out
+
+    opened: set[int] = set()
+    marks = reached(0, lambda i: is_landmark(nodes[i][0]) and not nodes[i][2])
+    if not marks:
+        held = max((i for i in range(len(nodes)) if is_landmark(nodes[i][0])), key=every.__getitem__, default=0)
+        if held and every[held] > free[0]:
+            marks, i = [held], held
+            while i >= 0:
+                if nodes[i][2]:
+                    opened.add(id(nodes[i][0]))
+                i = nodes[i][1]
+    for scope in marks or [0]:
+        while 10 * free[scope] < every[scope] and not prose[scope]:
+            asides = [i for i in reached(scope, lambda i: nodes[i][2]) if nodes[i][0].tag not in CLOSED and nodes[i][0].attrs.get("role", "").lower() not in ROLES - {"form"}]
+            heaviest = max(asides, key=every.__getitem__, default=scope)
+            if heaviest == scope or 2 * every[heaviest] <= every[scope]:
+                break
+            opened.add(id(nodes[heaviest][0]))
+            scope = heaviest
+    return opened
+
+
+def blocks(root: Node, dropped: set[int], in_content: bool, opened: Container[int] = ()) -> list[str]:
     """Texts of the blocks below root: runs of text and inline elements between block boundaries."""
     out: list[str] = []
     run: list[str] = []
@@ -92,7 +160,7 @@ def blocks(root: Node, dropped: set[int], in_content: bool) -> list[str]:
         if isinstance(node, str):
             run.append(node)
             continue
-        if node is not root and (is_aside(node, inside) or id(node) in dropped):
+        if node is not root and (id(node) in dropped or (is_aside(node, inside) and id(node) not in opened)):
             if node.tag not in INLINE:
                 close()
             continue
@@ -154,19 +222,23 @@ def main_text(html: str | None, references: Iterable[Node] = (), template: tuple
             levels = constant_levels(n[i] + 1, of[i] + 1)
             weak |= {i} if levels[0] else set()
             strong |= {i} if levels[1] else set()
-    own = {id(n): (n, n.own()) for n, _ in _walk(root)}
-    constant = {i for i, (node, _) in own.items() if i in strong or (i in weak and node.tag not in PROSE)}
-    if all(i in constant for i, (_, text) in own.items() if text):  # nothing varies: the evidence tells nothing
+    constant = {id(n) for n, _, _ in slots(root) if id(n) in strong or (id(n) in weak and n.tag not in PROSE)}
+    opened = opened_by_text(root, constant)
+    own = {id(n): (n, n.own()) for n, _ in _walk(root, opened)}
+    if constant and all(i in constant for i, (_, text) in own.items() if text):  # nothing varies: the evidence tells nothing
         constant = set()
+        opened = opened_by_text(root, constant)
+        own = {id(n): (n, n.own()) for n, _ in _walk(root, opened)}
+    constant &= own.keys()
     weight: dict[int, int] = {}
     texts: dict[int, int] = {}
-    for node, _ in reversed(list(_walk(root))):
+    for node, _ in reversed(list(_walk(root, opened))):
         below = [id(c) for c in node.elements() if id(c) in weight]
         size = len(own[id(node)][1])
         weight[id(node)] = (0 if id(node) in constant else size) + sum(weight[c] for c in below)
         texts[id(node)] = size + sum(texts[c] for c in below)
     every = weight[id(root)]
-    marks = [n for n, _ in _walk(root) if is_landmark(n)]
+    marks = [n for n, _ in _walk(root, opened) if is_landmark(n)]
     if marks:
         content = max(marks, key=lambda n: weight[id(n)])
         if weight[id(content)] == 0:
@@ -183,7 +255,7 @@ def main_text(html: str | None, references: Iterable[Node] = (), template: tuple
         leaves = {i for i in constant if own[i][0].tag not in PROSE and own[i][1] and not own[i][0].elements()}
         whole = {i for i in own if own[i][0].tag not in PROSE and texts[i] and not weight[i]}
         dropped = leaves | whole
-    return "\n".join(blocks(content, dropped - {id(content)}, bool(marks)))
+    return "\n".join(blocks(content, dropped - {id(content)}, bool(marks), opened))
 
 
 def constant_texts(rows: DataFrame) -> DataFrame:
