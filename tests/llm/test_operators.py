@@ -313,6 +313,19 @@ def test_wrapper_names_yield_to_text(spark):
     assert [got[i] for i in range(8)] == [f"Text {i}" for i in range(8)]
 
 
+def test_wrapper_keeps_what_stands_beside_long_text(spark):
+    page = "<body><div>Site</div><div><h1>Title {0}</h1><div class=lead>Lead {0}</div><div class=body><p>" + "long text {0} " * 500 + "<p>Same prose</div></div></body>"
+    linked = "<body><div><a href=x><div>Head {0}</div></a><div class=body><p>" + "words {0} " * 50 + "</p></div></div></body>"
+    for htmls in ([page.format(i) for i in range(2)], [page.format(i) for i in range(6)]):
+        got = extracted(spark, htmls)
+        for i in range(len(htmls)):
+            assert got[i] == f"Title {i}\nLead {i}\n" + " ".join([f"long text {i}"] * 500) + "\nSame prose"
+    got = extracted(spark, [linked.format(i) for i in range(4)])
+    assert [got[i] for i in range(4)] == [f"Head {i}\n" + " ".join([f"words {i}"] * 50) for i in range(4)]
+    a, b = parsed(page.format(0)), page.format(1)
+    assert wrapper.main_text(b, [a]).endswith("\nSame prose")
+
+
 def test_simple_tree_matching():
     a, b = parsed("<div><ul><li>1<li>2</ul><p>x</div>"), parsed("<div><p>y</p><ul><li>3</ul></div>")
     pairs = [(p.tag, q.tag) for p, q in matched(a, b)]

@@ -25,8 +25,16 @@ class Node:
         return self.tag, self.attrs.get("class") or ""
 
     def elements(self) -> list[Node]:
-        """The children that take part in matching; inline elements belong to the text."""
-        return [c for c in self.children if isinstance(c, Node) and c.tag not in INLINE]
+        """The elements that take part in matching: inline elements belong to the text, blocks within them to the node."""
+        out, stack = [], self.children[::-1]
+        while stack:
+            c = stack.pop()
+            if isinstance(c, Node):
+                if c.tag in INLINE:
+                    stack += c.children[::-1]
+                else:
+                    out.append(c)
+        return out
 
     def own(self) -> str:
         """The text of the node and its inline elements, white space as one space."""

@@ -4,7 +4,7 @@ Every page of a host is evidence. A slot is a chain of tags and classes from the
 text there, the distinct pages that have it are counted (exact copies count once). Simple tree matching aligns only nodes
 with equal chains, so these counts hold what an alignment with every other page would give; layouts differ in their
 chains and are judged apart. Text on many of the pages with its slot is constant: template; other text is varying. Prose
-needs more pages to be constant than other elements. The content is the subtree that holds the varying text - a landmark
+needs more pages to be constant than other elements. The content is the lowest element that holds all varying text - a landmark
 (article, main) if the page has one -, without what tags and class names show to be menus, headers, footers, sidebars,
 notices, adverts, forms or comments. Names yield to the text: an element named so is opened if the page's only landmark is
 within and holds more than what is outside, or if (menus, footers and asides excepted) it holds nearly all varying text
@@ -160,7 +160,7 @@ def blocks(root: Node, dropped: set[int], in_content: bool, opened: Container[in
         if isinstance(node, str):
             run.append(node)
             continue
-        if node is not root and (id(node) in dropped or (is_aside(node, inside) and id(node) not in opened)):
+        if node is not root and (id(node) in dropped or (is_aside(node, inside) and id(node) not in opened and not (node.tag in INLINE and node.elements()))):
             if node.tag not in INLINE:
                 close()
             continue
@@ -246,10 +246,10 @@ def main_text(html: str | None, references: Iterable[Node] = (), template: tuple
     else:
         content = root
         while every:
-            heavy = [c for c in content.elements() if weight.get(id(c), 0) * 10 >= 9 * every and c.tag not in PROSE]
-            if not heavy:
+            holds = [c for c in content.elements() if weight.get(id(c), 0) == every and c.tag not in PROSE]
+            if not holds:
                 break
-            content = heavy[0]
+            content = holds[0]
     dropped: set[int] = set()
     if weight[id(content)]:
         leaves = {i for i in constant if own[i][0].tag not in PROSE and own[i][1] and not own[i][0].elements()}
