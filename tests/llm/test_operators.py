@@ -332,6 +332,38 @@ def test_simple_tree_matching():
     assert pairs == [("#root", "#root"), ("div", "div"), ("ul", "ul"), ("li", "li")]
 
 
+def test_dom_has_no_caps():
+    for deep in ("<div>" * 5000, "<span>" * 5000):
+        page = "<body><article>" + deep + "<p>text</p><script>var a</script><nav>menu</nav>" + ("</div>" if "div" in deep else "</span>") * 5000 + "<p>end</p></article><footer>foot</footer></body>"
+        assert wrapper.main_text(page) == "text\nend"
+    row = "<li class=a>x</li><li class=b>y</li><li class=c>z</li>"
+    a, b = parsed("<ul>" + row * 700 + "</ul>"), parsed("<ul><li class=c>new</li>" + row * 350 + "<li class=d>n</li>" + row * 350 + "</ul>")
+    assert len(matched(a, b)) == 2 + 2100 and all(p.own() == q.own() for p, q in matched(a, b)[2:])
+    assert len(matched(parsed("<div>" * 5000), parsed("<div>" * 4000 + "<p>"))) == 4001
+
+
+def test_matching_is_the_largest(monkeypatch):
+    def plain(a, b):
+        if a.name() != b.name():
+            return 0
+        x, y = a.elements(), b.elements()
+        rows = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+        for i, p in enumerate(x):
+            for j, q in enumerate(y):
+                rows[i + 1][j + 1] = max(rows[i][j + 1], rows[i + 1][j], rows[i][j] + plain(p, q))
+        return 1 + rows[-1][-1]
+
+    def tree(rng, depth):
+        return "<div class={}>{}</div>".format(rng.choice("ab"), "".join(tree(rng, depth - 1) for _ in range(rng.randint(0, 4))) if depth else "")
+
+    rng = random.Random(7)
+    for cells in (1_000_000, 1):
+        monkeypatch.setattr("tickloom.llm.dom.MOST_CELLS", cells)
+        for _ in range(100):
+            a, b = parsed(tree(rng, 3)), parsed(tree(rng, 3))
+            assert len(matched(a, b)) == plain(a, b)
+
+
 # Language
 
 
