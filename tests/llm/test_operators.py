@@ -243,6 +243,19 @@ def test_encoder_equals_whole_text(text):
 # Decontamination
 
 
+def test_mixing_takes_part_of_repeated_rows(spark):
+    schema = "doc_id bigint, text string, source string"
+    for repeated, many in (("w " * 10, 1000), ("w " * 7, 333)):
+        rows = [(0, repeated, "a")] * many + [(i, "x y z", "a") for i in range(1, 20)] + [(50, repeated, "b")] * many + [(1000 + i, "u v w x", "c") for i in range(500)]
+        df = spark.createDataFrame(rows, schema)
+        got = mixing.mix(df.repartition(5)).collect()
+        assert len(got) == len(rows)
+        for source in "abc":
+            own = [r for r in got if r.source == source]
+            assert abs(sum(r["size"] * r.copies for r in own) - own[0].target) <= max(r["size"] for r in own) / 2, source
+        assert collections.Counter(map(str, got)) == collections.Counter(map(str, mixing.mix(df.repartition(3)).collect()))
+
+
 def test_op6_decontamination(spark, docs, empty):
     own = TEXTS[-2].split()
     items = [(1, " ".join(own[500:530])), (2, " ".join(own[900:918] + ["zzz", "yyy"])), (3, "not to be found anywhere in here"), (4, None), (5, ""), (6, "zürich STRASSE"), (7, "Zürich Straße"), (8, " ".join(own[10:14] + ["q"] * 9)), (1, " ".join(own[500:530]))]

@@ -3,15 +3,19 @@
 Each source has a target share of all words. Every document gets the whole copies that its source's target holds for
 sure; the words that are left are drawn without replacement: documents are ranked by their random odds u/(1-u) divided
 by the odds of their inclusion probability, and taken in this order up to the source's fixed size in words. Inclusion
-grows with a document's importance. Draws are hashes of id and text: reruns agree, repeated rows share a draw.
+grows with a document's importance. Draws are hashes of id and text: reruns agree, repeated rows share a draw and are
+counted as one group; where the size is reached within a group, as many of its rows are taken as fit.
 
 Null or empty texts have no words and are never taken; null sources are one source, the last; an empty table gives an
 empty mix. The ranks are never sorted as a whole: word counts in bins of the rank give the bin where a source's size is
-reached, and just this bin's documents are sorted.
+reached, and just this bin's documents are sorted, repeated rows as one.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,15 +64,39 @@ def _keyed(col: str) -> Column:
     return F.struct(F.col(col).isNull().alias("none"), F.coalesce(F.col(col), F.lit("")).alias("of"))
 
 
+def _order() -> Column:
+    """The order of documents; equal for repeated rows only (many have rank 0, ids can have several texts)."""
+    return F.struct("rank", "doc_id", "draw")
+
+
 def _chosen(passes: int) -> Column:
-    """Whether one more copy of the document is taken: it comes before the cut of the first pass that it takes part in."""
-    rank, out = F.struct("rank", "doc_id"), F.lit(False)
+    """Whether one more copy of the document is taken: it comes before the cut of the first pass that it takes part in, or all rows at the cut are taken."""
+    rank, out = _order(), F.lit(False)
     for i in range(passes):
         past = F.lit(True)
         for j in range(i):
             past = past & (rank > F.col(f"cut{j}")) & (F.col("size") <= F.col(f"gap{j}"))
         out = out | (past & (F.col(f"all{i}") | (rank < F.col(f"cut{i}"))))
-    return F.col("rank").isNotNull() & (F.coalesce(out, F.lit(False)) | F.coalesce(rank == F.col("extra"), F.lit(False)))
+        out = out | F.coalesce((rank == F.col(f"cut{i}")) & (F.col(f"take{i}") >= F.col(f"rows{i}")), F.lit(False))
+    return F.col("rank").isNotNull() & F.coalesce(out, F.lit(False))
+
+
+def _partly(i: int) -> Column:
+    """Whether some but not all of the rows at the cut of pass i are taken."""
+    return F.coalesce((F.col(f"take{i}") > 0) & (F.col(f"take{i}") < F.col(f"rows{i}")), F.lit(False))
+
+
+def _split(tied: DataFrame) -> DataFrame:
+    """Adds _chosen to the stored rows of groups that are taken in part (key, _tie, _take, _tag): the first _take of each by tag.
+
+    Rows are counted by blocks of tags (a partition's rows are one), and just the block where take is reached is sorted."""
+    block = F.shiftrightunsigned("_tag", 33)
+    counts = tied.groupBy("key", "_tie", "_take", block.alias("block")).agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("key", "_tie").orderBy("block"))
+    edge = counts.withColumn("upto", upto).where("upto >= _take").groupBy("key", "_tie").agg(F.min_by(F.struct("block", (F.col("_take") - F.col("upto") + F.col("n")).alias("left")), "block").alias("edge")).select("key", "_tie", "edge.*")
+    at = tied.select("key", "_tie", "_tag", block.alias("block")).join(F.broadcast(edge), ["key", "_tie", "block"])
+    last = at.withColumn("place", F.row_number().over(Window.partitionBy("key", "_tie").orderBy("_tag"))).where("place = left").select("key", "_tie", F.col("_tag").alias("_last"))
+    return tied.join(F.broadcast(last), ["key", "_tie"]).withColumn("_chosen", F.col("_tag") <= F.col("_last"))
 
 
 def _cuts(sized: DataFrame, targets: DataFrame, bins: int, passes: int) -> DataFrame:
@@ -78,25 +106,31 @@ def _cuts(sized: DataFrame, targets: DataFrame, bins: int, passes: int) -> DataF
     for i in range(passes):
         own = sized.join(maybe_broadcast(out.withColumn("key", _keyed("source")).drop("source")), "key")
         own = _ranked(own).where(F.col("rank").isNotNull())
-        rank = F.struct("rank", "doc_id")
+        rank = _order()
         for j in range(i):
             own = own.where((rank > F.col(f"cut{j}")) & (F.col("size") <= F.col(f"gap{j}")))
-        own = own.select("key", "size", "rank", "doc_id", "gap", F.floor(F.col("rank") * bins).alias("bin"))
+        own = own.select("key", "size", "rank", "doc_id", "draw", "gap", F.floor(F.col("rank") * bins).alias("bin"))
         sums = own.groupBy("key", "bin").agg(F.sum("size").alias("words"), F.first("gap").alias("gap"))
         upto = F.sum("words").over(Window.partitionBy("key").orderBy("bin"))
         edge = sums.withColumn("upto", upto).where("upto > gap").groupBy("key").agg(F.min_by(F.struct("bin", (F.col("upto") - F.col("words")).alias("before")), "bin").alias("edge")).select("key", "edge.*")
         edge = stored(edge, f"edge{i}")
-        at = own.join(maybe_broadcast(edge), ["key", "bin"])
-        upto = F.col("before") + F.sum("size").over(Window.partitionBy("key").orderBy("rank", F.col("doc_id")).rowsBetween(Window.unboundedPreceding, 0))
-        cut = at.withColumn("upto", upto).where("upto > gap").groupBy("key").agg(F.min_by(F.struct(F.struct("rank", "doc_id").alias("cut"), F.col("size").alias("over"), (F.col("gap") - F.col("upto") + F.col("size")).alias("rest")), F.struct("rank", "doc_id")).alias("found")).select("key", "found.*")
+        at = own.join(maybe_broadcast(edge), ["key", "bin"]).groupBy("key", "rank", "doc_id", "draw", "size", "gap", "before").agg(F.count("*").alias("n"))
+        words = F.col("size") * F.col("n")
+        upto = F.col("before") + F.sum(words).over(Window.partitionBy("key").orderBy("rank", "doc_id", "draw").rowsBetween(Window.unboundedPreceding, 0))
+        room = F.col("gap") - F.col("upto") + words
+        take = F.greatest(F.least(F.floor(room / F.col("size")), F.col("n") - 1), F.lit(0)).cast("long")
+        cut = at.withColumn("upto", upto).where("upto > gap").withColumn("take", take)
+        cut = cut.groupBy("key").agg(F.min_by(F.struct(_order().alias("cut"), F.col("size").alias("over"), "n", "take", (room - F.col("take") * F.col("size")).alias("rest")), _order()).alias("found")).select("key", "found.*")
         total = sums.groupBy("key").agg(F.sum("words").alias("total"))
         out = out.withColumn("key", _keyed("source")).join(cut, "key", "left").join(total, "key", "left").drop("key")
         rest = F.coalesce("rest", F.col("gap") - F.coalesce("total", F.lit(0)))
-        out = out.withColumns({f"all{i}": F.col("cut").isNull(), f"cut{i}": F.col("cut"), f"over{i}": F.col("over"), f"gap{i}": rest, "gap": rest}).drop("cut", "over", "rest", "total")
+        out = out.withColumns({f"all{i}": F.col("cut").isNull(), f"cut{i}": F.col("cut"), f"over{i}": F.col("over"), f"rows{i}": F.col("n"), f"take{i}": F.col("take"), f"gap{i}": rest, "gap": rest}).drop("cut", "over", "n", "take", "rest", "total")
         out = stored(out, f"cuts{i}")
     # Of the documents that didn't fit, the one with which the words come nearer to the size than without.
     best = F.array_min(F.array(*(F.when(F.col(f"over{i}") < 2 * F.col("gap"), F.struct(F.abs(F.col(f"over{i}") - F.col("gap")).alias("off"), F.col(f"cut{i}").alias("cut"))) for i in range(passes))))
-    return out.withColumn("extra", best["cut"]).drop("gap", *(f"over{i}" for i in range(passes)))
+    out = out.withColumn("extra", best["cut"])
+    one = {f"take{i}": F.col(f"take{i}") + F.when(F.coalesce(F.col("extra") == F.col(f"cut{i}"), F.lit(False)), 1).otherwise(0) for i in range(passes)}
+    return out.withColumns(one).drop("extra", "gap", *(f"over{i}" for i in range(passes)))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, cap: float = CAP, importance: Column | None = None, seed: int = 17, bins: int = BINS, passes: int = PASSES) -> DataFrame:
@@ -109,9 +143,17 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: float = CAP, importance: Column |
     rows = docs.drop(*own).withColumn("size", n_words()).withColumn("importance", importance).withColumn("draw", _uniform(seed, "doc_id", "text")).withColumn("key", _keyed("source"))
     narrow = stored(rows.select("doc_id", "source", "key", "size", "importance", "draw"), "sized")
     targets = stored(source_targets(narrow, weights, cap), "targets")
-    cuts = _cuts(narrow.drop("source"), targets, bins, passes)
+    cuts = stored(_cuts(narrow.drop("source"), targets, bins, passes), "cuts")
     joined = _ranked(rows.join(maybe_broadcast(cuts.withColumn("key", _keyed("source")).drop("source")), "key"))
-    joined = joined.withColumn("copies", F.coalesce("base", F.lit(0)) + F.when(_chosen(passes), 1).otherwise(0))
+    joined = joined.withColumn("_chosen", _chosen(passes))
+    if not cuts.where(reduce(or_, map(_partly, range(passes)))).isEmpty():  # repeated rows at a cut, of which some are taken
+        at = [F.coalesce((_order() == F.col(f"cut{i}")) & _partly(i), F.lit(False)) for i in range(passes)]
+        tie = F.coalesce(*(F.when(a, i) for i, a in enumerate(at)))
+        take = F.coalesce(*(F.when(a, F.col(f"take{i}")) for i, a in enumerate(at)))
+        joined = joined.withColumn("_tie", tie)
+        tied = stored(joined.where("_tie IS NOT NULL").withColumns({"_take": take, "_tag": F.monotonically_increasing_id()}).drop("_chosen"), "tied")
+        joined = joined.where("_tie IS NULL").drop("_tie").unionByName(_split(tied).drop("_tie", "_take", "_tag", "_last"))
+    joined = joined.withColumn("copies", F.coalesce("base", F.lit(0)) + F.when(F.col("_chosen"), 1).otherwise(0))
     return joined.select(*[c for c in docs.columns if c not in own], "size", "source_size", "target", "copies")
 
 
