@@ -348,7 +348,7 @@ def test_simple_tree_matching():
 def test_dom_has_no_caps():
     for deep in ("<div>" * 5000, "<span>" * 5000):
         page = "<body><article>" + deep + "<p>text</p><script>var a</script><nav>menu</nav>" + ("</div>" if "div" in deep else "</span>") * 5000 + "<p>end</p></article><footer>foot</footer></body>"
-        assert wrapper.main_text(page) == "text\nend"
+        assert wrapper.main_text(page, []) == "text\nend"
     row = "<li class=a>x</li><li class=b>y</li><li class=c>z</li>"
     a, b = parsed("<ul>" + row * 700 + "</ul>"), parsed("<ul><li class=c>new</li>" + row * 350 + "<li class=d>n</li>" + row * 350 + "</ul>")
     assert len(matched(a, b)) == 2 + 2100 and all(p.own() == q.own() for p, q in matched(a, b)[2:])
