@@ -1,18 +1,20 @@
 """N-gram Jaccard join: documents whose sets of 4-word shingles overlap by 85 % of their union, and their components.
 
-1. Equal sets become one class. Each set has the count vector of its shingles' hashes over GROUPS groups.
+1. Equal sets become one class. Each set has the count vector of its shingles' hashes over GROUPS groups or more.
 2. Sets that can link share one of their rarest shingles: of n shingles, the n - ceil(0.85 n) + 1 first in the order of
-   corpus-wide frequency (log classes of a count sketch over all documents) share at least one with any link's.
-   Frequent lines and passages come last in this order.
-3. Copies are linked first: each set is verified against two centres of each group that it shares a rare shingle with.
-   What is linked need not be compared again: groups of thousands of copies stay linear.
-4. In large groups the nearest few of each set by the R-tree's bound come next, for the same reason.
-5. Within each shingle's group of more than a few sets, an R-tree over count vectors gives the pairs of different components whose summed
-   coordinate minima reach the overlap that a link needs; these are verified on the sets. Large groups are dealt in
-   tiles by size. No pair that links is lost; pairs within a component aren't listed.
+   corpus-wide frequency (log classes of a count sketch over all documents) share at least one with any link's. These
+   shingles deal the sets out to groups; frequent lines and passages come last in their order. Groups with the same
+   members are one. Groups of more than TILE sets are dealt in tiles by size.
+3. Each tile is an R-tree of count vectors. First each set asks the trees of its groups for the nearest few whose summed
+   coordinate minima reach the overlap that a link needs; the best of all its groups are verified on the sets.
+4. What is then one component need not be compared again. In groups of several components, all sets but those of the
+   largest one search the trees for every set of another component within the bound; these pairs are verified. No pair
+   that links two components is lost; pairs within a component aren't listed, so groups of thousands of copies stay
+   linear.
 
 Null and empty texts have no shingles and are linked with nothing. Null ids count as larger than others. Repeated rows are
-one class. Extra columns are left out. Sets are compared by 64-bit hashes of their shingles.
+one class. An empty table gives no rows. Extra columns are left out. Sets, and the members of groups, are compared by
+64-bit hashes.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bound_batches, maybe_broadcast, shingle_hashes, stored, table, words_of
@@ -30,41 +32,44 @@ from .components import components
 from .rtree import RTree
 
 SIZE, SHARE, GROUPS, TILE = 4, (85, 100), 128, 2048
-#: In groups of so few sets pairs are compared directly; groups of a tree's vectors at most.
-SMALL, MOST_GROUPS = 12, 1024
-#: Partners of each set in large groups that are verified before all others.
-NEAREST = 3
-SKETCH_BLOCKS = 64
+#: Most groups of a tree's vectors; partners of each set that are verified first.
+MOST_GROUPS, NEAREST = 1024, 2
+#: Buckets of the count sketch (as a power of two), and the blocks that its sums are dealt in.
+LEAST_BITS, MOST_BITS, SKETCH_BLOCKS = 18, 22, 256
 
 
 def _counts(docs: DataFrame, bits: int, size: int) -> np.ndarray:
-    """Frequency class (half octaves) of each of 2**bits buckets of shingle hashes, over all documents."""
+    """Frequency class (half octaves) of each of 2**bits buckets of shingle hashes, over all documents. A task sends one array of fixed size; blocks are summed as they stream in."""
     each = (1 << bits) // SKETCH_BLOCKS
 
     def run(it):
-        total = np.zeros(1 << bits, np.int64)
+        total = np.zeros(1 << bits, np.int32)
         for b in it:
             for t in b.column("text").to_pylist():
                 np.add.at(total, (shingle_hashes(words_of(t), size) >> np.uint64(64 - bits)).astype(np.int64), 1)
         if total.any():
             yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_BLOCKS), pa.int32()), pa.array([total[i * each : (i + 1) * each].tobytes() for i in range(SKETCH_BLOCKS)], pa.binary())], ["block", "counts"])
 
-    def add(t: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(c.as_buffer(), np.int64) for c in t.column("counts"))
-        level = np.floor(2 * np.log2(np.maximum(total, 1))).astype(np.uint8)
-        return pa.table({"block": t.column("block").slice(0, 1), "levels": pa.array([level.tobytes()], pa.binary())})
+    def add(it):
+        totals: dict[int, np.ndarray] = {}
+        for b in it:
+            for block, counts in zip(b.column("block").to_pylist(), b.column("counts"), strict=True):
+                totals.setdefault(block, np.zeros(each, np.int64))
+                totals[block] += np.frombuffer(counts.as_buffer(), np.int32)
+        levels = [np.floor(2 * np.log2(np.maximum(x, 1))).astype(np.uint8).tobytes() for x in totals.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array(levels, pa.binary())], ["block", "levels"])
 
-    found = docs.select("text").mapInArrow(run, "block int, counts binary").groupBy("block").applyInArrow(add, "block int, levels binary").collect()
+    parts = docs.select("text").mapInArrow(run, "block int, counts binary").repartition(SKETCH_BLOCKS // 16, "block")
     out = np.zeros(1 << bits, np.uint8)
-    for r in found:
+    for r in parts.mapInArrow(add, "block int, levels binary").collect():
         out[r["block"] * each : (r["block"] + 1) * each] = np.frombuffer(r["levels"], np.uint8)
     return out
 
 
 def shingle_sets(docs: DataFrame, size: int = SIZE, share: tuple[int, int] = SHARE) -> DataFrame:
     """doc_id, n, sig (128-bit hash of the set, null if empty), vec (its count vector) and keys: the rarest shingles, one of which any link shares."""
-    bits = min(26, max(18, math.ceil(math.log2(max(2, docs.count())))))
-    levels = docs.sparkSession.sparkContext.broadcast(_counts(docs, bits, size))
+    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(2, docs.count())))))
+    levels = docs.sparkSession.sparkContext.broadcast(_counts(docs, bits, size))  # 4 MB at most
 
     def run(it):
         for b in it:
@@ -102,11 +107,6 @@ def _bound(x: bytes, y: bytes) -> int:
     return int(np.minimum(_folded(x, groups), _folded(y, groups)).sum(dtype=np.int64))
 
 
-def _may_link(x: bytes, y: bytes, both: int, share: tuple[int, int]) -> bool:
-    """Whether this bound reaches what sets of together `both` elements need."""
-    return _bound(x, y) * sum(share) >= share[0] * both
-
-
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """id and shingles of the wanted classes (id, sig, doc): their texts are read again, not moved around."""
 
@@ -126,18 +126,6 @@ def _both(pairs: DataFrame, rows: DataFrame, what: str) -> DataFrame:
     return with_x.join(rows.select(F.col("id").alias("b"), F.col(what).alias("y")), "b").select("a", "b", "x", "y")
 
 
-def _bounded(pairs: DataFrame, classes: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Those of pairs (a, b) whose summed coordinate minima allow a link."""
-
-    def run(it):
-        for b in it:
-            xs, ys = b.column("x").to_pylist(), b.column("y").to_pylist()
-            keep = pa.array([_may_link(x, y, sum(x) + sum(y), share) for x, y in zip(xs, ys, strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column(c).filter(keep) for c in "ab"], ["a", "b"])
-
-    return _both(pairs, classes, "vec").mapInArrow(run, "a long, b long")
-
-
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, share: tuple[int, int], name: str) -> DataFrame:
     """Those of pairs (a, b) whose sets overlap enough; just the sets that pairs name are made."""
 
@@ -157,92 +145,104 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int,
     return stored(_both(pairs, sets, "shingles").mapInArrow(run, "a long, b long"), f"{name}_links")
 
 
-def _compatible(x: str, y: str, share: tuple[int, int]):
+def _compatible(x, y, share: tuple[int, int]) -> Column:
     return (F.col(x) * share[1] >= F.col(y) * share[0]) & (F.col(y) * share[1] >= F.col(x) * share[0])
 
 
-def _centres(groups: DataFrame, share: tuple[int, int], each: int = 2) -> DataFrame:
-    """Pairs (a, b) of each set with the centres that it shares most groups with. A group's centres come first and last by a hash."""
-    one = F.struct(F.xxhash64("id").alias("r"), F.col("id").alias("b"), F.col("n").alias("m"))
-    every = Window.partitionBy("key")
-    ends = groups.withColumns({"c": F.min(one).over(every), "d": F.max(one).over(every)})
-    rows = ends.select("id", "n", F.explode(F.array("c", "d")).alias("e")).select("id", "n", "e.*").where((F.col("b") != F.col("id")) & _compatible("n", "m", share))
-    place = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("shared"), "b"))
-    best = rows.groupBy("id", "b").agg(F.count("*").alias("shared")).withColumn("place", place).where(F.col("place") <= each)
-    return best.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
-
-
-def _tree_pairs(groups: DataFrame, classes: DataFrame, share: tuple[int, int], tile: int, nearest: int | None = None) -> DataFrame:
-    """Pairs (a, b) of different roots in a group whose count vectors allow a link; with nearest, just so many of each set,
-    those of the highest bounds, for a first round. groups: key, id, n, root."""
-    place = F.row_number().over(Window.partitionBy("key").orderBy("n", "id"))
-    rows = groups.withColumn("tile", F.floor((place - 1) / tile).cast("int"))
-    ends = rows.groupBy("key", "tile").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    meets = ends.select("key", F.col("tile").alias("i"), F.col("hi").alias("top")).join(ends.select("key", F.col("tile").alias("j"), "lo"), "key").where((F.col("i") <= F.col("j")) & (F.col("lo") * share[0] <= F.col("top") * share[1]))
-    meets = meets.select("key", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("tile"))
-    dealt = rows.join(meets, ["key", "tile"]).join(classes.select("id", "vec"), "id")
-    parts = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.select("key", "i", "j", "tile", "id", "n", "root", "vec").repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-
-    def group(b: pa.Table) -> list[tuple[int, int]]:
-        ids, root, size, vec, out = b["id"].to_pylist(), b["root"].to_pylist(), b["n"].to_numpy(), b["vec"].to_pylist(), []
-
-        def meet(q: int, others) -> None:
-            found = []
-            for r in others:
-                x, y = int(size[q]), int(size[r])
-                if root[q] != root[r] and share[0] * max(x, y) <= share[1] * min(x, y) and (most := _bound(vec[q], vec[r])) * sum(share) >= share[0] * (x + y):
-                    found.append((-most / (x + y), ids[r]))
-            found = sorted(found)[:nearest] if nearest else found
-            out.extend((min(ids[q], r), max(ids[q], r)) for _, r in found)
-
-        t, i, j = b["tile"].to_numpy(), b["i"][0].as_py(), b["j"][0].as_py()
-        groups = min(MOST_GROUPS, *map(len, vec))
-        points = np.stack([_folded(v, groups) for v in vec])
-        right = np.flatnonzero(t == j)
-        tree = RTree(points[right], size[right])
-        for q in np.flatnonzero(t == i):
-            others = right[tree.search(points[q], int(size[q]), share)]
-            meet(q, [r for r in others if i != j or nearest or ids[q] < ids[r]])
+def _members(classes: DataFrame, share: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+    """Who shares which rare shingle: rows (key, id, n, m) of groups of m sets, and a row (key, m, lo, hi) for each group, of which lo and hi are two members.
+
+    Groups are described by aggregates, so that a key's rows never meet in a task; of groups with the same members one stays."""
+    keyed = classes.select("id", "n", F.explode("keys").alias("key"))
+    ends = F.min("id").alias("lo"), F.max("id").alias("hi"), F.min("n").alias("least"), F.max("n").alias("most")
+    every = keyed.groupBy("key").agg(F.count("*").alias("m"), *ends, F.bit_xor(F.xxhash64("id")).alias("h")).where((F.col("m") > 2) | ((F.col("m") == 2) & _compatible("least", "most", share)))
+    groups = stored(every.groupBy("m", "lo", "hi", "h").agg(F.min("key").alias("key")).drop("h"), "groups")
+    return stored(keyed.join(maybe_broadcast(groups.select("key", "m")), "key"), "members"), groups
+
+
+def _tiled(members: DataFrame, tile: int) -> DataFrame:
+    """Adds tile: 0 in groups of at most so many sets; others are dealt by size, from counts of each size. Sets of one size go by a hash."""
+    sizes = members.where(F.col("m") > tile).groupBy("key", "n").agg(F.count("*").alias("c"))
+    before = F.sum("c").over(Window.partitionBy("key").orderBy("n")) - F.col("c")
+    sizes = stored(sizes.withColumn("before", before), "sizes")
+    place = F.floor((F.col("before") + F.pmod(F.xxhash64("id", "key"), F.col("c"))) / tile).cast("int")
+    return members.join(maybe_broadcast(sizes), ["key", "n"], "left").withColumn("tile", F.coalesce(place, F.lit(0))).drop("c", "before")
+
+
+def _searched(cells: DataFrame, classes: DataFrame, share: tuple[int, int], nearest: int | None = None) -> DataFrame:
+    """Rows (a, b, score) of sets a that ask and sets b of another root that the cell's R-tree finds for them: all within the bound, or the nearest few.
+
+    cells: key, tile, part, id, n, root, asks, holds (whether the set is in the tree)."""
+    parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = cells.join(classes.select("id", "vec"), "id").repartition(parts, "key", "tile", "part").sortWithinPartitions("key", "tile", "part")
+
+    def group(t: dict, i: int, j: int) -> list[tuple[int, int, float]]:
+        vec, size, ids, root = t["vec"][i:j], t["n"][i:j], t["id"][i:j], t["root"][i:j]
+        width = min(MOST_GROUPS, *map(len, vec))
+        points = np.stack([_folded(v, width) for v in vec])
+        asks, holds = np.flatnonzero(t["asks"][i:j]), np.flatnonzero(t["holds"][i:j])
+        if not len(asks) or not len(holds):
+            return []
+        found = RTree(points[holds], size[holds]).pairs(points[asks], size[asks], share, nearest and nearest + 3)
+        out: list[tuple[int, int, float]] = []
+        q, r = asks[found[0]], holds[found[1]]
+        other = root[q] != root[r]
+        for a, b, bound in zip(q[other].tolist(), r[other].tolist(), found[2][other].tolist(), strict=True):
+            both = int(size[a] + size[b])
+            if min(len(vec[a]), len(vec[b])) > width:
+                bound = _bound(vec[a], vec[b])
+            if bound * sum(share) >= share[0] * both:
+                out.append((int(ids[a]), int(ids[b]), bound / both))
         return out
 
     def run(it):
         held = None
-
-        def flush(t: pa.Table, last: bool):
-            nonlocal held
-            if not len(t):
-                return None
-            key = np.stack([t[c].to_numpy() for c in ("key", "i", "j")])
-            cut = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1).tolist(), len(t)]
-            done = cut if last else cut[:-1]
-            held = None if last else t.slice(cut[-2])
-            pairs = {p for a, z in zip(done, done[1:], strict=False) for p in group(t.slice(a, z - a))}
-            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64())], ["a", "b"])
-
         for b in it:
-            t = pa.Table.from_batches([b])
-            got = flush(pa.concat_tables([held, t]) if held is not None else t, False)
-            if got is not None:
-                yield got
-        if held is not None:
-            yield flush(held, True)
-
-    return dealt.mapInArrow(run, "a long, b long").distinct()
-
-
-def _open(groups: DataFrame, marks: DataFrame, more_than: int) -> DataFrame:
-    """Rows (key, id, n, root) of the groups of more than so many sets that aren't all of one component yet."""
-    rooted = groups.join(maybe_broadcast(marks.withColumnRenamed("node", "id")), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    every = Window.partitionBy("key")
-    rows = rooted.withColumns({"a": F.min("root").over(every), "z": F.max("root").over(every), "m": F.count("*").over(every)})
-    return rows.where((F.col("a") != F.col("z")) & (F.col("m") > more_than)).select("key", "id", "n", "root", (F.col("m") <= SMALL).alias("small"))
-
-
-def _small_pairs(groups: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """All pairs (a, b) of like size and different roots in groups of a few sets."""
-    other = groups.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("root").alias("of"))
-    return groups.join(other, "key").where((F.col("id") < F.col("b")) & (F.col("root") != F.col("of")) & _compatible("n", "m", share)).select(F.col("id").alias("a"), "b").distinct()
+            held = pa.concat_tables([held, pa.Table.from_batches([b])]) if held is not None else pa.Table.from_batches([b])
+            done, held = cut(held, False)
+            yield done
+        if held is not None and len(held):
+            yield cut(held, True)[0]
+
+    def cut(t: pa.Table, last: bool) -> tuple[pa.RecordBatch, pa.Table]:
+        """What the whole cells of t give, and the rows of the one that may go on."""
+        key = np.stack([t[c].to_numpy() for c in ("key", "tile", "part")])
+        ends = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1).tolist(), *([len(t)] if last else [])] if len(t) else [0]
+        cols = {c: t[c].to_numpy() for c in ("n", "id", "root")} | {c: np.array(t[c].to_pylist(), bool) for c in ("asks", "holds")} | {"vec": t["vec"].slice(0, ends[-1]).to_pylist()}
+        rows = [x for i, j in zip(ends, ends[1:], strict=False) for x in group(cols, i, j)]
+        a, b, score = zip(*rows, strict=True) if rows else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(score, pa.float64())], ["a", "b", "score"]), t.slice(ends[-1])
+
+    return dealt.select("key", "tile", "part", "id", "n", "root", "asks", "holds", "vec").mapInArrow(run, "a long, b long, score double")
+
+
+def _first_pairs(members: DataFrame, groups: DataFrame, classes: DataFrame, share: tuple[int, int], tile: int, nearest: int = NEAREST) -> DataFrame:
+    """Pairs (a, b) of each set with the nearest that the trees of its groups find. Two sets of a large group are in all of its tiles, and tie them together."""
+    tiled = stored(_tiled(members, tile), "tiled").select("key", "tile", "id", "n")
+    large = groups.where(F.col("m") > tile)
+    tiles = tiled.join(maybe_broadcast(large.select("key")), "key", "left_semi").select("key", "tile").distinct()
+    ends = tiles.join(large.select("key", F.explode(F.array("lo", "hi")).alias("id")), "key").join(classes.select("id", "n"), "id")
+    cells = tiled.unionByName(ends).distinct().select("key", "tile", F.lit(0).alias("part"), "id", "n", F.col("id").alias("root"), F.lit(True).alias("asks"), F.lit(True).alias("holds"))
+    found = _searched(cells, classes, share, nearest)
+    best = found.groupBy("a").agg(F.slice(F.sort_array(F.collect_set(F.struct("score", "b")), False), 1, nearest).alias("best")).select("a", F.explode("best.b").alias("b"))
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _other_pairs(members: DataFrame, marks: DataFrame, classes: DataFrame, share: tuple[int, int], tile: int) -> DataFrame:
+    """Pairs (a, b) of sets of different components within the bound. Of each group all sets but those of its largest component ask."""
+    rooted = members.join(maybe_broadcast(marks.withColumnRenamed("node", "id")), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    per = rooted.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("root", "c").alias("major"), (F.sum("c") - F.max("c")).alias("minor"), F.count("*").alias("roots"))
+    rows = rooted.join(maybe_broadcast(stored(per.where("roots > 1").drop("roots"), "open")), "key").withColumn("asks", F.col("root") != F.col("major"))
+    rows = stored(_tiled(rows, tile), "rooted")
+    cells, none = ["key", "tile", "part", "id", "n", "root", "asks", "holds"], F.lit(False)
+    small = rows.where(F.col("m") <= tile).withColumns({"part": F.lit(0), "holds": F.lit(True)}).select(*cells)
+    large = rows.where(F.col("m") > tile).withColumn("parts", F.ceil(F.col("minor") / tile).cast("int"))
+    inside = large.withColumns({"part": F.explode(F.sequence(F.lit(0), F.col("parts") - 1)), "asks": none, "holds": F.lit(True)}).select(*cells)
+    tiles = stored(large.groupBy("key", "tile").agg(F.min("n").alias("least"), F.max("n").alias("most")), "tiles")
+    asking = large.where("asks").drop("tile").join(maybe_broadcast(tiles), "key").where((F.col("n") * share[1] >= F.col("least") * share[0]) & (F.col("most") * share[1] >= F.col("n") * share[0]))
+    asking = asking.withColumns({"part": F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"), "holds": none}).select(*cells)
+    found = _searched(small.unionByName(inside).unionByName(asking), classes, share)
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def jaccard_components(docs: DataFrame, size: int = SIZE, share: tuple[int, int] = SHARE, tile: int = TILE) -> DataFrame:
@@ -251,18 +251,10 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, share: tuple[int, int]
     own = stored(shingle_sets(docs, size, share), "sets")
     same = own.where("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("n", "vec", "keys")))
     classes = stored(same.withColumn("id", F.monotonically_increasing_id()), "classes")
-    keyed = classes.select("id", "n", F.explode("keys").alias("key"))
-    near = Window.partitionBy("key").orderBy("n")
-    beside = keyed.withColumns({"less": F.lag("n").over(near), "more": F.lead("n").over(near)})
-    groups = stored(beside.where((F.col("less") * share[1] >= F.col("n") * share[0]) | (F.col("more") * share[0] <= F.col("n") * share[1])).drop("less", "more"), "groups")
-    marks = components(_verified(_bounded(_centres(groups, share), classes, share), docs, classes, size, share, "centres"))
-    for nearest in (NEAREST, None):
-        left = stored(_open(groups, marks, SMALL if nearest else 1), f"left{nearest}")
-        pairs = _tree_pairs(left.where("NOT small").drop("small"), classes, share, tile, nearest)
-        if nearest is None:
-            pairs = pairs.unionByName(_bounded(stored(_small_pairs(left.where("small"), share), "small"), classes, share)).distinct()
-        found = _verified(pairs, docs, classes, size, share, f"tree{nearest}")
-        marks = components(found.unionByName(marks.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    members, groups = _members(classes, share)
+    marks = components(_verified(_first_pairs(members, groups, classes, share, tile), docs, classes, size, share, "first"))
+    found = _verified(_other_pairs(members, marks, classes, share, tile), docs, classes, size, share, "other")
+    marks = components(found.unionByName(marks.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     linked = classes.select("id", "sig", "doc", "copies").join(marks.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     least = linked.groupBy("root").agg(F.min("doc").alias("component_id"), F.count("*").alias("members"))
     of = stored(linked.join(least, "root").where("members > 1 OR copies > 1").select("sig", "component_id", "copies"), "of")
