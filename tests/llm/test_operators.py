@@ -35,7 +35,7 @@ def corpus():
             own[rng.randrange(80)] = rng.choice(vocabulary).upper()
         rows.append((i, " ".join(own), "en", "a"))
     rows += [(90 + i, rows[40][1], "en", "c") for i in range(5)] + [rows[50]] * 2
-    rows += [(100, " ".join(rng.choice(vocabulary) for _ in range(20_000)), "en", "b"), (101, "x" * 30_000, "en", "b")]
+    rows += [(102, "a <|endoftext|> b <|endoftext|>", "en", "c"), (100, " ".join(rng.choice(vocabulary) for _ in range(20_000)), "en", "b"), (101, "x" * 30_000, "en", "b")]
     return [(i, t, lang, s, len(t or ""), *["clash"] * 10) for i, t, lang, s in rows]
 
 
@@ -218,7 +218,6 @@ def test_op5_tokens(docs, empty, spark, tmp_path):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokens.default_vocabulary())
-    t.encode_special_tokens = True
     manifest = tokens.write_tokens(docs, f"file://{tmp_path}/t", tokens.default_vocabulary(), length=128)
     got = collections.Counter(tuple(r) for r in tokens.read_documents(manifest).collect())
     start, expected = 0, collections.Counter()
@@ -234,10 +233,15 @@ def test_op5_tokens(docs, empty, spark, tmp_path):
     assert tokens.read_documents(tokens.write_tokens(empty, f"file://{tmp_path}/e", tokens.default_vocabulary())).count() == 0
 
 
-@pytest.mark.parametrize("text", ["", " ", " a", "a ", "a  b", "a \n b", "a\n b", "don't  's 12", "a\x1c b", " a b ", "<|endoftext|> a <|endoftext|>", "\t a\tb", "é è  ü　ß"])
+@pytest.mark.parametrize("text", ["", " ", " a", "a ", "a  b", "a \n b", "a\n b", "don't  's 12", "a\x1c b", " a b ", "<|endoftext|> a <|endoftext|>", "a <|endoftext|> b", "x<|endoftext|>y z  <|endoftext|>", "\t a\tb", "é è  ü　ß"])
 def test_encoder_equals_whole_text(text):
-    e = tokens.Encoder(tokens.default_vocabulary())
-    assert np.frombuffer(e.encode([text, text])[1], "<u2").tolist() == e.of.encode(text, add_special_tokens=False).ids
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokens.default_vocabulary()).encode(text, add_special_tokens=False).ids
+    for cache in (tokens.CACHE_BYTES, 0):
+        e = tokens.Encoder(tokens.default_vocabulary(), cache)
+        for _ in range(3):
+            assert [np.frombuffer(x, "<u2").tolist() for x in e.encode([text, text, "b " + text])][:2] == [plain, plain]
 
 
 # Decontamination

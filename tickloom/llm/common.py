@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes of one Arrow batch, so that long texts do not gather in one Python worker.
-BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 #: Rows up to which a side is broadcast after it was counted.
 BROADCAST_ROWS = 1_000_000
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,16 +23,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def bound_batches(spark: SparkSession) -> None:
+    """The same bounds for all operators: lazy results of several can run under one setting."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """A new folder that driver and executors share, in spark.checkpoint.dir. Where that is unset, as in tests, a session on one machine gets a folder there; others raise."""
     place = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not place:
-        place = "file:///tmp/checkpoints/tickloom"
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        place = f"file://{tempfile.mkdtemp(prefix='tickloom-')}"
         spark.conf.set("spark.checkpoint.dir", place)
     return f"{place.rstrip('/')}/{uuid.uuid4().hex}"
 

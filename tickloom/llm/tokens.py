@@ -3,7 +3,9 @@
 Documents are sorted by id over range partitions; each task encodes its range, ends each document with the end id and
 writes one file of sequences (the last padded, its mask false there) and an index file (doc_id, start in the file,
 n_tokens). A task that is run again writes files of other names; just those of the attempt that succeeded are in the
-manifest. Memory: one Arrow batch, one record batch of sequences and a word cache of bounded size.
+manifest. Memory: one Arrow batch, one record batch of sequences and a word cache of bounded bytes.
+
+Texts are encoded as the library does it by default: what spells a special token is that token.
 
 Null texts are empty: they are the end id alone. Null ids come first; repeated rows are written each time. Extra columns
 are left out. An empty table gives no files.
@@ -11,6 +13,7 @@ are left out. An empty table gives no files.
 
 from __future__ import annotations
 
+import math
 import os
 import re
 import uuid
@@ -24,7 +27,11 @@ from pyspark.sql import functions as F
 from .common import bound_batches, shared_dir, table
 from .files import joined, located, made
 
-LENGTH, ROWS, END, CACHE, TOGETHER = 2048, 64, 0, 600_000, 64
+LENGTH, ROWS, END, TOGETHER = 2048, 64, 0, 64
+#: Bytes of the words that a worker keeps, what a word takes besides its characters and ids, and the marks of words met once.
+CACHE_BYTES, ENTRY_BYTES, MARKS = 56 << 20, 190, 1 << 22
+#: Bytes of text for a token file: files are as many as these need, no fewer than there are shuffle partitions of at least LEAST_BYTES.
+FILE_BYTES, LEAST_BYTES = 256 << 20, 4 << 20
 #: How byte-level vocabularies write a space.
 SPACE = "\u0120"
 #: All characters but the space that str.isspace() holds for.
@@ -49,42 +56,50 @@ def _uneven(text: str) -> bool:
 
 
 class Encoder:
-    """Byte-level BPE by the tokenizers library; the ids of words that were met before are kept."""
+    """Byte-level BPE by the tokenizers library. The ids of words that come again are kept, up to so many bytes; then all are dropped and gathered anew."""
 
-    def __init__(self, path: str, cache: int = CACHE):
+    def __init__(self, path: str, cache: int = CACHE_BYTES):
         from tokenizers import Tokenizer
 
         self.of = Tokenizer.from_file(path)
-        self.of.encode_special_tokens = True
         self.kind = np.uint16 if self.of.get_vocab_size() <= 1 << 16 else np.uint32
         self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        self.met, self.held = bytearray(MARKS), 0
         self.most, self.order = cache, np.dtype(self.kind).newbyteorder("<")
+        self.cuts = not any(x.lstrip or x.rstrip or any(map(str.isspace, x.content)) for x in self.of.get_added_tokens_decoder().values())
         self.begins = np.zeros(self.of.get_vocab_size(), bool)
         self.begins[[i for x, i in self.of.get_vocab().items() if x.startswith(SPACE)]] = True
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of little-endian integers of self.kind.
 
-        All words but a text's first are encoded with the space before them, once while they are among the words met lately."""
+        All words but a text's first are encoded with the space before them, those that come again once while they are kept."""
+        if not self.cuts:
+            return self._alone(texts)
         words: list[str] = []
         first = []
         for t in texts:
             first.append(len(words))
             words += CUT.split(t) if _uneven(t) else t.split(" ")
-        if len(self.known) > self.most:
-            self.known, self.before = {}, self.known
-        known, before = self.known, self.before
+        if self.held > self.most:
+            self.known, self.held = {}, 0
+        known = self.known
         ids = list(map(known.get, words))
         for i, x in zip(first, self._alone([words[i] for i in first]), strict=True):
             ids[i] = x
         missed = [i for i, x in enumerate(ids) if x is None]
-        met = dict.fromkeys(words[i] for i in missed)
-        known.update((x, before[x]) for x in met if x in before)
-        new = [x for x in met if x not in before]
-        known.update(zip(new, self._ids([" " + x for x in new]), strict=True))
+        new = list(dict.fromkeys(words[i] for i in missed))
+        found = dict(zip(new, self._ids([" " + x for x in new]), strict=True))
         for i in missed:
-            ids[i] = known[words[i]]
+            ids[i] = found[words[i]]
+        marks, last = self.met, MARKS - 1
+        for word, own in found.items():
+            at = hash(word) & last
+            if marks[at]:
+                known[word] = own
+                self.held += len(word) + len(own) + ENTRY_BYTES
+            else:
+                marks[at] = 1
         return [b"".join(ids[a:z]) for a, z in zip(first, [*first[1:], len(ids)], strict=True)]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -184,7 +199,9 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, length: int = LE
     """Writes docs (doc_id, text) into folder; returns the manifest, a row for each file, in the order of doc_id."""
     spark = docs.sparkSession
     bound_batches(spark)
-    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if files is None:
+        n = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
+        files = max(math.ceil(n / FILE_BYTES), min(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / LEAST_BYTES)), 1)
     tie = F.xxhash64("text")
     rows = docs.select("doc_id", "text").repartitionByRange(files, F.col("doc_id").asc_nulls_first(), tie).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), tie)
 
