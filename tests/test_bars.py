@@ -178,24 +178,6 @@ def test_snapshot_and_mart(spark, tmp_path):
         tables.write_mart(snap.withColumn("ex_date", F.lit(None).cast("string")), str(tmp_path / "mart2"))
 
 
-def test_shards_round_trip(spark, tmp_path):
-    for i, n in enumerate((700, 700, 700, 1200, 5)):
-        p = tmp_path / f"src/bars_daily/symbol=A/date=2025-01-0{i + 1}/part-0.parquet"
-        p.parent.mkdir(parents=True)
-        p.write_bytes(bytes([i]) * n)
-    inv = inventory.file_inventory(spark, str(tmp_path / "src"))
-    assert inventory.dataset_summary(inv).first().asDict() == {"dataset": "bars_daily", "file_count": 5, "total_bytes": 3305, "partition_keys": "date,symbol"}
-    plan = inventory.shard_plan(inv, 1000)
-    assert [r.shard for r in plan.orderBy("relative_path").collect()] == [0, 1, 2, 3, 4]
-    made = inventory.write_shards(spark, plan, str(tmp_path / "src"), str(tmp_path / "out"))
-    assert made == inventory.write_shards(spark, plan, str(tmp_path / "src"), str(tmp_path / "out2"))
-    shards = [str(tmp_path / "out" / m["file"]) for m in made]
-    assert inventory.restore_shards(shards, str(tmp_path / "back")) == 5 and inventory.restore_shards(shards, str(tmp_path / "back"), "merge") == 0
-    with pytest.raises(FileExistsError):
-        inventory.restore_shards(shards, str(tmp_path / "back"))
-    assert {r.status for r in inventory.reconcile(inv, inventory.file_inventory(spark, str(tmp_path / "back"))).collect()} == {"ok"}
-
-
 CALLS: list = []
 
 

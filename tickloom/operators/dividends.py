@@ -102,6 +102,16 @@ def snapshot_metadata(df: DataFrame) -> DataFrame:
     )
 
 
+def source_counts(df: DataFrame) -> DataFrame:
+    """One row: sources and action_types, in order; cash dividends whose payload names no currency; actions of nested responses."""
+    raw, cash = (lambda k: cleaned(F.get_json_object("raw", f"$.{k}"))), F.col("corporate_action_type") == "cash_dividend"
+    nested = {k: (F.col("corporate_action_type") == f"{k}_dividend") & (raw("_response_key") == f"{k}_dividends") for k in ("cash", "stock")}
+    return df.agg(
+        F.array_sort(F.collect_set("source")).alias("sources"), F.array_sort(F.collect_set("corporate_action_type")).alias("action_types"), F.count_if(cash & raw("currency").isNull()).alias("currency_missing_for_cash_dividend_count"),
+        *(F.count_if(c).alias(f"nested_{k}_dividend_count") for k, c in nested.items()),
+    ).withColumn("nested_response_detected", (F.col("nested_cash_dividend_count") > 0) | (F.col("nested_stock_dividend_count") > 0))
+
+
 def mart_rows(df: DataFrame) -> DataFrame:
     """Rows of the research mart: upper-case symbols and the year of ex_date; one bad row rejects all."""
     day = iso_date(F.col("ex_date").cast("string"))

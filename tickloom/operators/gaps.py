@@ -50,16 +50,20 @@ def calendar(spark, mode: str, start: str, end: str) -> DataFrame:
 def daily_gaps(bars: DataFrame, calendar: DataFrame, day: str = "d") -> DataFrame:
     """symbol, gap_count, gap_segments, max_gap_len: runs of sessions that a symbol misses.
 
-    The calendar is a dimension of at most some thousand days, sent to all; a run keeps idx less its rank."""
-    symbols = bars.where("symbol IS NOT NULL").select("symbol").distinct()
-    seen = bars.select("symbol", F.col(day).alias("session_date")).distinct()
-    every = symbols.withColumn("s", F.lit(1)).join(F.broadcast(calendar.withColumn("s", F.lit(1))), "s").drop("s")
-    missing = every.join(seen, ["symbol", "session_date"], "left_anti")
-    run = F.col("idx") - F.row_number().over(Window.partitionBy("symbol").orderBy("idx"))
-    runs = missing.withColumn("run", run).groupBy("symbol", "run").agg(F.count("*").alias("len"))
-    gaps = runs.groupBy("symbol").agg(F.sum("len").alias("n"), F.count("*").alias("k"), F.max("len").alias("m"))
-    zero = F.lit(0).cast("long")
-    return symbols.join(gaps, "symbol", "left").select("symbol", F.coalesce("n", zero).alias("gap_count"), F.coalesce("k", zero).alias("gap_segments"), F.coalesce("m", zero).alias("max_gap_len"))
+    The calendar is a dimension of at most some thousand days, one array for all symbols; a symbol's days are a set of no
+    more. A run is of missing sessions whose idx less their place among the missing ones is the same."""
+    sessions_ = calendar.agg(F.array_sort(F.collect_list(F.struct("idx", "session_date")))).scalar()
+    seen = bars.where("symbol IS NOT NULL").groupBy("symbol").agg(F.collect_set(F.col(day).cast("date")).alias("days"))
+    missing = F.filter(F.col("all"), lambda s: ~F.array_contains("days", s["session_date"]))
+    rows = seen.withColumn("all", sessions_).select("symbol", F.transform(missing, lambda s, i: (s["idx"] - i).cast("long")).alias("runs"))
+    start = F.struct(F.lit(None).cast("long").alias("run"), F.lit(0).cast("long").alias("len"), F.lit(0).cast("long").alias("most"))
+
+    def step(s, run):
+        n = F.when(s["run"].eqNullSafe(run), s["len"] + 1).otherwise(F.lit(1).cast("long"))
+        return F.struct(run.alias("run"), n.alias("len"), F.greatest(s["most"], n).alias("most"))
+
+    longest = F.aggregate("runs", start, step)["most"]
+    return rows.select("symbol", F.size("runs").cast("long").alias("gap_count"), F.size(F.array_distinct("runs")).cast("long").alias("gap_segments"), longest.alias("max_gap_len"))
 
 
 def expected_days(mode: str, start: str, end: str) -> tuple[Column, str | None]:
@@ -77,7 +81,7 @@ def coverage(bars: DataFrame, expected: DataFrame, mode: str, start: str, end: s
     inside = bars.where(F.col(day).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     seen = inside.groupBy("symbol").agg(F.min(day).alias("min_date"), F.max(day).alias("max_date"), F.count("*").alias("rows_total"), F.countDistinct(day).alias("observed_days"))
     zero = F.lit(0).cast("long")
-    out = F.broadcast(expected).join(seen, "symbol", "left").withColumns({"rows_total": F.coalesce("rows_total", zero), "observed_days": F.coalesce("observed_days", zero), "expected_days": F.size(days).cast("long")})
+    out = expected.join(seen, "symbol", "left").withColumns({"rows_total": F.coalesce("rows_total", zero), "observed_days": F.coalesce("observed_days", zero), "expected_days": F.size(days).cast("long")})
     missing = F.greatest(F.col("expected_days") - F.col("observed_days"), zero)
     notes = F.concat_ws("; ", F.when(F.col("rows_total") == 0, "NO_ROWS"), F.when(missing > 0, F.concat(F.lit("missing_days="), missing.cast("string"))), F.lit(note))
     return out.select(

@@ -1,12 +1,7 @@
-"""File inventories, archive shards and their reconciliation."""
+"""File inventories and their reconciliation."""
 
 from __future__ import annotations
 
-import hashlib
-import json
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,77 +35,3 @@ def reconcile(expected: DataFrame, found: DataFrame) -> DataFrame:
         .when(F.col("size_e") != F.col("size_f"), "size_mismatch").when(F.col("sha_e") != F.col("sha_f"), "checksum_mismatch").otherwise("ok")
     )
     return both.select("relative_path", status.alias("status"))
-
-
-def shard_plan(inventory: DataFrame, shard_bytes: int) -> DataFrame:
-    """relative_path, size_bytes and shard: files in order of their paths fill a shard until the next doesn't fit.
-
-    The fold over sizes is one row's; it is meant for inventories of files, which hold one row for each file."""
-    state = F.struct(F.lit(0).cast("long").alias("used"), F.lit(0).alias("shard"), F.array().cast("array<int>").alias("of"))
-    limit = F.lit(shard_bytes).cast("long")
-
-    def step(s, f):
-        new = (s["used"] > 0) & (s["used"] + f["size_bytes"] > limit)
-        shard = s["shard"] + F.when(new, 1).otherwise(0)
-        used = F.when(new, f["size_bytes"]).otherwise(s["used"] + f["size_bytes"])
-        full = f["size_bytes"] > limit
-        return F.struct(F.when(full, F.lit(0).cast("long")).otherwise(used).alias("used"), (shard + F.when(full, 1).otherwise(0)).alias("shard"), F.array_append(s["of"], shard).alias("of"))
-
-    files = inventory.agg(F.array_sort(F.collect_list(F.struct("relative_path", "size_bytes"))).alias("f"))
-    planned = files.select("f", F.aggregate("f", state, step)["of"].alias("of"))
-    return planned.select(F.explode(F.arrays_zip("f", "of")).alias("z")).select("z.f.relative_path", "z.f.size_bytes", F.col("z.of").cast("long").alias("shard"))
-
-
-def write_shards(spark: SparkSession, plan: DataFrame, root: str, out: str) -> list[dict]:
-    """A ZIP for each shard with fixed times and modes, so that equal files give equal bytes; a task writes each. Returns the manifest's shards.
-
-    root and out are folders that all executors see."""
-    def pack(rows):
-        for shard, paths in rows:
-            name = Path(out) / f"shard-{shard:05d}.zip"
-            name.parent.mkdir(parents=True, exist_ok=True)
-            temporary = name.with_suffix(f".{hashlib.sha256(repr(paths).encode()).hexdigest()[:8]}.tmp")
-            with zipfile.ZipFile(temporary, "w", zipfile.ZIP_DEFLATED) as z:
-                for p in sorted(paths):
-                    info = zipfile.ZipInfo(p, (1980, 1, 1, 0, 0, 0))
-                    info.compress_type, info.external_attr = zipfile.ZIP_DEFLATED, 0o600 << 16
-                    z.writestr(info, (Path(root) / p).read_bytes())
-            temporary.replace(name)
-            yield {"shard": shard, "file": name.name, "files": len(paths), "sha256": hashlib.sha256(name.read_bytes()).hexdigest()}
-
-    def run(batches):
-        import pyarrow as pa
-
-        for b in batches:
-            made = list(pack(zip(b.column("shard").to_pylist(), b.column("paths").to_pylist(), strict=True)))
-            yield pa.RecordBatch.from_pylist(made, schema=pa.schema([("shard", pa.int64()), ("file", pa.string()), ("files", pa.int64()), ("sha256", pa.string())]))
-
-    grouped = plan.groupBy("shard").agg(F.collect_list("relative_path").alias("paths"))
-    return [r.asDict() for r in grouped.mapInArrow(run, "shard long, file string, files long, sha256 string").orderBy("shard").collect()]
-
-
-def manifest_text(manifest: dict) -> str:
-    return json.dumps(manifest, sort_keys=True, indent=2, separators=(",", ": ")) + "\n"
-
-
-def restore_shards(shards: list[str], target: str, policy: str = "fail") -> int:
-    """Files of ZIP shards below target. policy: fail if one exists, replace it, or merge (keep what is there)."""
-    if policy not in ("fail", "replace", "merge"):
-        raise ValueError(f"unknown policy {policy}")
-    n, base = 0, Path(target).resolve()
-    for shard in shards:
-        with zipfile.ZipFile(shard) as z:
-            for name in z.namelist():
-                to = (base / name).resolve()
-                if not to.is_relative_to(base):
-                    raise ValueError(f"unsafe member path {name}")
-                if to.exists() and policy == "fail":
-                    raise FileExistsError(name)
-                if to.exists() and policy == "merge":
-                    continue
-                to.parent.mkdir(parents=True, exist_ok=True)
-                temporary = to.with_name(to.name + ".tmp")
-                temporary.write_bytes(z.read(name))
-                temporary.replace(to)
-                n += 1
-    return n

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import BAR, BAR_KEY
@@ -20,9 +20,10 @@ def checked(df: DataFrame, bad: Column, message: str) -> DataFrame:
 
 
 def keep_last(df: DataFrame, key=BAR_KEY, ordinal: str = "ordinal") -> DataFrame:
-    """The row with the greatest ordinal of each key; null keys are keys."""
-    last = F.row_number().over(Window.partitionBy(*key).orderBy(F.col(ordinal).desc_nulls_last()))
-    return df.withColumn("last_", last).where("last_ = 1").drop("last_")
+    """The row with the greatest ordinal of each key, null ordinals last; null keys are keys."""
+    place = F.struct(F.col(ordinal).isNotNull(), F.col(ordinal))
+    rest = [c for c in df.columns if c not in key]
+    return df.groupBy(*key).agg(F.max_by(F.struct(*rest), place).alias("row_")).select(*key, "row_.*").select(*df.columns)
 
 
 def normalize_bars(raw: DataFrame, symbol: str | Column, source: str, timeframe: str, ordinal: str = "ordinal", strict: bool = True) -> DataFrame:

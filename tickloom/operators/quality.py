@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import BAR_KEY
+from ..session import checkpointed
 
 NULLABLE = ("symbol", "ts_utc", "timeframe", "open", "high", "low", "close", "volume")
 
@@ -60,8 +65,12 @@ def violations_by_rule(bars: DataFrame) -> DataFrame:
     return bars.select("symbol", F.explode(broken).alias("rule")).groupBy("rule", "symbol").agg(F.count("*").alias("violation_count"))
 
 
+def any_rule() -> Column:
+    return _any(report_rules().values())
+
+
 def violations_total(bars: DataFrame) -> DataFrame:
-    return bars.agg(F.count_if(_any(report_rules().values())).alias("violation_count"))
+    return bars.agg(F.count_if(any_rule()).alias("violation_count"))
 
 
 def violation_samples(bars: DataFrame, n: int, order: list[Column]) -> DataFrame:
@@ -76,7 +85,42 @@ def symbol_bounds(bars: DataFrame, ts: str = "ts_utc", by=("symbol",)) -> DataFr
 
 
 def out_of_order(bars: DataFrame, order: str | list[str] = "ts_utc", by=("symbol", "timeframe")) -> DataFrame:
-    """How often a bar is earlier than the one before it. In order of ts_utc that is never; in order of ingestion it is."""
-    before = F.lag("ts_utc").over(Window.partitionBy("symbol").orderBy(*([order] if isinstance(order, str) else order)))
-    rows = bars.where("symbol IS NOT NULL AND ts_utc IS NOT NULL").withColumn("before", before)
-    return rows.groupBy(*by).agg(F.count_if(F.col("ts_utc") < F.col("before")).alias("out_of_order_count"))
+    """How often a bar is earlier than the one before it of its symbol. In order of ts_utc that is never; in order of ingestion it is.
+
+    Bars are sorted over ranges of (symbol, order), so that a symbol can lie in many tasks; each task gives its counts, and
+    the first and last bar of each symbol, which are compared across the ranges."""
+    order, keys = [order] if isinstance(order, str) else order, list(dict.fromkeys(["symbol", *by]))
+    rows = bars.where("symbol IS NOT NULL AND ts_utc IS NOT NULL")
+    if order == ["ts_utc"]:
+        return rows.groupBy(*by).agg(F.lit(0).cast("long").alias("out_of_order_count"))
+    micros = F.unix_micros(F.col("ts_utc").cast("timestamp")).alias("at")
+    dealt = rows.repartitionByRange("symbol", *order).sortWithinPartitions("symbol", *order).select(*keys, micros)
+    kinds = T.StructType([*dealt.select(*keys).schema, T.StructField("part", T.IntegerType()), T.StructField("n", T.LongType()), T.StructField("first_at", T.LongType()), T.StructField("last_at", T.LongType())])
+
+    def run(it):
+        from pyspark import TaskContext
+
+        part, held = TaskContext.get().partitionId(), None
+        for b in it:
+            at, symbol = b.column("at").to_numpy(), b.column("symbol")
+            if not len(b):
+                continue
+            new = np.ones(len(b), bool)
+            new[1:] = pc.not_equal(symbol.slice(1), symbol.slice(0, len(b) - 1)).to_numpy(zero_copy_only=False)
+            new[0] = held is None or held[0] != symbol[0].as_py()
+            before = np.concatenate([[at[0] if new[0] else held[1]], at[:-1]])
+            late = (at < before) & ~new
+            ends = np.append(new[1:], True)
+            held = symbol[len(b) - 1].as_py(), at[-1]
+            some = pa.array(late | new | ends)
+            none = pa.nulls(len(b), pa.int64())
+            cols = [pa.array(late.astype(np.int64)), pc.if_else(pa.array(new), b.column("at"), none), pc.if_else(pa.array(ends), b.column("at"), none)]
+            yield pa.RecordBatch.from_arrays([*(b.column(k).filter(some) for k in keys), pa.array([part] * pc.sum(some).as_py(), pa.int32()), *(c.filter(some) for c in cols)], [*keys, "part", "n", "first_at", "last_at"])
+
+    found = checkpointed(dealt.mapInArrow(run, kinds))
+    firsts = found.where("first_at IS NOT NULL").select("part", "symbol", *[k for k in keys if k != "symbol"], "first_at")
+    lasts = found.where("last_at IS NOT NULL").withColumn("row", F.monotonically_increasing_id()).groupBy("symbol", "part").agg(F.max_by("last_at", "row").alias("last_at"))
+    place = Window.partitionBy("symbol").orderBy("part")
+    across = firsts.join(lasts.withColumn("before", F.lag("last_at").over(place)).drop("last_at"), ["symbol", "part"]).where("first_at < before")
+    late = found.where("n > 0").select(*by, "n").unionByName(across.select(*by, F.lit(1).cast("long").alias("n"))).groupBy(*by).agg(F.sum("n").alias("n"))
+    return rows.select(*by).distinct().join(late, list(by), "left").select(*by, F.coalesce("n", F.lit(0).cast("long")).alias("out_of_order_count"))

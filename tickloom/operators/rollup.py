@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .gaps import minute_gap_rollup, minute_gaps
-from .quality import duplicates_by_symbol, export_rule, out_of_order, report_rules, symbol_bounds, violations_by_rule, violations_by_symbol
+from ..functions.columns import minutes_between
+from .gaps import MINUTES
+from .quality import export_rule, report_rules
 
 COUNTS = ("duplicate_rows", "duplicate_keys", "gap_count", "gap_segments", "max_gap_len", "ohlc_violation_count")
 
@@ -22,13 +22,27 @@ class Thresholds:
     min_coverage_pct: float = 0.99
 
 
-def qa_by_symbol(bars: DataFrame, expected: int, gaps: DataFrame | None = None) -> DataFrame:
-    """Bounds with duplicates, violations and gaps of each symbol. Sides join null-safe, as symbols may be null."""
-    out = symbol_bounds(bars)
-    for side in (duplicates_by_symbol(bars), violations_by_symbol(bars), gaps if gaps is not None else minute_gaps(bars)):
-        side = side.withColumnRenamed("symbol", "of")
-        out = out.join(side, F.col("symbol").eqNullSafe(F.col("of")), "left").drop("of")
-    out = out.withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in COUNTS}).withColumn("expected_bars", F.lit(expected).cast("long"))
+def _keys(bars: DataFrame, broken: Column) -> DataFrame:
+    """A row for each key of the bars, dealt by symbol and day: n (bars) and broken (a sum). All that follows by day or key needs no other shuffle of bars."""
+    rows = bars.select("symbol", "ts_utc", "timeframe", F.to_date("ts_utc").alias("day"), broken.cast("long").alias("broken"))
+    return rows.repartition("symbol", "day").groupBy("symbol", "day", "ts_utc", "timeframe").agg(F.count("*").alias("n"), F.sum("broken").alias("broken"))
+
+
+def qa_by_symbol(bars: DataFrame, expected: int | Column, gaps: DataFrame | None = None) -> DataFrame:
+    """Bounds with duplicates, violations and gaps of each symbol, in one pass over the bars. Null symbols form a group without minute gaps.
+
+    gaps: symbol and its gaps, in place of minute gaps; expected: bars that a symbol should have."""
+    before = F.lag("ts_utc").over(Window.partitionBy("symbol", "day").orderBy("ts_utc"))
+    missing = F.when(F.col("symbol").isNull(), 0).otherwise(F.greatest(F.coalesce(minutes_between(before, "ts_utc") - 1, F.lit(0)), F.lit(0)))
+    keys = _keys(bars, F.when(export_rule(), 1).otherwise(0)).withColumn("missing", missing if gaps is None else F.lit(0))
+    out = keys.groupBy("symbol").agg(
+        F.min("ts_utc").alias("first_ts"), F.max("ts_utc").alias("last_ts"), F.sum("n").alias("rows_observed"), F.count_if(F.col("n") > 1).alias("duplicate_keys"), F.sum(F.col("n") - 1).alias("duplicate_rows"),
+        F.sum("broken").alias("ohlc_violation_count"), F.sum("missing").alias("gap_count"), F.count_if(F.col("missing") > 0).alias("gap_segments"), F.max("missing").alias("max_gap_len"),
+    )
+    if gaps is not None:
+        side = gaps.withColumnRenamed("symbol", "of")
+        out = out.drop("gap_count", "gap_segments", "max_gap_len").join(side, F.col("symbol").eqNullSafe(F.col("of")), "left").drop("of")
+    out = out.withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in COUNTS}).withColumn("expected_bars", (expected if isinstance(expected, Column) else F.lit(expected)).cast("long"))
     return out.withColumn("coverage_pct", F.when(F.col("expected_bars") > 0, F.col("rows_observed") / F.col("expected_bars")).otherwise(0.0))
 
 
@@ -57,11 +71,18 @@ def handoff_status(status: str | Column = "overall_status") -> Column:
 
 
 def qa_summary(bars: DataFrame) -> DataFrame:
-    """By symbol and timeframe: bounds, duplicate keys, sums of rule counts, missing minutes and inversions."""
-    out = symbol_bounds(bars, by=("symbol", "timeframe")).withColumnsRenamed({"first_ts": "min_ts", "last_ts": "max_ts", "rows_observed": "row_count"})
-    sides = [duplicates_by_symbol(bars).select("symbol", "duplicate_keys"), violations_by_rule(bars).groupBy("symbol").agg(F.sum("violation_count").alias("ohlc_violation_count")), minute_gap_rollup(bars)]
-    out = reduce(lambda a, b: a.join(b, "symbol", "left"), sides, out).join(out_of_order(bars), ["symbol", "timeframe"], "left")
-    return out.withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in ("duplicate_keys", "ohlc_violation_count", "gap_count", "out_of_order_count")})
+    """By symbol and timeframe: bounds, and the symbol's duplicate keys, sum of rule counts, missing minutes and inversions, in one pass over the bars.
+
+    Inversions in the order of time are none by definition. Null symbols form a group with bounds alone."""
+    broken = sum((F.coalesce(c, F.lit(False)).cast("long") for c in report_rules().values()), F.lit(0))
+    days = _keys(bars, broken).groupBy("symbol", "day", "timeframe").agg(
+        F.min("ts_utc").alias("min_ts"), F.max("ts_utc").alias("max_ts"), F.sum("n").alias("row_count"), F.count_if(F.col("n") > 1).alias("duplicate_keys"), F.sum("broken").alias("ohlc_violation_count"),
+    )
+    day, own = Window.partitionBy("symbol", "day"), Window.partitionBy("symbol")
+    missing = F.when(F.row_number().over(day.orderBy("timeframe")) == 1, F.greatest(F.lit(MINUTES) - F.sum("row_count").over(day), F.lit(0))).otherwise(0)
+    out = days.withColumn("gap_count", missing).groupBy("symbol", "timeframe").agg(F.min("min_ts").alias("min_ts"), F.max("max_ts").alias("max_ts"), *(F.sum(c).alias(c) for c in ("row_count", "duplicate_keys", "ohlc_violation_count", "gap_count")))
+    named = F.col("symbol").isNotNull()
+    return out.withColumns({c: F.when(named, F.sum(c).over(own)).otherwise(0).cast("long") for c in ("duplicate_keys", "ohlc_violation_count", "gap_count")}).withColumn("out_of_order_count", F.lit(0).cast("long"))
 
 
 def top_offenders(by_symbol: DataFrame, n: int = 10) -> DataFrame:

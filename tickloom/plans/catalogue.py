@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import in_window, partitions_of, sessions, symbol_of, utc_text
+from ..functions.columns import partitions_of, sessions, symbol_of, utc_text
 from ..operators import dividends as dv
 from ..operators import event_windows as ew
-from ..operators import gaps, inventory, normalize, quality, rollup
-from .views import END, START, YEAR_END, YEAR_START, view, with_views
+from ..operators import gaps, inventory, normalize, quality, rollup, shards
+from ..session import shared_dir
+from ..sources import tables
+from . import composites
+from .views import END, START, YEAR_END, YEAR_START, base_table, view, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,19 +34,19 @@ def _query(sql: str | None = None):
 
 
 def bars(spark: SparkSession, d: str) -> DataFrame:
-    return view(spark, d, "bars_1m").where(in_window("ts_utc", START, END))
+    return view(spark, d, "bars_1m")
 
 
 def daily(spark: SparkSession, d: str) -> DataFrame:
-    return view(spark, d, "bars_daily").where(F.col("d").between(F.lit(YEAR_START).cast("date"), F.lit(YEAR_END).cast("date")))
+    return view(spark, d, "bars_daily")
 
 
 def dividends(spark: SparkSession, d: str) -> DataFrame:
     return view(spark, d, "dividends")
 
 
-B = with_views("bars_1m") + f", b AS (SELECT * FROM bars_1m WHERE ts_utc >= TIMESTAMP '{START}' AND ts_utc < TIMESTAMP '{END}')"
-D = with_views("bars_daily") + f", b AS (SELECT * FROM bars_daily WHERE d BETWEEN DATE '{YEAR_START}' AND DATE '{YEAR_END}')"
+B = with_views("bars_1m") + ", b AS (SELECT * FROM bars_1m)"
+D = with_views("bars_daily") + ", b AS (SELECT * FROM bars_daily)"
 V = with_views("dividends")
 RULES = {
     "high_lt_open_close": "high < greatest(open, close)", "low_gt_open_close": "low > least(open, close)", "nonpositive_price": "(open <= 0 OR high <= 0 OR low <= 0 OR close <= 0)",
@@ -55,11 +59,13 @@ STEPS = "s AS (SELECT symbol, ts_utc, lag(ts_utc) OVER (PARTITION BY symbol, CAS
 GAPS = "SELECT symbol, CAST(sum(m) AS BIGINT) AS gap_count, count(*) FILTER (m > 0) AS gap_segments, max(m) AS max_gap_len FROM g GROUP BY symbol"
 DAYS = "SELECT symbol, CAST(ts_utc AS DATE) AS date, count(*) AS actual_minutes, greatest(390 - count(*), 0) AS missing_minutes FROM b GROUP BY ALL"
 BROKEN = " UNION ALL ".join(f"SELECT '{k}' AS rule, * FROM b WHERE {v}" for k, v in RULES.items())
-N_DAYS = 11  # weekdays of the window
+#: Minutes of the weekdays from the first to the last day of the bars.
+EXPECTED = f"(SELECT {gaps.MINUTES} * len(list_filter(generate_series(CAST(min(ts_utc) AS DATE), CAST(max(ts_utc) AS DATE), INTERVAL 1 DAY), lambda t: isodow(t) < 6)) FROM b)"
 BY_SYMBOL = f"""{KEYS}, dup AS ({DUPS}), {STEPS}, gap AS ({GAPS}), o AS (SELECT symbol, count(*) AS n FROM b WHERE {EXPORT} GROUP BY symbol),
 a AS (SELECT symbol, min(ts_utc) AS first_ts, max(ts_utc) AS last_ts, count(*) AS rows_observed FROM b GROUP BY symbol),
+n_bars AS (SELECT CAST({EXPECTED} AS BIGINT) AS n_expected),
 q AS (SELECT symbol, first_ts, last_ts, rows_observed, duplicate_keys, duplicate_rows, gap_count, gap_segments, max_gap_len, coalesce(o.n, 0) AS ohlc_violation_count,
- CAST({N_DAYS * gaps.MINUTES} AS BIGINT) AS expected_bars, rows_observed / {N_DAYS * gaps.MINUTES} AS coverage_pct FROM a JOIN dup USING (symbol) JOIN gap USING (symbol) LEFT JOIN o USING (symbol))"""
+ n_expected AS expected_bars, rows_observed / n_expected AS coverage_pct FROM a JOIN dup USING (symbol) JOIN gap USING (symbol) LEFT JOIN o USING (symbol), n_bars)"""
 
 
 @_query(f"{B}, {KEYS} {DUPS}")
@@ -112,21 +118,24 @@ def gap_1m_rollup(spark, d):
     return gaps.minute_gap_rollup(bars(spark, d))
 
 
-CALENDAR = f"c AS (SELECT day, row_number() OVER (ORDER BY day) - 1 AS idx FROM (SELECT CAST(unnest(generate_series(DATE '{YEAR_START}', DATE '{YEAR_END}', INTERVAL 1 DAY)) AS DATE) AS day) WHERE isodow(day) < 6)"
+CALENDAR = "c AS (SELECT day, row_number() OVER (ORDER BY day) - 1 AS idx FROM (SELECT CAST(unnest(generate_series((SELECT min(d) FROM b), (SELECT max(d) FROM b), INTERVAL 1 DAY)) AS DATE) AS day) WHERE isodow(day) < 6)"
 
 
 @_query(f"""{D}, {CALENDAR}, sy AS (SELECT DISTINCT symbol FROM b), m AS (SELECT symbol, idx, idx - row_number() OVER (PARTITION BY symbol ORDER BY idx) AS run FROM sy, c
 WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.symbol = sy.symbol AND b.d = c.day)), r AS (SELECT symbol, run, count(*) AS n FROM m GROUP BY ALL)
 SELECT sy.symbol, CAST(coalesce(sum(n), 0) AS BIGINT) AS gap_count, count(n) AS gap_segments, coalesce(max(n), 0) AS max_gap_len FROM sy LEFT JOIN r USING (symbol) GROUP BY sy.symbol""")
 def gap_daily_islands(spark, d):
-    return gaps.daily_gaps(daily(spark, d), gaps.weekday_calendar(spark, YEAR_START, YEAR_END))
+    own = daily(spark, d)
+    ends = own.agg(gaps.sessions(F.min("d"), F.max("d")).alias("days"))
+    return gaps.daily_gaps(own, ends.select(F.posexplode("days").alias("idx", "session_date")))
 
 
 # Holidays of the New York exchange in the years of the derived tables.
 CLOSED_DAYS = ["1996-01-01", "1996-02-19", "1996-04-05", "1996-05-27", "1996-07-04", "1996-09-02", "1996-11-28", "1996-12-25"]
 CLOSED_2024 = ["2024-01-01", "2024-01-15", "2024-02-19", "2024-03-29", "2024-05-27", "2024-06-19", "2024-07-04", "2024-09-02", "2024-11-28", "2024-12-25"]
 SHORT_2024 = ["2024-07-03", "2024-11-29", "2024-12-24"]
-EXCHANGE = CALENDAR.replace("isodow(day) < 6", f"isodow(day) < 6 AND strftime(day, '%Y-%m-%d') NOT IN ({', '.join(map(repr, CLOSED_DAYS))})")
+YEAR = CALENDAR.replace("(SELECT min(d) FROM b)", f"DATE '{YEAR_START}'").replace("(SELECT max(d) FROM b)", f"DATE '{YEAR_END}'")
+EXCHANGE = YEAR.replace("isodow(day) < 6", f"isodow(day) < 6 AND strftime(day, '%Y-%m-%d') NOT IN ({', '.join(map(repr, CLOSED_DAYS))})")
 
 
 @_query(ORACLES["gap_daily_islands"].replace(CALENDAR, EXCHANGE))
@@ -210,7 +219,9 @@ def expected_bars_exchange(spark, d):
 
 
 def _by_symbol(spark, d):
-    return rollup.qa_by_symbol(bars(spark, d), N_DAYS * gaps.MINUTES)
+    own = bars(spark, d)
+    days = own.agg(F.size(gaps.sessions(F.to_date(F.min("ts_utc")), F.to_date(F.max("ts_utc"))))).scalar()
+    return rollup.qa_by_symbol(own, days * gaps.MINUTES)
 
 
 @_query(f"{B}, {BY_SYMBOL} SELECT * FROM q")
@@ -359,40 +370,36 @@ def weekday_list(spark, d):
 
 @_query("SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, count(*) AS n, count(*) FILTER (json_extract_string(props, '$.absent') IS NULL) AS without FROM events GROUP BY ALL")
 def payload_fields(spark, d):
-    e = spark.read.parquet(f"{d}/events.parquet")
+    e = base_table(spark, d, "events")
     return e.groupBy(F.get_json_object("props", "$.k").cast("int").alias("k")).agg(F.count("*").alias("n"), F.count_if(F.get_json_object("props", "$.absent").isNull()).alias("without"))
 
 
 @_query("SELECT event_id, sha256('{\"k\":' || json_extract_string(props, '$.k') || '}') AS payload_hash FROM events")
 def payload_hash(spark, d):
-    return spark.read.parquet(f"{d}/events.parquet").select("event_id", dv.payload_hash(F.col("props")).alias("payload_hash"))
+    return base_table(spark, d, "events").select("event_id", dv.payload_hash(F.col("props")).alias("payload_hash"))
 
 
-@_query(V + """, c AS (SELECT symbol, corporate_action_id, corporate_action_type, row_number() OVER (PARTITION BY symbol, corporate_action_type ORDER BY corporate_action_id) - 1 AS position FROM dividends)
+@_query(V + """, c AS (SELECT symbol, corporate_action_id, corporate_action_type, row_number() OVER (PARTITION BY symbol, ex_date, corporate_action_type ORDER BY corporate_action_id) - 1 AS position FROM dividends)
 SELECT symbol, corporate_action_id AS id, corporate_action_type AS action_type, position FROM c""")
 def nested_flatten(spark, d):
     one = F.struct(F.col("corporate_action_id").alias("id"))
-    groups = dividends(spark, d).groupBy("symbol").agg(*(F.array_sort(F.collect_list(F.when(F.col("corporate_action_type") == f"{k}_dividend", one))).alias(f"{k}_dividends") for k in ("cash", "stock")))
+    groups = dividends(spark, d).groupBy("symbol", "ex_date").agg(*(F.array_sort(F.collect_list(F.when(F.col("corporate_action_type") == f"{k}_dividend", one))).alias(f"{k}_dividends") for k in ("cash", "stock")))
     bodies = groups.select("symbol", F.to_json(F.struct(F.struct("cash_dividends", "stock_dividends").alias("corporate_actions"))).alias("body"))
     return dv.flatten_payloads(bodies).select("symbol", F.get_json_object("raw", "$.id").alias("id"), "action_type", F.col("position").cast("long").alias("position"))
 
 
 def _files(spark, d):
-    docs = spark.read.parquet(f"{d}/orders.parquet").where("o_orderkey % 50 = 0")
+    docs = base_table(spark, d, "orders")
     path = F.format_string("bars_daily/symbol=%s/date=%s/part-%08d.parquet", F.col("o_orderpriority"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_orderkey"))
     return docs.select(path.alias("relative_path"), F.col("o_totalprice").cast("long").alias("size_bytes"), F.sha2(F.col("o_orderkey").cast("string"), 256).alias("sha256"), "o_orderkey")
 
 
-FILES = "f AS (SELECT format('bars_daily/symbol={}/date={}/part-{:08d}.parquet', o_orderpriority, strftime(o_orderdate, '%Y-%m-%d'), o_orderkey) AS relative_path, CAST(trunc(o_totalprice) AS BIGINT) AS size_bytes, sha256(CAST(o_orderkey AS VARCHAR)) AS sha256, o_orderkey, o_orderpriority, o_orderdate FROM orders WHERE o_orderkey % 50 = 0)"
+FILES = "f AS (SELECT format('bars_daily/symbol={}/date={}/part-{:08d}.parquet', o_orderpriority, strftime(o_orderdate, '%Y-%m-%d'), o_orderkey) AS relative_path, CAST(trunc(o_totalprice) AS BIGINT) AS size_bytes, sha256(CAST(o_orderkey AS VARCHAR)) AS sha256, o_orderkey, o_orderpriority, o_orderdate FROM orders)"
 
 
-@_query(f"""WITH RECURSIVE {FILES}, o AS (SELECT *, row_number() OVER (ORDER BY relative_path) AS i FROM f), r AS (SELECT i, relative_path, size_bytes, CAST(0 AS BIGINT) AS shard,
- CASE WHEN size_bytes > 1000000 THEN 0 ELSE size_bytes END AS used, size_bytes > 1000000 AS full_ FROM o WHERE i = 1
-UNION ALL SELECT o.i, o.relative_path, o.size_bytes, r.shard + CASE WHEN r.full_ OR (r.used > 0 AND r.used + o.size_bytes > 1000000) THEN 1 ELSE 0 END,
- CASE WHEN o.size_bytes > 1000000 THEN 0 WHEN r.full_ OR (r.used > 0 AND r.used + o.size_bytes > 1000000) THEN o.size_bytes ELSE r.used + o.size_bytes END, o.size_bytes > 1000000 FROM r JOIN o ON o.i = r.i + 1)
-SELECT relative_path, size_bytes, shard FROM r""")
+@_query()  # filling shards one file after another is too slow in SQL; a test holds it against a plain loop
 def shard_plan(spark, d):
-    return inventory.shard_plan(_files(spark, d), 1_000_000)
+    return shards.shard_plan(_files(spark, d), 1_000_000)
 
 
 @_query(f"WITH {FILES} SELECT 'bars_daily' AS dataset, count(*) AS file_count, CAST(sum(size_bytes) AS BIGINT) AS total_bytes, 'date,symbol' AS partition_keys FROM f")
@@ -435,5 +442,106 @@ def top_symbols(spark, d):
 
 @_query(f"{B} SELECT symbol, ts_utc, event_id FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts_utc DESC, event_id DESC) AS r FROM b) WHERE r = 1")
 def latest_bar(spark, d):
-    place = F.row_number().over(Window.partitionBy("symbol").orderBy(F.desc("ts_utc"), F.desc("event_id")))
-    return bars(spark, d).withColumn("r", place).where("r = 1").select("symbol", "ts_utc", "event_id")
+    last = F.max(F.struct("ts_utc", "event_id")).alias("last")
+    return bars(spark, d).groupBy("symbol").agg(last).select("symbol", "last.*")
+
+
+# Queries that write a table with its metadata and read it back.
+
+
+def _folder(spark) -> str:
+    """A new folder that driver and executors share."""
+    return f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+
+
+def _snapshot(spark, d, path: str) -> dict:
+    return tables.write_snapshot(dv.normalize_dividends(_raw_dividends(spark, d)), path)
+
+
+@_query(_events_sql(5, 5) + " SELECT * FROM w")
+def event_window_output(spark, d):
+    path = _folder(spark)
+    tables.write_event_windows(_events(spark, d), path, 5, 5)
+    return tables.read_event_windows(spark, path).select(*EVENT_COLUMNS)
+
+
+@_query(_events_sql(2, 2) + " SELECT event_corporate_action_id, bar_date, event_day_offset FROM w")
+def snapshot_windows(spark, d):
+    path = _folder(spark)
+    _snapshot(spark, d, path)
+    return tables.snapshot_windows(spark, path, view(spark, d, "bars_daily").withColumnRenamed("d", "date"), 2, 2).select("event_corporate_action_id", "bar_date", "event_day_offset")
+
+
+@_query(_events_sql(0, 3) + " SELECT event_corporate_action_id, bar_date, event_day_offset FROM w")
+def mart_windows(spark, d):
+    path = _folder(spark)
+    _snapshot(spark, d, f"{path}/snapshot")
+    tables.mart_from_snapshot(spark, f"{path}/snapshot", f"{path}/mart")
+    return tables.mart_windows(spark, f"{path}/mart", view(spark, d, "bars_daily").withColumnRenamed("d", "date"), 0, 3).select("event_corporate_action_id", "bar_date", "event_day_offset")
+
+
+@_query(V + " SELECT count(*) AS row_count, count(DISTINCT upper(symbol)) AS symbol_count, count(DISTINCT year(ex_date)) AS year_count, true AS valid FROM dividends")
+def mart_inspection(spark, d):
+    path = _folder(spark)
+    _snapshot(spark, d, f"{path}/snapshot")
+    tables.mart_from_snapshot(spark, f"{path}/snapshot", f"{path}/mart")
+    found = tables.validate_mart(spark, f"{path}/mart")
+    return spark.createDataFrame([tuple(found[c] for c in ("row_count", "symbol_count", "year_count", "valid"))], "row_count bigint, symbol_count bigint, year_count bigint, valid boolean")
+
+
+@_query(V + """ SELECT count(*) AS input_record_count, count(*) AS written_record_count, CAST(0 AS BIGINT) AS duplicate_record_count, count(*) FILTER (currency IS NULL AND corporate_action_type = 'cash_dividend') AS currency_missing_for_cash_dividend_count FROM dividends""")
+def snapshot_counts(spark, d):
+    found = _snapshot(spark, d, _folder(spark))
+    names = ("input_record_count", "written_record_count", "duplicate_record_count", "currency_missing_for_cash_dividend_count")
+    return spark.createDataFrame([tuple(found[c] for c in names)], ", ".join(f"{c} bigint" for c in names))
+
+
+@_query(ORACLES["qa_summary"].replace("SELECT symbol, a.timeframe, min_ts, max_ts, row_count", "SELECT symbol, a.timeframe, row_count"))
+def qa_report(spark, d):
+    """The summary that the report wrote."""
+    path = _folder(spark)
+    composites.qa_report(bars(spark, d), path)
+    names = ("row_count", "duplicate_keys", "ohlc_violation_count", "gap_count", "out_of_order_count")
+    return spark.read.option("header", True).csv(f"{path}/qa_summary").select("symbol", "timeframe", *(F.col(c).cast("long").alias(c) for c in names))
+
+
+def _export(spark, d) -> str:
+    e = composites.Export("bars_1m", start=START, end=END, calendar="WEEKDAY", symbols=("CLICK", "VIEW", "ABSENT"))
+    return composites.write_export(bars(spark, d), e, _folder(spark))[0]
+
+
+WINDOW = f"{with_views('bars_1m')}, b AS (SELECT * FROM bars_1m WHERE ts_utc >= TIMESTAMP '{START}' AND ts_utc < TIMESTAMP '{END}')"
+BY_SYMBOL_SQL = f"{WINDOW}, {BY_SYMBOL}"
+
+
+@_query(f"{BY_SYMBOL_SQL} SELECT symbol, rows_observed, CAST({11 * gaps.MINUTES} AS BIGINT) AS expected_bars, rows_observed / {11 * gaps.MINUTES} AS coverage_pct, duplicate_rows, duplicate_keys, gap_count, gap_segments, max_gap_len, ohlc_violation_count FROM q")
+def qa_export_by_symbol(spark, d):
+    """What the export of a window wrote of each symbol."""
+    rows, _ = composites.read_metrics(spark, _export(spark, d))
+    return rows.select("symbol", "rows_observed", "expected_bars", "coverage_pct", "duplicate_rows", "duplicate_keys", "gap_count", "gap_segments", "max_gap_len", "ohlc_violation_count")
+
+
+@_query(f"""{BY_SYMBOL_SQL} SELECT CAST(sum(rows_observed) AS BIGINT) AS total_rows, CAST(sum(duplicate_rows) AS BIGINT) AS duplicate_rows, CAST(3 AS BIGINT) AS symbols_expected, count(*) AS symbols_present, 'ABSENT' AS symbols_missing,
+CAST(sum(gap_count) AS BIGINT) AS total_gap_count, 'FAIL' AS overall_status FROM q""")
+def qa_export_global(spark, d):
+    """What the export of a window wrote of all symbols."""
+    return composites.read_metrics(spark, _export(spark, d))[1].select("total_rows", "duplicate_rows", "symbols_expected", "symbols_present", "symbols_missing", "total_gap_count", "overall_status")
+
+
+@_query(f"""{BY_SYMBOL_SQL} SELECT false AS passed, concat_ws('|', CASE WHEN sum(duplicate_keys) > 0 THEN 'duplicate_keys=' || CAST(sum(duplicate_keys) AS BIGINT) || ' > 0' END,
+ CASE WHEN sum(ohlc_violation_count) > 0 THEN 'ohlc_violations=' || CAST(sum(ohlc_violation_count) AS BIGINT) || ' > 0' END, 'missing_symbols=ABSENT') AS reasons FROM q""")
+def qa_enforcement(spark, d):
+    """The gates on what an export wrote."""
+    v = composites.enforce_artifacts(spark, _export(spark, d), rollup.Gates(allow_missing_symbols=False))
+    return spark.createDataFrame([(v.passed, "|".join(v.reasons))], "passed boolean, reasons string")
+
+
+@_query(f"WITH {FILES} SELECT 'bars_daily' AS dataset, string_agg(DISTINCT o_orderpriority, ';' ORDER BY o_orderpriority) AS symbols, strftime(min(o_orderdate), '%Y-%m-%d') AS date_min, strftime(max(o_orderdate), '%Y-%m-%d') AS date_max, count(*) AS file_count FROM f")
+def handoff_datasets(spark, d):
+    return composites.dataset_inventory(_files(spark, d)).withColumn("symbols", F.array_join("symbols", ";"))
+
+
+@_query(f"WITH {FILES} SELECT count(*) AS file_count, CAST(sum(size_bytes) AS BIGINT) AS total_bytes FROM f WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND NOT (o_orderpriority = '2-HIGH' AND strftime(o_orderdate, '%Y-%m-%d') = '1996-01-02')")
+def plan_summary(spark, d):
+    planned = composites.save_plan(_files(spark, d), ["bars_daily/symbol=1-URGENT", "bars_daily/symbol=2-HIGH/"], ["bars_daily/symbol=2-HIGH/date=1996-01-02"])
+    return composites.plan_summary(planned)

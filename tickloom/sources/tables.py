@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from pathlib import PurePosixPath
 
 from pyspark.errors import AnalysisException
@@ -10,11 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.dividends import action_order, dedup_dividends, mart_rows, snapshot_metadata
-from ..schemas import BAR, CANONICAL_BAR, DIVIDEND
+from ..operators.dividends import action_order, dedup_dividends, mart_rows, snapshot_metadata, source_counts
+from ..operators.event_windows import OUTPUT, event_order, event_windows
+from ..schemas import BAR, CANONICAL_BAR, DIVIDEND, DIVIDEND_KEY
+from . import files
 
 MART = T.StructType([*DIVIDEND.fields, T.StructField("year", T.IntegerType())])
 GUARDED = ("curated", "canonical")
+#: Name of the metadata beside a table's data; Spark's readers pass over it.
+SIDECAR = "_dataset.json"
+ANCHOR = "ex_date"
 
 
 def safe_output(path: str, inputs: list[str] = ()) -> str:
@@ -64,20 +68,45 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, kind: str |
     return spark.read.schema(schema).parquet(path) if kind == "parquet" else spark.read.schema(schema).option("header", True).csv(path)
 
 
+def read_partition(spark: SparkSession, root: str, schema: T.StructType, limit: int | None = None, **values) -> DataFrame:
+    """Rows of a table in key=value folders whose folder columns have these values; other folders aren't listed in the scan."""
+    rows = spark.read.schema(schema).parquet(root)
+    for name, value in values.items():
+        rows = rows.where(F.col(name) == value)
+    return rows if limit is None else rows.limit(limit)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One CSV file; for results of a row a symbol."""
     df.coalesce(1).write.mode(mode).option("header", True).csv(path)
 
 
+def write_table(df: DataFrame, path: str, kind: str | None = None, inputs: list[str] = ()) -> None:
+    """CSV with a header or Parquet, by suffix or kind; reserved folders and inputs are refused."""
+    kind = kind or path.rsplit(".", 1)[-1].lower()
+    if kind not in ("csv", "parquet"):
+        raise ValueError(f"can't tell the format of {path}")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.option("header", True).csv if kind == "csv" else writer.parquet)(safe_output(path, list(inputs)))
+
+
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return _read_or_empty(spark, path, DIVIDEND)
 
 
-def write_snapshot(dividends: DataFrame, path: str) -> dict:
-    """Deduplicated and ordered dividends as one file; returns their metadata."""
+def write_snapshot(dividends: DataFrame, path: str, start: str | None = None, end: str | None = None, types: list[str] | None = None) -> dict:
+    """Replaces the snapshot by these dividends, deduplicated and in order; writes and returns its metadata. start and end: the days that were asked for."""
+    n = dividends.count()
     rows = dedup_dividends(dividends).select(*DIVIDEND.names)
-    rows.orderBy(*action_order()).coalesce(1).write.mode("overwrite").parquet(safe_output(path))
-    return snapshot_metadata(read_snapshot(dividends.sparkSession, path)).first().asDict()
+    rows.orderBy(*action_order()).write.mode("overwrite").parquet(safe_output(path))
+    written = read_snapshot(dividends.sparkSession, path)
+    found = snapshot_metadata(written).first().asDict() | source_counts(written).first().asDict(recursive=True)
+    metadata = found | {
+        "dataset": "dividends", "format": "parquet", "event_key": list(DIVIDEND_KEY), "ingest_start_date": start, "ingest_end_date": end, "action_types": sorted(types) if types is not None else found["action_types"],
+        "source": found["sources"][0] if len(found["sources"]) == 1 else None, "input_record_count": n, "written_record_count": found["record_count"], "duplicate_record_count": n - found["record_count"],
+    }
+    files.write_json(metadata, f"{path}/{SIDECAR}")
+    return metadata
 
 
 def read_mart(spark: SparkSession, root: str) -> DataFrame:
@@ -85,10 +114,100 @@ def read_mart(spark: SparkSession, root: str) -> DataFrame:
     return _read_or_empty(spark, root, MART).orderBy(*order)
 
 
-def write_mart(dividends: DataFrame, root: str, inputs: list[str] = ()) -> None:
-    """Rewrites the mart, in folders symbol=/year=. Rows are checked before anything is replaced."""
+def mart_metadata(mart: DataFrame) -> DataFrame:
+    """One row: row_count, symbol_count, year_count, symbols and years, in order."""
+    symbols, years = (F.array_sort(F.collect_set(c)) for c in ("symbol", "year"))
+    return mart.agg(F.count("*").alias("row_count"), symbols.alias("symbols"), years.alias("years")).select("row_count", F.size("symbols").alias("symbol_count"), F.size("years").alias("year_count"), "symbols", "years")
+
+
+def write_mart(dividends: DataFrame, root: str, inputs: list[str] = (), source: str | None = None, start: str | None = None, end: str | None = None) -> dict:
+    """Rewrites the mart, in folders symbol=/year=; writes and returns its metadata. Rows are checked before anything is replaced."""
     rows = mart_rows(dividends)
     rows.repartition("symbol", "year").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("symbol", "year").parquet(safe_output(root, list(inputs)))
+    found = mart_metadata(_read_or_empty(dividends.sparkSession, root, MART)).first().asDict()
+    metadata = found | {
+        "dataset": "dividend_mart", "dataset_role": "research_mart", "source_dataset_role": "deterministic_snapshot", "format": "parquet", "partition_columns": ["symbol", "year"], "event_anchor": ANCHOR,
+        "source_snapshot_path": source, "ingest_start_date": start, "ingest_end_date": end, "input_record_count": found["row_count"], "written_record_count": found["row_count"], "schema_fields": MART.names,
+    }
+    files.write_json(metadata, f"{root}/{SIDECAR}")
+    return metadata
+
+
+def mart_from_snapshot(spark: SparkSession, snapshot: str, root: str) -> dict:
+    """The mart of a snapshot, with the snapshot's window in its metadata."""
+    window = files.read_json(f"{snapshot}/{SIDECAR}")
+    return write_mart(read_snapshot(spark, snapshot), root, [snapshot], snapshot, window.get("ingest_start_date"), window.get("ingest_end_date"))
+
+
+def validate_mart(spark: SparkSession, root: str) -> dict:
+    """What the mart holds, and whether it fits its metadata: valid, errors, row_count, symbols, years and what the metadata says. Never raises for a bad mart."""
+    errors: list[str] = []
+    try:
+        metadata = files.read_json(f"{root}/{SIDECAR}")
+        if not isinstance(metadata, dict):
+            raise ValueError("no object")
+    except ValueError as e:
+        metadata = {}
+        errors.append(f"metadata is no JSON object: {e}")
+    if not metadata and not errors:
+        errors.append("metadata is missing")
+    contract = {"dataset_role": "research_mart", "source_dataset_role": "deterministic_snapshot", "partition_columns": ["symbol", "year"], "event_anchor": ANCHOR}
+    errors += [f"metadata {k} must be {v}" for k, v in contract.items() if metadata and metadata.get(k) != v]
+    lacking = [c for c in MART.names if c not in (metadata.get("schema_fields") or [])]
+    errors += [f"metadata schema_fields lack {lacking}"] if lacking else []
+    found: dict = {"row_count": 0, "symbol_count": 0, "year_count": 0, "symbols": [], "years": []}
+    try:
+        mart = spark.read.parquet(root)
+        gone = [c for c in MART.names if c not in mart.columns]
+        errors += [f"data lack {gone}"] if gone else []
+        if not gone:
+            mart = spark.read.schema(MART).parquet(root)
+            off = F.count_if(F.year(F.try_to_date("ex_date")) != F.col("year")).alias("years"), F.count_if(F.upper(F.trim("symbol")) != F.col("symbol")).alias("symbols")
+            found, wrong = mart_metadata(mart).first().asDict(), mart.agg(*off).first()
+            errors += [f"{n} rows lie in the folder of another {k}" for k, n in (("year", wrong["years"]), ("symbol", wrong["symbols"])) if n]
+            counts = {k: found["row_count"] for k in ("row_count", "written_record_count", "input_record_count") if k in metadata} | {k: found[k] for k in ("symbol_count", "year_count", "symbols", "years")}
+            errors += [f"metadata {k} is {metadata.get(k)}, data have {v}" for k, v in counts.items() if metadata and metadata.get(k) != v]
+    except AnalysisException as e:
+        errors.append(f"unreadable: {e.getCondition()}")
+    said = {k: metadata.get(k) for k in ("dataset", "dataset_role", "source_dataset_role", "event_anchor", "partition_columns", "schema_fields")}
+    return said | found | {"root": root, "exists": files.exists(root), "valid": not errors, "errors": errors}
+
+
+def snapshot_windows(spark: SparkSession, snapshot: str, bars: DataFrame, pre: int = 5, post: int = 5, **more) -> DataFrame:
+    """Event windows of a snapshot's dividends."""
+    return event_windows(read_snapshot(spark, snapshot), bars, pre, post, **more)
+
+
+def mart_windows(spark: SparkSession, root: str, bars: DataFrame, pre: int = 5, post: int = 5, **more) -> DataFrame:
+    """Event windows of a mart's dividends."""
+    return event_windows(_read_or_empty(spark, root, MART), bars, pre, post, **more)
+
+
+def write_event_windows(windows: DataFrame, path: str, pre: int, post: int, dividends: str | None = None, bars: str | None = None, timeframe: str = "1D", symbol: str | None = None, anchor: str = ANCHOR, counts: dict | None = None) -> dict:
+    """Replaces the contract output by these windows, in order; writes and returns its metadata. The paths of the inputs must not overlap it."""
+    if anchor != ANCHOR:
+        raise ValueError(f"unsupported anchor {anchor}; {ANCHOR} is supported")
+    safe_output(path, [p for p in (dividends, bars) if p])
+    if files.is_file(path):
+        raise ValueError(f"{path} is a file, not a folder")
+    windows.select(*OUTPUT).orderBy(*event_order()).write.mode("overwrite").parquet(path)
+    n = windows.sparkSession.read.parquet(path).count()
+    metadata = {
+        "dataset": "dividend_event_windows", "format": "parquet", "source_dividend_path": dividends, "source_bar_path": bars, "event_anchor": anchor, "pre_window_days": pre, "post_window_days": post,
+        "bar_timeframe": timeframe, "symbol_filter": symbol, "event_count": None, "bar_count": None, "joined_row_count": n, "row_count": n, "schema_fields": list(OUTPUT),
+    } | (counts or {})
+    files.write_json(metadata, f"{path}/{SIDECAR}")
+    return metadata
+
+
+def read_event_windows(spark: SparkSession, path: str) -> DataFrame:
+    """The contract output, in its order; a missing one raises FileNotFoundError."""
+    try:
+        return spark.read.parquet(path).select(*OUTPUT).orderBy(*event_order())
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"no event windows at {path}") from e
 
 
 def inspect_mart(spark: SparkSession, root: str, metadata: dict | None = None) -> list[str]:
@@ -108,7 +227,3 @@ def read_symbols(spark: SparkSession, path: str) -> DataFrame:
     """Upper-case symbols of a text file, a line each; blank lines and comments (#) are left out."""
     name = F.upper(F.trim("value"))
     return spark.read.text(path).where((name != "") & ~F.trim("value").startswith("#")).select(name.alias("symbol"))
-
-
-def sidecar(metadata: dict) -> str:
-    return json.dumps(metadata, sort_keys=True, indent=2, separators=(",", ": ")) + "\n"
