@@ -17,16 +17,18 @@ INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "below", "text")
 
     def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs, self.children = tag, attrs, []
+        self.tag, self.attrs, self.children, self.below, self.text = tag, attrs, [], None, None
 
     def name(self) -> tuple[str, str]:
         return self.tag, self.attrs.get("class") or ""
 
     def elements(self) -> list[Node]:
-        """The elements that take part in matching: inline elements belong to the text, blocks within them to the node."""
+        """The elements that take part in matching: inline elements belong to the text, blocks within them to the node. The tree must be whole."""
+        if self.below is not None:
+            return self.below
         out, stack = [], self.children[::-1]
         while stack:
             c = stack.pop()
@@ -35,10 +37,13 @@ class Node:
                     stack += c.children[::-1]
                 else:
                     out.append(c)
+        self.below = out
         return out
 
     def own(self) -> str:
-        """The text of the node and its inline elements, white space as one space."""
+        """The text of the node and its inline elements, white space as one space. The tree must be whole."""
+        if self.text is not None:
+            return self.text
         out: list[str] = []
         stack: list = self.children[::-1]
         while stack:
@@ -48,7 +53,8 @@ class Node:
             elif c.tag in INLINE:
                 out.append(" " if c.tag == "br" else "")
                 stack += c.children[::-1]
-        return " ".join("".join(out).split())
+        self.text = " ".join("".join(out).split())
+        return self.text
 
 
 class _Builder(HTMLParser):
@@ -105,7 +111,7 @@ def parsed(html: str) -> Node:
     return b.root
 
 
-class _Matching:
+class Matching:
     """Weights of the largest matchings of subtrees. Subtrees of equal names throughout are one kind, and kinds are compared once."""
 
     def __init__(self, *roots: Node):
@@ -115,18 +121,21 @@ class _Matching:
         self.of: dict[int, int] = {}
         self.known: dict[tuple[int, int], int] = {}
         for root in roots:
-            order, stack = [], [root]
-            while stack:
-                node = stack.pop()
-                order.append((node, below := node.elements()))
-                stack += below
-            for node, below in reversed(order):
-                kind = (node.name(), tuple(self.of[id(c)] for c in below))
-                if kind not in self.ids:
-                    self.ids[kind] = len(self.kinds)
-                    self.kinds.append(kind)
-                    self.sizes.append(1 + sum(self.sizes[k] for k in kind[1]))
-                self.of[id(node)] = self.ids[kind]
+            self.add(root)
+
+    def add(self, root) -> None:
+        order, stack = [], [root]
+        while stack:
+            node = stack.pop()
+            order.append((node, below := node.elements()))
+            stack += below
+        for node, below in reversed(order):
+            kind = (node.name(), tuple(self.of[id(c)] for c in below))
+            if kind not in self.ids:
+                self.ids[kind] = len(self.kinds)
+                self.kinds.append(kind)
+                self.sizes.append(1 + sum(self.sizes[k] for k in kind[1]))
+            self.of[id(node)] = self.ids[kind]
 
     def plain(self, p: int, q: int) -> int | None:
         """The weight if no table is needed for it."""
@@ -198,12 +207,14 @@ class _Matching:
         return sorted(out)
 
 
-def matched(a: Node, b: Node) -> list[tuple[Node, Node]]:
-    """Pairs of aligned nodes of the largest simple tree matching of a and b; their roots must have the same name."""
-    pairs: list[tuple[Node, Node]] = []
+def matched(a, b, trees: Matching | None = None) -> list[tuple]:
+    """Pairs of aligned nodes of the largest simple tree matching of a and b, trees of nodes with name() and elements(); their roots
+    must have the same name. trees: a matching that knows a already."""
+    pairs: list[tuple] = []
     if a.name() != b.name():
         return pairs
-    trees, stack = _Matching(a, b), [(a, b)]
+    trees, stack = trees or Matching(a), [(a, b)]
+    trees.add(b)
     while stack:
         p, q = stack.pop()
         pairs.append((p, q))

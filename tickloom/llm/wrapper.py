@@ -1,19 +1,21 @@
 """Wrapper induction: the main text of pages, from what the pages of a host have in common.
 
-Every page of a host is evidence. A slot is a chain of tags and classes from the root; for each slot of a host, and each
-text there, the distinct pages that have it are counted (exact copies count once). Simple tree matching aligns only nodes
-with equal chains, so these counts hold what an alignment with every other page would give; layouts differ in their
-chains and are judged apart. Text on many of the pages with its slot is constant: template; other text is varying. Prose
-needs more pages to be constant than other elements. The content is the lowest element that holds all varying text - a landmark
-(article, main) if the page has one -, without what tags and class names show to be menus, headers, footers, sidebars,
-notices, adverts, forms or comments. Names yield to the text: an element named so is opened if the page's only landmark is
-within and holds more than what is outside, or if (menus, footers and asides excepted) it holds nearly all varying text
-and no varying prose stands outside. Paragraphs within the content stay even if they are equal; other constant leaves
-there, and containers with nothing but constant text, go as template.
+Every page of a host is evidence. Its tree of block elements is aligned by simple tree matching with the trees of the
+host's other pages, which merge into a template (templates.py): each distinct shape is merged once, by tasks that hold one
+template each - a host's shapes are split, partial templates are merged like shapes. Each page is aligned with the
+template; for each slot and each text there, the distinct pages that have it are counted (exact copies count once). Text
+on many of the pages with its slot is constant: template; other text, and elements that align with nothing, are varying.
+Prose needs more pages to be constant than other elements. The content is the lowest element that holds all varying
+text - a landmark (article, main) if the page has one -, without what tags and class names show to be menus, headers,
+footers, sidebars, notices, adverts, forms or comments. Names yield to the text: an element named so is opened if the
+page's only landmark is within and holds more than what is outside, or if (menus, footers and asides excepted) it holds
+nearly all varying text and no varying prose stands outside. Paragraphs within the content stay even if they are equal;
+other constant leaves there, and containers with nothing but constant text, go as template.
 
 Pages without a host, or alone on theirs, and pages whose text is all constant go by tags and text alone. Null and empty
-html give an empty text. A host's constant texts are joined to its pages as hashes: broadcast if they were counted few,
-else shuffled (a hot host's pages can be split, its row is one). Extra columns are left out; repeated rows give equal results.
+html give an empty text, an empty table no rows. A host's template and constant texts are joined to its pages: broadcast
+if they were counted small, else shuffled (a hot host's pages can be split, its row is one; it grows with the variety of
+its pages, not with their number). Extra columns are left out; repeated rows give equal results.
 """
 
 from __future__ import annotations
@@ -29,9 +31,10 @@ from pyspark.sql import functions as F
 
 from .common import bound_batches, maybe_broadcast, stored, table
 from .dom import INLINE, RAW, Node, matched, parsed
+from .templates import Template, merged, shape_of, text_of
 
-#: Constant texts of all hosts up to which their hashes are broadcast.
-MOST_KEYS = 4 << 20
+#: Characters of templates and constant texts of all hosts (16 each) up to which they are broadcast; tasks that a host's shapes are merged in first.
+MOST_BYTES, SALTS = 64 << 20, 32
 # Elements and class words that are no content, wherever they stand; elements of prose.
 ASIDE = frozenset("nav footer aside form button select dialog head menu fieldset".split())
 WORDS = frozenset(
@@ -43,8 +46,6 @@ PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figcaption
 #: Words of class names after which the next one tells what the element has or lacks, not what it is; elements that varying text doesn't open.
 MODIFIERS, CLOSED = frozenset("with without has have no".split()), frozenset("nav footer aside menu select button".split())
 SPLIT = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
-DIGITS = re.compile(r"\d+")
-MASK = (1 << 64) - 1
 
 
 def is_hidden(node: Node) -> bool:
@@ -177,22 +178,18 @@ def blocks(root: Node, dropped: set[int], in_content: bool, opened: Container[in
     return out
 
 
-def _signed(h: int) -> int:
+def text_hash(node: Node) -> int:
+    """A signed 64-bit hash of the element's own text."""
+    h = xxhash.xxh3_64_intdigest(node.own().encode("utf-8", "surrogatepass"))
     return h - (1 << 64) if h >> 63 else h
 
 
-def slots(root: Node, site: int = 0) -> Iterator[tuple[Node, int, int]]:
-    """Block nodes with text of their own, the hash of their chain of names, and the hash of chain and text. Digits in class names don't count."""
-    stack = [(root, site & MASK)]
+def _below(root: Node) -> Iterator[Node]:
+    stack = root.elements()[::-1]
     while stack:
-        node, path = stack.pop()
-        if node.tag in RAW or node.tag == "head":
-            continue
-        path = xxhash.xxh3_64_intdigest(f"{node.tag} {DIGITS.sub('0', node.name()[1])}", path)
-        text = node.own()
-        if text:
-            yield node, path, xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"), path)
-        stack += [(c, path) for c in reversed(node.elements())]
+        node = stack.pop()
+        yield node
+        stack += reversed(node.elements())
 
 
 def constant_levels(n, of):
@@ -201,16 +198,20 @@ def constant_levels(n, of):
     return strong | ((n >= 3) & (10 * n >= of)) | ((n >= 2) & (2 * n > of)), strong
 
 
-def main_text(html: str | None, references: Iterable[Node] = (), template: tuple[frozenset, frozenset] | None = None, site: int = 0) -> str:
-    """template: hashes of the host's constant texts, and of those that are constant even as prose; else references are aligned with the page and counted."""
+def main_text(html: str | None, references: Iterable[Node] = (), template: Template | None = None, weak: Container = (), strong: Container = ()) -> str:
+    """template: the host's, with the pairs (slot, hash of text) that are constant there: weak, and strong - constant even as prose.
+    Else references, trees of other pages, are aligned with the page and counted."""
     if not html:
         return ""
     root = parsed(html)
-    weak, strong = set(), set()
+    constant: set[int] = set()
     if template is not None:
-        for node, _, key in slots(root, site):
-            weak |= {id(node)} if key in template[0] else set()
-            strong |= {id(node)} if key in template[1] else set()
+        slots = template.of(root)
+        for node in [root, *_below(root)]:
+            if id(node) in slots and node.own():
+                key = slots[id(node)], text_hash(node)
+                if key in strong or (key in weak and node.tag not in PROSE):
+                    constant.add(id(node))
     else:
         n: Counter = Counter()
         of: Counter = Counter()
@@ -218,11 +219,10 @@ def main_text(html: str | None, references: Iterable[Node] = (), template: tuple
             for p, q in matched(root, other):
                 of[id(p)] += 1
                 n[id(p)] += p.own() == q.own()
-        for i in of:
-            levels = constant_levels(n[i] + 1, of[i] + 1)
-            weak |= {i} if levels[0] else set()
-            strong |= {i} if levels[1] else set()
-    constant = {id(n) for n, _, _ in slots(root) if id(n) in strong or (id(n) in weak and n.tag not in PROSE)}
+        for node in [root, *_below(root)]:
+            levels = constant_levels(n[id(node)] + 1, of[id(node)] + 1)
+            if node.own() and levels[node.tag in PROSE]:
+                constant.add(id(node))
     opened = opened_by_text(root, constant)
     own = {id(n): (n, n.own()) for n, _ in _walk(root, opened)}
     if constant and all(i in constant for i, (_, text) in own.items() if text):  # nothing varies: the evidence tells nothing
@@ -258,51 +258,112 @@ def main_text(html: str | None, references: Iterable[Node] = (), template: tuple
     return "\n".join(blocks(content, dropped - {id(content)}, bool(marks), opened))
 
 
-def constant_texts(rows: DataFrame) -> DataFrame:
-    """For each site of rows (site, html) the hashes of its constant texts: weak, and strong (constant even as prose)."""
+def page_shapes(rows: DataFrame) -> DataFrame:
+    """For each distinct page of rows (site, html): page (its hash), shape (a hash), lines (the shape, at least once for each site and shape), and of
+    the elements with text the places in the shape and the texts' hashes."""
+
+    def run(it):
+        told: set[tuple[int, int]] = set()
+        for b in it:
+            out: list[tuple] = []
+            for site, html in zip(*(b.column(c).to_pylist() for c in ("site", "html")), strict=True):
+                root = parsed(html)
+                lines, at = shape_of(root)
+                lines = lines.encode("utf-8", "replace").decode()
+                shape, page = (xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63) for x in (lines, html))
+                own = [x for x in [root, *_below(root)] if id(x) in at and x.own()]
+                out.append((site, page, shape, None if (site, shape) in told else lines, [at[id(x)] for x in own], list(map(text_hash, own))))
+                if len(told) > 100_000:
+                    told.clear()
+                told.add((site, shape))
+            cols = zip(*out, strict=True) if out else [()] * 6
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["site", "page", "shape", "lines", "places", "texts"])
+
+    return rows.mapInArrow(run, "site long, page long, shape long, lines string, places array<int>, texts array<long>")
+
+
+def host_templates(shapes: DataFrame, salts: int = SALTS) -> DataFrame:
+    """site and lines, the template of its shapes (site, shape, lines, n), the most frequent first. A task holds one template at a time."""
 
     def run(it):
+        site = salt = into = None
+        for b in it:
+            made = []
+            for s, t, lines in zip(*(b.column(c).to_pylist() for c in ("site", "salt", "lines")), strict=True):
+                if (s, t) != (site, salt):
+                    made += [(site, salt, text_of(into))] if into else []
+                    site, salt, into = s, t, None
+                into = merged([lines], into)
+            yield batch(made)
+        yield batch([(site, salt, text_of(into))] if into else [])
+
+    def batch(made: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*made, strict=True)) or [(), (), ()]
+        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())], ["site", "salt", "lines"])
+
+    parts = int(shapes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kind = "site long, salt long, lines string"
+    first = shapes.withColumn("salt", F.pmod("shape", F.lit(salts))).repartition(parts, "site", "salt").sortWithinPartitions("site", "salt", F.desc("n"), "shape")
+    partial = first.select("site", "salt", "lines").mapInArrow(run, kind).repartition(parts, "site").sortWithinPartitions("site", "salt")
+    return partial.select("site", F.lit(0).cast("long").alias("salt"), "lines").mapInArrow(run, kind).select("site", "lines")
+
+
+def host_wrappers(rows: DataFrame) -> DataFrame:
+    """For each site of rows (site, html): lines (its template), and its constant texts as (slot, text): weak, and strong (constant even as prose)."""
+
+    def align(it):
+        known: dict[int, Template] = {}
         for b in it:
-            out: dict[str, list[int]] = {"site": [], "slot": [], "key": [], "page": []}
-            for site, html in {(s, h): None for s, h in zip(*(b.column(c).to_pylist() for c in ("site", "html")), strict=True)}:
-                page = _signed(xxhash.xxh3_64_intdigest(html.encode("utf-8", "surrogatepass")))
-                for slot, key in {pair for _, path, key in slots(parsed(html), site) for pair in ((path, path), (path, key))}:
-                    for name, value in zip(out, (site, _signed(slot), _signed(key), page), strict=True):
-                        out[name].append(value)
-            yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in out.items()})
-
-    seen = rows.mapInArrow(run, "site long, slot long, key long, page long").distinct()
-    counts = stored(seen.groupBy("site", "slot", "key").agg(F.count("*").alias("n")).where("n >= 2"), "slots")
-    of = counts.where("key = slot").select("site", "slot", F.col("n").alias("of"))
+            slots = []
+            for site, shape, lines in zip(*(b.column(c).to_pylist() for c in ("site", "shape_lines", "lines")), strict=True):
+                if site not in known:
+                    if len(known) > 64:
+                        known.clear()
+                    known[site] = Template(lines)
+                slots.append(known[site].align(shape))
+            yield pa.RecordBatch.from_arrays([b.column("site"), b.column("shape"), pa.array(slots, pa.list_(pa.int32()))], ["site", "shape", "slots"])
+
+    seen = stored(page_shapes(rows), "seen")
+    shapes = stored(seen.groupBy("site", "shape").agg(F.max("lines").alias("lines"), F.count("*").alias("n")), "shapes")
+    templates = stored(host_templates(shapes), "templates")
+    size = templates.agg(F.coalesce(F.sum(F.length("lines")), F.lit(0))).first()[0]
+    both = shapes.select("site", "shape", F.col("lines").alias("shape_lines")).join(maybe_broadcast(templates, size, MOST_BYTES), "site")
+    aligned = stored(both.mapInArrow(align, "site long, shape long, slots array<int>"), "aligned")
+    few = maybe_broadcast(aligned, aligned.agg(F.coalesce(F.sum(F.size("slots")), F.lit(0))).first()[0], MOST_BYTES // 8)
+    pages = seen.select("site", "page", "shape", "places", "texts").dropDuplicates(["site", "page"]).join(few, ["site", "shape"])
+    pages = stored(pages.select("site", F.expr("array_distinct(transform(places, (p, i) -> struct(slots[p] AS slot, texts[i] AS text)))").alias("own")), "pages")
+    counts = pages.select("site", F.inline("own")).where("slot >= 0").groupBy("site", "slot", "text").agg(F.count("*").alias("n")).where("n >= 2")
+    of = pages.select("site", F.explode(F.array_distinct("own.slot")).alias("slot")).groupBy("site", "slot").agg(F.count("*").alias("of"))
     weak, strong = constant_levels(F.col("n"), F.col("of"))
-    found = counts.where("key <> slot").join(of, ["site", "slot"]).where(weak)
-    return found.groupBy("site").agg(F.collect_list("key").alias("weak"), F.collect_list(F.when(strong, F.col("key"))).alias("strong"))
+    key = F.struct("slot", "text")
+    found = counts.join(of, ["site", "slot"]).where(weak).groupBy("site").agg(F.collect_list(key).alias("weak"), F.collect_list(F.when(strong, key)).alias("strong"))
+    return templates.join(found, "site")
 
 
-def extract(pages: DataFrame, most_keys: int = MOST_KEYS) -> DataFrame:
+def extract(pages: DataFrame, most: int = MOST_BYTES) -> DataFrame:
     """page_id, url, text and n_chars of pages (page_id, url, html)."""
     spark = pages.sparkSession
     bound_batches(spark)
     host = F.lower(F.try_parse_url("url", F.lit("HOST")))
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), F.when(host.isNotNull(), F.xxhash64(host)).alias("site"))
-    sites = stored(constant_texts(rows.where("site IS NOT NULL AND html <> ''").select("site", "html")).withColumnRenamed("site", "of"), "sites")
-    keys = sites.agg(F.coalesce(F.sum(F.size("weak") + F.size("strong")), F.lit(0))).first()[0]
-    rows = rows.join(maybe_broadcast(sites, keys, most_keys), F.col("site") == F.col("of"), "left").select("page_id", "url", "html", "site", "weak", "strong")
-    known: dict[int, tuple[frozenset, frozenset]] = {}
-    none = frozenset(), frozenset()
+    sites = stored(host_wrappers(rows.where("site IS NOT NULL AND html <> ''").select("site", "html")).withColumnRenamed("site", "of"), "sites")
+    size = sites.agg(F.coalesce(F.sum(F.length("lines") + 16 * (F.size("weak") + F.size("strong"))), F.lit(0))).first()[0]
+    rows = rows.join(maybe_broadcast(sites, size, most), F.col("site") == F.col("of"), "left").select("page_id", "url", "html", "site", "lines", "weak", "strong")
+    known: dict[int, tuple[Template, frozenset, frozenset]] = {}
 
     def run(it):
         for b in it:
             texts = []
             for i, (html, site) in enumerate(zip(b.column("html").to_pylist(), b.column("site").to_pylist(), strict=True)):
-                if len(known) > 64:
-                    known.clear()
-                template = none
-                if site is not None and b.column("weak")[i].is_valid:
+                own: tuple = (None, (), ())
+                if site is not None and b.column("lines")[i].is_valid:
                     if site not in known:
-                        known[site] = tuple(frozenset(k & MASK for k in b.column(c)[i].as_py()) for c in ("weak", "strong"))
-                    template = known[site]
-                texts.append(main_text(html, template=template, site=site or 0))
+                        if len(known) > 64:
+                            known.clear()
+                        known[site] = (Template(b.column("lines")[i].as_py()), *(frozenset((k["slot"], k["text"]) for k in b.column(c)[i].as_py()) for c in ("weak", "strong")))
+                    own = known[site]
+                texts.append(main_text(html, (), *own))
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     return rows.mapInArrow(run, f"page_id {dict(pages.dtypes)['page_id']}, url string, text string, n_chars long")
