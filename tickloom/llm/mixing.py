@@ -2,13 +2,14 @@
 
 Each source has a target share of all words. Every document gets the whole copies that its source's target holds for
 sure; the words that are left are drawn without replacement: documents are ranked by their random odds u/(1-u) divided
-by the odds of their inclusion probability, and taken in this order up to the source's fixed size in words. Inclusion
-grows with a document's importance. Draws are hashes of id and text: reruns agree, repeated rows share a draw and are
+by the odds of their inclusion probability, and taken in this order up to the source's fixed size in words; documents
+that are certain to be included come first, by their draw. Inclusion grows with a document's importance. What doesn't fit
+is passed over for later ones that do, until none of a source's documents fits any more. Draws are hashes of id and text: reruns agree, repeated rows share a draw and are
 counted as one group; where the size is reached within a group, as many of its rows are taken as fit.
 
 Null or empty texts have no words and are never taken; null sources are one source, the last; an empty table gives an
 empty mix. The ranks are never sorted as a whole: word counts in bins of the rank give the bin where a source's size is
-reached, and just this bin's documents are sorted, repeated rows as one.
+reached, counts in bins of this bin the narrow one, and just its documents are sorted, repeated rows as one.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import WORD, maybe_broadcast, stored, table
 
-WEIGHTS, CAP, BINS, PASSES = (1, 2, 3), 3.0, 4096, 3
+WEIGHTS, CAP, BINS = (1, 2, 3), 3.0, 4096
 
 
 def n_words(text: str = "text") -> Column:
@@ -51,13 +52,13 @@ def _uniform(seed: int, *cols: str) -> Column:
 
 
 def _ranked(df: DataFrame) -> DataFrame:
-    """Adds base (certain whole copies) and rank in [0, 1]: odds / inclusion odds, as a share."""
+    """Adds base (certain whole copies) and rank in [0, 1]: the draw of documents that are certain, then odds / inclusion odds, as a share."""
     ratio = F.try_divide(F.col("target"), F.col("source_size"))
     base = F.coalesce(F.floor(ratio), F.lit(0)).cast("long")
     inclusion = F.least((ratio - F.floor(ratio)) * F.try_divide(F.col("importance"), F.col("mean_importance")), F.lit(1.0))
     odds = F.col("draw") / (1 - F.col("draw"))
     against = F.when(inclusion > 0, (1 - inclusion) / inclusion)
-    return df.withColumn("base", F.when(F.col("size") > 0, base).otherwise(0)).withColumn("rank", F.when(F.col("size") > 0, odds * against / (1 + odds * against)))
+    return df.withColumn("base", F.when(F.col("size") > 0, base).otherwise(0)).withColumn("rank", F.when(F.col("size") > 0, F.when(inclusion >= 1, F.col("draw") / 4).otherwise(0.25 + 0.75 * odds * against / (1 + odds * against))))
 
 
 def _keyed(col: str) -> Column:
@@ -65,7 +66,7 @@ def _keyed(col: str) -> Column:
 
 
 def _order() -> Column:
-    """The order of documents; equal for repeated rows only (many have rank 0, ids can have several texts)."""
+    """The order of documents; equal for repeated rows only (ids can have several texts)."""
     return F.struct("rank", "doc_id", "draw")
 
 
@@ -99,22 +100,26 @@ def _split(tied: DataFrame) -> DataFrame:
     return tied.join(F.broadcast(last), ["key", "_tie"]).withColumn("_chosen", F.col("_tag") <= F.col("_last"))
 
 
-def _cuts(sized: DataFrame, targets: DataFrame, bins: int, passes: int) -> DataFrame:
-    """For each source the cuts that _chosen() needs. A pass takes documents in order up to one that doesn't fit; the next fills what is left with later ones that are small enough."""
+def _first_above(sums: DataFrame, what: str) -> DataFrame:
+    """key, what and before (words of those before) of each key's first row of sums (key, what, words, before, gap) with which the words exceed gap."""
+    upto = F.col("before") + F.sum("words").over(Window.partitionBy("key").orderBy(what))
+    return sums.withColumn("upto", upto).where("upto > gap").groupBy("key").agg(F.min_by(F.struct(what, (F.col("upto") - F.col("words")).alias("before")), what).alias("edge")).select("key", "edge.*")
+
+
+def _cuts(sized: DataFrame, targets: DataFrame, bins: int) -> tuple[DataFrame, int]:
+    """For each source the cuts that _chosen() needs, and the number of passes. A pass takes documents in order up to one that doesn't fit; the next fills what is left with later ones that are small enough."""
     left = F.when(F.col("source_size") > 0, F.col("target") - F.floor(F.col("target") / F.col("source_size")) * F.col("source_size")).otherwise(0.0)
-    out = targets.withColumn("gap", left)
-    for i in range(passes):
-        own = sized.join(maybe_broadcast(out.withColumn("key", _keyed("source")).drop("source")), "key")
-        own = _ranked(own).where(F.col("rank").isNotNull())
-        rank = _order()
-        for j in range(i):
-            own = own.where((rank > F.col(f"cut{j}")) & (F.col("size") <= F.col(f"gap{j}")))
-        own = own.select("key", "size", "rank", "doc_id", "draw", "gap", F.floor(F.col("rank") * bins).alias("bin"))
-        sums = own.groupBy("key", "bin").agg(F.sum("size").alias("words"), F.first("gap").alias("gap"))
-        upto = F.sum("words").over(Window.partitionBy("key").orderBy("bin"))
-        edge = sums.withColumn("upto", upto).where("upto > gap").groupBy("key").agg(F.min_by(F.struct("bin", (F.col("upto") - F.col("words")).alias("before")), "bin").alias("edge")).select("key", "edge.*")
-        edge = stored(edge, f"edge{i}")
-        at = own.join(maybe_broadcast(edge), ["key", "bin"]).groupBy("key", "rank", "doc_id", "draw", "size", "gap", "before").agg(F.count("*").alias("n"))
+    out = stored(targets.withColumns({"gap": left, "key": _keyed("source")}), "gaps")
+    n, i, cols = out.count(), 0, ["key", "size", "rank", "doc_id", "draw"]
+    rows = _ranked(sized.join(maybe_broadcast(out.drop("source"), n), "key")).where("rank IS NOT NULL").select(*cols)
+    while True:
+        own = rows.join(maybe_broadcast(out.select("key", "gap"), n), "key").withColumn("bin", F.floor(F.col("rank") * bins)).withColumn("fine", F.floor((F.col("rank") * bins - F.col("bin")) * bins))
+        sums = stored(own.groupBy("key", "bin").agg(F.sum("size").alias("words"), F.first("gap").alias("gap"), F.lit(0).alias("before")), f"sums{i}")
+        edge = stored(_first_above(sums, "bin"), f"edge{i}")
+        inner = own.join(maybe_broadcast(edge, n), ["key", "bin"])
+        fine = inner.groupBy("key", "bin", "fine").agg(F.sum("size").alias("words"), F.first("gap").alias("gap"), F.first("before").alias("before"))
+        edge = stored(_first_above(fine, "fine").join(edge.select("key", "bin"), "key"), f"fine{i}")
+        at = own.join(maybe_broadcast(edge, n), ["key", "bin", "fine"]).groupBy("key", "rank", "doc_id", "draw", "size", "gap", "before").agg(F.count("*").alias("n"))
         words = F.col("size") * F.col("n")
         upto = F.col("before") + F.sum(words).over(Window.partitionBy("key").orderBy("rank", "doc_id", "draw").rowsBetween(Window.unboundedPreceding, 0))
         room = F.col("gap") - F.col("upto") + words
@@ -122,18 +127,24 @@ def _cuts(sized: DataFrame, targets: DataFrame, bins: int, passes: int) -> DataF
         cut = at.withColumn("upto", upto).where("upto > gap").withColumn("take", take)
         cut = cut.groupBy("key").agg(F.min_by(F.struct(_order().alias("cut"), F.col("size").alias("over"), "n", "take", (room - F.col("take") * F.col("size")).alias("rest")), _order()).alias("found")).select("key", "found.*")
         total = sums.groupBy("key").agg(F.sum("words").alias("total"))
-        out = out.withColumn("key", _keyed("source")).join(cut, "key", "left").join(total, "key", "left").drop("key")
+        out = out.join(cut, "key", "left").join(total, "key", "left")
         rest = F.coalesce("rest", F.col("gap") - F.coalesce("total", F.lit(0)))
         out = out.withColumns({f"all{i}": F.col("cut").isNull(), f"cut{i}": F.col("cut"), f"over{i}": F.col("over"), f"rows{i}": F.col("n"), f"take{i}": F.col("take"), f"gap{i}": rest, "gap": rest}).drop("cut", "over", "n", "take", "rest", "total")
         out = stored(out, f"cuts{i}")
+        i += 1
+        if out.where(F.col(f"cut{i - 1}").isNotNull() & (F.col("gap") >= 1)).isEmpty():
+            break
+        later = rows.join(maybe_broadcast(out.select("key", F.col(f"cut{i - 1}").alias("cut"), "gap"), n), "key")
+        rows = stored(later.where((_order() > F.col("cut")) & (F.col("size") <= F.col("gap"))).select(*cols), f"rows{i}")
+    passes = i
     # Of the documents that didn't fit, the one with which the words come nearer to the size than without.
     best = F.array_min(F.array(*(F.when(F.col(f"over{i}") < 2 * F.col("gap"), F.struct(F.abs(F.col(f"over{i}") - F.col("gap")).alias("off"), F.col(f"cut{i}").alias("cut"))) for i in range(passes))))
     out = out.withColumn("extra", best["cut"])
     one = {f"take{i}": F.col(f"take{i}") + F.when(F.coalesce(F.col("extra") == F.col(f"cut{i}"), F.lit(False)), 1).otherwise(0) for i in range(passes)}
-    return out.withColumns(one).drop("extra", "gap", *(f"over{i}" for i in range(passes)))
+    return stored(out.withColumns(one).drop("extra", "gap", "key", *(f"over{i}" for i in range(passes))), "cuts"), passes
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, cap: float = CAP, importance: Column | None = None, seed: int = 17, bins: int = BINS, passes: int = PASSES) -> DataFrame:
+def mix(docs: DataFrame, weights=WEIGHTS, cap: float = CAP, importance: Column | None = None, seed: int = 17, bins: int = BINS) -> DataFrame:
     """docs with size, source_size, target and copies (0 for documents that the mix leaves out). Columns of these names are replaced.
 
     importance: a positive column that the inclusion probability is in proportion to; by default log2(2 + size), so that
@@ -143,7 +154,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: float = CAP, importance: Column |
     rows = docs.drop(*own).withColumn("size", n_words()).withColumn("importance", importance).withColumn("draw", _uniform(seed, "doc_id", "text")).withColumn("key", _keyed("source"))
     narrow = stored(rows.select("doc_id", "source", "key", "size", "importance", "draw"), "sized")
     targets = stored(source_targets(narrow, weights, cap), "targets")
-    cuts = stored(_cuts(narrow.drop("source"), targets, bins, passes), "cuts")
+    cuts, passes = _cuts(narrow.drop("source"), targets, bins)
     joined = _ranked(rows.join(maybe_broadcast(cuts.withColumn("key", _keyed("source")).drop("source")), "key"))
     joined = joined.withColumn("_chosen", _chosen(passes))
     if not cuts.where(reduce(or_, map(_partly, range(passes)))).isEmpty():  # repeated rows at a cut, of which some are taken
