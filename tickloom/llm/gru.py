@@ -1,14 +1,14 @@
 """A bidirectional gated recurrent network over bytes in numpy: a label for every position, trained by backpropagation through time.
 
-Gates are piecewise linear (clipped to 0..1, the candidate to -1..1), which keeps long texts cheap. Texts are cut into
-segments that are run in step, each from an empty state.
+Gates are piecewise linear (clipped to 0..1, the candidate to -1..1), which keeps long texts cheap. Long texts are cut into
+segments that are run in step; both directions begin CONTEXT bytes outside of a segment, so that its states are settled.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-HIDDEN, SEGMENT, TOGETHER = 12, 256, 2048
+HIDDEN, SEGMENT, CONTEXT, TOGETHER = 12, 512, 32, 1024
 LETTER = np.zeros(256, bool)
 LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 #: Byte that pads segments.
@@ -110,13 +110,15 @@ class BiGru:
     def label(self, texts: list[bytes], runs: bool = False) -> list[tuple[np.ndarray, np.ndarray, list | None]]:
         """For each text: mean label probabilities over its letters (over all bytes if it has none), how often each label is
         the likeliest of a position, and with runs the labelled byte ranges (start, end, label)."""
-        owner, start, size = [], [], []
+        owner, start, begin, size, inner = [], [], [], [], []
         for i, t in enumerate(texts):
             at = np.arange(0, max(len(t), 1), SEGMENT)
             owner.append(np.full(len(at), i))
             start.append(at)
-            size.append(np.minimum(len(t) - at, SEGMENT))
-        owner, start, size = (np.concatenate(x) if x else np.empty(0, int) for x in (owner, start, size))
+            begin.append(np.maximum(at - CONTEXT, 0))
+            size.append(np.minimum(len(t), at + SEGMENT + CONTEXT) - begin[-1])
+            inner.append(np.minimum(len(t) - at, SEGMENT))
+        owner, start, begin, size, inner = (np.concatenate(x) if x else np.empty(0, int) for x in (owner, start, begin, size, inner))
         order = np.argsort(-size, kind="stable")
         k = len(self.labels)
         sums, votes, marks = np.zeros((len(texts), k + 1)), np.zeros((len(texts), k), np.int64), [[] for _ in texts]
@@ -125,17 +127,18 @@ class BiGru:
             n = size[own]
             x = np.zeros((max(int(n[0]), 1), len(own)), np.uint8)
             for j, s in enumerate(own):
-                x[: n[j], j] = np.frombuffer(texts[owner[s]], np.uint8, n[j], start[s])
+                x[: n[j], j] = np.frombuffer(texts[owner[s]], np.uint8, n[j], begin[s])
             live = np.searchsorted(-n, -np.arange(len(x)), side="left")
             prob = self.positions(x, live)
-            there = np.arange(len(x))[:, None] < n
+            lead, place = start[own] - begin[own], np.arange(len(x))[:, None]
+            there = (place >= lead) & (place < lead + inner[own])
             best = prob.argmax(2)
             weight = np.where(LETTER[x], 1.0, 1e-6).astype(np.float32) * there
             np.add.at(sums, owner[own], np.concatenate([np.einsum("tbk,tb->bk", prob, weight), weight.sum(0)[:, None]], 1))
             np.add.at(votes, owner[own], np.stack([((best == c) & there & LETTER[x]).sum(0) for c in range(k)], 1))
             if runs:
                 for j, s in enumerate(own):
-                    b = best[: n[j], j]
+                    b = best[lead[j] : lead[j] + inner[s], j]
                     cut = np.flatnonzero(np.diff(b)) + 1
                     marks[owner[s]] += [(int(start[s] + p), int(start[s] + q), int(b[p])) for p, q in zip([0, *cut], [*cut, len(b)], strict=True) if q > p]
         mean = sums[:, :k] / np.maximum(sums[:, k:], 1e-12)

@@ -1,11 +1,13 @@
 """Language ID by a bidirectional gated recurrent network over bytes: a language for every position, pooled to the document.
 
 The network is trained on the driver on a bounded sample of labelled rows: PER_LANG documents of each language at most,
-WINDOWS pieces of WINDOW characters of each, picked by hashes of doc_id. Prediction runs over whole texts in segments.
-Languages beyond the MOST_LANGS most frequent are not learned.
+fewer if there are so many languages that this makes more than SAMPLE (one of each at least), WINDOWS pieces of WINDOW
+characters of each, picked by hashes of doc_id. Prediction runs over whole texts in segments that overlap.
 
 Texts that are null, empty or without a letter are `und` with score 0; so are all if there is no labelled row. Null
-labels aren't learned. Rows with a null doc_id don't train. Repeated rows get equal predictions.
+labels aren't learned. Rows with a null doc_id don't train. Repeated rows get equal predictions. An empty table gives no
+rows. The pipeline's stage rejects texts without letters and those whose language isn't clear; with no labelled row to
+learn from it can judge no language, and rejects just texts without letters.
 """
 
 from __future__ import annotations
@@ -15,10 +17,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, table
+from .common import bound_batches, maybe_broadcast, stored, table
 from .gru import BiGru
 
-PER_LANG, WINDOWS, WINDOW, MOST_LANGS = 300, 3, 300, 200
+PER_LANG, SAMPLE, WINDOWS, WINDOW = 300, 60_000, 3, 300
 UND = "und"
 #: Score below which the pipeline rejects a document.
 LEAST = 0.3
@@ -29,24 +31,25 @@ def fold(k: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % k
 
 
-def sample(docs: DataFrame, per: int = PER_LANG) -> tuple[list[str], list[bytes], np.ndarray]:
+def sample(docs: DataFrame, per: int = PER_LANG, most: int = SAMPLE) -> tuple[list[str], list[bytes], np.ndarray]:
     """Languages, pieces of text and the pieces' languages, of docs (doc_id, text, lang)."""
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL AND length(text) > 0")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS).collect()}
-    if not counts:
+    counts = stored(rows.groupBy("lang").count(), "languages")
+    n = counts.count()
+    if not n:
         return [], [], np.empty(0, int)
-    rate = F.create_map(*(x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, 2.0 * per / n)))))
+    per = max(1, min(per, most // n))
+    rate = counts.select("lang", (2.0 * per / F.col("count")).alias("rate"))
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(5), "doc_id"), 12) / F.lit(float(1 << 52))
     wide = F.greatest(F.length("text") - WINDOW, F.lit(1))
     pieces = F.array(*(F.substr("text", (1 + F.pmod(F.xxhash64(F.lit(i), "doc_id"), wide.cast("long"))).cast("int"), F.lit(WINDOW)) for i in range(WINDOWS)))
-    got = rows.where(draw < rate[F.col("lang")]).select("lang", draw.alias("draw"), "doc_id", pieces.alias("pieces")).collect()
-    langs, texts, y = sorted(counts), [], []
-    for i, lang in enumerate(langs):
-        for r in sorted((r for r in got if r["lang"] == lang), key=lambda r: (r["draw"], r["doc_id"]))[:per]:
-            texts += [p.encode("utf-8", "surrogatepass") for p in r["pieces"]]
-            y += [i] * len(r["pieces"])
-    kept = sorted(set(y))
-    return [langs[i] for i in kept], texts, np.searchsorted(kept, y)
+    drawn = rows.join(maybe_broadcast(rate, n), "lang").where(draw < F.col("rate")).select("lang", draw.alias("draw"), "doc_id", pieces.alias("pieces")).collect()
+    by: dict[str, list] = {}
+    for r in sorted(drawn, key=lambda r: (r["lang"], r["draw"], r["doc_id"], r["pieces"])):
+        if len(own := by.setdefault(r["lang"], [])) < per:
+            own.append([p.encode("utf-8", "surrogatepass") for p in r["pieces"]])
+    langs = sorted(by)
+    return langs, [p for k in langs for own in by[k] for p in own], np.array([i for i, k in enumerate(langs) for own in by[k] for _ in own], int)
 
 
 def train(docs: DataFrame, steps: int = 300) -> BiGru | None:
@@ -101,6 +104,8 @@ def op8_language(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known; those without letters or of no clear language go."""
+    """Documents whose language is known; those without letters or of no clear language go (just the former, if there is nothing to learn from)."""
     model = train(docs.select("doc_id", "text", "lang").where(fold(4) != 2))
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     return predict(docs, model).where((F.col("lang_pred") != UND) & (F.col("score") >= LEAST)).select(*docs.columns)
