@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -12,6 +11,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import session
+
 #: Rows and bytes of one Arrow batch, so that long texts do not gather in one Python worker.
 BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 #: Rows up to which a side is broadcast after it was counted.
@@ -31,13 +32,7 @@ def bound_batches(spark: SparkSession) -> None:
 
 def shared_dir(spark: SparkSession) -> str:
     """A new folder that driver and executors share, in spark.checkpoint.dir. Where that is unset, as in tests, a session on one machine gets a folder there; others raise."""
-    place = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not place:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        place = f"file://{tempfile.mkdtemp(prefix='tickloom-')}"
-        spark.conf.set("spark.checkpoint.dir", place)
-    return f"{place.rstrip('/')}/{uuid.uuid4().hex}"
+    return f"{session.shared_dir(spark)}/{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -8,8 +8,8 @@ through the sorted sketches; what hits is a candidate and is verified on the shi
 any length of document, where banded signatures lose short items in long texts.
 
 Items come in blocks of bounded number and length. A pass over the documents holds HELD blocks at most; of a longer
-benchmark each pass writes what it found in the shared folder for the next. The benchmark is the stated query set:
-documents are never joined among each other nor shuffled.
+benchmark each pass writes what it found in the shared folder, by a hash of the text, and these few rows are joined to
+the documents in the end. The benchmark is the stated query set: documents are never joined among each other.
 
 Words are runs of letters, digits and _, in lower case. An item of fewer than five words is one shingle of all its words.
 Null, empty and wordless items and documents match nothing. Repeated items and documents match each time. Null ids pass.
@@ -20,6 +20,8 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import _MIX, bound_batches, mixed, stored, table
+from .common import _MIX, bound_batches, maybe_broadcast, mixed, stored, table
 
 #: Items and characters of a block, and blocks that a pass holds.
 SIZE, THRESHOLD, BLOCK, BLOCK_CHARS, HELD = 5, 0.8, 20_000, 4 << 20, 4
@@ -111,20 +113,40 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     spark = docs.sparkSession
     bound_batches(spark)
     keep = [c for c in docs.columns if c != out]
-    schema = T.StructType([docs.schema[c] for c in keep]).add(out, T.DataType.fromDDL(MATCH_SQL))
-    found = docs.select(*keep).withColumn(out, F.array().cast(MATCH_SQL))
-    for i, items in enumerate(_blocks(benchmark, block, block_chars)):
-        if i and i % HELD == 0:
-            found = stored(found, f"leaks{i}")
-        held = spark.sparkContext.broadcast(Sketches(items, size, threshold))
-
-        def run(it, held=held):
+    rows, blocks = docs.select(*keep), _blocks(benchmark, block, block_chars)
+    held = _held(spark, blocks, size, threshold)
+    more = _held(spark, blocks, size, threshold)
+    if not more:
+        schema = T.StructType([docs.schema[c] for c in keep]).add(out, T.DataType.fromDDL(MATCH_SQL))
+
+        def run(it):
             for b in it:
-                got = [old + held.value.matches(t) for t, old in zip(b.column("text").to_pylist(), b.column(out).to_pylist(), strict=True)]
+                got = [[m for x in held for m in x.value.matches(t)] for t in b.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(got, pa.list_(MATCH))], [*keep, out])
 
-        found = found.mapInArrow(run, schema)
-    return found
+        return rows.mapInArrow(run, schema)
+    texts, parts = docs.select(F.md5("text").alias("sig"), "text"), []
+    while held:
+
+        def hits(it, held=held):
+            for b in it:
+                got = [[m for x in held for m in x.value.matches(t)] for t in b.column("text").to_pylist()]
+                some = pa.array([bool(g) for g in got], pa.bool_())
+                yield pa.RecordBatch.from_arrays([b.column("sig").filter(some), pa.array([g for g in got if g], pa.list_(MATCH))], ["sig", "found"])
+
+        found = texts.mapInArrow(hits, f"sig string, found {MATCH_SQL}").withColumn("part", F.lit(len(parts)))
+        parts.append(stored(found.dropDuplicates(["sig"]), f"leaks{len(parts)}"))
+        for x in held:
+            x.destroy()
+        held, more = more, _held(spark, blocks, size, threshold)
+    listed = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("part", "found"))), lambda x: x["found"]))
+    leaks = stored(reduce(DataFrame.unionByName, parts).groupBy(F.col("sig").alias("of")).agg(listed.alias(out)), "leaks")
+    return rows.join(maybe_broadcast(leaks), F.md5("text") == F.col("of"), "left").select(*keep, F.coalesce(out, F.array().cast(MATCH_SQL)).alias(out))
+
+
+def _held(spark, blocks: Iterator[list[tuple]], size: int, threshold: float) -> list:
+    """Broadcast sketches of the next few blocks; none after the last."""
+    return [spark.sparkContext.broadcast(Sketches(items, size, threshold)) for items in islice(blocks, HELD)]
 
 
 def op6_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Segmentation lattices of many words at once: log-space forward and backward sums over all ways to cut a word into pieces.
 
 Words of one length (in characters) form a matrix; a hashed trie of the vocabulary gives the pieces at every place of all
-of them in one step per piece length. A character that is no piece is spelled by its UTF-8 byte pieces.
+of them in one step per piece length. A character that is no piece is spelled by its UTF-8 byte pieces. Very long words
+go in stretches, whose sums carry over: memory beside a stretch is a number for each character.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ import numpy as np
 
 #: Words handled at once; fewer of very long ones.
 TOGETHER = 20_000
+#: Characters of a stretch of a word that is longer.
+STRETCH = 16_384
 START = "▁"
 
 
@@ -117,35 +120,71 @@ class Lattice:
     def bytes_of(self, code: int) -> list[int]:
         return [self.v.first_byte + b for b in chr(code).encode("utf-8", "surrogatepass")]
 
-    def forward(self) -> np.ndarray:
-        """Log sums (words, n + 1) over all segmentations of each prefix."""
+    def forward(self, known: np.ndarray | None = None) -> np.ndarray:
+        """Log sums (words, n + 1) over all segmentations of each prefix. known: those of the first places."""
         a = np.full((len(self.code), self.n + 1), -np.inf)
-        a[:, 0] = 0
-        for j in range(1, self.n + 1):
+        known = np.zeros((len(self.code), 1)) if known is None else known
+        a[:, : known.shape[1]] = known
+        for j in range(known.shape[1], self.n + 1):
             a[:, j] = _logsum([a[:, j - 1 - m] + self.score[m][:, j - 1 - m] for m in range(min(j, len(self.score)))])
         return a
 
-    def backward(self) -> np.ndarray:
+    def backward(self, known: np.ndarray | None = None) -> np.ndarray:
+        """Log sums over all segmentations of what follows each place. known: those of the last places."""
         b = np.full((len(self.code), self.n + 1), -np.inf)
-        b[:, self.n] = 0
-        for i in range(self.n - 1, -1, -1):
+        known = np.zeros((len(self.code), 1)) if known is None else known
+        b[:, self.n + 1 - known.shape[1] :] = known
+        for i in range(self.n - known.shape[1], -1, -1):
             b[:, i] = _logsum([b[:, i + 1 + m] + self.score[m][:, i] for m in range(min(self.n - i, len(self.score)))])
         return b
 
     def expected(self, weight: np.ndarray) -> np.ndarray:
         """How often each piece is expected, over words that come weight times."""
-        a, b, out = self.forward(), self.backward(), np.zeros(self.v.n)
+        a = self.forward()
+        return self.counted(a, self.backward(), a[:, -1:], weight, self.n)
+
+    def counted(self, a: np.ndarray, b: np.ndarray, total: np.ndarray, weight: np.ndarray, upto: int) -> np.ndarray:
+        """Expected pieces that begin before the place upto, given the sums before and after each place and those of whole words."""
+        out = np.zeros(self.v.n)
         for m, (piece, score) in enumerate(zip(self.piece, self.score, strict=True)):
-            post = np.exp(a[:, : self.n - m] + score + b[:, m + 1 :] - a[:, -1:]) * weight[:, None]
-            used = piece >= 0
-            out += np.bincount(piece[used], post[used], self.v.n)
-            if m == 0 and self.spelled.any():
-                codes, at = np.unique(self.code[self.spelled], return_inverse=True)
-                for c, w in zip(codes, np.bincount(at, post[self.spelled]), strict=True):
+            wide = min(upto, self.n - m)
+            post = np.exp(a[:, :wide] + score[:, :wide] + b[:, m + 1 : m + 1 + wide] - total) * weight[:, None]
+            used = piece[:, :wide] >= 0
+            out += np.bincount(piece[:, :wide][used], post[used], self.v.n)
+            if m == 0 and (spelled := self.spelled[:, :wide]).any():
+                codes, at = np.unique(self.code[:, :wide][spelled], return_inverse=True)
+                for c, w in zip(codes, np.bincount(at, post[spelled]), strict=True):
                     np.add.at(out, self.bytes_of(c), w)
         return out
 
 
+class LongWord:
+    """One word in stretches."""
+
+    def __init__(self, v: Vocabulary, word: str, logp: np.ndarray, stretch: int | None = None):
+        self.v, self.word, self.logp, self.stretch = v, word, logp, max(stretch or STRETCH, v.longest)
+        self.starts = range(0, len(word), self.stretch)
+
+    def forward(self) -> np.ndarray:
+        """Log sums over all segmentations of each prefix."""
+        a = np.zeros(len(self.word) + 1)
+        for s in self.starts:
+            begin, end = max(0, s - self.v.longest), min(len(self.word), s + self.stretch)
+            a[begin : end + 1] = Lattice(self.v, [self.word[begin:end]], self.logp).forward(a[None, begin : s + 1])[0]
+        return a
+
+    def expected(self, weight: float) -> np.ndarray:
+        a, out, after = self.forward(), np.zeros(self.v.n), np.zeros((1, 1))
+        for s in reversed(self.starts):
+            end = min(len(self.word), s + self.stretch)
+            stop = min(len(self.word), end + self.v.longest)
+            own = Lattice(self.v, [self.word[s:stop]], self.logp)
+            b = own.backward(after[:, : stop - end + 1])
+            out += own.counted(a[None, s : stop + 1], b, a[None, -1:], np.array([weight]), end - s)
+            after = b[:, : self.v.longest + 1]
+        return out
+
+
 def _logsum(terms: list[np.ndarray]) -> np.ndarray:
     x = np.stack(terms)
     top = x.max(0)
@@ -157,13 +196,19 @@ def _logsum(terms: list[np.ndarray]) -> np.ndarray:
 def marginals(v: Vocabulary, logp: np.ndarray, words: list[str]) -> np.ndarray:
     """Natural log probability of each word, summed over all segmentations; words begin with START."""
     out = np.zeros(len(words))
-    for _, rows in _groups(words):
-        out[rows] = Lattice(v, [words[i] for i in rows], logp).forward()[:, -1]
+    for n, rows in _groups(words):
+        if n > STRETCH:
+            out[rows] = [LongWord(v, words[i], logp).forward()[-1] for i in rows]
+        else:
+            out[rows] = Lattice(v, [words[i] for i in rows], logp).forward()[:, -1]
     return out
 
 
 def expectations(v: Vocabulary, logp: np.ndarray, words: list[str], weight: np.ndarray) -> np.ndarray:
     out = np.zeros(v.n)
-    for _, rows in _groups(words):
-        out += Lattice(v, [words[i] for i in rows], logp).expected(weight[rows])
+    for n, rows in _groups(words):
+        if n > STRETCH:
+            out += sum(LongWord(v, words[i], logp).expected(weight[i]) for i in rows)
+        else:
+            out += Lattice(v, [words[i] for i in rows], logp).expected(weight[rows])
     return out

@@ -1,7 +1,8 @@
 """Media columns: FLAC. Texts or other bytes become FLAC streams in a binary column; streams become PCM blocks.
 
-Null payloads and empty ones are padded to one block. A stream that is null, truncated or fails a checksum gets null
-PCM and the reason in `status`; others get `ok`. Extra columns are kept; columns with the names of results are replaced.
+Null payloads and empty ones are padded to one block; a very long payload is coded alone in its group. A stream that is
+null, truncated or fails a checksum gets null PCM and the reason in `status`; others get `ok`. Extra columns are kept;
+columns with the names of results are replaced. Repeated rows stay and get equal results; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -102,14 +103,27 @@ def pcm_blocks(decoded: DataFrame, samples: int = 4608) -> DataFrame:
     """A row for each PCM block of so many samples: first_sample and n_samples, byte_offset of the frame to seek to, and pcm.
 
     Rows whose stream wasn't readable give none."""
-    width = F.col("bits") / 8
-    total = F.element_at("blocks", -1)
-    end = total["first_sample"] + total["n_samples"]
+    bound_batches(decoded.sparkSession)
     kept = [c for c in decoded.columns if c not in ("pcm", "blocks", "bits", "status", "feature", "first_sample", "n_samples", "byte_offset")]
-    rows = decoded.where((F.col("status") == "ok") & (F.size("blocks") > 0)).withColumn("first_sample", F.explode(F.sequence(F.lit(0).cast("long"), end - 1, F.lit(samples).cast("long"))))
-    n = F.least(F.lit(samples).cast("long"), end - F.col("first_sample"))
-    seek = F.element_at(F.filter("blocks", lambda x: x["first_sample"] <= F.col("first_sample")), -1)["byte_offset"]
-    return rows.select(*kept, "first_sample", n.alias("n_samples"), seek.alias("byte_offset"), F.substring("pcm", (F.col("first_sample") * width + 1).cast("int"), (n * width).cast("int")).alias("pcm"))
+    names = ["first_sample", "n_samples", "byte_offset", "pcm"]
+    each = max(1, GROUP_BYTES // (2 * samples))  # blocks of a batch
+
+    def run(it):
+        for b in it:
+            for i in range(len(b)):
+                pcm, blocks = memoryview(b.column("pcm")[i].as_buffer()), b.column("blocks")[i].values
+                width, first = b.column("bits")[i].as_py() // 8, blocks.field("first_sample").to_numpy()
+                offset, total = blocks.field("byte_offset").to_numpy(), len(pcm) // width
+                for at in range(0, total, samples * each):
+                    own = np.arange(at, min(total, at + samples * each), samples)
+                    n = np.minimum(total - own, samples)
+                    seek = offset[np.searchsorted(first, own, side="right") - 1]
+                    cut = [bytes(pcm[s * width : (s + k) * width]) for s, k in zip(own.tolist(), n.tolist(), strict=True)]
+                    same = b.slice(i, 1).take(pa.array(np.zeros(len(own), np.int64)))
+                    yield pa.RecordBatch.from_arrays([*(same.column(c) for c in kept), pa.array(own), pa.array(n), pa.array(seek), pa.array(cut, pa.binary())], [*kept, *names])
+
+    schema = T.StructType([decoded.schema[c] for c in kept] + [T.StructField(c, T.LongType()) for c in names[:3]] + [T.StructField("pcm", T.BinaryType())])
+    return decoded.where((F.col("status") == "ok") & (F.size("blocks") > 0)).select(*kept, "pcm", "blocks", "bits").mapInArrow(run, schema)
 
 
 def op1_flac(spark, sf_dir: str) -> DataFrame:

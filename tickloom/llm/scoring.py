@@ -5,6 +5,9 @@ scores of an existing vocabulary; one step of expectation-maximization over all
 their counts) fits them, smoothed by the start. A document's probability is the product over its words of the sum over
 all segmentations, with an end that comes as often as documents end.
 
+The score is not that of a model that exists: the vocabulary file at hand holds merge ranks instead of unigram scores, so
+its prior is Zipf's law over them, and the model is what one step of expectation-maximization makes of it.
+
 Frequent words - as many as a bounded table holds, picked by the corpus-wide counts - are looked up in tasks; a
 document's other words are joined to the word table, where no word is frequent any more. Null and empty texts have their
 end alone. Repeated rows and null ids are scored like others (rows have keys of their own). With no training documents
@@ -87,6 +90,7 @@ def fit(words: DataFrame, path: str, steps: int = 1, prior: float = PRIOR) -> np
         expected = v.prior * prior
         expected[found["piece"].to_numpy(int)] += found["n"].to_numpy()
         logp = np.log(expected / expected.sum())
+        current.destroy()
     return logp
 
 

@@ -6,7 +6,8 @@ it holds. Candidates are verified on their whole texts; rules without mandatory
 texts are read again, by a broadcast of their keys if those were counted few, else by a join.
 
 Positions are code points. Null and empty texts have no spans. A row's key is its id and a hash of its text: null ids
-are allowed, repeated rows get equal results. An empty table gives no rows. Extra columns are left out.
+are allowed, repeated rows get equal results. An empty table gives no rows. Extra columns are left out. Texts of any
+length are scanned whole; a text's matches of one rule are put in order by one task.
 """
 
 from __future__ import annotations
@@ -69,11 +70,13 @@ def _spans(rows: DataFrame, rules: list[Rule], use) -> DataFrame:
         part = F.transform(F.regexp_extract_all("text", F.lit(r.regex), F.lit(r.group)), F.char_length)
         return F.struct(F.lit(r.kind).alias("kind"), F.lit(r.least).alias("least"), F.when(use(r), F.arrays_zip(gaps.alias("gap"), whole.alias("size"), part.alias("part"))).alias("at"))
 
-    each = rows.select("doc_id", "hash", F.monotonically_increasing_id().alias("row"), F.inline(F.array(*map(found, rules))))
-    each = each.select("doc_id", "hash", "row", "kind", "least", F.posexplode("at").alias("pos", "m")).select("doc_id", "hash", "row", "kind", "least", "pos", "m.*").where("size IS NOT NULL")
-    end = F.sum(F.col("gap") + F.col("size")).over(Window.partitionBy("row", "kind").orderBy("pos")).cast("long")
-    ended = each.withColumn("end", end)
-    return ended.where("part >= least").select("doc_id", "hash", "kind", (F.col("end") - F.col("size")).alias("start"), "end").distinct()
+    each = rows.select("doc_id", "hash", F.inline(F.array(*map(found, rules))))
+    each = each.select("doc_id", "hash", "kind", "least", F.posexplode("at").alias("pos", "m")).select("doc_id", "hash", "kind", "least", "pos", "m.*").where("size IS NOT NULL")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    once = each.repartition(parts, "doc_id", "hash", "kind").dropDuplicates(["doc_id", "hash", "kind", "pos"])  # repeated rows have equal matches
+    end = F.sum(F.col("gap") + F.col("size")).over(Window.partitionBy("doc_id", "hash", "kind").orderBy("pos")).cast("long")
+    ended = once.withColumn("end", end)
+    return ended.where("part >= least").select("doc_id", "hash", "kind", (F.col("end") - F.col("size")).alias("start"), "end")
 
 
 def find_secrets(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:

@@ -10,6 +10,11 @@ names of the tasks that succeeded make the manifest, files of failed attempts ar
 Load a path anew for each query: Spark 4.1 keeps the filters that were pushed into a loaded table for its later queries.
 
 Columns: see SCHEMA; the writer takes those of WRITTEN, in any order, extra columns are ignored. A null payload is empty.
+Mode append adds files, overwrite replaces the manifest and then deletes the files that it named. A record that is cut
+off, or whose length is no number, raises with its file and place.
+
+Of rows with equal payloads and the same largest page_id each is a response; null page_ids count as smaller than others.
+Rows whose page_ids are all null, too, are responses. An empty table gives an archive without records.
 """
 
 from __future__ import annotations
@@ -141,7 +146,9 @@ class WarcReader(DataSourceReader):
                 head = _headers(f)
                 if head is None:
                     return
-                begin, size = f.tell(), int(head.get("content-length", 0))
+                begin, size = f.tell(), _number(head.get("content-length", "0"))
+                if size is None or size < 0:
+                    raise ValueError(f"{path}: the record at {at} has no valid length")
                 row = {"record_id": head.get("warc-record-id"), "type": head.get("warc-type"), "date": head.get("warc-date"), "target_uri": head.get("warc-target-uri"), "page_id": _number(head.get("x-page-id")), "payload_digest": _digest(head.get("warc-payload-digest")), "refers_to": _number(head.get("x-refers-to-page-id"))}
                 if all(TESTS[kind](row[name], value) for name, kind, value in self.tests):
                     http, n = None, size
@@ -154,12 +161,15 @@ class WarcReader(DataSourceReader):
                         told = next((x.partition(":")[2] for x in http.split("\r\n") if x.lower().startswith("content-length:")), None)
                     full = row["type"] != "revisit" or http is None
                     payload = f.read(n) if self.payload and full else None
+                    if payload is not None and len(payload) < n:
+                        raise ValueError(f"{path}: the record at {at} is cut off")
                     yield row | {"payload_bytes": n if full else _number((told or "").strip()), "http_headers": http, "payload": payload, "file": path, "offset": at}
                 f.seek(begin + size + 4)
 
 
 class WarcWriter(DataSourceArrowWriter):
-    def __init__(self, options: dict):
+    def __init__(self, options: dict, overwrite: bool = False):
+        self.overwrite = overwrite
         self.path, self.roll, self.gzip = options["path"], int(options.get("roll", ROLL)), options.get("compression", "none").lower() == "gzip"
 
     def write(self, iterator):
@@ -189,11 +199,13 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages):
         fs, inner = located(self.path)
         made(self.path)
-        name, files = joined(inner, MANIFEST), []
+        name, before = joined(inner, MANIFEST), []
         if fs.get_file_info(name).type == pafs.FileType.File:
-            files = json.loads(fs.open_input_file(name).read())
+            before = json.loads(fs.open_input_file(name).read())
         with fs.open_output_stream(name) as f:
-            f.write(json.dumps(files + [x for m in messages if m for x in m.files]).encode())
+            f.write(json.dumps(([] if self.overwrite else before) + [x for m in messages if m for x in m.files]).encode())
+        for old, _ in before if self.overwrite else []:
+            fs.delete_file(joined(inner, old))
 
     def abort(self, messages):
         fs, inner = located(self.path)
@@ -214,7 +226,7 @@ class WarcSource(DataSource):
         return WarcReader(dict(self.options))
 
     def writer(self, schema, overwrite):
-        return WarcWriter(dict(self.options))
+        return WarcWriter(dict(self.options), overwrite)
 
 
 def record(row: dict) -> bytes:
