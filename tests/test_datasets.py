@@ -188,3 +188,27 @@ def test_save_plan(spark):
     listed = spark.createDataFrame([(p, 2) for p in ("a/b/c", "a/bc", "a/.x/y", "d", "e/f")], files.LISTING)
     assert [r.relative_path for r in composites.save_plan(listed, ["a/", "d"], ["a/b"]).collect()] == ["a/bc", "d"]
     assert tuple(composites.plan_summary(composites.save_plan(listed, [""])).first()) == (4, 8)
+
+
+def test_small_parts(spark, dividends):
+    from tickloom.functions.columns import is_utc_text
+    from tickloom.operators import dividends as dv
+
+    times = spark.createDataFrame([("2025-01-02T03:04:05Z",), ("2025-01-02T03:04:05",), ("2025-13-02T03:04:05Z",), (None,)], "t string")
+    assert [r[0] for r in times.select(is_utc_text("t")).collect()] == [True, False, False, False]
+    assert files.united(["b", "a"], ["a", "c"]) == ["b", "a", "c"]
+    assert dv.checked_date_field("ex_date") == "ex_date" and [r.date_field for r in dv.date_uses(spark).where("anchor").collect()] == ["ex_date"]
+    with pytest.raises(ValueError):
+        dv.checked_date_field("date")
+    raw = spark.createDataFrame([("2", "b", "cash_dividend", "2025-01-02"), ("1", "a", "cash_dividend", "2025-01-02"), ("1", "a", "cash_dividend", "2025-01-02")], "id string, symbol string, type string, ex_date string")
+    assert [r.symbol for r in dv.normalize_batch(raw).collect()] == ["A", "A", "B"]
+
+
+def test_ingest_composite(spark, tmp_path):
+    path = str(tmp_path / "snap")
+    options = {"symbols": "aapl,msft", "transport": "tests.test_bars:fake_actions", "start": "2025-01-01", "end": "2025-12-31"}
+    meta = composites.ingest_dividends(spark, options, path)
+    assert (meta["record_count"], meta["nested_cash_dividend_count"], meta["nested_stock_dividend_count"], meta["ingest_start_date"]) == (3, 2, 1, "2025-01-01")
+    assert sorted((r.symbol, r.corporate_action_type, r.cash_amount) for r in tables.read_snapshot(spark, path).collect()) == [("AAPL", "cash_dividend", 0.25), ("MSFT", "cash_dividend", 0.25), ("MSFT", "stock_dividend", None)]
+    with pytest.raises(ValueError):
+        composites.ingest_dividends(spark, options, str(tmp_path / "curated" / "x"))

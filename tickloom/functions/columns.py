@@ -57,6 +57,12 @@ def utc_text(ts: str | Column) -> Column:
     return F.date_format(col(ts), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
 
 
+def is_utc_text(c: str | Column) -> Column:
+    """Whether text is a time as YYYY-MM-DDTHH:MM:SSZ; null counts as none."""
+    shaped = col(c).rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$")
+    return F.coalesce(shaped & F.try_to_timestamp(col(c)).isNotNull(), F.lit(False))
+
+
 def parsed_list(c: str | Column) -> Column:
     """Symbols of a text list: brackets and quotes are dropped; `,`, `|` and `;` separate."""
     parts = F.split(F.regexp_replace(col(c), r"[\[\]'\"]", ""), r"[,|;]")

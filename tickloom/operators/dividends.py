@@ -83,6 +83,23 @@ def normalize_dividends(df: DataFrame, source: str = "api", strict: bool = True)
     ).select(*DIVIDEND.names)
 
 
+def normalize_batch(df: DataFrame, source: str = "api", strict: bool = True) -> DataFrame:
+    """As normalize_dividends, in the order of actions; repeated actions stay."""
+    return normalize_dividends(df, source, strict).orderBy(*action_order())
+
+
+def date_uses(spark) -> DataFrame:
+    """date_field, use and whether events are anchored there: a small dimension."""
+    return spark.createDataFrame([(k, v, k == "ex_date") for k, v in DATE_USES.items()], "date_field string, use string, anchor boolean")
+
+
+def checked_date_field(name: str) -> str:
+    """name, if it is a date of dividends; others raise."""
+    if name not in DATE_USES:
+        raise ValueError(f"{name} is none of {', '.join(DATE_USES)}")
+    return name
+
+
 def dedup_dividends(df: DataFrame, key=DIVIDEND_KEY, by: str = "source_payload_hash") -> DataFrame:
     """The row with the greatest hash of each event key."""
     rest = [c for c in df.columns if c not in key]

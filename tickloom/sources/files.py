@@ -77,6 +77,11 @@ def folders(root: str) -> list[str]:
     return sorted(x.base_name for x in fs.get_file_info(pafs.FileSelector(inner)) if x.type == pafs.FileType.Directory and not x.base_name.startswith((".", "_")))
 
 
+def united(*paths: list[str]) -> list[str]:
+    """All paths of the lists, each once, in the order in which they come first."""
+    return list(dict.fromkeys(p for own in paths for p in own))
+
+
 def listed(spark: SparkSession, root: str, pattern: str = r".*\.parquet") -> DataFrame:
     """relative_path and size_bytes of the files below root, from names alone: nothing is read. Hidden files are left out."""
     return spark.createDataFrame(listing(root, pattern), LISTING)

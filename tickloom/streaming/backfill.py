@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.normalize import keep_last, normalize_bars
 from ..schemas import BAR, BAR_KEY
+from ..session import checkpointed
 from ..sources.tables import read_bars, write_bars
 
 RAW = "symbol string, timestamp string, open string, high string, low string, close string, volume string, ordinal bigint"
@@ -19,6 +20,6 @@ def run_backfill(spark: SparkSession, raw: str, root: str, checkpoint: str, sour
         touched = new.select("symbol", "date").distinct()
         old = read_bars(batch.sparkSession, root).join(touched, ["symbol", "date"], "left_semi").withColumn("ordinal", F.lit(0))
         merged = keep_last(old.select(*new.columns).unionByName(new), BAR_KEY).select(*BAR.names)
-        write_bars(merged.checkpoint(), root)  # the old rows are read before their folders are replaced
+        write_bars(checkpointed(merged), root)  # the old rows are read before their folders are replaced
 
     return spark.readStream.schema(RAW).json(raw).writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
