@@ -12,7 +12,7 @@ import pytest
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontamination, flac, gru, language, lattice, media, mixing, scoring, secrets, templates, tokens, warc, wrapper
+from tickloom.llm import decontamination, flac, gru, language, lattice, media, mixing, ngram_join, scoring, secrets, templates, tokens, warc, wrapper
 from tickloom.llm.common import words_of
 from tickloom.llm.dom import matched, parsed
 
@@ -211,6 +211,24 @@ def test_many_languages_are_all_learned(spark):
     assert json.dumps(langs[0]) and pa
 
 
+# N-gram join
+
+
+@pytest.mark.parametrize("tile", [2048, 8])
+def test_all_links_between_different_texts(spark, folder, tile):
+    rows = {i: t for i, t, _ in folder[1] if i is not None}
+    sets = {i: {tuple(w[j : j + 4]) for j in range(max(1, len(w) - 3))} for i, t in rows.items() if (w := words_of(t))}
+    least: dict = {}
+    for i in sorted(sets):
+        least.setdefault(frozenset(sets[i]), i)
+    heads = sorted(least.values())
+    want = {(a, b) for a in heads for b in heads if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    docs = spark.read.parquet(f"{folder[0]}/documents.parquet").where("doc_id IS NOT NULL")
+    pairs, members = ngram_join.jaccard_pairs(docs.select("doc_id", "text"), tile=tile)
+    assert {(r.a, r.b) for r in pairs.collect()} == want and len(want) > 5
+    assert {(r.doc_id, r.of) for r in members.collect()} == {(i, least[frozenset(s)]) for i, s in sets.items()}
+
+
 # Lattice scores
 
 

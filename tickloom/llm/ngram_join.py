@@ -245,12 +245,30 @@ def _other_pairs(members: DataFrame, marks: DataFrame, classes: DataFrame, share
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def jaccard_components(docs: DataFrame, size: int = SIZE, share: tuple[int, int] = SHARE, tile: int = TILE) -> DataFrame:
-    """doc_id, n_shingles, component_id (the least doc_id reachable by links), copies (rows with an equal set), of docs (doc_id, text)."""
+def _classes(docs: DataFrame, size: int, share: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+    """The set of each document, and the classes of equal sets: id, sig, doc (the least doc_id), copies, n, vec, keys."""
     bound_batches(docs.sparkSession)
     own = stored(shingle_sets(docs, size, share), "sets")
     same = own.where("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("n", "vec", "keys")))
-    classes = stored(same.withColumn("id", F.monotonically_increasing_id()), "classes")
+    return own, stored(same.withColumn("id", F.monotonically_increasing_id()), "classes")
+
+
+def jaccard_pairs(docs: DataFrame, size: int = SIZE, share: tuple[int, int] = SHARE, tile: int = TILE) -> tuple[DataFrame, DataFrame]:
+    """All links between classes (a, b: the least doc_ids of two classes), and the members (doc_id, of: the least doc_id of its class).
+
+    In place of components: work and result grow with the number of links, which is quadratic in groups of near copies."""
+    own, classes = _classes(docs, size, share)
+    members, _ = _members(classes, share)
+    none = classes.select(F.col("id").alias("node"), F.col("id").alias("root")).limit(0)
+    links = _verified(_other_pairs(members, none, classes, share, tile), docs, classes, size, share, "pairs")
+    name = lambda c: classes.select(F.col("id").alias(c), F.col("doc").alias(f"doc_{c}"))
+    pairs = links.join(name("a"), "a").join(name("b"), "b").select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b"))
+    return pairs, own.where("sig IS NOT NULL").join(classes.select("sig", F.col("doc").alias("of")), "sig").select("doc_id", "of")
+
+
+def jaccard_components(docs: DataFrame, size: int = SIZE, share: tuple[int, int] = SHARE, tile: int = TILE) -> DataFrame:
+    """doc_id, n_shingles, component_id (the least doc_id reachable by links), copies (rows with an equal set), of docs (doc_id, text)."""
+    own, classes = _classes(docs, size, share)
     members, groups = _members(classes, share)
     marks = components(_verified(_first_pairs(members, groups, classes, share, tile), docs, classes, size, share, "first"))
     found = _verified(_other_pairs(members, marks, classes, share, tile), docs, classes, size, share, "other")
