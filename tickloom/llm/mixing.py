@@ -3,9 +3,10 @@
 Each source has a target share of all words. Every document gets the whole copies that its source's target holds for
 sure; the words that are left are drawn without replacement: documents are ranked by their random odds u/(1-u) divided
 by the odds of their inclusion probability, and taken in this order up to the source's fixed size in words; documents
-that are certain to be included come first, by their draw. Inclusion grows with a document's importance. What doesn't fit
-is passed over for later ones that do, until none of a source's documents fits any more. Draws are hashes of id and text: reruns agree, repeated rows share a draw and are
-counted as one group; where the size is reached within a group, as many of its rows are taken as fit.
+that are certain to be included come first, by their draw. Inclusion grows with a document's importance. The first that
+doesn't fit ends this; what is left is filled by the largest later document that fits, again and again until none does,
+and then by one that exceeds it if that comes nearer. Draws are hashes of id and text: reruns agree, repeated rows share
+a draw and are counted as one group; where the size is reached within a group, as many of its rows are taken as fit.
 
 Null or empty texts have no words and are never taken; null sources are one source, the last; an empty table gives an
 empty mix. The ranks are never sorted as a whole: word counts in bins of the rank give the bin where a source's size is
@@ -71,19 +72,15 @@ def _order() -> Column:
 
 
 def _chosen(passes: int) -> Column:
-    """Whether one more copy of the document is taken: it comes before the cut of the first pass that it takes part in, or all rows at the cut are taken."""
-    rank, out = _order(), F.lit(False)
+    """Whether one more copy of the document is taken: it comes before the cut, or all rows at one of the places are taken."""
+    out = F.col("all0") | (_order() < F.col("cut0"))
     for i in range(passes):
-        past = F.lit(True)
-        for j in range(i):
-            past = past & (rank > F.col(f"cut{j}")) & (F.col("size") <= F.col(f"gap{j}"))
-        out = out | (past & (F.col(f"all{i}") | (rank < F.col(f"cut{i}"))))
-        out = out | F.coalesce((rank == F.col(f"cut{i}")) & (F.col(f"take{i}") >= F.col(f"rows{i}")), F.lit(False))
-    return F.col("rank").isNotNull() & F.coalesce(out, F.lit(False))
+        out = F.coalesce(out, F.lit(False)) | F.coalesce((_order() == F.col(f"cut{i}")) & (F.col(f"take{i}") >= F.col(f"rows{i}")), F.lit(False))
+    return F.col("rank").isNotNull() & out
 
 
 def _partly(i: int) -> Column:
-    """Whether some but not all of the rows at the cut of pass i are taken."""
+    """Whether some but not all of the rows at place i are taken."""
     return F.coalesce((F.col(f"take{i}") > 0) & (F.col(f"take{i}") < F.col(f"rows{i}")), F.lit(False))
 
 
@@ -107,41 +104,47 @@ def _first_above(sums: DataFrame, what: str) -> DataFrame:
 
 
 def _cuts(sized: DataFrame, targets: DataFrame, bins: int) -> tuple[DataFrame, int]:
-    """For each source the cuts that _chosen() needs, and the number of passes. A pass takes documents in order up to one that doesn't fit; the next fills what is left with later ones that are small enough."""
+    """For each source the places that _chosen() needs, and their number: cut0, the first in order that doesn't fit (take0 of its rows0 equal rows
+    do; all0: everything fits), then those that fill what is left, a row of each."""
     left = F.when(F.col("source_size") > 0, F.col("target") - F.floor(F.col("target") / F.col("source_size")) * F.col("source_size")).otherwise(0.0)
     out = stored(targets.withColumns({"gap": left, "key": _keyed("source")}), "gaps")
-    n, i, cols = out.count(), 0, ["key", "size", "rank", "doc_id", "draw"]
-    rows = _ranked(sized.join(maybe_broadcast(out.drop("source"), n), "key")).where("rank IS NOT NULL").select(*cols)
-    while True:
-        own = rows.join(maybe_broadcast(out.select("key", "gap"), n), "key").withColumn("bin", F.floor(F.col("rank") * bins)).withColumn("fine", F.floor((F.col("rank") * bins - F.col("bin")) * bins))
-        sums = stored(own.groupBy("key", "bin").agg(F.sum("size").alias("words"), F.first("gap").alias("gap"), F.lit(0).alias("before")), f"sums{i}")
-        edge = stored(_first_above(sums, "bin"), f"edge{i}")
-        inner = own.join(maybe_broadcast(edge, n), ["key", "bin"])
-        fine = inner.groupBy("key", "bin", "fine").agg(F.sum("size").alias("words"), F.first("gap").alias("gap"), F.first("before").alias("before"))
-        edge = stored(_first_above(fine, "fine").join(edge.select("key", "bin"), "key"), f"fine{i}")
-        at = own.join(maybe_broadcast(edge, n), ["key", "bin", "fine"]).groupBy("key", "rank", "doc_id", "draw", "size", "gap", "before").agg(F.count("*").alias("n"))
-        words = F.col("size") * F.col("n")
-        upto = F.col("before") + F.sum(words).over(Window.partitionBy("key").orderBy("rank", "doc_id", "draw").rowsBetween(Window.unboundedPreceding, 0))
-        room = F.col("gap") - F.col("upto") + words
-        take = F.greatest(F.least(F.floor(room / F.col("size")), F.col("n") - 1), F.lit(0)).cast("long")
-        cut = at.withColumn("upto", upto).where("upto > gap").withColumn("take", take)
-        cut = cut.groupBy("key").agg(F.min_by(F.struct(_order().alias("cut"), F.col("size").alias("over"), "n", "take", (room - F.col("take") * F.col("size")).alias("rest")), _order()).alias("found")).select("key", "found.*")
-        total = sums.groupBy("key").agg(F.sum("words").alias("total"))
-        out = out.join(cut, "key", "left").join(total, "key", "left")
-        rest = F.coalesce("rest", F.col("gap") - F.coalesce("total", F.lit(0)))
-        out = out.withColumns({f"all{i}": F.col("cut").isNull(), f"cut{i}": F.col("cut"), f"over{i}": F.col("over"), f"rows{i}": F.col("n"), f"take{i}": F.col("take"), f"gap{i}": rest, "gap": rest}).drop("cut", "over", "n", "take", "rest", "total")
-        out = stored(out, f"cuts{i}")
-        i += 1
-        if out.where(F.col(f"cut{i - 1}").isNotNull() & (F.col("gap") >= 1)).isEmpty():
-            break
-        later = rows.join(maybe_broadcast(out.select("key", F.col(f"cut{i - 1}").alias("cut"), "gap"), n), "key")
-        rows = stored(later.where((_order() > F.col("cut")) & (F.col("size") <= F.col("gap"))).select(*cols), f"rows{i}")
-    passes = i
-    # Of the documents that didn't fit, the one with which the words come nearer to the size than without.
-    best = F.array_min(F.array(*(F.when(F.col(f"over{i}") < 2 * F.col("gap"), F.struct(F.abs(F.col(f"over{i}") - F.col("gap")).alias("off"), F.col(f"cut{i}").alias("cut"))) for i in range(passes))))
-    out = out.withColumn("extra", best["cut"])
-    one = {f"take{i}": F.col(f"take{i}") + F.when(F.coalesce(F.col("extra") == F.col(f"cut{i}"), F.lit(False)), 1).otherwise(0) for i in range(passes)}
-    return stored(out.withColumns(one).drop("extra", "gap", "key", *(f"over{i}" for i in range(passes))), "cuts"), passes
+    n, cols = out.count(), ["key", "size", "rank", "doc_id", "draw"]
+    rows = _ranked(sized.join(maybe_broadcast(out.drop("source"), n), "key")).where("rank IS NOT NULL")
+    own = rows.select(*cols, "gap").withColumn("bin", F.floor(F.col("rank") * bins)).withColumn("fine", F.floor((F.col("rank") * bins - F.col("bin")) * bins))
+    sums = stored(own.groupBy("key", "bin").agg(F.sum("size").alias("words"), F.first("gap").alias("gap"), F.lit(0).alias("before")), "sums")
+    edge = stored(_first_above(sums, "bin"), "edge")
+    fine = own.join(maybe_broadcast(edge, n), ["key", "bin"]).groupBy("key", "bin", "fine").agg(F.sum("size").alias("words"), F.first("gap").alias("gap"), F.first("before").alias("before"))
+    edge = stored(_first_above(fine, "fine").join(edge.select("key", "bin"), "key"), "fine")
+    at = own.join(maybe_broadcast(edge, n), ["key", "bin", "fine"]).groupBy("key", "rank", "doc_id", "draw", "size", "gap", "before").agg(F.count("*").alias("n"))
+    words = F.col("size") * F.col("n")
+    upto = F.col("before") + F.sum(words).over(Window.partitionBy("key").orderBy("rank", "doc_id", "draw").rowsBetween(Window.unboundedPreceding, 0))
+    room = F.col("gap") - F.col("upto") + words
+    take = F.greatest(F.least(F.floor(room / F.col("size")), F.col("n") - 1), F.lit(0)).cast("long")
+    cut = at.withColumn("upto", upto).where("upto > gap").withColumn("take", take)
+    cut = cut.groupBy("key").agg(F.min_by(F.struct(_order().alias("cut0"), F.col("size").alias("over0"), F.col("n").alias("rows0"), F.col("take").alias("take0"), (room - F.col("take") * F.col("size")).alias("rest")), _order()).alias("found")).select("key", "found.*")
+    out = stored(out.join(cut, "key", "left").withColumn("all0", F.col("cut0").isNull()).withColumn("gap", F.coalesce("rest", F.lit(0.0))).drop("rest"), "cut")
+    later = rows.select(*cols).join(maybe_broadcast(out.select("key", "cut0", "gap"), n), "key").where((_order() > F.col("cut0")) & (F.col("size") < 2 * F.col("gap")))
+    later = stored(later.groupBy(*cols).agg(F.count("*").alias("n")), "later")
+
+    def picked(place: int, fits: Column, first: list[Column]) -> DataFrame:
+        """Of the later documents that weren't picked yet and fit, the first of each source."""
+        free = later.join(maybe_broadcast(out.select("key", "gap", *(f"cut{j}" for j in range(place))), n), "key").where(fits)
+        for j in range(1, place):
+            free = free.where(~_order().eqNullSafe(F.col(f"cut{j}")))
+        one = F.struct(_order().alias(f"cut{place}"), F.col("size").alias(f"over{place}"), F.col("n").alias(f"rows{place}"), F.lit(1).cast("long").alias(f"take{place}"))
+        return stored(free.groupBy("key").agg(F.min_by(one, F.struct(*first, _order())).alias("found")).select("key", "found.*"), f"picked{place}")
+
+    places = 1
+    while not (found := picked(places, F.col("size") <= F.col("gap"), [-F.col("size")])).isEmpty():
+        out = stored(out.join(maybe_broadcast(found, n), "key", "left").withColumn("gap", F.col("gap") - F.coalesce(f"over{places}", F.lit(0))), f"filled{places}")
+        places += 1
+    out = out.join(maybe_broadcast(picked(places, F.lit(True), [F.col("size")]), n), "key", "left")
+    # Nothing fits: one more, of the cut or of the smallest later document, if the words come nearer to the size with it than without.
+    off = [F.when(F.coalesce(F.col(f"over{i}") < 2 * F.col("gap"), F.lit(False)), F.abs(F.col(f"over{i}") - F.col("gap"))) for i in (0, places)]
+    least = F.least(*off)
+    cut_more, last_more = F.coalesce(off[0] == least, F.lit(False)), F.coalesce((off[1] == least) & (off[0].isNull() | (off[0] > least)), F.lit(False))
+    out = out.withColumns({"take0": F.col("take0") + F.when(cut_more, 1).otherwise(0), f"take{places}": F.when(last_more, 1).otherwise(0)})
+    return stored(out.drop("gap", "key", *(f"over{i}" for i in range(places + 1))), "cuts"), places + 1
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, cap: float = CAP, importance: Column | None = None, seed: int = 17, bins: int = BINS) -> DataFrame:
