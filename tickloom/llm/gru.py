@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 
-HIDDEN, SEGMENT, CONTEXT, TOGETHER = 12, 512, 32, 1024
+HIDDEN, SEGMENT, CONTEXT, TOGETHER = 12, 256, 16, 2048
 LETTER = np.zeros(256, bool)
 LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 #: Byte that pads segments.
