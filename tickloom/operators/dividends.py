@@ -71,10 +71,11 @@ def normalize_dividends(df: DataFrame, source: str = "api", strict: bool = True)
     cash = kind == "cash_dividend"
     number = {c: F.expr(f"try_cast({c} AS double)") for c in ("cash_amount", "stock_amount", "rate")}
     if strict:
-        checked(df, F.coalesce(cleaned(F.col("id").cast("string")), F.lit("")).eqNullSafe("") | symbol_of("symbol").isNull() | ~F.coalesce(kind.isin(*DIVIDEND_TYPES), F.lit(False)), "{n} actions lack an id, a symbol or a known type")
+        rules = [(F.coalesce(cleaned(F.col("id").cast("string")), F.lit("")).eqNullSafe("") | symbol_of("symbol").isNull() | ~F.coalesce(kind.isin(*DIVIDEND_TYPES), F.lit(False)), "{n} actions lack an id, a symbol or a known type")]
         for d in DATES:
             text = cleaned(F.col(d).cast("string"))
-            checked(df, text.isNotNull() & iso_date(text).isNull(), "{n} values of " + d + " aren't ISO dates")
+            rules.append((text.isNotNull() & iso_date(text).isNull(), "{n} values of " + d + " aren't ISO dates"))
+        checked(df, *rules)
     raw = F.col("raw") if "raw" in df.columns else F.to_json(F.struct(*FIELDS))
     return df.select(
         cleaned(F.col("id").cast("string")).alias("corporate_action_id"), symbol_of("symbol").alias("symbol"), kind.alias("corporate_action_type"), F.lit(source).alias("source"),
@@ -132,5 +133,5 @@ def source_counts(df: DataFrame) -> DataFrame:
 def mart_rows(df: DataFrame) -> DataFrame:
     """Rows of the research mart: upper-case symbols and the year of ex_date; one bad row rejects all."""
     day = iso_date(F.col("ex_date").cast("string"))
-    checked(df, day.isNull() | symbol_of("symbol").isNull(), "{n} rows lack a symbol or a valid ex_date")
+    checked(df, (day.isNull() | symbol_of("symbol").isNull(), "{n} rows lack a symbol or a valid ex_date"))
     return df.withColumns({"symbol": symbol_of("symbol"), "year": F.year(day)})

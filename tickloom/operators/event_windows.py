@@ -36,8 +36,8 @@ def event_windows(dividends: DataFrame, bars: DataFrame, pre: int = 5, post: int
             raise ValueError(f"dividends need {c}")
     day = F.to_date(F.try_to_timestamp(F.col("ex_date").cast("string")))
     bar_day = F.to_date(F.try_to_timestamp(F.col(field))) if dict(bars.dtypes)[field] == "string" else F.to_date(field)
-    checked(dividends, day.isNull() | symbol_of("symbol").isNull(), "{n} dividends lack a symbol or a valid ex_date")
-    checked(bars, bar_day.isNull() | symbol_of("symbol").isNull(), "{n} bars lack a symbol or a valid " + field)
+    checked(dividends, (day.isNull() | symbol_of("symbol").isNull(), "{n} dividends lack a symbol or a valid ex_date"))
+    checked(bars, (bar_day.isNull() | symbol_of("symbol").isNull(), "{n} bars lack a symbol or a valid " + field))
     ev = dividends.select(*(_column(dividends, c).alias(f"event_{c}") for c in EVENT), day.alias("event_date")).withColumn("event_symbol", symbol_of("event_symbol"))
     br = bars.select(_column(bars, "timeframe").alias("bar_timeframe"), *(_column(bars, field if c == "ts" else c).alias(f"bar_{c}") for c in BAR if c not in ("timeframe", "date")), bar_day.alias("bar_date")).withColumn("bar_symbol", symbol_of("bar_symbol"))
     br = br.withColumn("bar_timeframe", F.coalesce("bar_timeframe", F.lit(timeframe)))

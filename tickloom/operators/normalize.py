@@ -11,11 +11,12 @@ PRICES = ("open", "high", "low", "close")
 REQUIRED = ("timestamp", *PRICES, "volume")
 
 
-def checked(df: DataFrame, bad: Column, message: str) -> DataFrame:
-    """df, after one action that counts its bad rows; raises if there are any."""
-    n = df.where(bad).count()
-    if n:
-        raise ValueError(message.format(n=n))
+def checked(df: DataFrame, *rules: tuple[Column, str]) -> DataFrame:
+    """df, after one action that counts the rows of each rule (bad, message); raises for the first that has any."""
+    counts = df.agg(*(F.count_if(bad).alias(f"n{i}") for i, (bad, _) in enumerate(rules))).first()
+    for n, (_, message) in zip(counts, rules, strict=True):
+        if n:
+            raise ValueError(message.format(n=n))
     return df
 
 
@@ -36,7 +37,7 @@ def normalize_bars(raw: DataFrame, symbol: str | Column, source: str, timeframe:
     ts = F.try_to_timestamp(F.col("timestamp")) if dict(raw.dtypes)["timestamp"] == "string" else F.col("timestamp").cast("timestamp")
     df = raw.withColumn("ts_utc", ts)
     if strict:
-        checked(df, F.col("ts_utc").isNull(), "{n} timestamps can't be parsed")
+        checked(df, (F.col("ts_utc").isNull(), "{n} timestamps can't be parsed"))
     symbol = F.lit(symbol) if isinstance(symbol, str) else symbol
     number = {c: F.expr(f"try_cast({c} AS double)") for c in PRICES}
     volume = F.coalesce(F.expr("try_cast(try_cast(volume AS double) AS bigint)"), F.lit(0)).cast("long")
