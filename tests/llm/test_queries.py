@@ -87,6 +87,8 @@ def test_op3_long_texts_and_many_matches(spark):
     df = spark.createDataFrame([(1, text), (1, text), (2, "x" * 300_000)], "doc_id bigint, text string")
     got = secrets.find_secrets(df).collect()
     want = [(m.start(), m.end()) for m in re.finditer(r"token=[a-z]{12}|[0-9a-f]{16,}", text)]
+    index = secrets.trigram_index(df)
+    assert sorted(map(str, secrets.find_secrets(df, secrets.RULES[:4], index).collect())) == sorted(map(str, secrets.find_secrets(df, secrets.RULES[:4]).collect()))
     assert [[(s.start, s.end) for s in r.spans] for r in got if r.doc_id == 1] == [want] * 2 and [r.spans for r in got if r.doc_id == 2] == [None]
 
 

@@ -79,16 +79,25 @@ def _spans(rows: DataFrame, rules: list[Rule], use) -> DataFrame:
     return ended.where("part >= least").select("doc_id", "hash", "kind", (F.col("end") - F.col("size")).alias("start"), "end")
 
 
-def find_secrets(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
-    """doc_id, hash and spans (kind, start, end; in order of start, then of the rules) of docs (doc_id, text), null without any."""
-    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
+
+
+def trigram_index(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
+    """The stored postings (doc_id, hash, trigram) of the trigrams that the rules name: once for several scans of docs by these rules or some of them."""
+    named = [query(r.regex) for r in rules]
+    return stored(_postings(_keyed(docs), sorted({t for q in named if q for c in q for t in c})), "postings")
+
+
+def find_secrets(docs: DataFrame, rules: list[Rule] = RULES, index: DataFrame | None = None) -> DataFrame:
+    """doc_id, hash and spans (kind, start, end; in order of start, then of the rules) of docs (doc_id, text), null without any. index: their trigram_index, if there is one."""
+    keyed = _keyed(docs)
     queries = {r.kind: query(r.regex) for r in rules}
     scanned = [r for r in rules if queries[r.kind] is None]
     indexed = [r for r in rules if queries[r.kind] is not None]
     parts = [_spans(keyed.where(F.col("text").rlike(r.regex)), [r], lambda _: F.lit(True)) for r in scanned]
     if indexed:
-        vocabulary = sorted({t for r in indexed for c in queries[r.kind] for t in c})
-        postings = stored(_postings(keyed, vocabulary), "postings")
+        postings = trigram_index(docs, indexed) if index is None else index
         candidates = stored(_candidates(postings, {r.kind: queries[r.kind] for r in indexed}), "candidates")
         few = maybe_broadcast(candidates.select(F.col("doc_id").alias("of"), F.col("hash").alias("as"), "kinds"))
         rows = keyed.join(few, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("hash") == F.col("as")))
