@@ -7,7 +7,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.operators import event_windows as ew
+from tickloom.operators import event_windows as ew, ordered
 from tickloom.operators import inventory, quality, records, rollup, shards
 from tickloom.plans import composites
 from tickloom.schemas import BAR, DIVIDEND
@@ -128,24 +128,42 @@ def test_order_checks_against_a_loop(spark):
 
 
 def loop_plan(sizes, limit):
-    out, used, shard = [], 0, 0
-    for n in sizes:
-        if used and used + n > limit:
-            used, shard = 0, shard + 1
-        out.append(shard)
-        used += n
+    """A shard is closed before a file that doesn't fit, if it holds any, and after one that is larger than a shard."""
+    groups, current = [], []
+    for i, n in enumerate(sizes):
+        if current and sum(sizes[j] for j in current) + n > limit:
+            groups.append(current)
+            current = []
+        current.append(i)
         if n > limit:
-            used, shard = 0, shard + 1
-    return out
+            groups.append(current)
+            current = []
+    return [k for k, own in enumerate([*groups, current]) for _ in own]
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_shard_plan_against_a_loop(spark, seed):
+    rng = random.Random(seed)
+    n, most = [(0, 1), (1, 50), (700, 30), (700, 130), (500, 3), (300, 100), (400, 250), (300, 1000), (40, 5000), (1, 200), (900, 1), (600, 60)][seed]
+    sizes = [rng.choice([0, rng.randrange(most), most, rng.choice([0, 0, 100, 101])]) for _ in range(n)]
+    inv = spark.createDataFrame([(f"p{i:05d}", s) for i, s in enumerate(sizes)], "relative_path string, size_bytes long").repartition(3)
+    for span in (1, 8) if seed > 5 else (2,):
+        got = [r.shard for r in shards.shard_plan(inv, 100, span).orderBy("relative_path").collect()]
+        assert got == loop_plan(sizes, 100)
 
 
-def test_shard_plan_against_a_loop(spark):
-    rng = random.Random(8)
-    for n, most in ((0, 1), (1, 50), (700, 30), (700, 130), (500, 3), (300, 100)):
-        sizes = [rng.choice([0, rng.randrange(most), most]) for _ in range(n)]
-        inv = spark.createDataFrame([(f"p{i:05d}", s) for i, s in enumerate(sizes)], "relative_path string, size_bytes long").repartition(3)
-        got = [r.shard for r in shards.shard_plan(inv, 100).orderBy("relative_path").collect()]
-        assert got == loop_plan(sizes, 100)
+@pytest.mark.parametrize("sizes, want", [([0, 20, 3], [0, 1, 2]), ([20, 0, 0, 3, 20], [0, 1, 1, 1, 2]), ([10, 0, 1], [0, 0, 1]), ([0] * 30, [0] * 30), ([20, 20, 20], [0, 1, 2]), ([10] * 40, list(range(40))), ([1] * 35, [i // 10 for i in range(35)]), ([500, 1, 500, 0], [0, 1, 2, 3])])
+def test_shard_plan_edges(spark, sizes, want):
+    inv = spark.createDataFrame([(f"p{i:05d}", s) for i, s in enumerate(sizes)], "relative_path string, size_bytes long").repartition(3)
+    assert [r.shard for r in shards.shard_plan(inv, 10).orderBy("relative_path").collect()] == want == loop_plan(sizes, 10)
+
+
+def test_running_sums(spark):
+    rows = [(f"k{i:04d}", i % 7) for i in range(500)]
+    df = spark.createDataFrame(rows, "key string, n long").repartition(6)
+    got = ordered.running(df, "key", {"upto": F.col("n")}, {"last": F.col("n")}).orderBy("key").collect()
+    assert [(r.place, r.upto) for r in got] == [(i, sum(n for _, n in rows[:i])) for i in range(500)]
+    assert all(r.last in (None, rows[i - 1][1]) for i, r in enumerate(got)) and ordered.running(df.limit(0), "key", {}).collect() == []
 
 
 def test_packs(spark, tmp_path):

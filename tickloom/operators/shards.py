@@ -1,99 +1,97 @@
-"""Shards of a file inventory: files in the order of their paths fill a shard until the next doesn't fit.
+"""Shards of a file inventory: files in the order of their paths fill a shard; one is closed before a file that doesn't fit,
+and after a file that is larger than a shard, which is alone in its shard therefore.
 
-Filling is sequential, but once a shard is closed, what follows depends on the file it begins with alone. So each range
-of paths tells, for any bytes that come in with the shard that is open, where that shard closes and what goes out (one
-line for each file that it can close at); one task follows these lines from range to range, and each range then deals
-its own files. Only a range's files are ever together.
+A shard's end depends on the file it begins with alone: it is the first later file whose end lies more than a shard's bytes
+beyond. So the plan is a chain of jumps from file to file. Ranges of SPAN shards' bytes, each with the files of one more
+shard's bytes behind it, tell for every file a shard can begin with at their start where the chain enters the next range.
+These jumps are doubled by joins, so that in log2(ranges) rounds each range knows where it is entered and by which shard; each
+then follows its own chain, and files take the number of the last shard that begins at or before them.
+
+Empty files never close a shard: of a row of them the first takes part. A task holds the sizes of SPAN + 1 shards' files.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
+from .ordered import running
+
+#: Shards' bytes in a range: one file in about so many is a place where the chain may enter.
+SPAN = 8
+JUMPS = "cell long, entry long, leave long, shards long"
+BEGINS = "cell long, begins array<struct<place:long,shard:long>>"
+
+
+def next_places(begin: np.ndarray, end: np.ndarray, limit: int) -> np.ndarray:
+    """For a shard that begins with a file, where in these files the next begins (their number: behind them). Files in order, by the bytes before and upto them."""
+    return np.maximum(np.searchsorted(end, begin + limit, side="right"), np.arange(len(begin)) + 1)
+
+
+def _ordered(t: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    t = t.sort_values("place")
+    begin = t["before"].to_numpy()
+    return t["place"].to_numpy(), begin, begin + t["size"].to_numpy(), int((t["cell"] == t["own"]).sum())
+
 
-STEPS = "part int, k int, above long, out long, shards long, alone boolean, total long"
-ENTRIES = "part int, used long, base long"
-
-
-def _sorted(t: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
-    t = t.sort_by([("relative_path", "ascending")])
-    size = t["size_bytes"].to_numpy()
-    return t, size, np.concatenate([[0], np.cumsum(size)])
-
-
-def _closes(upto: np.ndarray, used: int, at: int, limit: int) -> int:
-    """The first file from `at` on that doesn't fit with `used` bytes before it."""
-    return int(np.searchsorted(upto, upto[at] + limit - used, side="right")) - 1
-
-
-def _steps(t: pa.Table, limit: int) -> pa.Table:
-    part, (_, size, upto) = t["part"][0].as_py(), _sorted(t)
-    n = len(size)
-    out, count = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)  # from an empty shard at each file: bytes that go out, shards that are closed
-    for j in range(n - 1, -1, -1):
-        k = _closes(upto, 0, j, limit)
-        if k >= n:
-            out[j] = upto[n] - upto[j]
-        elif size[k] > limit:
-            out[j], count[j] = out[k + 1], count[k + 1] + 1 + int(upto[k] > upto[j])
-        else:
-            out[j], count[j] = out[k], count[k] + 1
-    last = min(_closes(upto, 0, 0, limit), n - 1)
-    rows = []
-    for k in range(last + 1):
-        if limit - upto[k + 1] < limit:  # a file of no bytes closes nothing
-            big = size[k] > limit
-            rows.append((part, k, int(limit - upto[k + 1]), int(out[k + 1] if big else out[k]), int(count[k + 1] + 1 if big else count[k] + 1), bool(big and upto[k] == 0), int(upto[n]), bool(big)))
-    rows = [(p, k, a, o, c + int(big and not alone), alone, total) for p, k, a, o, c, alone, total, big in rows]
-    rows.append((part, n, -1 - int(upto[n]) - limit, -1, 0, False, int(upto[n])))
-    return pa.Table.from_arrays([pa.array(c, f) for c, f in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()), strict=True)], ["part", "k", "above", "out", "shards", "alone", "total"])
-
-
-def _follow(batches):
-    """Lines of all ranges in order: the bytes and the shard that each range begins with."""
-    used = base = 0
-    part = None
-    for b in batches:
-        made = []
-        for p, above, out, shards, alone, total in zip(*(b.column(c).to_pylist() for c in ("part", "above", "out", "shards", "alone", "total")), strict=True):
-            if p != part:
-                part, done = p, False
-                made.append((p, used, base))
-                entry = used
-            if not done and entry > above:
-                done = True
-                used, base = (entry + total, base) if out < 0 else (out, base + shards + int(alone and entry > 0))
-        cols = list(zip(*made, strict=True)) or [(), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int32(), pa.int64(), pa.int64()), strict=True)], ["part", "used", "base"])
-
-
-def shard_plan(inventory: DataFrame, shard_bytes: int) -> DataFrame:
-    """relative_path, size_bytes and shard. A file larger than a shard has one of its own. Paths must be unique; an empty inventory gives no rows."""
+def shard_plan(inventory: DataFrame, shard_bytes: int, span: int = SPAN) -> DataFrame:
+    """relative_path, size_bytes and shard. Paths must be unique; null sizes count as 0; an empty inventory gives no rows."""
     limit = int(shard_bytes)
-    files = inventory.select("relative_path", F.col("size_bytes").cast("long").alias("size_bytes")).repartitionByRange("relative_path")
-    parts = checkpointed(files.withColumn("part", F.spark_partition_id()))
-    lines = parts.groupBy("part").applyInArrow(lambda t: _steps(t, limit), STEPS)
-    entries = checkpointed(lines.repartition(1).sortWithinPartitions("part", "k").mapInArrow(_follow, ENTRIES))
-
-    def deal(t: pa.Table) -> pa.Table:
-        used, shard = t["used"][0].as_py(), t["base"][0].as_py()
-        t, size, upto = _sorted(t)
-        of, at, n = np.zeros(len(size), np.int64), 0, len(size)
+    if limit <= 0:
+        raise ValueError("shard_bytes must be positive")
+    width = span * limit
+    size = F.coalesce("size_bytes", F.lit(0))
+    files = inventory.select("relative_path", F.col("size_bytes").cast("long").alias("size_bytes"))
+    placed = checkpointed(running(files, "relative_path", {"before": size}, {"last": size}).withColumn("own", F.floor(F.col("before") / width)))
+    items = placed.where((size > 0) | F.col("last").isNull() | (F.col("last") > 0)).select("place", "before", size.alias("size"), "own")
+    near = F.when(F.col("before") - F.col("own") * width < limit, F.col("own") - 1)
+    dealt = items.withColumn("cell", F.explode(F.array_compact(F.array("own", near)))).where("cell >= 0")
+
+    def jumps(t: pd.DataFrame) -> pd.DataFrame:
+        """Of each file that a shard can begin with at the start of the range: where its chain leaves the range (null: at the end of all files), after how many shards."""
+        place, begin, end, n = _ordered(t)
+        if not n:
+            return pd.DataFrame({c.split()[0]: [] for c in JUMPS.split(", ")})
+        cell = int(t["cell"].iloc[0])
+        step = next_places(begin, end, limit)[:n]
+        to, count = step.copy(), np.ones(n, np.int64)
+        while (inside := np.flatnonzero(to < n)).size:
+            to[inside], count[inside] = to[to[inside]], count[inside] + count[to[inside]]
+        # Behind the last file here nothing follows, unless that is larger than a shard: then the next file does, if there is one.
+        known = np.append(place, place[-1] + 1)[to]
+        open_end = (to == len(place)) & ~(end[-1] - begin[-1] > limit)
+        enter = (begin[:n] - cell * width <= limit) | (np.arange(n) == 0)
+        leave = pd.array(known, dtype="Int64")
+        leave[open_end] = pd.NA
+        return pd.DataFrame({"cell": cell, "entry": place[:n], "leave": leave, "shards": count})[enter]
+
+    reach = checkpointed(dealt.groupBy("cell").applyInPandas(jumps, JUMPS))
+    met = reach.select(F.col("leave").alias("entry")).distinct()
+    reach = checkpointed(reach.where("entry = 0").unionByName(reach.join(met, "entry", "left_semi").where("entry > 0").select(*reach.columns)))
+    known = reach.where("entry = 0").select("entry", F.lit(0).cast("long").alias("shard"))
+    hops = reach.where("leave IS NOT NULL").select("entry", "leave", "shards")
+    while not hops.isEmpty():  # twice as many ranges a round
+        known = checkpointed(known.unionByName(known.join(hops, "entry").select(F.col("leave").alias("entry"), (F.col("shard") + F.col("shards")).alias("shard"))))
+        then = hops.select(F.col("entry").alias("leave"), F.col("leave").alias("beyond"), F.col("shards").alias("more"))
+        hops = checkpointed(hops.join(then, "leave").select("entry", F.col("beyond").alias("leave"), (F.col("shards") + F.col("more")).alias("shards")))
+    entered = known.join(reach.select("entry", "cell"), "entry").select("cell", F.col("entry").alias("first"), "shard")
+
+    def begins(t: pd.DataFrame) -> pd.DataFrame:
+        """The shards that begin in the range, and the one that is open before."""
+        place, begin, end, n = _ordered(t)
+        step, at, shard = next_places(begin, end, limit), int(np.searchsorted(place, t["first"].iloc[0])), int(t["shard"].iloc[0])
+        found = [(-1, shard - 1)] if shard else []
         while at < n:
-            k = min(_closes(upto, used, at, limit), n)
-            of[at:k] = shard
-            used += int(upto[k] - upto[at])
-            if k < n:
-                shard += int(used > 0)
-                if size[k] > limit:
-                    of[k] = shard
-                    shard, k = shard + 1, k + 1
-                used = 0
-            at = k
-        return pa.Table.from_arrays([t["relative_path"], t["size_bytes"], pa.array(of)], ["relative_path", "size_bytes", "shard"])
-
-    return parts.join(entries, "part").groupBy("part").applyInArrow(deal, "relative_path string, size_bytes long, shard long")
+            found.append((int(place[at]), shard))
+            at, shard = int(step[at]), shard + 1
+        return pd.DataFrame({"cell": [int(t["cell"].iloc[0])], "begins": [[{"place": p, "shard": s} for p, s in found]]})
+
+    cells = checkpointed(dealt.join(entered, "cell").groupBy("cell").applyInPandas(begins, BEGINS))
+    last = cells.agg(F.max(F.array_max(F.transform("begins", lambda x: x["shard"])))).first()[0]
+    shard = F.array_max(F.transform(F.filter("begins", lambda x: x["place"] <= F.col("place")), lambda x: x["shard"]))
+    out = placed.join(cells, placed["own"] == cells["cell"], "left")
+    # A last range that no shard begins in holds the end of the last one.
+    return out.select("relative_path", "size_bytes", F.coalesce(shard, F.lit(last)).cast("long").alias("shard"))
