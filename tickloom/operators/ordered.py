@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpointed
+from ..session import stored
 
 
 def running(df: DataFrame, order: str, sums: dict[str, Column], before: dict[str, Column] | None = None) -> DataFrame:
@@ -14,7 +14,7 @@ def running(df: DataFrame, order: str, sums: dict[str, Column], before: dict[str
 
     Rows are dealt into ranges of the order; ranges' totals, a line for each range, make what each begins with. The order
     column must hold no value twice; its nulls come first."""
-    ranges = checkpointed(df.repartitionByRange(order).withColumn("_range", F.spark_partition_id()))
+    ranges = stored(df.repartitionByRange(order).withColumn("_range", F.spark_partition_id()))
     sums = {"place": F.lit(1)} | sums
     totals = ranges.groupBy("_range").agg(*(F.sum(c).alias(f"_{k}") for k, c in sums.items()))
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpointed
+from ..session import stored
 from .ordered import running
 
 #: Shards' bytes in a range: one file in about so many is a place where the chain may enter.
@@ -45,7 +45,7 @@ def shard_plan(inventory: DataFrame, shard_bytes: int, span: int = SPAN) -> Data
     width = span * limit
     size = F.coalesce("size_bytes", F.lit(0))
     files = inventory.select("relative_path", F.col("size_bytes").cast("long").alias("size_bytes"))
-    placed = checkpointed(running(files, "relative_path", {"before": size}, {"last": size}).withColumn("own", F.floor(F.col("before") / width)))
+    placed = stored(running(files, "relative_path", {"before": size}, {"last": size}).withColumn("own", F.floor(F.col("before") / width)))
     items = placed.where((size > 0) | F.col("last").isNull() | (F.col("last") > 0)).select("place", "before", size.alias("size"), "own")
     near = F.when(F.col("before") - F.col("own") * width < limit, F.col("own") - 1)
     dealt = items.withColumn("cell", F.explode(F.array_compact(F.array("own", near)))).where("cell >= 0")
@@ -68,15 +68,15 @@ def shard_plan(inventory: DataFrame, shard_bytes: int, span: int = SPAN) -> Data
         leave[open_end] = pd.NA
         return pd.DataFrame({"cell": cell, "entry": place[:n], "leave": leave, "shards": count})[enter]
 
-    reach = checkpointed(dealt.groupBy("cell").applyInPandas(jumps, JUMPS))
+    reach = stored(dealt.groupBy("cell").applyInPandas(jumps, JUMPS))
     met = reach.select(F.col("leave").alias("entry")).distinct()
-    reach = checkpointed(reach.where("entry = 0").unionByName(reach.join(met, "entry", "left_semi").where("entry > 0").select(*reach.columns)))
+    reach = stored(reach.where("entry = 0").unionByName(reach.join(met, "entry", "left_semi").where("entry > 0").select(*reach.columns)))
     known = reach.where("entry = 0").select("entry", F.lit(0).cast("long").alias("shard"))
     hops = reach.where("leave IS NOT NULL").select("entry", "leave", "shards")
     while not hops.isEmpty():  # twice as many ranges a round
-        known = checkpointed(known.unionByName(known.join(hops, "entry").select(F.col("leave").alias("entry"), (F.col("shard") + F.col("shards")).alias("shard"))))
+        known = stored(known.unionByName(known.join(hops, "entry").select(F.col("leave").alias("entry"), (F.col("shard") + F.col("shards")).alias("shard"))))
         then = hops.select(F.col("entry").alias("leave"), F.col("leave").alias("beyond"), F.col("shards").alias("more"))
-        hops = checkpointed(hops.join(then, "leave").select("entry", F.col("beyond").alias("leave"), (F.col("shards") + F.col("more")).alias("shards")))
+        hops = stored(hops.join(then, "leave").select("entry", F.col("beyond").alias("leave"), (F.col("shards") + F.col("more")).alias("shards")))
     entered = known.join(reach.select("entry", "cell"), "entry").select("cell", F.col("entry").alias("first"), "shard")
 
     def begins(t: pd.DataFrame) -> pd.DataFrame:
@@ -89,7 +89,7 @@ def shard_plan(inventory: DataFrame, shard_bytes: int, span: int = SPAN) -> Data
             at, shard = int(step[at]), shard + 1
         return pd.DataFrame({"cell": [int(t["cell"].iloc[0])], "begins": [[{"place": p, "shard": s} for p, s in found]]})
 
-    cells = checkpointed(dealt.join(entered, "cell").groupBy("cell").applyInPandas(begins, BEGINS))
+    cells = stored(dealt.join(entered, "cell").groupBy("cell").applyInPandas(begins, BEGINS))
     last = cells.agg(F.max(F.array_max(F.transform("begins", lambda x: x["shard"])))).first()[0]
     shard = F.array_max(F.transform(F.filter("begins", lambda x: x["place"] <= F.col("place")), lambda x: x["shard"]))
     out = placed.join(cells, placed["own"] == cells["cell"], "left")

@@ -397,10 +397,11 @@ def _files(spark, d):
 FILES = "f AS (SELECT format('bars_daily/symbol={}/date={}/part-{:08d}.parquet', o_orderpriority, strftime(o_orderdate, '%Y-%m-%d'), o_orderkey) AS relative_path, CAST(trunc(o_totalprice) AS BIGINT) AS size_bytes, sha256(CAST(o_orderkey AS VARCHAR)) AS sha256, o_orderkey, o_orderpriority, o_orderdate FROM orders)"
 
 
-@_query(f"""WITH RECURSIVE {FILES}, o AS (SELECT relative_path, size_bytes, row_number() OVER w - 1 AS place, CAST(sum(size_bytes) OVER w AS BIGINT) AS upto FROM f WINDOW w AS (ORDER BY relative_path)),
-n AS (SELECT o.place, greatest(o.place + 1, j.place) AS following FROM o ASOF JOIN (SELECT place, upto FROM o WHERE size_bytes > 0) j ON o.upto - o.size_bytes + 1000000 < j.upto),
-c AS (SELECT CAST(0 AS BIGINT) AS place, CAST(0 AS BIGINT) AS shard UNION ALL SELECT n.following, c.shard + 1 FROM c JOIN n ON c.place = n.place)
-SELECT o.relative_path, o.size_bytes, c.shard FROM o ASOF JOIN c ON o.place >= c.place""")
+@_query(f"""WITH RECURSIVE {FILES}, o AS (SELECT relative_path, size_bytes, row_number() OVER w - 1 AS place, CAST(sum(size_bytes) OVER w AS BIGINT) - size_bytes AS begin FROM f WINDOW w AS (ORDER BY relative_path)),
+n AS MATERIALIZED (SELECT place, greatest(place + 1, max(CASE WHEN size_bytes > 0 THEN place END) OVER (ORDER BY begin RANGE BETWEEN UNBOUNDED PRECEDING AND 1000000 FOLLOWING)) AS following,
+ begin + 1000000 < sum(size_bytes) OVER () OR size_bytes > 1000000 AS goes_on FROM o),
+c AS (SELECT CAST(0 AS BIGINT) AS place UNION ALL SELECT n.following FROM c JOIN n ON c.place = n.place AND n.goes_on)
+SELECT o.relative_path, o.size_bytes, count(c.place) OVER (ORDER BY o.place) - 1 AS shard FROM o LEFT JOIN c ON o.place = c.place""")
 def shard_plan(spark, d):
     return shards.shard_plan(_files(spark, d), 1_000_000)
 
