@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -207,15 +208,84 @@ def coverage_all_days(spark, d):
     return gaps.coverage(bars(spark, d).withColumn("d", F.to_date("ts_utc")), expected, "ALL_DAYS", START, END)
 
 
-@_query(f"""SELECT count(*) AS daily_bars, 390 * count(*) AS minute_bars FROM (SELECT unnest(generate_series(DATE '{START}', DATE '{END}' - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS t) WHERE isodow(t) < 6""")
+def _observed(spark, d, first: str, end: str) -> DataFrame:
+    """Days and minutes with bars of each symbol in a window."""
+    own = bars(spark, d).where((F.col("ts_utc") >= F.lit(first).cast("timestamp")) & (F.col("ts_utc") < F.lit(end).cast("timestamp")))
+    minutes = own.groupBy("symbol", F.to_date("ts_utc").alias("day")).agg(F.countDistinct("ts_utc").alias("n"))
+    return minutes.groupBy("symbol").agg(F.count("*").alias("observed_days"), F.sum("n").alias("observed_minutes"))
+
+
+def _observed_sql(first: str, end: str, expected: str) -> str:
+    return f"""{B}, o AS (SELECT symbol, count(DISTINCT CAST(ts_utc AS DATE)) AS observed_days, count(DISTINCT ts_utc) AS observed_minutes FROM b WHERE ts_utc >= TIMESTAMP '{first}' AND ts_utc < TIMESTAMP '{end}' GROUP BY symbol),
+e AS ({expected}) SELECT o.*, e.*, CAST(observed_minutes / minute_bars AS DOUBLE) AS coverage_pct FROM o, e"""
+
+
+def _expected(spark, d, first: str, end: str, mode: str) -> DataFrame:
+    days, minutes = gaps.expected_bars(spark, first, end, mode=mode).first()
+    out = _observed(spark, d, first, end).withColumns({"daily_bars": F.lit(days).cast("long"), "minute_bars": F.lit(minutes).cast("long")})
+    return out.withColumn("coverage_pct", F.col("observed_minutes") / F.col("minute_bars"))
+
+
+@_query(_observed_sql(START, END, f"SELECT count(*) AS daily_bars, 390 * count(*) AS minute_bars FROM (SELECT unnest(generate_series(DATE '{START}', DATE '{END}' - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS t) WHERE isodow(t) < 6"))
 def expected_bars(spark, d):
-    return gaps.expected_bars(spark, START, END)
+    return _expected(spark, d, START, END, "WEEKDAY")
 
 
-@_query(f"""SELECT count(*) AS daily_bars, CAST(sum(CASE WHEN strftime(t, '%Y-%m-%d') IN ({', '.join(map(repr, SHORT_2024))}) THEN 210 ELSE 390 END) AS BIGINT) AS minute_bars
-FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-12-31', INTERVAL 1 DAY)) AS t) WHERE isodow(t) < 6 AND strftime(t, '%Y-%m-%d') NOT IN ({', '.join(map(repr, CLOSED_2024))})""")
+@_query(_observed_sql("2024-01-01", "2025-01-01", f"""SELECT count(*) AS daily_bars, CAST(sum(CASE WHEN strftime(t, '%Y-%m-%d') IN ({', '.join(map(repr, SHORT_2024))}) THEN 210 ELSE 390 END) AS BIGINT) AS minute_bars
+FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-12-31', INTERVAL 1 DAY)) AS t) WHERE isodow(t) < 6 AND strftime(t, '%Y-%m-%d') NOT IN ({', '.join(map(repr, CLOSED_2024))})"""))
 def expected_bars_exchange(spark, d):
-    return gaps.expected_bars(spark, "2024-01-01", "2025-01-01", mode="XNYS")
+    return _expected(spark, d, "2024-01-01", "2025-01-01", "XNYS")
+
+
+#: The exchange that each symbol of the views is listed on, and what its calendar is in the queries' windows, for SQL.
+LISTED = {"1-URGENT": "XNYS", "2-HIGH": "XLON", "3-MEDIUM": "XETR", "4-NOT SPECIFIED": "XTKS", "5-LOW": "XTSE", "CLICK": "XNYS", "VIEW": "XLON", "SIGNUP": "XETR", "PURCHASE": "XTKS", "ERROR": "XTSE", "9-ABSENT": "XNYS"}
+DAYS_2000 = {
+    "XNYS": "01-17 02-21 04-21 05-29 07-04 09-04 11-23 12-25", "XLON": "01-03 04-21 04-24 05-01 05-29 08-28 12-25 12-26", "XETR": "04-21 04-24 05-01 12-25 12-26", "XTSE": "01-03 04-21 05-22 07-03 08-07 09-04 10-09 12-25 12-26",
+    "XTKS": "01-03 01-10 02-11 03-20 05-03 05-04 05-05 07-17 09-18 10-09 11-03 11-23",
+}
+#: Open, close and break in UTC (minutes of the day), and the closed weekdays of January 2024.
+HOURS_2024 = {"XNYS": (870, 1260, 0, 0, "01-01 01-15"), "XLON": (480, 990, 0, 0, "01-01"), "XETR": (480, 990, 0, 0, "01-01"), "XTSE": (870, 1260, 0, 0, "01-01"), "XTKS": (0, 360, 150, 210, "01-01 01-02 01-03 01-08")}
+
+
+def _listing(spark, d, own: DataFrame) -> DataFrame:
+    """The bars' symbols that an exchange lists, and one that has no bars."""
+    names = F.create_map(*(F.lit(x) for pair in LISTED.items() for x in pair))
+    symbols = own.select("symbol").distinct().unionByName(spark.range(1).select(F.lit("9-ABSENT").alias("symbol")))
+    return symbols.select("symbol", names[F.col("symbol")].alias("exchange")).where("exchange IS NOT NULL")
+
+
+def _values(rows) -> str:
+    return "(VALUES " + ", ".join("(" + ", ".join(map(repr, r)) + ")" for r in rows) + ")"
+
+
+LISTING_SQL = f"l AS (SELECT s.symbol, v.exchange FROM (SELECT DISTINCT symbol FROM b UNION SELECT '9-ABSENT') s JOIN {_values(LISTED.items())} AS v(symbol, exchange) USING (symbol))"
+
+
+@_query(f"""{D}, {LISTING_SQL}, h(exchange, day) AS {_values((x, f"2000-{day}") for x, days in DAYS_2000.items() for day in days.split())},
+c AS (SELECT exchange, CAST(t AS DATE) AS session_date FROM (SELECT unnest(generate_series(DATE '2000-01-01', DATE '2000-12-31', INTERVAL 1 DAY)) AS t), (SELECT DISTINCT exchange FROM h) WHERE isodow(t) < 6 AND (exchange, strftime(t, '%Y-%m-%d')) NOT IN (SELECT (exchange, day) FROM h)),
+e AS (SELECT exchange, count(*) AS expected_days FROM c GROUP BY exchange),
+o AS (SELECT b.symbol, count(*) AS rows_total, count(DISTINCT CASE WHEN c.session_date IS NOT NULL THEN b.d END) AS observed_days, count(DISTINCT CASE WHEN c.session_date IS NULL THEN b.d END) AS off_session_days
+ FROM b JOIN l USING (symbol) LEFT JOIN c ON c.exchange = l.exchange AND c.session_date = b.d WHERE b.d BETWEEN (SELECT min(session_date) FROM c) AND (SELECT max(session_date) FROM c) GROUP BY b.symbol),
+q AS (SELECT l.symbol, l.exchange, coalesce(rows_total, 0) AS rows_total, expected_days, coalesce(observed_days, 0) AS observed_days, coalesce(off_session_days, 0) AS off_session_days FROM l JOIN e USING (exchange) LEFT JOIN o USING (symbol))
+SELECT *, expected_days - observed_days AS missing_day_count, observed_days / expected_days AS coverage_days_pct,
+ concat_ws('; ', CASE WHEN rows_total = 0 THEN 'NO_ROWS' END, CASE WHEN expected_days > observed_days THEN 'missing_days=' || (expected_days - observed_days) END) AS notes FROM q""")
+def exchange_coverage(spark, d):
+    own, table = daily(spark, d), f"{shared_dir(spark)}/{uuid.uuid4().hex}/calendars"
+    gaps.exchange_sessions(spark, "2000-01-01", "2000-12-31").write.parquet(table)
+    return gaps.exchange_coverage(own, _listing(spark, d, own), spark.read.parquet(table))
+
+
+@_query(f"""{B}, {LISTING_SQL}, h(exchange, opens, closes, rests, goes_on, days) AS {_values((x, *y) for x, y in HOURS_2024.items())},
+c AS (SELECT exchange, CAST(t AS DATE) AS day, opens, closes, rests, goes_on FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS t), h WHERE isodow(t) < 6 AND NOT contains(days, strftime(t, '%m-%d'))),
+e AS (SELECT exchange, count(*) AS sessions, CAST(sum(closes - opens - goes_on + rests) AS BIGINT) AS expected_minutes FROM c GROUP BY exchange),
+m AS (SELECT DISTINCT symbol, ts_utc, CAST(ts_utc AS DATE) AS day, date_part('hour', ts_utc) * 60 + date_part('minute', ts_utc) AS mi FROM b
+ WHERE ts_utc >= (SELECT min(day + to_minutes(opens)) FROM c) AND ts_utc < (SELECT max(day + to_minutes(closes)) FROM c)),
+o AS (SELECT m.symbol, count(c.day) AS observed_minutes, count(*) - count(c.day) AS outside_minutes FROM m JOIN l USING (symbol) LEFT JOIN c ON c.exchange = l.exchange AND c.day = m.day AND mi >= opens AND mi < closes AND NOT (mi >= rests AND mi < goes_on) GROUP BY m.symbol)
+SELECT l.symbol, l.exchange, sessions, expected_minutes, coalesce(observed_minutes, 0) AS observed_minutes, coalesce(outside_minutes, 0) AS outside_minutes FROM l JOIN e USING (exchange) LEFT JOIN o USING (symbol)""")
+def exchange_minutes(spark, d):
+    own, table = bars(spark, d), f"{shared_dir(spark)}/{uuid.uuid4().hex}/calendars"
+    gaps.exchange_sessions(spark, "2024-01-01", "2024-01-31").write.parquet(table)
+    return gaps.exchange_minutes(own, _listing(spark, d, own), spark.read.parquet(table))
 
 
 def _by_symbol(spark, d):
@@ -351,9 +421,15 @@ def mart_metadata(spark, d):
     return dv.mart_rows(dividends(spark, d)).groupBy("year").agg(F.count("*").alias("n"), F.countDistinct("symbol").alias("symbols"))
 
 
-@_query("SELECT greatest(m, DATE '2024-01-10') AS window_start, least(CAST(m + INTERVAL 1 MONTH AS DATE), DATE '2024-04-15') AS window_end FROM (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-04-14', INTERVAL 1 MONTH)) AS DATE) AS m)")
+@_query(f"""{D}, e AS (SELECT min(d) AS a, max(d) AS z FROM b), m AS (SELECT CAST(unnest(generate_series(date_trunc('month', a), z, INTERVAL 1 MONTH)) AS DATE) AS m FROM e),
+w AS (SELECT greatest(m, a) AS window_start, least(CAST(m + INTERVAL 1 MONTH AS DATE), CAST(z + INTERVAL 1 DAY AS DATE)) AS window_end FROM m, e)
+SELECT window_start, window_end, count(d) AS n_bars FROM w LEFT JOIN b ON d >= window_start AND d < window_end GROUP BY ALL""")
 def month_windows(spark, d):
-    return gaps_months(spark, "2024-01-10", "2024-04-15")
+    own = daily(spark, d)
+    first, last = own.agg(F.min("d"), F.max("d")).first()
+    months = gaps_months(spark, str(first), str(last + timedelta(days=1))).withColumn("month", F.trunc("window_start", "MM"))
+    counts = own.groupBy(F.trunc("d", "MM").alias("month")).agg(F.count("*").alias("n"))
+    return months.join(counts, "month", "left").select("window_start", "window_end", F.coalesce("n", F.lit(0).cast("long")).alias("n_bars"))
 
 
 def gaps_months(spark, start: str, end: str) -> DataFrame:
@@ -363,9 +439,11 @@ def gaps_months(spark, start: str, end: str) -> DataFrame:
     return months.select(F.greatest("m", a).alias("window_start"), F.least(F.add_months("m", 1), z).alias("window_end"))
 
 
-@_query(f"SELECT CAST(t AS DATE) AS day FROM (SELECT unnest(generate_series(DATE '{START}', DATE '{END}' - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS t) WHERE isodow(t) < 6")
+@_query(f"{B}, e AS (SELECT CAST(min(ts_utc) AS DATE) AS a, CAST(max(ts_utc) AS DATE) AS z FROM b), w AS (SELECT CAST(unnest(generate_series(a, z, INTERVAL 1 DAY)) AS DATE) AS day FROM e) SELECT day, count(symbol) AS n_bars FROM w LEFT JOIN b ON CAST(ts_utc AS DATE) = day WHERE isodow(day) < 6 GROUP BY day")
 def weekday_list(spark, d):
-    return spark.range(1).select(F.explode(sessions(F.lit(START).cast("date"), F.date_sub(F.lit(END).cast("date"), 1))).alias("day"))
+    counts = bars(spark, d).groupBy(F.to_date("ts_utc").alias("day")).agg(F.count("symbol").alias("n"))
+    days = counts.agg(F.explode(sessions(F.min("day"), F.max("day"))).alias("day"))
+    return days.join(counts, "day", "left").select("day", F.coalesce("n", F.lit(0).cast("long")).alias("n_bars"))
 
 
 @_query("SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, count(*) AS n, count(*) FILTER (json_extract_string(props, '$.absent') IS NULL) AS without FROM events GROUP BY ALL")
