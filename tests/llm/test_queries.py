@@ -69,6 +69,55 @@ def test_mixing_fills_until_nothing_fits(spark):
     assert abs(sum(r["size"] * r.copies for r in got) - got[0].target) <= 1
 
 
+def test_mixing_of_many_small_documents_beside_a_long_one(spark):
+    """As many jobs as for few documents, and a target that is met; columns keep their names and values."""
+    own = ["rank", "base", "cut0", "take0", "chosen", "row", "class", "left", "_tie", "filled", "key", "size_class", "gap"]
+    rows = [(i, "w " * (1 + i % 37), "a") for i in range(5000)] + [(9999, "w " * 60_000, "a"), (10_000, "w " * 100_000, "b")]
+    jobs = []
+    for some in (rows[-40:], rows):
+        docs = spark.createDataFrame(some, "doc_id bigint, text string, source string").withColumns({c: F.lit(c) for c in own})
+        spark.sparkContext.setJobGroup(f"mix{len(some)}", "mixing")
+        got = mixing.mix(docs).collect()
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"mix{len(some)}")))
+        assert all(r[c] == c for r in got for c in own)
+        for s in "ab":
+            of = [r for r in got if r.source == s]
+            off = abs(sum(r["size"] * r.copies for r in of) - of[0].target)
+            assert off <= (64 if len(some) > 100 and s == "a" else max(r["size"] for r in of))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[1] <= jobs[0] + 10
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_fill_of_size_classes(seed):
+    """No class gives more than fits; what is missing is less than the smallest class with documents left over, or half of what else could be taken."""
+    import random
+
+    import pandas as pd
+
+    rng = random.Random(seed)
+    rows = [(int(np.log2(s)), s, rng.randint(1, 3)) for s in (rng.randint(1, 400) for _ in range(rng.randint(0, 60)))]
+    left, over0, over1 = rng.randint(0, 3000) + rng.random(), rng.choice([0, 3500]), rng.choice([0, 4000])
+    t = [(False, "s", c, i, i, float(s), n, 0, 0) for i, (c, s, n) in enumerate(rows)] + [(False, "s", -1, 0, -1, left, 1, over0, over1)]
+    names = ["none", "of", "class", "place", "id", "size", "n", "over0", "over1"]
+    got = mixing.fill(pd.DataFrame(t, columns=names).sample(frac=1, random_state=seed))
+    assert got.equals(mixing.fill(pd.DataFrame(t, columns=names)))
+    taken, over, unused = 0, 0, []
+    for r in got.itertuples():
+        taken += over0 * r.more0 + over1 * r.more1
+        for i, (c, s, n) in enumerate(rows):
+            if c == r[3]:
+                k = n if pd.isna(r.id) or i < r.id else r.take if i == r.id else 0
+                taken += k * s
+                unused += [s] * (n - k)
+    least = min((int(np.log2(s)) for s in unused), default=None)
+    assert abs(taken - left) <= left + 1e-9
+    if least is not None:
+        assert abs(taken - left) < 2 ** (least + 1)
+    elif not over0 and not over1:
+        assert taken <= left + 1e-9 and taken == sum(s * n for _, s, n in rows)
+
+
 def test_op5_query(spark, folder):
     from tokenizers import Tokenizer
 

@@ -4,20 +4,28 @@ Each source has a target share of all words. Every document gets the whole copie
 sure; the words that are left are drawn without replacement: documents are ranked by their random odds u/(1-u) divided
 by the odds of their inclusion probability, and taken in this order up to the source's fixed size in words; documents
 that are certain to be included come first, by their draw. Inclusion grows with a document's importance. The first that
-doesn't fit ends this; what is left is filled by the largest later document that fits, again and again until none does,
-and then by one that exceeds it if that comes nearer. Draws are hashes of id and text: reruns agree, repeated rows share
-a draw and are counted as one group; where the size is reached within a group, as many of its rows are taken as fit.
+doesn't fit ends this. What is left, less than its size, is filled by later documents of the order: from the largest size
+class (powers of two) down to the smallest each class gives as many as fit, in order; then one more is taken, of those that
+were next or of the one that ended the order, if the words come nearer to the target with it. So a source misses its target by
+less than twice the smallest size class of which documents are left over. Draws are hashes of id and text: reruns agree,
+repeated rows share a draw and are counted as one group; where the size is reached within a group, as many of its rows are
+taken as fit.
 
 Null or empty texts have no words and are never taken; null sources are one source, the last; an empty table gives an
-empty mix. The ranks are never sorted as a whole: word counts in bins of the rank give the bin where a source's size is
-reached, counts in bins of this bin the narrow one, and just its documents are sorted, repeated rows as one.
+empty mix. Other columns are kept, whatever their names. The ranks are never sorted as a whole: word counts in bins of the
+rank give the bin where a source's size is reached, counts in bins of this bin the narrow one, and just its documents are
+sorted, repeated rows as one; size classes are cut likewise, so that a source's filling looks at documents of no more words
+than the one that ended the order, and a narrow bin. Jobs are as many for any data.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from operator import or_
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,17 +79,23 @@ def _order() -> Column:
     return F.struct("rank", "doc_id", "draw")
 
 
-def _chosen(passes: int) -> Column:
-    """Whether one more copy of the document is taken: it comes before the cut, or all rows at one of the places are taken."""
-    out = F.col("all0") | (_order() < F.col("cut0"))
-    for i in range(passes):
-        out = F.coalesce(out, F.lit(False)) | F.coalesce((_order() == F.col(f"cut{i}")) & (F.col(f"take{i}") >= F.col(f"rows{i}")), F.lit(False))
+def _places() -> list[tuple[Column, Column, Column]]:
+    """Where a group of equal rows can be taken in part: whether the document is there, how many rows are, and how many are taken."""
+    return [(F.coalesce(_order() == F.col(f"cut{i}"), F.lit(False)), F.col(f"rows{i}"), F.col(f"take{i}")) for i in ("0", "1", "c")]
+
+
+def _chosen() -> Column:
+    """Whether one more copy of the document is taken: it comes before the cut, of all or of its size class, or all rows at such a place are taken."""
+    later = (_order() > F.col("cut0")) & (F.col("size") <= F.col("left")) & F.col("filled")
+    out = F.col("all0") | (_order() < F.col("cut0")) | F.coalesce(later & (F.col("cutc").isNull() | (_order() < F.col("cutc"))), F.lit(False))
+    for here, rows, take in _places():
+        out = F.coalesce(out, F.lit(False)) | (here & F.coalesce(take >= rows, F.lit(False)))
     return F.col("rank").isNotNull() & out
 
 
-def _partly(i: int) -> Column:
-    """Whether some but not all of the rows at place i are taken."""
-    return F.coalesce((F.col(f"take{i}") > 0) & (F.col(f"take{i}") < F.col(f"rows{i}")), F.lit(False))
+def _partly() -> list[Column]:
+    """At which of the places the document is of a group of which some but not all rows are taken."""
+    return [here & F.coalesce((take > 0) & (take < rows), F.lit(False)) for here, rows, take in _places()]
 
 
 def _split(tied: DataFrame) -> DataFrame:
@@ -97,15 +111,43 @@ def _split(tied: DataFrame) -> DataFrame:
     return tied.join(F.broadcast(last), ["key", "_tie"]).withColumn("_chosen", F.col("_tag") <= F.col("_last"))
 
 
-def _first_above(sums: DataFrame, what: str) -> DataFrame:
-    """key, what and before (words of those before) of each key's first row of sums (key, what, words, before, gap) with which the words exceed gap."""
-    upto = F.col("before") + F.sum("words").over(Window.partitionBy("key").orderBy(what))
-    return sums.withColumn("upto", upto).where("upto > gap").groupBy("key").agg(F.min_by(F.struct(what, (F.col("upto") - F.col("words")).alias("before")), what).alias("edge")).select("key", "edge.*")
-
-
-def _cuts(sized: DataFrame, targets: DataFrame, bins: int) -> tuple[DataFrame, int]:
-    """For each source the places that _chosen() needs, and their number: cut0, the first in order that doesn't fit (take0 of its rows0 equal rows
-    do; all0: everything fits), then those that fill what is left, a row of each."""
+def _first_above(sums: DataFrame, what: str, keys: tuple[str, ...] = ("key",)) -> DataFrame:
+    """keys, what and before (words of those before) of the keys' first row of sums (keys, what, words, before, gap) with which the words exceed gap."""
+    upto = F.col("before") + F.sum("words").over(Window.partitionBy(*keys).orderBy(what))
+    return sums.withColumn("upto", upto).where("upto > gap").groupBy(*keys).agg(F.min_by(F.struct(what, (F.col("upto") - F.col("words")).alias("before")), what).alias("edge")).select(*keys, "edge.*")
+
+
+def fill(t: pd.DataFrame) -> pd.DataFrame:
+    """What one source's filling takes. t: class, place (in the order of its class), id, size and n (equal rows); one row of class -1
+    tells what is left (size), and of two larger documents, the one that ended the order and the smallest later one, over0 and over1.
+
+    Gives of each class the id where it is cut (null: all are taken) and how many rows are taken there; and which larger one is taken."""
+    own = t[t["class"] < 0].iloc[0]
+    left, out, following = float(own["size"]), [], []
+    for name, rows in sorted(t[t["class"] >= 0].groupby("class"), key=lambda x: -x[0]):
+        rows = rows.sort_values("place")
+        size, n, ids = rows["size"].to_numpy(), rows["n"].to_numpy(), rows["id"].to_numpy()
+        upto = np.cumsum(size * n)
+        k = int(np.searchsorted(upto, left, side="right"))
+        left -= int(upto[k - 1]) if k else 0
+        take = 0
+        if k < len(ids):
+            take = int(left // size[k])
+            left -= take * int(size[k])
+            following.append((int(size[k]), len(out), 2))
+        out.append([name, ids[k] if k < len(ids) else None, take, False, False])
+    out.append([-1, None, 0, False, False])
+    following += [(int(own[c]), len(out) - 1, which) for which, c in ((3, "over0"), (4, "over1")) if own[c] > 0]
+    size, at, which = min(following, key=lambda x: abs(x[0] - left), default=(math.inf, 0, 0))
+    if abs(size - left) < left:
+        out[at][which] = out[at][which] + 1 if which == 2 else True
+    return pd.DataFrame({"none": t["none"].iloc[0], "of": t["of"].iloc[0], "class": [x[0] for x in out], "id": pd.array([x[1] for x in out], "Int64"), "take": [x[2] for x in out], "more0": [x[3] for x in out], "more1": [x[4] for x in out]})
+
+
+def _cuts(sized: DataFrame, targets: DataFrame, bins: int) -> tuple[DataFrame, DataFrame]:
+    """The places that _chosen() needs. For each source: cut0, the first in order that doesn't fit (take0 of its rows0 equal rows do; all0:
+    everything fits), left (words after it) and cut1, the smallest later document that is larger, if it is taken. For each source and
+    class of sizes: cutc, the first later document that isn't taken (take_c of its rows_c are)."""
     left = F.when(F.col("source_size") > 0, F.col("target") - F.floor(F.col("target") / F.col("source_size")) * F.col("source_size")).otherwise(0.0)
     out = stored(targets.withColumns({"gap": left, "key": _keyed("source")}), "gaps")
     n, cols = out.count(), ["key", "size", "rank", "doc_id", "draw"]
@@ -124,27 +166,26 @@ def _cuts(sized: DataFrame, targets: DataFrame, bins: int) -> tuple[DataFrame, i
     cut = cut.groupBy("key").agg(F.min_by(F.struct(_order().alias("cut0"), F.col("size").alias("over0"), F.col("n").alias("rows0"), F.col("take").alias("take0"), (room - F.col("take") * F.col("size")).alias("rest")), _order()).alias("found")).select("key", "found.*")
     out = stored(out.join(cut, "key", "left").withColumn("all0", F.col("cut0").isNull()).withColumn("gap", F.coalesce("rest", F.lit(0.0))).drop("rest"), "cut")
     later = rows.select(*cols).join(maybe_broadcast(out.select("key", "cut0", "gap"), n), "key").where((_order() > F.col("cut0")) & (F.col("size") < 2 * F.col("gap")))
-    later = stored(later.groupBy(*cols).agg(F.count("*").alias("n")), "later")
-
-    def picked(place: int, fits: Column, first: list[Column]) -> DataFrame:
-        """Of the later documents that weren't picked yet and fit, the first of each source."""
-        free = later.join(maybe_broadcast(out.select("key", "gap", *(f"cut{j}" for j in range(place))), n), "key").where(fits)
-        for j in range(1, place):
-            free = free.where(~_order().eqNullSafe(F.col(f"cut{j}")))
-        one = F.struct(_order().alias(f"cut{place}"), F.col("size").alias(f"over{place}"), F.col("n").alias(f"rows{place}"), F.lit(1).cast("long").alias(f"take{place}"))
-        return stored(free.groupBy("key").agg(F.min_by(one, F.struct(*first, _order())).alias("found")).select("key", "found.*"), f"picked{place}")
-
-    places = 1
-    while not (found := picked(places, F.col("size") <= F.col("gap"), [-F.col("size")])).isEmpty():
-        out = stored(out.join(maybe_broadcast(found, n), "key", "left").withColumn("gap", F.col("gap") - F.coalesce(f"over{places}", F.lit(0))), f"filled{places}")
-        places += 1
-    out = out.join(maybe_broadcast(picked(places, F.lit(True), [F.col("size")]), n), "key", "left")
-    # Nothing fits: one more, of the cut or of the smallest later document, if the words come nearer to the size with it than without.
-    off = [F.when(F.coalesce(F.col(f"over{i}") < 2 * F.col("gap"), F.lit(False)), F.abs(F.col(f"over{i}") - F.col("gap"))) for i in (0, places)]
-    least = F.least(*off)
-    cut_more, last_more = F.coalesce(off[0] == least, F.lit(False)), F.coalesce((off[1] == least) & (off[0].isNull() | (off[0] > least)), F.lit(False))
-    out = out.withColumns({"take0": F.col("take0") + F.when(cut_more, 1).otherwise(0), f"take{places}": F.when(last_more, 1).otherwise(0)})
-    return stored(out.drop("gap", "key", *(f"over{i}" for i in range(places + 1))), "cuts"), places + 1
+    over = later.where("size > gap").groupBy("key", *cols[1:]).agg(F.count("*").alias("n")).groupBy("key").agg(F.min_by(F.struct(_order().alias("cut1"), F.col("size").alias("over1"), F.col("n").alias("rows1")), F.struct("size", _order())).alias("found"))
+    out = stored(out.join(over.select("key", "found.*"), "key", "left"), "over")
+    own = later.where("size <= gap").select(*cols, "gap", F.floor(F.log2("size")).cast("int").alias("class"), F.floor(F.col("rank") * bins).alias("bin")).withColumn("fine", F.floor((F.col("rank") * bins - F.col("bin")) * bins))
+    keys, held = ("key", "class"), [F.sum("size").alias("words"), F.first("gap").alias("gap")]
+    edge = stored(_first_above(own.groupBy(*keys, "bin").agg(*held, F.lit(0).alias("before")), "bin", keys), "edge")
+    narrow = own.join(maybe_broadcast(edge), [*keys, "bin"]).groupBy(*keys, "bin", "fine").agg(*held, F.first("before").alias("before"))
+    edge = stored(_first_above(narrow, "fine", keys).drop("before").join(edge.select(*keys, "bin"), list(keys)).select(*keys, F.struct("bin", "fine").alias("edge")), "fine")
+    near = own.join(maybe_broadcast(edge), list(keys), "left").where(F.col("edge").isNull() | (F.struct("bin", "fine") <= F.col("edge")))
+    near = near.groupBy(*keys, *cols[1:]).agg(F.count("*").alias("n")).withColumn("id", F.monotonically_increasing_id())
+    near = stored(near, "near").withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy("rank", "doc_id", "draw")))
+    # A row a source, so that one without later documents is seen, too.
+    each = out.select("key", F.lit(-1).alias("class"), F.lit(0).alias("place"), F.lit(-1).cast("long").alias("id"), F.col("gap").alias("size"), F.lit(1).cast("long").alias("n"), F.coalesce("over0", F.lit(0)).alias("over0"), F.coalesce("over1", F.lit(0)).alias("over1"))
+    shared = near.select("key", "class", "place", "id", F.col("size").cast("double").alias("size"), "n", F.lit(0).cast("long").alias("over0"), F.lit(0).cast("long").alias("over1")).unionByName(each)
+    filled = shared.select("key.none", "key.of", *shared.columns[1:]).groupBy("none", "of").applyInPandas(fill, "none boolean, of string, class int, id long, take long, more0 boolean, more1 boolean")
+    filled = stored(filled.withColumn("key", F.struct("none", "of")).drop("none", "of"), "filled")
+    out = out.join(maybe_broadcast(filled.where("class < 0").select("key", "more0", "more1"), n), "key").withColumn("left", F.col("gap"))
+    out = out.withColumns({"take0": F.col("take0") + F.col("more0").cast("long"), "take1": F.col("more1").cast("long")}).drop("gap", "over0", "over1", "more0", "more1")
+    classes = filled.where("class >= 0").select("key", "class", "id", F.col("take").alias("takec"), F.lit(True).alias("filled"))
+    classes = classes.join(near.select("id", _order().alias("cutc"), F.col("n").alias("rowsc")), "id", "left").drop("id")
+    return stored(out, "cuts"), stored(classes, "classes")
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, cap: float = CAP, importance: Column | None = None, seed: int = 17, bins: int = BINS) -> DataFrame:
@@ -153,22 +194,24 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: float = CAP, importance: Column |
     importance: a positive column that the inclusion probability is in proportion to; by default log2(2 + size), so that
     longer documents are likelier. The per-source table has a row for each source; it is broadcast if it was counted small."""
     importance = F.log2(F.col("size") + 2.0) if importance is None else importance
-    own = ["size", "importance", "draw", "key", "source_size", "mean_importance", "target", "copies"]
-    rows = docs.drop(*own).withColumn("size", n_words()).withColumn("importance", importance).withColumn("draw", _uniform(seed, "doc_id", "text")).withColumn("key", _keyed("source"))
-    narrow = stored(rows.select("doc_id", "source", "key", "size", "importance", "draw"), "sized")
+    kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
+    rows = docs.select(*kept).withColumn("size", n_words())
+    # The documents' own columns lie in one, so that no name of theirs meets one of these.
+    rows = rows.select(F.struct(*kept).alias("row"), "doc_id", "source", "size", importance.alias("importance"), _uniform(seed, "doc_id", "text").alias("draw"), _keyed("source").alias("key"))
+    narrow = stored(rows.drop("row"), "sized")
     targets = stored(source_targets(narrow, weights, cap), "targets")
-    cuts, passes = _cuts(narrow.drop("source"), targets, bins)
-    joined = _ranked(rows.join(maybe_broadcast(cuts.withColumn("key", _keyed("source")).drop("source")), "key"))
-    joined = joined.withColumn("_chosen", _chosen(passes))
-    if not cuts.where(reduce(or_, map(_partly, range(passes)))).isEmpty():  # repeated rows at a cut, of which some are taken
-        at = [F.coalesce((_order() == F.col(f"cut{i}")) & _partly(i), F.lit(False)) for i in range(passes)]
-        tie = F.coalesce(*(F.when(a, i) for i, a in enumerate(at)))
-        take = F.coalesce(*(F.when(a, F.col(f"take{i}")) for i, a in enumerate(at)))
-        joined = joined.withColumn("_tie", tie)
-        tied = stored(joined.where("_tie IS NOT NULL").withColumns({"_take": take, "_tag": F.monotonically_increasing_id()}).drop("_chosen"), "tied")
-        joined = joined.where("_tie IS NULL").drop("_tie").unionByName(_split(tied).drop("_tie", "_take", "_tag", "_last"))
-    joined = joined.withColumn("copies", F.coalesce("base", F.lit(0)) + F.when(F.col("_chosen"), 1).otherwise(0))
-    return joined.select(*[c for c in docs.columns if c not in own], "size", "source_size", "target", "copies")
+    cuts, classes = _cuts(narrow.drop("source"), targets, bins)
+    rows = rows.drop("source").withColumn("class", F.when(F.col("size") > 0, F.floor(F.log2("size"))).cast("int"))
+    joined = _ranked(rows.join(maybe_broadcast(cuts.drop("source")), "key")).join(maybe_broadcast(classes), ["key", "class"], "left")
+    joined = joined.withColumn("chosen", _chosen())
+    at, by = _partly(), [F.lit(-2), F.lit(-1), F.col("class")]
+    whole = classes.where((F.col("takec") > 0) & (F.col("takec") < F.col("rowsc"))).isEmpty() and cuts.where(reduce(or_, [F.coalesce((F.col(f"take{i}") > 0) & (F.col(f"take{i}") < F.col(f"rows{i}")), F.lit(False)) for i in (0, 1)])).isEmpty()
+    if not whole:  # repeated rows at a cut, of which some are taken
+        joined = joined.withColumns({"_tie": F.coalesce(*(F.when(a, t) for a, t in zip(at, by, strict=True))), "_take": F.coalesce(*(F.when(a, take) for a, (_, _, take) in zip(at, _places(), strict=True)))})
+        tied = stored(joined.where("_tie IS NOT NULL").withColumn("_tag", F.monotonically_increasing_id()).drop("chosen"), "tied")
+        joined = joined.where("_tie IS NULL").drop("_tie", "_take").unionByName(_split(tied).withColumnRenamed("_chosen", "chosen").drop("_tie", "_take", "_tag", "_last"))
+    copies = F.coalesce("base", F.lit(0)) + F.when(F.col("chosen"), 1).otherwise(0)
+    return joined.select(*(F.col("row")[c].alias(c) for c in kept), "size", "source_size", "target", copies.alias("copies"))
 
 
 def op2_mixing(spark, sf_dir: str) -> DataFrame:
@@ -178,6 +221,6 @@ def op2_mixing(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: each document as many times as it is taken."""
-    taken = mix(docs).where("copies > 0")
-    return taken.withColumn("copy_", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(*docs.columns)
+    """The mix: each document as many times as it is taken, with its columns as they are."""
+    taken = mix(docs.select("doc_id", "source", "text", F.struct("*").alias("row"))).where("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")
