@@ -290,3 +290,24 @@ def test_long_words_go_in_stretches():
     whole, parts = lattice.Lattice(v, [word], logp), lattice.LongWord(v, word, logp, 1)
     assert len(parts.starts) > 5 and parts.forward() == pytest.approx(whole.forward()[0])
     assert parts.expected(3.0) == pytest.approx(whole.expected(np.array([3.0])), abs=1e-9)
+
+
+@pytest.mark.parametrize("stage", [language.stage, ngram_join.stage, decontamination.stage, mixing.stage])
+def test_stages_keep_columns_of_any_name(spark, tmp_path, monkeypatch, stage):
+    names = ["of", "gone", "leaks", "score", "lang_pred", "position_share", "rank", "base", "cut0", "take0", "size", "copies", "target", "source_size", "row", "key", "class", "sig", "id", "n", "hash", "draw", "chosen", "part", "found", "count"]
+    texts = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(12)]
+    rows = [(i, t, "en", "ab"[i % 2], 0, *(f"{c}{i}" for c in names)) for i, t in enumerate(texts)]
+    rows += [(20, texts[3], "en", "a", 0, *(f"{c}20" for c in names)), rows[5]]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", "n_chars", *names])
+    spark.createDataFrame([(i, t) for i, t in enumerate([texts[4], texts[5], "no such words here at all", "other words that nothing holds"])], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    monkeypatch.setattr(language, "train", lambda *_: gru.BiGru(["de", "en"]))
+    monkeypatch.setattr(decontamination.find_leaks, "__defaults__", (decontamination.THRESHOLD, decontamination.SIZE, 1, decontamination.BLOCK_CHARS, "leaks"))
+    monkeypatch.setattr(decontamination, "HELD", 1)  # many passes
+    got = stage(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    kept = got.collect()
+    assert kept and all(r[c] == f"{c}{r.doc_id}" for r in kept for c in names)
+    if stage is ngram_join.stage:
+        assert sorted(r.doc_id for r in kept) == list(range(12))
+    if stage is decontamination.stage:
+        assert sorted(r.doc_id for r in kept) == sorted(r[0] for r in rows if r[1] not in texts[4:6])

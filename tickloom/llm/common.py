@@ -42,6 +42,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(columns: list[str], name: str) -> str:
+    """name, with as many underscores behind it as no column has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def maybe_broadcast(df: DataFrame, rows: int | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
     """A broadcast hint if the stored df has few enough rows; else df, for a shuffled join."""
     return F.broadcast(df) if (df.count() if rows is None else rows) <= most else df

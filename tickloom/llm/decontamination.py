@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import _MIX, bound_batches, maybe_broadcast, mixed, stored, table
+from .common import _MIX, bound_batches, maybe_broadcast, mixed, stored, table, unused
 
 #: Items and characters of a block, and blocks that a pass holds.
 SIZE, THRESHOLD, BLOCK, BLOCK_CHARS, HELD = 5, 0.8, 20_000, 4 << 20, 4
@@ -109,7 +109,7 @@ def _blocks(benchmark: DataFrame, most: int, most_chars: int) -> Iterator[list[t
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, size: int = SIZE, block: int = BLOCK, block_chars: int = BLOCK_CHARS, out: str = "leaks") -> DataFrame:
-    """docs with an array of the items they hold: item_id, n_shared, n_item, containment. Extra columns are kept."""
+    """docs with an array of the items they hold: item_id, n_shared, n_item, containment. Extra columns are kept, but for one named like out."""
     spark = docs.sparkSession
     bound_batches(spark)
     keep = [c for c in docs.columns if c != out]
@@ -140,8 +140,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
             x.destroy()
         held, more = more, _held(spark, blocks, size, threshold)
     listed = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("part", "found"))), lambda x: x["found"]))
-    leaks = stored(reduce(DataFrame.unionByName, parts).groupBy(F.col("sig").alias("of")).agg(listed.alias(out)), "leaks")
-    return rows.join(maybe_broadcast(leaks), F.md5("text") == F.col("of"), "left").select(*keep, F.coalesce(out, F.array().cast(MATCH_SQL)).alias(out))
+    of = unused([*keep, out], "of")
+    leaks = stored(reduce(DataFrame.unionByName, parts).groupBy(F.col("sig").alias(of)).agg(listed.alias(out)), "leaks")
+    return rows.join(maybe_broadcast(leaks), F.md5("text") == F.col(of), "left").select(*keep, F.coalesce(out, F.array().cast(MATCH_SQL)).alias(out))
 
 
 def _held(spark, blocks: Iterator[list[tuple]], size: int, threshold: float) -> list:
@@ -157,7 +158,8 @@ def op6_decontamination(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return find_leaks(docs, table(spark, sf_dir, "benchmark")).where(F.size("leaks") == 0).select(*docs.columns)
+    leaks = unused(docs.columns, "leaks")
+    return find_leaks(docs, table(spark, sf_dir, "benchmark"), out=leaks).where(F.size(leaks) == 0).select(*docs.columns)
 
 
 SQL = {

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, maybe_broadcast, stored, table
+from .common import bound_batches, maybe_broadcast, stored, table, unused
 from .gru import BiGru
 
 PER_LANG, SAMPLE, WINDOWS, WINDOW = 300, 60_000, 3, 300
@@ -108,4 +108,6 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = train(docs.select("doc_id", "text", "lang").where(fold(4) != 2))
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    return predict(docs, model).where((F.col("lang_pred") != UND) & (F.col("score") >= LEAST)).select(*docs.columns)
+    own = {c: unused([*docs.columns, *OUT.names], c) for c in docs.columns if c.lower() in OUT.names}
+    told = predict(docs.withColumnsRenamed(own), model).where((F.col("lang_pred") != UND) & (F.col("score") >= LEAST))
+    return told.select(*(F.col(own.get(c, c)).alias(c) for c in docs.columns))

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, maybe_broadcast, shingle_hashes, stored, table, words_of
+from .common import bound_batches, maybe_broadcast, shingle_hashes, stored, table, unused, words_of
 from .components import components
 from .rtree import RTree
 
@@ -288,13 +288,14 @@ def op9_ngram_join(spark, sf_dir: str) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays (five words, 80 %): the one with the least doc_id. Documents without
     words or without an id stay; of rows with one doc_id, each distinct text stays once at most."""
-    twice = stored(docs.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("of")), "twice")
+    of = unused(docs.columns, "of")
+    twice = stored(docs.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias(of)), "twice")
     rows = docs
     if not twice.isEmpty():
         few = maybe_broadcast(twice)
-        rows = docs.join(few, F.col("doc_id") == F.col("of"), "left_anti").unionByName(docs.join(few, F.col("doc_id") == F.col("of"), "left_semi").dropDuplicates(["doc_id", "text"]))
-    gone = jaccard_components(rows.select("doc_id", "text"), SIZE + 1, (80, 100)).where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
-    return rows.join(maybe_broadcast(stored(gone, "gone")), F.col("doc_id") == F.col("gone"), "left_anti").select(*docs.columns)
+        rows = docs.join(few, F.col("doc_id") == F.col(of), "left_anti").unionByName(docs.join(few, F.col("doc_id") == F.col(of), "left_semi").dropDuplicates(["doc_id", "text"]))
+    gone = jaccard_components(rows.select("doc_id", "text"), SIZE + 1, (80, 100)).where("component_id <> doc_id").select(F.col("doc_id").alias(of)).distinct()
+    return rows.join(maybe_broadcast(stored(gone, "gone")), F.col("doc_id") == F.col(of), "left_anti").select(*docs.columns)
 
 
 #: All pairs of classes that share a shingle are counted: for small tables.
