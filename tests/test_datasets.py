@@ -7,11 +7,11 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.operators import event_windows as ew, ordered
-from tickloom.operators import inventory, quality, records, rollup, shards
+from tickloom.operators import event_windows as ew
+from tickloom.operators import inventory, ordered, quality, records, rollup, shards
 from tickloom.plans import composites
 from tickloom.schemas import BAR, DIVIDEND
-from tickloom.sources import files, packs, tables
+from tickloom.sources import files, listing, manifests, packs, tables
 
 ROWS = [
     {"corporate_action_id": f"ca-{i}", "symbol": s, "corporate_action_type": "cash_dividend", "source": "api", "process_date": None, "declaration_date": None, "ex_date": d, "record_date": None, "payable_date": None,
@@ -167,18 +167,23 @@ def test_running_sums(spark):
 
 
 def test_packs(spark, tmp_path):
-    for i, n in enumerate((700, 700, 700, 1200, 5)):
+    for i, n in enumerate((700, 700, 700, 1200, 5)):  # a shard holds 1024 of these
         p = tmp_path / f"src/bars_daily/symbol=A/date=2025-01-0{i + 1}/part-0.parquet"
         p.parent.mkdir(parents=True)
-        p.write_bytes(bytes([i]) * n * 1000)
+        p.write_bytes(bytes([i]) * n * 1024)
     src, out = str(tmp_path / "src"), str(tmp_path / "out")
     inv = inventory.file_inventory(spark, src)
-    assert inventory.dataset_summary(inv).first().asDict() == {"dataset": "bars_daily", "file_count": 5, "total_bytes": 3305000, "partition_keys": "date,symbol"}
+    assert inventory.dataset_summary(inv).first().asDict() == {"dataset": "bars_daily", "file_count": 5, "total_bytes": 3384320, "partition_keys": "date,symbol"}
     dry = packs.create_pack(spark, src, out, "b0", "2026-01-01T00:00:00Z", 1, dry_run=True)
-    assert [s["uncompressed_bytes"] for s in dry["shards"]] == [700000, 700000, 700000, 1200000, 5000] and not (tmp_path / "out").exists()
+    assert [r.uncompressed_bytes for r in dry.shards.orderBy("shard_index").collect()] == [n * 1024 for n in (700, 700, 700, 1200, 5)] and not (tmp_path / "out").exists()
+    assert dry.header["file_count"] == 5 and dry.header["total_archive_bytes"] is None and dry.files.where("checksum IS NOT NULL").isEmpty()
     made = [packs.create_pack(spark, src, out, b, "2026-01-01T00:00:00Z", 1) for b in ("b1", "b2")]
-    assert made[0]["shards"] == made[1]["shards"] and packs.manifest_errors(made[0]) == [] and packs.validate_pack(spark, f"{out}/b1")["valid"] and files.packs(out) == ["b1", "b2"]
-    assert packs.inspect_pack(spark, f"{out}/b1").first().total_bytes == 3305000
+    documents = [json.loads((tmp_path / f"out/{b}/manifest.json").read_text()) for b in ("b1", "b2")]
+    assert documents[0]["shards"] == documents[1]["shards"] and documents[0]["files"] == documents[1]["files"] and (tmp_path / "out/b1/manifest.json").read_text() == files.json_text(documents[0])
+    assert [(e["relative_path"], e["size_bytes"], e["partitions"]) for e in documents[0]["files"]][4] == ("bars_daily/symbol=A/date=2025-01-05/part-0.parquet", 5120, {"date": "2025-01-05", "symbol": "A"})
+    assert [s["shard_name"] for s in documents[0]["shards"]] == [f"shard-00000{i}.zip" for i in range(5)] and documents[0]["source_dataset_root"] == "src" and documents[0]["included_datasets"] == ["bars_daily"]
+    assert packs.manifest_errors(packs.read_manifest(spark, f"{out}/b1/manifest.json")) == [] and made[0].path == f"{out}/b1" and packs.validate_pack(spark, f"{out}/b1")["valid"] and files.packs(out) == ["b1", "b2"]
+    assert packs.inspect_pack(spark, f"{out}/b1").first().asDict() == {"dataset": "bars_daily", "file_count": 5, "total_bytes": 3384320, "partition_keys": "date,symbol"}
     with pytest.raises(FileExistsError):
         packs.create_pack(spark, src, out, "b1", "2026-01-01T00:00:00Z", 1)
     back = str(tmp_path / "back")
@@ -189,19 +194,81 @@ def test_packs(spark, tmp_path):
     (tmp_path / "back/bars_daily/symbol=A/date=2025-01-01/part-0.parquet").write_bytes(b"other")
     with pytest.raises(FileExistsError, match="differ"):
         packs.restore_pack(spark, f"{out}/b1", back, "merge")
-    shard = tmp_path / "out/b2/shards/archive-pack-00001.zip"
+    shard = tmp_path / "out/b2/shards/shard-000001.zip"
     shard.write_bytes(shard.read_bytes()[:-3])
     assert not packs.validate_pack(spark, f"{out}/b2")["valid"]
-    with pytest.raises(ValueError, match="archive-pack-00001"):
+    with pytest.raises(ValueError, match="shard-000001"):
         packs.restore_pack(spark, f"{out}/b2", str(tmp_path / "back2"))
     assert not (tmp_path / "back2").exists() and [p.name for p in tmp_path.iterdir() if ".restore-" in p.name] == []
     for wrong in ({"file_count": 4}, {"created_at_utc": "now"}, {"files": [{"relative_path": "../x", "size_bytes": 1, "checksum": None}]}, {"shards": []}, {"artifact_type": "x"}):
-        assert packs.manifest_errors(made[0] | wrong)
-    with zipfile.ZipFile(tmp_path / "out/b1/shards/archive-pack-00000.zip") as z:
+        for indent in (2, None):  # the layout that tasks read, and another
+            (tmp_path / "wrong.json").write_text(files.json_text(documents[0] | wrong) if indent else json.dumps(documents[0] | wrong))
+            assert packs.manifest_errors(packs.read_manifest(spark, str(tmp_path / "wrong.json"))), wrong
+    assert packs.create_pack(spark, src, out, None, "2026-01-01T00:00:00Z", 1, dry_run=True).path == f"{out}/backup_20260101_000000_src"
+    with zipfile.ZipFile(tmp_path / "out/b1/shards/shard-000000.zip") as z:
         assert z.infolist()[0].date_time == (1980, 1, 1, 0, 0, 0)
     assert not packs.validate_pack(spark, str(tmp_path / "none"))["valid"]
 
 
+def test_manifests_of_many_entries(spark, tmp_path, monkeypatch):
+    """Read in many parts, equal to the document as a whole."""
+    monkeypatch.setattr(manifests, "PIECE", 20_000)
+    monkeypatch.setattr(manifests, "STEP", 100)
+    n, path = 3000, str(tmp_path / "pack/manifest.json")
+    entries = spark.range(n).select(F.format_string("bars/symbol=S%d/é\"%05d.parquet", F.col("id") % 7, "id").alias("relative_path"), F.col("id").alias("size_bytes"), F.sha2(F.col("id").cast("string"), 256).alias("checksum"), F.lit("bars").alias("dataset_name"), F.create_map(F.lit("symbol"), F.format_string("S%d", F.col("id") % 7)).alias("partitions"))
+    shards = spark.range(30).select(F.format_string("shard-%06d.zip", "id").alias("shard_name"), F.format_string("shards/shard-%06d.zip", "id").alias("relative_path"), F.col("id").alias("shard_index"), F.lit(100).cast("long").alias("file_count"), F.lit(149950).cast("long").alias("uncompressed_bytes"), F.lit(5).cast("long").alias("archive_bytes"), F.lit(None).cast("string").alias("checksum"))
+    header = manifests.KIND | {"backup_id": "b", "created_at_utc": "2026-01-01T00:00:00Z", "source_dataset_root": "lake", "shard_size_mb": 1, "included_datasets": ["bars"], "file_count": n, "total_uncompressed_bytes": n * (n - 1) // 2, "total_archive_bytes": 150, "metadata": {"files": [{"a": [1, {"b": 2}]}], "x": {"y": {}}}, "notes": ["{", "    {"], "restore": manifests.RESTORE}
+    manifests.write_manifest(header, entries, shards, path)
+    text = (tmp_path / "pack/manifest.json").read_text()
+    document = json.loads(text)
+    assert text == files.json_text(document) and len(document["files"]) == n and len(document["shards"]) == 30 and [p.name for p in (tmp_path / "pack").iterdir()] == ["manifest.json"]
+    assert [e["relative_path"] for e in document["files"]] == sorted(e["relative_path"] for e in document["files"]) and {k: v for k, v in document.items() if k not in ("files", "shards")} == header
+    assert len(manifests._pieces(path)) > 20
+    back = manifests.read_manifest(spark, path)
+    assert back.header == header | {"files": [], "shards": []} and manifests.manifest_errors(back) == []
+    assert sorted((r.relative_path, r.size_bytes, r.checksum) for r in back.files.collect()) == [(e["relative_path"], e["size_bytes"], e["checksum"]) for e in document["files"]]
+    for change, said in (({"file_count": n + 1}, "file_count"), ({"files": document["files"] + document["files"][:1]}, "listed twice"), ({"files": [document["files"][0] | {"size_bytes": True}]}, "no count"), ({"shards": document["shards"][1:]}, "numbered"), ({"files": [1]}, "lists of objects"), ({"shards": {}}, "lists")):
+        (tmp_path / "other.json").write_text(files.json_text(document | change))
+        assert any(said in e for e in manifests.manifest_errors(manifests.read_manifest(spark, str(tmp_path / "other.json")))), said
+    for bad in ("{", "[1]", "nothing", "{\n  x"):
+        (tmp_path / "bad.json").write_text(bad)
+        with pytest.raises(ValueError):
+            manifests.read_manifest(spark, str(tmp_path / "bad.json"))
+
+
+@pytest.mark.parametrize("path, want", [("a/b", "a/b"), (" a\\b/./c/ ", "a/b/c"), ("a//b", "a/b"), ("/a", None), ("~/a", None), ("C:\\a", None), ("c:a", None), ("\\a", None), ("a/../b", None), ("", None), (".", None), ("./", None), (None, None)])
+def test_relative_paths(path, want):
+    if want is not None:
+        assert manifests.relative(path) == want
+    else:
+        with pytest.raises(ValueError):
+            manifests.relative(path)
+
+
+def test_listings_by_tasks(spark, tmp_path):
+    for symbol in "ABC":
+        for day in range(1, 6):
+            p = tmp_path / f"bars/symbol={symbol}/date=2024-01-0{day}/part-0.parquet"
+            p.parent.mkdir(parents=True)
+            p.write_bytes(b"x" * day)
+    (tmp_path / "top.parquet").write_bytes(b"")
+    (tmp_path / "bars/symbol=A/note.txt").write_bytes(b"1")
+    for hidden in ("bars/_x/a.parquet", "bars/.y/b.parquet", "bars/symbol=A/_c.parquet"):
+        (tmp_path / hidden).parent.mkdir(exist_ok=True)
+        (tmp_path / hidden).write_bytes(b"123")
+    want = sorted(p.relative_to(tmp_path).as_posix() for p in tmp_path.rglob("*.parquet"))
+    for parts in (1, 2, 4, 64):
+        got = listing.listing(spark, str(tmp_path), parts=parts).collect()
+        assert sorted(r.relative_path for r in got) == [p for p in want if "/_" not in p and "/." not in p] and sum(r.size_bytes for r in got) == 45
+        assert sorted(r.relative_path for r in listing.listing(spark, f"file://{tmp_path}", hidden=True, parts=parts).collect()) == want
+    some = listing.listing(spark, str(tmp_path), parts=3).where("symbol = 'B' AND date >= '2024-01-03'").collect()
+    assert sorted((r.dataset, r.symbol, r.date, r.size_bytes) for r in some) == [("bars", "B", f"2024-01-0{i}", i) for i in (3, 4, 5)]
+    assert listing.listing(spark, str(tmp_path)).where("symbol IS NULL").count() == 1 and listing.listing(spark, str(tmp_path), r".*\.txt").count() == 1 and files.listed(spark, f"{tmp_path}/none").count() == 0
+    reader = listing.ListingReader({"path": str(tmp_path)})
+    reader.tests = [("symbol", listing.EqualTo, "B")]
+    assert [p for part in reader.partitions() for p, _ in part.paths if "symbol=" in p and "symbol=B" not in p] == []
+
+
 def test_save_plan(spark):
     listed = spark.createDataFrame([(p, 2) for p in ("a/b/c", "a/bc", "a/.x/y", "d", "e/f")], files.LISTING)
     assert [r.relative_path for r in composites.save_plan(listed, ["a/", "d"], ["a/b"]).collect()] == ["a/bc", "d"]

@@ -1,14 +1,15 @@
-"""Small files beside datasets - JSON sidecars, listings - on any file system that pyarrow knows, local paths included."""
+"""Small files beside datasets - JSON sidecars, run folders - and listings on any file system that pyarrow knows, local paths included."""
 
 from __future__ import annotations
 
 import json
-import re
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .listing import listing
+
 LISTING = "relative_path string, size_bytes bigint"
 
 
@@ -55,20 +56,6 @@ def read_json(path: str) -> dict:
         return json.loads(f.read())
 
 
-def hidden(relative: str) -> bool:
-    return any(p.startswith((".", "_")) for p in relative.split("/"))
-
-
-def listing(root: str, pattern: str = ".*", with_hidden: bool = False) -> list[tuple[str, int]]:
-    """Relative path and size of the files below root whose names match, by path; none if there is no such folder."""
-    fs, inner = located(root)
-    if fs.get_file_info(inner).type != pafs.FileType.Directory:
-        return []
-    base = inner.rstrip("/") + "/"
-    found = ((x.path.removeprefix(base), x.size) for x in fs.get_file_info(pafs.FileSelector(inner, recursive=True)) if x.type == pafs.FileType.File)
-    return sorted((p, n) for p, n in found if (with_hidden or not hidden(p)) and re.fullmatch(pattern, p.rpartition("/")[2]))
-
-
 def folders(root: str) -> list[str]:
     """Names of the folders directly below root, in order; hidden ones are left out."""
     fs, inner = located(root)
@@ -82,9 +69,9 @@ def united(*paths: list[str]) -> list[str]:
     return list(dict.fromkeys(p for own in paths for p in own))
 
 
-def listed(spark: SparkSession, root: str, pattern: str = r".*\.parquet") -> DataFrame:
-    """relative_path and size_bytes of the files below root, from names alone: nothing is read. Hidden files are left out."""
-    return spark.createDataFrame(listing(root, pattern), LISTING)
+def listed(spark: SparkSession, root: str, pattern: str = r".*\.parquet", hidden: bool = False) -> DataFrame:
+    """relative_path and size_bytes of the files below root, from names alone, listed by tasks. Hidden files are left out."""
+    return listing(spark, root, pattern, hidden).select("relative_path", "size_bytes")
 
 
 def readiness(spark: SparkSession, root: str, datasets: tuple[str, ...] = ("bars_daily", "bars_1m")) -> DataFrame:
