@@ -11,7 +11,7 @@ from tickloom.operators import event_windows as ew
 from tickloom.operators import inventory, ordered, quality, records, rollup, shards
 from tickloom.plans import composites
 from tickloom.schemas import BAR, DIVIDEND
-from tickloom.sources import files, listing, manifests, packs, tables
+from tickloom.sources import files, footers, listing, manifests, packs, tables
 
 ROWS = [
     {"corporate_action_id": f"ca-{i}", "symbol": s, "corporate_action_type": "cash_dividend", "source": "api", "process_date": None, "declaration_date": None, "ex_date": d, "record_date": None, "payable_date": None,
@@ -111,6 +111,32 @@ def test_quality_artefacts(spark, bars, tmp_path):
     assert ready["bars_1m"] == (0, False) and ready["bars_daily"][1]
 
 
+def test_reports_read_bars_once(spark, bars, tmp_path):
+    """Every row of the source is counted when it is read; just a report's samples read some days again."""
+    read = spark.sparkContext.accumulator(0)
+    n, schema = bars.count(), bars.schema
+
+    def counted(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+
+    def told(f):
+        before = read.value
+        f()
+        return read.value - before
+
+    source = bars.mapInArrow(counted, schema)
+    clean = source.where("open > 0 AND high >= greatest(open, close) AND low <= least(open, close) AND volume >= 0 AND symbol IS NOT NULL")
+    assert told(lambda: composites.qa_report(clean.dropDuplicates(["symbol", "ts_utc", "timeframe"]), str(tmp_path / "r"))) == n
+    for e in (composites.Export("bars_daily", "1D", "2025-01-06", "2025-01-15", "WEEKDAY"), composites.Export("bars_1m", "1Min", None, None, "XNYS")):
+        assert told(lambda e=e: composites.write_export(source, e, str(tmp_path / e.dataset))) == n
+    broken = source.withColumn("high", F.lit(-1.0))
+    assert told(lambda: composites.qa_report(broken, str(tmp_path / "b"))) == 2 * n
+    got = spark.read.option("header", True).csv(str(tmp_path / "b/qa_ohlc_violations_samples"))
+    assert got.groupBy("rule").count().where("count > 50").isEmpty() and got.where("rule = 'nonpositive_price'").count() == n
+
+
 def test_summary_of_null_symbols(spark, bars):
     got = {r.symbol: r for r in rollup.qa_by_symbol(bars.withColumn("ts_utc", F.when(F.col("symbol").isNotNull(), F.col("ts_utc"))), 10).collect()}
     assert (got[None].rows_observed, got[None].gap_count, got[None].first_ts) == (1, 0, None) and got["AAPL"].rows_observed == 9
@@ -269,6 +295,24 @@ def test_listings_by_tasks(spark, tmp_path):
     assert [p for part in reader.partitions() for p, _ in part.paths if "symbol=" in p and "symbol=B" not in p] == []
 
 
+@pytest.mark.parametrize("kind", ["TIMESTAMP_MICROS", "TIMESTAMP_MILLIS", "INT96"])
+def test_footers_tell_what_a_scan_tells(spark, tmp_path, kind):
+    root = str(tmp_path / "lake/bars_1m")
+    spark.conf.set("spark.sql.parquet.outputTimestampType", kind)
+    rows = spark.range(600).select(F.element_at(F.array(F.lit("A:b c+d"), F.lit("B"), F.lit(None)), (F.col("id") % 3 + 1).cast("int")).alias("symbol"), F.when(F.col("id") % 50 < 40, "1Min").otherwise("5Min").alias("timeframe"), F.when(F.col("id") % 7 > 0, F.timestamp_seconds(F.col("id") * 997)).alias("ts_utc"), *(F.lit(1.0).alias(c) for c in ("open", "high", "low", "close")), F.col("id").alias("volume"), F.lit("x").alias("source"))
+    rows = rows.withColumns({"date": F.date_format("ts_utc", "yyyy-MM-dd"), "year": F.year("ts_utc")})
+    rows.repartition(3).write.partitionBy("symbol", "date").parquet(root)
+    want = rows.groupBy("symbol", "timeframe").agg(F.min("ts_utc"), F.max("ts_utc"), F.count("*"))
+    assert sorted(map(tuple, footers.bounds(spark, root, BAR).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    by_symbol = rows.groupBy("symbol").agg(F.min("ts_utc"), F.max("ts_utc"), F.count("*"))
+    assert sorted(map(tuple, footers.bounds(spark, root, BAR, by=("symbol",)).collect()), key=str) == sorted(map(tuple, by_symbol.collect()), key=str)
+    told = footers.footers(spark, root)
+    assert told.where("stats['ts_utc'] IS NULL").isEmpty() == (kind != "INT96") and told.agg(F.sum("n_rows")).first()[0] == 600
+    assert footers.row_counts(spark, str(tmp_path / "lake")).select("dataset", "row_count").collect() == [("bars_1m", 600)]
+    assert footers.bounds(spark, str(tmp_path / "none"), BAR).collect() == []
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "INT96")
+
+
 def test_save_plan(spark):
     listed = spark.createDataFrame([(p, 2) for p in ("a/b/c", "a/bc", "a/.x/y", "d", "e/f")], files.LISTING)
     assert [r.relative_path for r in composites.save_plan(listed, ["a/", "d"], ["a/b"]).collect()] == ["a/bc", "d"]

@@ -14,6 +14,10 @@ MINUTES = 390
 FALLBACK_NOTE = "calendar_fallback=WEEKDAY"
 
 
+def _sum(rows: str | None) -> Column:
+    return F.sum(F.lit(1) if rows is None else rows)
+
+
 def minute_gaps(bars: DataFrame) -> DataFrame:
     """symbol, gap_count (missing minutes), gap_segments, max_gap_len; gaps end with the day."""
     rows = bars.where("symbol IS NOT NULL AND ts_utc IS NOT NULL").withColumn("day", F.to_date("ts_utc"))
@@ -23,8 +27,9 @@ def minute_gaps(bars: DataFrame) -> DataFrame:
     return steps.groupBy("symbol").agg(F.sum("missing").alias("gap_count"), F.count_if(F.col("missing") > 0).alias("gap_segments"), F.max("missing").alias("max_gap_len"))
 
 
-def minute_gaps_by_day(bars: DataFrame, expected: int = MINUTES) -> DataFrame:
-    days = bars.where("symbol IS NOT NULL").groupBy("symbol", F.to_date("ts_utc").alias("date")).agg(F.count("*").alias("actual_minutes"))
+def minute_gaps_by_day(bars: DataFrame, expected: int = MINUTES, rows: str | None = None) -> DataFrame:
+    """rows: a column that tells how many bars a row stands for."""
+    days = bars.where("symbol IS NOT NULL").groupBy("symbol", F.to_date("ts_utc").alias("date")).agg(_sum(rows).cast("long").alias("actual_minutes"))
     return days.withColumn("missing_minutes", F.greatest(F.lit(expected) - F.col("actual_minutes"), F.lit(0)))
 
 
@@ -75,13 +80,13 @@ def expected_days(mode: str, start: str, end: str) -> tuple[Column, str | None]:
     return F.filter(days, lambda d: is_session(d, mode)), None if mode.strip().upper() in KNOWN else FALLBACK_NOTE
 
 
-def coverage(bars: DataFrame, expected: DataFrame, mode: str, start: str, end: str, day: str = "d") -> DataFrame:
+def coverage(bars: DataFrame, expected: DataFrame, mode: str, start: str, end: str, day: str = "d", rows: str | None = None) -> DataFrame:
     """Each expected symbol's days between start and end, both included; symbols without rows are listed too.
 
-    bars: symbol and day; expected: symbol. coverage_days_pct is null if no day is expected."""
+    bars: symbol and day, of which each stands for as many bars as its column `rows` tells; expected: symbol. coverage_days_pct is null if no day is expected."""
     days, note = expected_days(mode, start, end)
     inside = bars.where(F.col(day).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    seen = inside.groupBy("symbol").agg(F.min(day).alias("min_date"), F.max(day).alias("max_date"), F.count("*").alias("rows_total"), F.countDistinct(day).alias("observed_days"))
+    seen = inside.groupBy("symbol").agg(F.min(day).alias("min_date"), F.max(day).alias("max_date"), _sum(rows).cast("long").alias("rows_total"), F.countDistinct(day).alias("observed_days"))
     zero = F.lit(0).cast("long")
     out = expected.join(seen, "symbol", "left").withColumns({"rows_total": F.coalesce("rows_total", zero), "observed_days": F.coalesce("observed_days", zero), "expected_days": F.size(days).cast("long")})
     missing = F.greatest(F.col("expected_days") - F.col("observed_days"), zero)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -80,6 +82,22 @@ def violation_samples(bars: DataFrame, n: int, order: list[Column]) -> DataFrame
     return bars.withColumn("rule", F.explode(broken)).withColumn("sample", place).where(F.col("sample") <= n)
 
 
+def broken_days(keys: DataFrame, n: int) -> DataFrame:
+    """symbol and day of the rows of rollup.keyed() that hold each rule's first n broken bars by symbol and time: n at most a rule."""
+    days = keys.groupBy("symbol", "day").agg(*(F.sum(f"broken_{k}").alias(k) for k in report_rules()))
+    order = [F.asc_nulls_last("symbol"), F.asc_nulls_last("day")]
+    found = [days.where(F.col(k) > 0).orderBy(*order).limit(n).select("symbol", "day") for k in report_rules()]
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def on_days(bars: DataFrame, days: DataFrame) -> DataFrame:
+    """bars on some days of symbols (few: they are broadcast, and their bounds are pushed to the scan)."""
+    b = days.agg(F.min("day"), F.max("day"), F.count_if(F.col("day").isNull())).first()
+    some = bars if b[0] is None else bars.where(((F.col("ts_utc") >= F.lit(b[0]).cast("timestamp")) & (F.col("ts_utc") < F.date_add(F.lit(b[1]), 1).cast("timestamp"))) | (F.col("ts_utc").isNull() if b[2] else F.lit(False)))
+    own = days.select(F.col("symbol").alias("_symbol"), F.col("day").alias("_day"))
+    return some.join(F.broadcast(own), F.col("symbol").eqNullSafe(F.col("_symbol")) & F.to_date("ts_utc").eqNullSafe(F.col("_day")), "left_semi")
+
+
 def symbol_bounds(bars: DataFrame, ts: str = "ts_utc", by=("symbol",)) -> DataFrame:
     return bars.groupBy(*by).agg(F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"), F.count("*").alias("rows_observed"))
 

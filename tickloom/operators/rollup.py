@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import minutes_between
 from .gaps import MINUTES
-from .quality import export_rule, report_rules
+from .quality import any_rule, export_rule, report_rules
 
 COUNTS = ("duplicate_rows", "duplicate_keys", "gap_count", "gap_segments", "max_gap_len", "ohlc_violation_count")
 
@@ -22,22 +22,32 @@ class Thresholds:
     min_coverage_pct: float = 0.99
 
 
-def _keys(bars: DataFrame, broken: Column) -> DataFrame:
-    """A row for each key of the bars, dealt by symbol and day: n (bars) and broken (a sum). All that follows by day or key needs no other shuffle of bars."""
-    rows = bars.select("symbol", "ts_utc", "timeframe", F.to_date("ts_utc").alias("day"), broken.cast("long").alias("broken"))
-    return rows.repartition("symbol", "day").groupBy("symbol", "day", "ts_utc", "timeframe").agg(F.count("*").alias("n"), F.sum("broken").alias("broken"))
+def keyed(bars: DataFrame) -> DataFrame:
+    """What all quality metrics are made of, in one pass over the bars: a row for each key with its day, n (bars), missing (minutes since
+    the symbol's bar before it, within the day), and how many of its bars break each rule, any (broken), and the export's (broken_export).
+
+    Bars are dealt by symbol and day, so that keys and gaps need no other shuffle. Null symbols have no gaps."""
+    flags = {f"broken_{k}": c for k, c in report_rules().items()} | {"broken": any_rule(), "broken_export": export_rule()}
+    rows = bars.select("symbol", "ts_utc", "timeframe", F.to_date("ts_utc").alias("day"), *(F.coalesce(c, F.lit(False)).cast("long").alias(k) for k, c in flags.items()))
+    keys = rows.repartition("symbol", "day").groupBy("symbol", "day", "ts_utc", "timeframe").agg(F.count("*").alias("n"), *(F.sum(k).alias(k) for k in flags))
+    before = F.lag("ts_utc").over(Window.partitionBy("symbol", "day").orderBy("ts_utc"))
+    missing = F.when(F.col("symbol").isNull(), 0).otherwise(F.greatest(F.coalesce(minutes_between(before, "ts_utc") - 1, F.lit(0)), F.lit(0)))
+    return keys.withColumn("missing", missing)
 
 
 def qa_by_symbol(bars: DataFrame, expected: int | Column, gaps: DataFrame | None = None) -> DataFrame:
     """Bounds with duplicates, violations and gaps of each symbol, in one pass over the bars. Null symbols form a group without minute gaps.
 
     gaps: symbol and its gaps, in place of minute gaps; expected: bars that a symbol should have."""
-    before = F.lag("ts_utc").over(Window.partitionBy("symbol", "day").orderBy("ts_utc"))
-    missing = F.when(F.col("symbol").isNull(), 0).otherwise(F.greatest(F.coalesce(minutes_between(before, "ts_utc") - 1, F.lit(0)), F.lit(0)))
-    keys = _keys(bars, F.when(export_rule(), 1).otherwise(0)).withColumn("missing", missing if gaps is None else F.lit(0))
+    return by_symbol_of(keyed(bars), expected, gaps)
+
+
+def by_symbol_of(keys: DataFrame, expected: int | Column, gaps: DataFrame | None = None) -> DataFrame:
+    """qa_by_symbol() of the rows of keyed()."""
+    keys = keys if gaps is None else keys.withColumn("missing", F.lit(0))
     out = keys.groupBy("symbol").agg(
         F.min("ts_utc").alias("first_ts"), F.max("ts_utc").alias("last_ts"), F.sum("n").alias("rows_observed"), F.count_if(F.col("n") > 1).alias("duplicate_keys"), F.sum(F.col("n") - 1).alias("duplicate_rows"),
-        F.sum("broken").alias("ohlc_violation_count"), F.sum("missing").alias("gap_count"), F.count_if(F.col("missing") > 0).alias("gap_segments"), F.max("missing").alias("max_gap_len"),
+        F.sum("broken_export").alias("ohlc_violation_count"), F.sum("missing").alias("gap_count"), F.count_if(F.col("missing") > 0).alias("gap_segments"), F.max("missing").alias("max_gap_len"),
     )
     if gaps is not None:
         side = gaps.withColumnRenamed("symbol", "of")
@@ -74,9 +84,14 @@ def qa_summary(bars: DataFrame) -> DataFrame:
     """By symbol and timeframe: bounds, and the symbol's duplicate keys, sum of rule counts, missing minutes and inversions, in one pass over the bars.
 
     Inversions in the order of time are none by definition. Null symbols form a group with bounds alone."""
-    broken = sum((F.coalesce(c, F.lit(False)).cast("long") for c in report_rules().values()), F.lit(0))
-    days = _keys(bars, broken).groupBy("symbol", "day", "timeframe").agg(
-        F.min("ts_utc").alias("min_ts"), F.max("ts_utc").alias("max_ts"), F.sum("n").alias("row_count"), F.count_if(F.col("n") > 1).alias("duplicate_keys"), F.sum("broken").alias("ohlc_violation_count"),
+    return summary_of(keyed(bars))
+
+
+def summary_of(keys: DataFrame) -> DataFrame:
+    """qa_summary() of the rows of keyed()."""
+    broken = sum((F.sum(f"broken_{k}") for k in report_rules()), F.lit(0))
+    days = keys.groupBy("symbol", "day", "timeframe").agg(
+        F.min("ts_utc").alias("min_ts"), F.max("ts_utc").alias("max_ts"), F.sum("n").alias("row_count"), F.count_if(F.col("n") > 1).alias("duplicate_keys"), broken.alias("ohlc_violation_count"),
     )
     day, own = Window.partitionBy("symbol", "day"), Window.partitionBy("symbol")
     missing = F.when(F.row_number().over(day.orderBy("timeframe")) == 1, F.greatest(F.lit(MINUTES) - F.sum("row_count").over(day), F.lit(0))).otherwise(0)

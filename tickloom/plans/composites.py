@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,7 +12,9 @@ from ..functions.columns import in_window, parsed_list, partitions_of
 from ..operators import dividends as dv
 from ..operators import gaps, quality, rollup
 from ..operators.event_windows import event_windows
-from ..sources import files, tables
+from ..schemas import BAR_KEY
+from ..session import stored
+from ..sources import files, footers, tables
 from ..sources.rest import RestDividends
 
 # Columns of the artefacts, in their order.
@@ -26,6 +28,8 @@ GLOBAL = (
     "total_ohlc_violation_count", "pct_symbols_below_coverage_threshold", "coverage_threshold", "overall_status",
 )
 DATASETS = {"bars_daily": "1D", "bars_1m": "1Min"}
+#: Broken bars of each rule that a report shows.
+SAMPLES = 50
 
 
 @dataclass(frozen=True)
@@ -50,24 +54,28 @@ def qa_report(bars: DataFrame | None, out: str, timeframe: str = "1Min", strict:
     if bars is None:
         return _no_data(out, timeframe, now)
     bars, missing = _complete(bars)
-    notes = F.lit(f"Missing canonical columns: {missing}" if missing else "")
-    summary, written = rollup.qa_summary(bars), []
+    notes, written = F.lit(f"Missing canonical columns: {missing}" if missing else ""), []
+    seen = Observation("qa_report")
+    keys = stored(rollup.keyed(bars).observe(seen, F.sum("broken").alias("broken"), F.count_if(F.col("n") > 1).alias("duplicates")))  # the one pass over the bars
+    totals = seen.get["broken"] or 0, seen.get["duplicates"] or 0
+    summary = rollup.summary_of(keys)
     if timeframe == "1D":
-        by_day = gaps.daily_gaps_by_symbol(bars.withColumn("d", F.to_date("ts_utc")).where(F.weekday("d") < 5))
+        by_day = gaps.daily_gaps_by_symbol(keys.where(F.weekday("day") < 5), "day")
         side = by_day.select(F.col("symbol").alias("of"), F.col("missing_days").alias("missing"))
         summary = summary.drop("gap_count").join(side, F.col("symbol") == F.col("of"), "left").withColumn("gap_count", F.coalesce("missing", F.lit(0)).cast("long"))
         detail, name = by_day.orderBy(F.desc("missing_days"), F.desc("symbol")), "qa_gaps_daily"
     else:
-        detail, name = gaps.minute_gaps_by_day(bars).orderBy(F.desc("missing_minutes"), "symbol", "date"), "qa_gaps_1m"
+        detail, name = gaps.minute_gaps_by_day(keys, rows="n").orderBy(F.desc("missing_minutes"), "symbol", "date"), "qa_gaps_1m"
     summary = summary.withColumns({"last_updated": F.lit(now), "notes": notes}).select(*SUMMARY).orderBy("timeframe", "symbol")
-    rules = quality.violations_by_rule(bars)
-    order = [F.asc_nulls_last(c) for c in ("symbol", "ts_utc")]
     parts = {"qa_summary": summary, name: detail}
-    totals = bars.agg(F.count_if(quality.any_rule())).first()[0], quality.duplicate_keys(bars).count()
     if totals[1]:
-        parts["qa_duplicates"] = quality.duplicate_keys(bars)
+        parts["qa_duplicates"] = keys.where("n > 1").select(*BAR_KEY, F.col("n").alias("row_count"))
     if totals[0]:
-        parts |= {"qa_ohlc_violations": rules.orderBy(F.desc("violation_count"), "rule", "symbol"), "qa_ohlc_violations_samples": quality.violation_samples(bars, 50, order).select("rule", *tables.CANONICAL_BAR)}
+        counts = F.array(*(F.struct(F.lit(k).alias("rule"), F.col(f"broken_{k}").alias("n")) for k in quality.report_rules()))
+        rules = keys.where("broken > 0").select("symbol", F.inline(counts)).where("n > 0").groupBy("rule", "symbol").agg(F.sum("n").alias("violation_count"))
+        order = [F.asc_nulls_last(c) for c in ("symbol", "ts_utc")]
+        samples = quality.violation_samples(quality.on_days(bars, stored(quality.broken_days(keys, SAMPLES))), SAMPLES, order)  # reads a few days again
+        parts |= {"qa_ohlc_violations": rules.orderBy(F.desc("violation_count"), "rule", "symbol"), "qa_ohlc_violations_samples": samples.select("rule", *tables.CANONICAL_BAR)}
     for name, df in parts.items():
         tables.write_csv(df, f"{out}/{name}")
         written.append(name)
@@ -106,7 +114,7 @@ def qa_export(bars: DataFrame, e: Export, thresholds: rollup.Thresholds = rollup
     """By-symbol, global and coverage tables of an export. Bars without a window expect no bars: their coverage is 0."""
     spark = bars.sparkSession
     bars, missing = _complete(bars)
-    bars = bars.where(in_window("ts_utc", e.start, e.end)).withColumn("d", F.to_date("ts_utc"))
+    bars = stored(rollup.keyed(bars.where(in_window("ts_utc", e.start, e.end)))).withColumn("d", F.col("day"))  # the one pass over the bars
     inside = e.start is not None and e.end is not None
     expected, own = F.lit(0), None
     if inside:
@@ -120,16 +128,16 @@ def qa_export(bars: DataFrame, e: Export, thresholds: rollup.Thresholds = rollup
     notes += ["symbols_expected not provided (derived from data)"] if e.symbols is None else []
     notes += [] if inside else ["start/end window not provided (expected_bars may be 0)"]
     notes += [gaps.FALLBACK_NOTE] if inside and gaps.expected_days(e.calendar, e.start, e.end)[1] else []
-    stamp = {"run_id": F.lit(e.run_id), "dataset_name": F.lit(e.dataset), "bar_interval": F.lit(e.interval), "start_ts": F.lit(e.start), "end_ts": F.lit(e.end)}
-    metrics = rollup.qa_by_symbol(bars, expected, own)
+    stamp = {"run_id": F.lit(e.run_id), "dataset_name": F.lit(e.dataset), "bar_interval": F.lit(e.interval), "start_ts": F.lit(e.start).cast("string"), "end_ts": F.lit(e.end).cast("string")}
+    metrics = stored(rollup.by_symbol_of(bars, expected, own))  # a row a symbol
     by_symbol = metrics.withColumns(stamp | {"notes": F.lit("; ".join(notes))}).select(*BY_SYMBOL)
     names = metrics.where("symbol IS NOT NULL").agg(F.array_sort(F.collect_set("symbol")).alias("present"))
     wanted = F.array(*map(F.lit, e.symbols)) if e.symbols else F.col("present")
     names = names.select(F.size("present").alias("symbols_present"), F.size(F.array_distinct(wanted)).alias("symbols_expected"), F.array_join(F.array_sort(F.array_except(wanted, "present")), ";").alias("symbols_missing"))
     total = rollup.qa_global(metrics, thresholds).drop("symbols_present").withColumnRenamed("pct_below", "pct_symbols_below_coverage_threshold")
     total = total.withColumns(stamp | {"coverage_threshold": F.lit(thresholds.min_coverage_pct)} | {c: names.select(F.col(c)).scalar() for c in ("symbols_present", "symbols_expected", "symbols_missing")})
-    listed = spark.createDataFrame([(s,) for s in e.symbols], "symbol string") if e.symbols else bars.where("symbol IS NOT NULL").select("symbol").distinct()
-    coverage = gaps.coverage(bars, listed, e.calendar, e.start, last) if inside else listed.limit(0)
+    listed = spark.createDataFrame([(s,) for s in e.symbols], "symbol string") if e.symbols else metrics.where("symbol IS NOT NULL").select("symbol")
+    coverage = gaps.coverage(bars, listed, e.calendar, e.start, last, rows="n") if inside else listed.limit(0)
     return by_symbol, total.select(*GLOBAL), coverage
 
 
@@ -227,11 +235,11 @@ def handoff_report(spark: SparkSession, curated: str, qa: str | None = None, row
     if not files.exists(curated):
         raise FileNotFoundError(f"no curated data at {curated}")
     found = {r.dataset: r.asDict() for r in dataset_inventory(files.listed(spark, curated)).where(F.col("dataset").isin(*DATASETS)).collect()}
+    rows = {r.dataset: r.row_count for r in footers.row_counts(spark, curated).where(F.col("dataset").isin(*DATASETS)).collect()} if row_counts else {}
     datasets = {}
     for name in sorted(d for d in DATASETS if d in found or d in files.folders(curated)):
         own = found.get(name, {"symbols": [], "date_min": None, "date_max": None, "file_count": 0})
-        rows = spark.read.parquet(f"{curated}/{name}").count() if row_counts and own["file_count"] else None
-        datasets[name] = own | {"timeframe": DATASETS[name], "row_count": rows}
+        datasets[name] = own | {"timeframe": DATASETS[name], "row_count": rows.get(name) if own["file_count"] else None}
         datasets[name].pop("dataset", None)
     days = [x for d in datasets.values() for x in (d["date_min"], d["date_max"]) if x]
     run = files.latest_run(qa) if qa else None

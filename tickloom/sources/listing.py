@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -20,6 +21,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualNullSafe,
 SCHEMA = "relative_path string, size_bytes bigint, dataset string, symbol string, date string"
 ARROW = pa.schema([("relative_path", pa.string()), ("size_bytes", pa.int64()), ("dataset", pa.string()), ("symbol", pa.string()), ("date", pa.string())])
 PARTS, ROWS = 64, 5000
+#: How folders write a null.
+NULL = "__HIVE_DEFAULT_PARTITION__"
 #: Values that are told by folders' names, and the tests on them that can be pushed down.
 FROM_FOLDERS = ("dataset", "symbol", "date")
 TESTS = {
@@ -39,7 +42,8 @@ def told(relative: str) -> dict[str, str]:
     """What a folder's path says: the dataset, and the last symbol= and date= in it."""
     parts = relative.split("/") if relative else []
     out = {"dataset": parts[0]} if parts else {}
-    return out | {k: v for p in parts for k, _, v in [p.partition("=")] if k in ("symbol", "date") and "=" in p}
+    pairs = [(k, v) for p in parts for k, mark, v in [p.partition("=")] if mark and k in ("symbol", "date")]
+    return out | {k: unquote(v) for k, v in pairs if v != NULL}
 
 
 class ListingReader(DataSourceReader):

@@ -52,6 +52,7 @@ def read_bars(spark: SparkSession, root: str, symbol: str | None = None, date: s
 
 def write_bars(bars: DataFrame, root: str) -> None:
     """Replaces just the (symbol, date) folders that bars has rows for."""
+    bars.sparkSession.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")  # footers have no bounds of the older kind
     rows = bars.repartition("symbol", "date")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("symbol", "date").parquet(root)
 
