@@ -1,5 +1,6 @@
 """Snapshots, marts, event-window outputs, quality artefacts, archive packs and handoff reports on disk."""
 
+import datetime as dt
 import json
 import random
 import zipfile
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators import event_windows as ew
-from tickloom.operators import inventory, ordered, quality, records, rollup, shards
+from tickloom.operators import inventory, normalize, ordered, quality, records, rollup, shards
 from tickloom.plans import composites
 from tickloom.schemas import BAR, DIVIDEND
 from tickloom.sources import files, footers, listing, manifests, packs, tables
@@ -313,6 +314,52 @@ def test_footers_tell_what_a_scan_tells(spark, tmp_path, kind):
     spark.conf.set("spark.sql.parquet.outputTimestampType", "INT96")
 
 
+@pytest.mark.parametrize("pre, post", [(0, 0), (1, 0), (2, 3), (5, 5), (200, 165)])
+def test_windows_of_any_width_by_buckets_of_days(spark, pre, post):
+    rng = random.Random(pre)
+    first = dt.date(2023, 1, 1)
+    events = [(f"e{i}", rng.choice("ab"), str(first + dt.timedelta(rng.randrange(700)))) for i in range(40)]
+    bars = [(rng.choice("AB"), first + dt.timedelta(rng.randrange(-300, 1000)), float(i)) for i in range(500)]
+    got = ew.event_windows(spark.createDataFrame(events, "corporate_action_id string, symbol string, ex_date string"), spark.createDataFrame(bars, "symbol string, date date, open double"), pre, post, guard="plan")
+    near = lambda e, b: -pre <= (b - dt.date.fromisoformat(e)).days <= post
+    want = sorted((i, b, o) for i, s, e in events for t, b, o in bars if s.upper() == t and near(e, b))
+    assert sorted((r.event_corporate_action_id, r.bar_date, r.bar_open) for r in got.collect()) == want and want
+    copies = got.selectExpr("event_day_offset").where(f"event_day_offset NOT BETWEEN {-pre} AND {post}")
+    assert copies.isEmpty() and (pre + post) // ew.bucket_days(pre, post) + 2 <= ew.COPIES + 2
+
+
+def test_guards_in_the_plan(spark):
+    bars = spark.createDataFrame([("A", "2025-01-02", 1.0), (" ", "2025-01-03", 2.0)], "symbol string, ts string, open double")
+    events = spark.createDataFrame([("e", "A", "2025-01-02")], "corporate_action_id string, symbol string, ex_date string")
+    with pytest.raises(ValueError, match="1 bars lack a symbol"):
+        ew.event_windows(events, bars)
+    lazy = ew.event_windows(events, bars, symbol="A", guard="plan")
+    with pytest.raises(Exception, match="some bars lack a symbol"):
+        lazy.collect()
+    assert ew.event_windows(events, bars.where("symbol = 'A'"), guard="plan").count() == 1
+    raw = spark.createDataFrame([("noon", 1.0), ("2025-01-02T09:00:00Z", 2.0)], "timestamp string, open double").withColumns({c: F.col("open") for c in ("high", "low", "close", "volume", "ordinal")})
+    with pytest.raises(Exception, match="some timestamps can't be parsed"):
+        normalize.normalize_bars(raw, "A", "x", "1D", guard="plan").collect()
+    rules = (F.try_to_timestamp("timestamp").isNull(), "{n} timestamp can't be parsed"), (F.col("open") < 2, "{n} price is low")
+    assert [r.errors for r in normalize.with_errors(raw, *rules).orderBy("open").collect()] == [["this timestamp can't be parsed", "this price is low"], []]
+    with pytest.raises(ValueError, match="unknown guard"):
+        normalize.checked(raw, rules[0], guard="none")
+
+
+def test_scans_are_pruned_by_events(spark, tmp_path, dividends):
+    root, snap = str(tmp_path / "lake"), str(tmp_path / "snap")
+    tables.write_snapshot(dividends, snap)  # AAPL 2025-01-10, MSFT 2024-02-09
+    days = spark.range(40).select(F.expr("explode(array('AAPL', 'msft', 'ZZZ'))").alias("symbol"), F.date_add(F.lit("2025-01-01").cast("date"), F.col("id").cast("int")).alias("day"))
+    rows = days.select("symbol", F.lit("1D").alias("timeframe"), F.lit("x").alias("source"), F.col("day").cast("timestamp").alias("ts_utc"), *(F.lit(1.0).alias(c) for c in ("open", "high", "low", "close")), F.lit(1).cast("long").alias("volume"), F.year("day").alias("year"), F.col("day").cast("string").alias("date"))
+    tables.write_bars(rows, root)
+    near = tables.bars_near(spark, root, tables.read_snapshot(spark, snap), 2, 3)
+    assert sorted((r.symbol, r.date) for r in near.collect()) == [("AAPL", f"2025-01-{d:02d}") for d in range(8, 14)]
+    plan = near._jdf.queryExecution().toString()
+    assert "dynamicpruning" in plan
+    got = tables.snapshot_windows(spark, snap, root, 2, 3)
+    assert sorted(map(str, got.collect())) == sorted(map(str, tables.snapshot_windows(spark, snap, tables.read_bars(spark, root), 2, 3).collect())) and got.count() > 0
+
+
 def test_save_plan(spark):
     listed = spark.createDataFrame([(p, 2) for p in ("a/b/c", "a/bc", "a/.x/y", "d", "e/f")], files.LISTING)
     assert [r.relative_path for r in composites.save_plan(listed, ["a/", "d"], ["a/b"]).collect()] == ["a/bc", "d"]

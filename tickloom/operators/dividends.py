@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import cleaned, iso_date, symbol_of
 from ..schemas import DIVIDEND, DIVIDEND_KEY, DIVIDEND_TYPES
-from .normalize import checked
+from .normalize import COUNT, checked
 
 DATES = ("process_date", "declaration_date", "ex_date", "record_date", "payable_date")
 FIELDS = ("id", "symbol", "type", *DATES, "cash_amount", "stock_amount", "currency", "rate")
@@ -59,7 +59,7 @@ def canonical_hash(df: DataFrame, raw: str = "raw", out: str = "source_payload_h
     return df.withColumn(out, digest(raw))
 
 
-def normalize_dividends(df: DataFrame, source: str = "api", strict: bool = True) -> DataFrame:
+def normalize_dividends(df: DataFrame, source: str = "api", strict: bool = True, guard: str = COUNT) -> DataFrame:
     """The fixed columns from id, symbol, type, dates, amounts (text or numbers), currency, rate and raw.
 
     A cash dividend's amount falls back to rate and its currency to USD. strict: blank ids, symbols, unknown types and
@@ -75,7 +75,7 @@ def normalize_dividends(df: DataFrame, source: str = "api", strict: bool = True)
         for d in DATES:
             text = cleaned(F.col(d).cast("string"))
             rules.append((text.isNotNull() & iso_date(text).isNull(), "{n} values of " + d + " aren't ISO dates"))
-        checked(df, *rules)
+        df = checked(df, *rules, guard=guard, carrier="symbol")
     raw = F.col("raw") if "raw" in df.columns else F.to_json(F.struct(*FIELDS))
     return df.select(
         cleaned(F.col("id").cast("string")).alias("corporate_action_id"), symbol_of("symbol").alias("symbol"), kind.alias("corporate_action_type"), F.lit(source).alias("source"),
@@ -130,8 +130,8 @@ def source_counts(df: DataFrame) -> DataFrame:
     ).withColumn("nested_response_detected", (F.col("nested_cash_dividend_count") > 0) | (F.col("nested_stock_dividend_count") > 0))
 
 
-def mart_rows(df: DataFrame) -> DataFrame:
+def mart_rows(df: DataFrame, guard: str = COUNT) -> DataFrame:
     """Rows of the research mart: upper-case symbols and the year of ex_date; one bad row rejects all."""
     day = iso_date(F.col("ex_date").cast("string"))
-    checked(df, (day.isNull() | symbol_of("symbol").isNull(), "{n} rows lack a symbol or a valid ex_date"))
+    df = checked(df, (day.isNull() | symbol_of("symbol").isNull(), "{n} rows lack a symbol or a valid ex_date"), guard=guard, carrier="symbol")
     return df.withColumns({"symbol": symbol_of("symbol"), "year": F.year(day)})

@@ -344,7 +344,7 @@ def bars_partition_cols(spark, d):
 
 
 def _events(spark, d, pre=5, post=5, symbol=None) -> DataFrame:
-    return ew.event_windows(dividends(spark, d), view(spark, d, "bars_daily").withColumnRenamed("d", "date"), pre, post, symbol)
+    return ew.event_windows(dividends(spark, d), view(spark, d, "bars_daily").withColumnRenamed("d", "date"), pre, post, symbol, guard="plan")
 
 
 def _events_sql(pre: int, post: int, more: str = "") -> str:

@@ -10,15 +10,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dividends import action_order, dedup_dividends, mart_rows, snapshot_metadata, source_counts
-from ..operators.event_windows import OUTPUT, event_order, event_windows
+from ..functions.columns import symbol_of
+from ..operators.event_windows import OUTPUT, bucket_days, event_order, event_windows
 from ..schemas import BAR, CANONICAL_BAR, DIVIDEND, DIVIDEND_KEY
+from ..session import stored
 from . import files
+from .listing import listing
 
 MART = T.StructType([*DIVIDEND.fields, T.StructField("year", T.IntegerType())])
 GUARDED = ("curated", "canonical")
 #: Name of the metadata beside a table's data; Spark's readers pass over it.
 SIDECAR = "_dataset.json"
 ANCHOR = "ex_date"
+#: Folders by which a scan is pruned at most: two short texts each.
+FOLDERS = 500_000
 
 
 def safe_output(path: str, inputs: list[str] = ()) -> str:
@@ -174,14 +179,32 @@ def validate_mart(spark: SparkSession, root: str) -> dict:
     return said | found | {"root": root, "exists": files.exists(root), "valid": not errors, "errors": errors}
 
 
-def snapshot_windows(spark: SparkSession, snapshot: str, bars: DataFrame, pre: int = 5, post: int = 5, **more) -> DataFrame:
-    """Event windows of a snapshot's dividends."""
-    return event_windows(read_snapshot(spark, snapshot), bars, pre, post, **more)
+def bars_near(spark: SparkSession, root: str, dividends: DataFrame, pre: int = 5, post: int = 5) -> DataFrame:
+    """Curated bars below root (symbol=/date= folders) of the folders that windows of these dividends meet: the others aren't read.
 
+    Folders are listed, those of a symbol near one of its ex_dates are kept, and the scan is pruned by them when it runs.
+    They are broadcast up to FOLDERS; beyond that the scan is pruned by nothing."""
+    day = F.to_date(F.try_to_timestamp(F.col("ex_date").cast("string")))
+    width = bucket_days(pre, post)
+    ev = dividends.select(symbol_of("symbol").alias("of"), day.alias("at")).where("at IS NOT NULL").distinct()
+    ev = ev.withColumn("bucket", F.explode(F.sequence(F.floor(F.unix_date(F.date_sub("at", pre)) / width), F.floor(F.unix_date(F.date_add("at", post)) / width))))
+    found = listing(spark, root).select("symbol", "date").distinct().where("symbol IS NOT NULL AND date IS NOT NULL").withColumn("on", F.try_to_date("date")).withColumn("in", F.floor(F.unix_date("on") / width))
+    near = (symbol_of("symbol") == F.col("of")) & (F.col("in") == F.col("bucket")) & F.col("on").between(F.date_sub("at", pre), F.date_add("at", post))
+    wanted = stored(found.join(ev, near, "left_semi").select("symbol", "date"))
+    bars, wanted = read_bars(spark, root), wanted.where("date > ''")  # a predicate, without which Spark prunes no scan by a join
+    return bars.join(F.broadcast(wanted), ["symbol", "date"], "left_semi") if wanted.count() <= FOLDERS else bars
 
-def mart_windows(spark: SparkSession, root: str, bars: DataFrame, pre: int = 5, post: int = 5, **more) -> DataFrame:
-    """Event windows of a mart's dividends."""
-    return event_windows(_read_or_empty(spark, root, MART), bars, pre, post, **more)
+
+def snapshot_windows(spark: SparkSession, snapshot: str, bars: DataFrame | str, pre: int = 5, post: int = 5, **more) -> DataFrame:
+    """Event windows of a snapshot's dividends with bars, or with the curated bars below a root."""
+    dividends = read_snapshot(spark, snapshot)
+    return event_windows(dividends, bars_near(spark, bars, dividends, pre, post) if isinstance(bars, str) else bars, pre, post, **more)
+
+
+def mart_windows(spark: SparkSession, root: str, bars: DataFrame | str, pre: int = 5, post: int = 5, **more) -> DataFrame:
+    """Event windows of a mart's dividends with bars, or with the curated bars below a root."""
+    dividends = _read_or_empty(spark, root, MART)
+    return event_windows(dividends, bars_near(spark, bars, dividends, pre, post) if isinstance(bars, str) else bars, pre, post, **more)
 
 
 def write_event_windows(windows: DataFrame, path: str, pre: int, post: int, dividends: str | None = None, bars: str | None = None, timeframe: str = "1D", symbol: str | None = None, anchor: str = ANCHOR, counts: dict | None = None) -> dict:
