@@ -14,7 +14,7 @@ from tickloom.schemas import CANONICAL_BAR, DIVIDEND
 from tickloom.session import configured
 from tickloom.sources import rest, tables
 from tickloom.sources.backfill import backfill_bars
-from tickloom.streaming.backfill import run_backfill
+from tickloom.streaming.backfill import run_backfill, stream_backfill
 
 T = dt.datetime
 BARS = [
@@ -248,6 +248,47 @@ def fake_days(url: str, params: dict) -> tuple[int, str]:
     return 200, json.dumps({"bars": [bar], "next_page_token": None if params.get("page_token") else "2"})
 
 
+def fake_logged(url: str, params: dict) -> tuple[int, str]:
+    """As fake_days; each first page adds a line to the file that the url begins with."""
+    if not params.get("page_token"):
+        log, _, symbol = url.removesuffix("/bars").partition("/v2/stocks/")
+        with open(log, "a") as f:
+            f.write(f"{symbol} {params['start']}\n")
+    return fake_days(url, params)
+
+
+def test_backfill_as_a_stream_fetches_no_window_twice(spark, tmp_path):
+    root, log = str(tmp_path / "bars"), tmp_path / "log"
+    options = {"symbols": "ok,bad,c", "start": "2025-01-02", "end": "2025-01-09", "transport": f"{__name__}:fake_logged", "url": str(log), "windowsPerBatch": "4"}
+    for end, days in (("2025-01-09", 5), ("2025-01-09", 5), ("2025-01-16", 10)):  # stopped, started again, and again when there is more to fetch
+        query = stream_backfill(spark, options | {"end": end}, root, str(tmp_path / "cp"), str(tmp_path / "failures"))
+        query.processAllAvailable()
+        query.stop()
+        asked = log.read_text().split("\n")[:-1]
+        assert len(asked) == len(set(asked)) == 3 * days
+    got = {(r.symbol, r["count"]) for r in tables.read_bars(spark, root).groupBy("symbol").count().collect()}
+    assert got == {("OK", 20), ("C", 20), ("BAD", 18)}  # one window of BAD fails
+    failed = spark.read.option("header", True).csv(str(tmp_path / "failures")).collect()
+    assert [(r.symbol, r.date) for r in failed] == [("BAD", "2025-01-03")]
+
+
+def test_stream_of_windows_plans_by_offsets(tmp_path):
+    options = {"symbols": "a,b", "start": "2025-01-02", "end": "2025-01-08", "windows": "day", "progress": str(tmp_path / "p.json"), "windowsPerBatch": "3", "ratePerMinute": "60", "transport": f"{__name__}:fake_days"}
+    r = rest.BarsStream(options)
+    assert (r.initialOffset(), r.latestOffset()) == ({"next": 0}, {"next": 3}) and r.partitions({"next": 0}, {"next": 0}) == []
+    own = r.partitions({"next": 0}, {"next": 3})
+    assert [(p.symbol, p.windows, p.wait) for p in own] == [("A", [("2025-01-02", "2025-01-03"), ("2025-01-03", "2025-01-04")], 2.0), ("B", [("2025-01-02", "2025-01-03")], 2.0)]
+    assert r.latestOffset() == {"next": 6} and rest.BarsStream(options).latestOffset() == {"next": 6}
+    waits = []
+    rows = list(rest.bars_of(options, fake_days, "A", own[0].windows, 2.0, waits.append))
+    assert len(rows) == 4 and waits == [2.0] * 4 and [x[-3] for x in rows] == [0, 1, 2, 3]
+    r.partitions({"next": 3}, {"next": 6})
+    assert r.latestOffset() == {"next": 8} == rest.BarsStream(options).latestOffset()
+    for bad in ({"progress": ""}, {"windowsPerBatch": "0"}, {"ratePerMinute": "-1"}):
+        with pytest.raises(ValueError):
+            rest.BarsStream(options | bad)
+
+
 def test_backfill_goes_on_after_failures(spark, tmp_path):
     spark.sparkContext.setCheckpointDir(str(tmp_path / "cp"))
     options = {"symbols": "ok,bad", "start": "2025-01-02", "end": "2025-01-06", "transport": f"{__name__}:fake_days"}

@@ -12,7 +12,7 @@ from tickloom.operators import event_windows as ew
 from tickloom.operators import inventory, normalize, ordered, quality, records, rollup, shards
 from tickloom.plans import composites
 from tickloom.schemas import BAR, DIVIDEND
-from tickloom.sources import files, footers, listing, manifests, packs, tables
+from tickloom.sources import files, footers, listing, manifests, packs, tables, versions
 
 ROWS = [
     {"corporate_action_id": f"ca-{i}", "symbol": s, "corporate_action_type": "cash_dividend", "source": "api", "process_date": None, "declaration_date": None, "ex_date": d, "record_date": None, "payable_date": None,
@@ -360,6 +360,35 @@ def test_scans_are_pruned_by_events(spark, tmp_path, dividends):
     assert sorted(map(str, got.collect())) == sorted(map(str, tables.snapshot_windows(spark, snap, tables.read_bars(spark, root), 2, 3).collect())) and got.count() > 0
 
 
+def test_versions_are_swapped_whole(spark, tmp_path, dividends):
+    root, one = str(tmp_path / "mart"), dividends.where("symbol = 'MSFT'")
+    tables.write_mart(dividends, root)  # a plain table
+    before = tables.read_mart(spark, root)
+    said = tables.write_mart(one, root, keep=2)
+    assert (said["row_count"], before.count(), tables.read_mart(spark, root).count()) == (1, 3, 1) and tables.validate_mart(spark, root)["valid"]
+    held = tables.read_mart(spark, root)
+
+    def fails(path):
+        one.write.parquet(path)
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        versions.replaced(root, fails)
+    assert tables.read_mart(spark, root).count() == 1
+    tables.write_mart(dividends, root, keep=2)
+    assert held.count() == 1 and tables.read_mart(spark, root).count() == 3 and sorted(p.name for p in (tmp_path / "mart").iterdir()) == ["_current.json", "_versions"]
+    tables.write_mart(one, root, keep=2)
+    assert len(list((tmp_path / "mart/_versions").iterdir())) == 2 and tables.read_mart(spark, root).count() == 1 and versions.current(root).rpartition("/")[2].startswith("00000003-")
+    snap, out = str(tmp_path / "snap"), str(tmp_path / "out")
+    assert tables.write_snapshot(dividends, snap, "2024-01-01", "2025-12-31", keep=1)["written_record_count"] == 2 and tables.read_snapshot(spark, snap).count() == 2  # one comes twice
+    assert tables.mart_from_snapshot(spark, snap, str(tmp_path / "mart2"))["ingest_start_date"] == "2024-01-01"
+    bars = spark.createDataFrame([("AAPL", "2025-01-10", 1.0)], "symbol string, date string, open double")
+    for n in (1, 2):
+        assert tables.write_event_windows(tables.snapshot_windows(spark, snap, bars, 1, 1), out, 1, 1, snap, keep=1)["row_count"] == tables.read_event_windows(spark, out).count() > 0
+    with pytest.raises(ValueError):
+        tables.write_mart(one, f"{tmp_path}/curated/x", keep=2)
+
+
 def test_save_plan(spark):
     listed = spark.createDataFrame([(p, 2) for p in ("a/b/c", "a/bc", "a/.x/y", "d", "e/f")], files.LISTING)
     assert [r.relative_path for r in composites.save_plan(listed, ["a/", "d"], ["a/b"]).collect()] == ["a/bc", "d"]

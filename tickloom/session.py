@@ -42,7 +42,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """df, computed once, written as Parquet in the shared folder and read again; a checkpoint would compute it twice."""
+    """df, computed once, written as Parquet in the shared folder and read again: later readers take the columns that they need."""
     path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

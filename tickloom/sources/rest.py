@@ -2,7 +2,7 @@
 
 `rest_bars`: a partition for each symbol; options symbols (comma-separated), start, end, timeframe, windows (none, day -
 weekdays -, month, year: pieces that are asked for one after another) and onError (fail, or record: a window that can't be
-had gives one row with its error and no bars).
+had gives one row with its error and no bars). As a stream, see BarsStream.
 `rest_dividends`: a partition for each `symbolsPerRequest` symbols; a row for each page, whose body `flatten_payloads` takes
 apart on the cluster; options symbols, types, start, end, limit (1 to 1000), sort (asc or desc).
 Both: url, and transport, the `module:function` that gets a page: function(url, params) -> (status, body). The default is an
@@ -14,11 +14,11 @@ import importlib
 import json
 import random
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from ..schemas import DIVIDEND_TYPES
 
@@ -118,21 +118,81 @@ class BarsReader(DataSourceReader):
         return [OneSymbol(s) for s in wanted_symbols(self.options)]
 
     def read(self, partition):
-        o, n, own = self.options, 0, partition.symbol
-        url = f"{o.get('url', '')}/v2/stocks/{own}/bars"
-        record = o.get("onError", o.get("onerror", "fail")) == "record"
-        for start, end in windows(o.get("start"), o.get("end"), o.get("windows", "none")):
-            rows = []  # a window's bars come all or not at all
-            try:
-                for page in pages(self.get, url, {"start": start, "end": end, "timeframe": o.get("timeframe", "1Day"), "limit": PAGE}):
-                    for b in page.get("bars") or []:
-                        rows.append((own, b["t"], *(float(b[k]) for k in "ohlcv"), n + len(rows), start, None))
-            except Exception as e:
-                if not record:
-                    raise
-                rows = [(own, None, *[None] * 5, n, start, str(e)[:500])]
-            yield from rows
-            n += len(rows)
+        yield from bars_of(self.options, self.get, partition.symbol, windows(self.options.get("start"), self.options.get("end"), self.options.get("windows", "none")))
+
+
+def bars_of(o: dict, get: Callable, symbol: str, asked: list[tuple[str | None, str | None]], wait: float = 0.0, sleep: Callable = time.sleep) -> Iterator[tuple]:
+    """Rows of a symbol's windows; a window's bars come all or not at all. wait: seconds before each page."""
+    n, url = 0, f"{o.get('url', '')}/v2/stocks/{symbol}/bars"
+    record = o.get("onError", o.get("onerror", "fail")) == "record"
+
+    def paced(url: str, params: dict) -> tuple[int, str]:
+        if wait:
+            sleep(wait)
+        return get(url, params)
+
+    for start, end in asked:
+        rows = []
+        try:
+            for page in pages(paced, url, {"start": start, "end": end, "timeframe": o.get("timeframe", "1Day"), "limit": PAGE}):
+                for b in page.get("bars") or []:
+                    rows.append((symbol, b["t"], *(float(b[k]) for k in "ohlcv"), n + len(rows), start, None))
+        except Exception as e:
+            if not record:
+                raise
+            rows = [(symbol, None, *[None] * 5, n, start, str(e)[:500])]
+        yield from rows
+        n += len(rows)
+
+
+@dataclass
+class SomeWindows(InputPartition):
+    symbol: str
+    windows: list[tuple[str | None, str | None]]
+    wait: float
+
+
+class BarsStream(DataSourceStreamReader):
+    """All windows of all symbols as a stream: an offset is how many (window, symbol) pairs are done, window by window.
+
+    Each batch takes windowsPerBatch more. The end of the last batch that was planned is kept in the file `progress`, so that
+    a query that is started again goes on there: what a batch has fetched isn't fetched again, unless that batch failed.
+    ratePerMinute: pages that all tasks of a batch ask for at most, shared evenly by them."""
+
+    def __init__(self, options: dict):
+        from .files import read_json
+
+        self.options, self.get = options, transport(options)
+        lower = {k.lower(): v for k, v in options.items()}
+        if not (progress := lower.get("progress")):
+            raise ValueError("option progress must name a file beside the checkpoint")
+        self.progress, self.symbols = progress, wanted_symbols(options)
+        self.windows = windows(options.get("start"), options.get("end"), options.get("windows", "none"))
+        self.per, self.rate = int(lower.get("windowsperbatch", 64)), float(lower.get("rateperminute", 0))
+        if self.per < 1 or self.rate < 0:
+            raise ValueError("windowsPerBatch must be positive, ratePerMinute not negative")
+        self.at = read_json(progress).get("next", 0)
+
+    def initialOffset(self):
+        return {"next": 0}
+
+    def latestOffset(self):
+        return {"next": min(self.at + self.per, len(self.windows) * len(self.symbols))}
+
+    def partitions(self, start, end):
+        from .files import write_json
+
+        if end["next"] > self.at:
+            self.at = end["next"]
+            write_json({"next": self.at}, self.progress)
+        own: dict[str, list] = {}
+        for i in range(start["next"], end["next"]):
+            window, symbol = divmod(i, len(self.symbols))
+            own.setdefault(self.symbols[symbol], []).append(self.windows[window])
+        return [SomeWindows(s, w, 60 * len(own) / self.rate if self.rate else 0.0) for s, w in own.items()]
+
+    def read(self, partition):
+        yield from bars_of(self.options, self.get, partition.symbol, partition.windows, partition.wait)
 
 
 class RestBars(DataSource):
@@ -146,6 +206,9 @@ class RestBars(DataSource):
     def reader(self, schema):
         return BarsReader(dict(self.options))
 
+    def streamReader(self, schema):
+        return BarsStream(dict(self.options))
+
 
 class DividendsReader(DataSourceReader):
     def __init__(self, options: dict):

@@ -14,7 +14,7 @@ from ..functions.columns import symbol_of
 from ..operators.event_windows import OUTPUT, bucket_days, event_order, event_windows
 from ..schemas import BAR, CANONICAL_BAR, DIVIDEND, DIVIDEND_KEY
 from ..session import stored
-from . import files
+from . import files, versions
 from .listing import listing
 
 MART = T.StructType([*DIVIDEND.fields, T.StructField("year", T.IntegerType())])
@@ -97,11 +97,15 @@ def write_table(df: DataFrame, path: str, kind: str | None = None, inputs: list[
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    return _read_or_empty(spark, path, DIVIDEND)
+    return _read_or_empty(spark, versions.current(path), DIVIDEND)
 
 
-def write_snapshot(dividends: DataFrame, path: str, start: str | None = None, end: str | None = None, types: list[str] | None = None) -> dict:
-    """Replaces the snapshot by these dividends, deduplicated and in order; writes and returns its metadata. start and end: the days that were asked for."""
+def write_snapshot(dividends: DataFrame, path: str, start: str | None = None, end: str | None = None, types: list[str] | None = None, keep: int = 0) -> dict:
+    """Replaces the snapshot by these dividends, deduplicated and in order; writes and returns its metadata. start and end: the days that were asked for.
+
+    keep: versions that stay (see versions.replaced(): readers never see half a snapshot); 0 overwrites a plain folder."""
+    if keep:
+        return versions.replaced(safe_output(path), lambda p: write_snapshot(dividends, p, start, end, types), keep)
     n = dividends.count()
     rows = dedup_dividends(dividends).select(*DIVIDEND.names)
     rows.orderBy(*action_order()).write.mode("overwrite").parquet(safe_output(path))
@@ -117,7 +121,7 @@ def write_snapshot(dividends: DataFrame, path: str, start: str | None = None, en
 
 def read_mart(spark: SparkSession, root: str) -> DataFrame:
     order = [F.asc_nulls_last(c) for c in ("symbol", "year", "ex_date", "process_date", "corporate_action_type", "corporate_action_id", "source_payload_hash")]
-    return _read_or_empty(spark, root, MART).orderBy(*order)
+    return _read_or_empty(spark, versions.current(root), MART).orderBy(*order)
 
 
 def mart_metadata(mart: DataFrame) -> DataFrame:
@@ -126,8 +130,12 @@ def mart_metadata(mart: DataFrame) -> DataFrame:
     return mart.agg(F.count("*").alias("row_count"), symbols.alias("symbols"), years.alias("years")).select("row_count", F.size("symbols").alias("symbol_count"), F.size("years").alias("year_count"), "symbols", "years")
 
 
-def write_mart(dividends: DataFrame, root: str, inputs: list[str] = (), source: str | None = None, start: str | None = None, end: str | None = None) -> dict:
-    """Rewrites the mart, in folders symbol=/year=; writes and returns its metadata. Rows are checked before anything is replaced."""
+def write_mart(dividends: DataFrame, root: str, inputs: list[str] = (), source: str | None = None, start: str | None = None, end: str | None = None, keep: int = 0) -> dict:
+    """Rewrites the mart, in folders symbol=/year=; writes and returns its metadata. Rows are checked before anything is replaced.
+
+    keep: versions that stay (see versions.replaced(): readers never see half a mart); 0 overwrites a plain folder."""
+    if keep:
+        return versions.replaced(safe_output(root, list(inputs)), lambda p: write_mart(dividends, p, (), source, start, end), keep)
     rows = mart_rows(dividends)
     rows.repartition("symbol", "year").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("symbol", "year").parquet(safe_output(root, list(inputs)))
     found = mart_metadata(_read_or_empty(dividends.sparkSession, root, MART)).first().asDict()
@@ -141,13 +149,14 @@ def write_mart(dividends: DataFrame, root: str, inputs: list[str] = (), source:
 
 def mart_from_snapshot(spark: SparkSession, snapshot: str, root: str) -> dict:
     """The mart of a snapshot, with the snapshot's window in its metadata."""
-    window = files.read_json(f"{snapshot}/{SIDECAR}")
+    window = files.read_json(f"{versions.current(snapshot)}/{SIDECAR}")
     return write_mart(read_snapshot(spark, snapshot), root, [snapshot], snapshot, window.get("ingest_start_date"), window.get("ingest_end_date"))
 
 
 def validate_mart(spark: SparkSession, root: str) -> dict:
     """What the mart holds, and whether it fits its metadata: valid, errors, row_count, symbols, years and what the metadata says. Never raises for a bad mart."""
     errors: list[str] = []
+    whole, root = root, versions.current(root)
     try:
         metadata = files.read_json(f"{root}/{SIDECAR}")
         if not isinstance(metadata, dict):
@@ -176,7 +185,7 @@ def validate_mart(spark: SparkSession, root: str) -> dict:
     except AnalysisException as e:
         errors.append(f"unreadable: {e.getCondition()}")
     said = {k: metadata.get(k) for k in ("dataset", "dataset_role", "source_dataset_role", "event_anchor", "partition_columns", "schema_fields")}
-    return said | found | {"root": root, "exists": files.exists(root), "valid": not errors, "errors": errors}
+    return said | found | {"root": whole, "exists": files.exists(root), "valid": not errors, "errors": errors}
 
 
 def bars_near(spark: SparkSession, root: str, dividends: DataFrame, pre: int = 5, post: int = 5) -> DataFrame:
@@ -203,17 +212,21 @@ def snapshot_windows(spark: SparkSession, snapshot: str, bars: DataFrame | str,
 
 def mart_windows(spark: SparkSession, root: str, bars: DataFrame | str, pre: int = 5, post: int = 5, **more) -> DataFrame:
     """Event windows of a mart's dividends with bars, or with the curated bars below a root."""
-    dividends = _read_or_empty(spark, root, MART)
+    dividends = _read_or_empty(spark, versions.current(root), MART)
     return event_windows(dividends, bars_near(spark, bars, dividends, pre, post) if isinstance(bars, str) else bars, pre, post, **more)
 
 
-def write_event_windows(windows: DataFrame, path: str, pre: int, post: int, dividends: str | None = None, bars: str | None = None, timeframe: str = "1D", symbol: str | None = None, anchor: str = ANCHOR, counts: dict | None = None) -> dict:
-    """Replaces the contract output by these windows, in order; writes and returns its metadata. The paths of the inputs must not overlap it."""
+def write_event_windows(windows: DataFrame, path: str, pre: int, post: int, dividends: str | None = None, bars: str | None = None, timeframe: str = "1D", symbol: str | None = None, anchor: str = ANCHOR, counts: dict | None = None, keep: int = 0) -> dict:
+    """Replaces the contract output by these windows, in order; writes and returns its metadata. The paths of the inputs must not overlap it.
+
+    keep: versions that stay (see versions.replaced()); 0 overwrites a plain folder."""
     if anchor != ANCHOR:
         raise ValueError(f"unsupported anchor {anchor}; {ANCHOR} is supported")
     safe_output(path, [p for p in (dividends, bars) if p])
     if files.is_file(path):
         raise ValueError(f"{path} is a file, not a folder")
+    if keep:
+        return versions.replaced(path, lambda p: write_event_windows(windows, p, pre, post, dividends, bars, timeframe, symbol, anchor, counts), keep)
     windows.select(*OUTPUT).orderBy(*event_order()).write.mode("overwrite").parquet(path)
     n = windows.sparkSession.read.parquet(path).count()
     metadata = {
@@ -227,7 +240,7 @@ def write_event_windows(windows: DataFrame, path: str, pre: int, post: int, divi
 def read_event_windows(spark: SparkSession, path: str) -> DataFrame:
     """The contract output, in its order; a missing one raises FileNotFoundError."""
     try:
-        return spark.read.parquet(path).select(*OUTPUT).orderBy(*event_order())
+        return spark.read.parquet(versions.current(path)).select(*OUTPUT).orderBy(*event_order())
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
