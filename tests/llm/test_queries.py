@@ -165,6 +165,11 @@ def test_op4_ties_nulls_and_no_pages(spark, tmp_path):
     got = collections.Counter((r.page_id, r.record_type, r.refers_to) for r in warc.op4_warc(spark, f"{tmp_path}/a").collect())
     assert got == {(5, "response", None): 2, (4, "revisit", 5): 1, (None, "revisit", 5): 1, (None, "response", None): 1}
     assert warc.op4_warc(spark, f"{tmp_path}/b").count() == 0
+    path = f"file://{tmp_path}/ids"
+    pages = spark.createDataFrame(rows * 3, "page_id bigint, url string, html string")
+    warc.with_revisits(pages).repartition(2).write.format("warc").mode("append").save(path)
+    ids = [r.record_id for r in spark.read.format("warc").load(path).collect()]
+    assert len(set(ids)) == len(ids) == 15  # repeated rows, too
 
 
 def test_pcm_blocks_of_a_long_text(spark):

@@ -183,7 +183,7 @@ class WarcWriter(DataSourceArrowWriter):
                 if sink is None:
                     name = f"part-{part:06d}-{len(out.files):04d}-{uuid.uuid4().hex}.warc" + ".gz" * self.gzip
                     sink, size = fs.open_output_stream(joined(inner, name), compression=None), 0
-                data = record(row)
+                data = record(row, f"{name}:{size}")
                 data = gzip.compress(data, 6, mtime=0) if self.gzip else data
                 sink.write(data)
                 size += len(data)
@@ -229,15 +229,15 @@ class WarcSource(DataSource):
         return WarcWriter(dict(self.options), overwrite)
 
 
-def record(row: dict) -> bytes:
-    """One WARC/1.1 record; of a revisit just the HTTP headers, which keep the payload's length."""
+def record(row: dict, place: str = "") -> bytes:
+    """One WARC/1.1 record; of a revisit just the HTTP headers, which keep the payload's length. place: where it is written, which makes the ids of repeated rows differ."""
     payload = row.get("payload") or b""
     kind, page, uri = row.get("type") or "response", row.get("page_id"), (row.get("target_uri") or "").replace("\r", "%0D").replace("\n", "%0A")
     digest = row.get("payload_digest") or hashlib.sha1(payload).hexdigest()
     n = row["payload_bytes"] if row.get("payload_bytes") is not None else len(payload)
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {n}\r\n\r\n".encode() + (payload if kind != "revisit" else b"")
     lines = [
-        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page}:{uri}:{digest}:{kind}')}>", f"WARC-Date: {DATE}", f"WARC-Target-URI: {uri}",
+        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page}:{uri}:{digest}:{kind}:{place}')}>", f"WARC-Date: {DATE}", f"WARC-Target-URI: {uri}",
         f"WARC-Payload-Digest: sha1:{base64.b32encode(bytes.fromhex(digest)).decode()}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}",
     ]
     lines += [f"X-Page-ID: {page}"] if page is not None else []
