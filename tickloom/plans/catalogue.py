@@ -8,13 +8,15 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import partitions_of, sessions, symbol_of, utc_text
 from ..operators import dividends as dv
 from ..operators import event_windows as ew
 from ..operators import gaps, inventory, normalize, quality, rollup, shards
+from ..schemas import BAR
 from ..session import shared_dir
-from ..sources import tables
+from ..sources import footers, listing, tables
 from . import composites
 from .views import END, START, YEAR_END, YEAR_START, base_table, view, with_views
 
@@ -513,10 +515,37 @@ def path_summary(spark, d):
 
 @_query(f"{B} SELECT symbol, ts_utc, event_id, strftime(ts_utc, '%Y-%m-%dT%H:%M:%S+00:00') AS ts_text FROM b WHERE symbol = 'CLICK' AND CAST(ts_utc AS DATE) = DATE '2024-01-08' ORDER BY ts_utc, event_id LIMIT 10")
 def preview_partition(spark, d):
-    rows = bars(spark, d).where((symbol_of("symbol") == "CLICK") & (F.to_date("ts_utc") == F.lit("2024-01-08").cast("date")))
+    """Of one folder of curated bars; the others aren't read."""
+    schema = T.StructType([*BAR.fields, T.StructField("event_id", T.LongType())])
+    rows = tables.read_partition(spark, f"{_lake(spark, d)}/bars_1m", schema, symbol="CLICK", date="2024-01-08")
     return rows.orderBy("ts_utc", "event_id").limit(10).select("symbol", "ts_utc", "event_id", utc_text("ts_utc").alias("ts_text"))
 
 
+def _lake(spark, d) -> str:
+    """The minute bars as curated ones, in folders symbol=/date= of a new root."""
+    root = _folder(spark)
+    rows = bars(spark, d).withColumn("ts_utc", F.col("ts_utc").cast("timestamp"))
+    tables.write_bars(rows.withColumns({"year": F.year("ts_utc"), "date": F.date_format("ts_utc", "yyyy-MM-dd")}), f"{root}/bars_1m")
+    return root
+
+
+@_query(f"{B} SELECT symbol, timeframe, min(ts_utc) AS min_ts, max(ts_utc) AS max_ts, count(*) AS row_count FROM b GROUP BY ALL")
+def footer_bounds(spark, d):
+    return footers.bounds(spark, f"{_lake(spark, d)}/bars_1m", BAR)
+
+
+@_query(f"{B} SELECT 'bars_1m' AS dataset, count(DISTINCT (symbol, CAST(ts_utc AS DATE))) AS file_count, count(*) AS row_count FROM b")
+def footer_counts(spark, d):
+    return footers.row_counts(spark, _lake(spark, d))
+
+
+@_query(f"{B} SELECT 'bars_1m' AS dataset, symbol, strftime(ts_utc, '%Y-%m-%d') AS date, count(DISTINCT CAST(ts_utc AS DATE)) AS files FROM b WHERE symbol = 'VIEW' AND ts_utc >= TIMESTAMP '2024-01-10' GROUP BY ALL")
+def folder_listing(spark, d):
+    """Folders of one symbol from a day on; the others aren't entered."""
+    found = listing.listing(spark, _lake(spark, d)).where("symbol = 'VIEW' AND date >= '2024-01-10'")
+    return found.groupBy("dataset", "symbol", "date").agg(F.count("*").alias("files"))
+
+
 @_query(f"{D} SELECT symbol, count(*) AS n FROM b GROUP BY symbol ORDER BY n DESC, symbol LIMIT 5")
 def top_symbols(spark, d):
     return daily(spark, d).groupBy("symbol").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "symbol").limit(5)
