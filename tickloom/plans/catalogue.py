@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import partitions_of, sessions, symbol_of, utc_text
+from ..functions.columns import partitions_of, sessions, utc_text
 from ..operators import dividends as dv
 from ..operators import event_windows as ew
 from ..operators import gaps, inventory, normalize, quality, rollup, shards

@@ -30,6 +30,8 @@ GLOBAL = (
 DATASETS = {"bars_daily": "1D", "bars_1m": "1Min"}
 #: Broken bars of each rule that a report shows.
 SAMPLES = 50
+#: Artefacts with a row for a key, or for a symbol's day.
+GROWING = ("qa_duplicates", "qa_gaps_1m")
 
 
 @dataclass(frozen=True)
@@ -69,7 +71,7 @@ def qa_report(bars: DataFrame | None, out: str, timeframe: str = "1Min", strict:
     summary = summary.withColumns({"last_updated": F.lit(now), "notes": notes}).select(*SUMMARY).orderBy("timeframe", "symbol")
     parts = {"qa_summary": summary, name: detail}
     if totals[1]:
-        parts["qa_duplicates"] = keys.where("n > 1").select(*BAR_KEY, F.col("n").alias("row_count"))
+        parts["qa_duplicates"] = keys.where("n > 1").select(*BAR_KEY, F.col("n").alias("row_count")).orderBy(*BAR_KEY)
     if totals[0]:
         counts = F.array(*(F.struct(F.lit(k).alias("rule"), F.col(f"broken_{k}").alias("n")) for k in quality.report_rules()))
         rules = keys.where("broken > 0").select("symbol", F.inline(counts)).where("n > 0").groupBy("rule", "symbol").agg(F.sum("n").alias("violation_count"))
@@ -77,7 +79,7 @@ def qa_report(bars: DataFrame | None, out: str, timeframe: str = "1Min", strict:
         samples = quality.violation_samples(quality.on_days(bars, stored(quality.broken_days(keys, SAMPLES))), SAMPLES, order)  # reads a few days again
         parts |= {"qa_ohlc_violations": rules.orderBy(F.desc("violation_count"), "rule", "symbol"), "qa_ohlc_violations_samples": samples.select("rule", *tables.CANONICAL_BAR)}
     for name, df in parts.items():
-        tables.write_csv(df, f"{out}/{name}")
+        tables.write_csv(df, f"{out}/{name}", one=name not in GROWING)
         written.append(name)
     reasons = [f"duplicate_keys={totals[1]}"] if totals[1] else []
     reasons += [f"ohlc_violations={totals[0]} > {max_ohlc_violations}"] if totals[0] > max_ohlc_violations else []

@@ -82,9 +82,9 @@ def read_partition(spark: SparkSession, root: str, schema: T.StructType, limit:
     return rows if limit is None else rows.limit(limit)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One CSV file; for results of a row a symbol."""
-    df.coalesce(1).write.mode(mode).option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", one: bool = True) -> None:
+    """One CSV file, for results of a row a symbol; or one for each task, in order, for those that grow with the bars."""
+    (df.coalesce(1) if one else df).write.mode(mode).option("header", True).csv(path)
 
 
 def write_table(df: DataFrame, path: str, kind: str | None = None, inputs: list[str] = ()) -> None:
