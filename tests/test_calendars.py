@@ -10,12 +10,12 @@ from tickloom.operators import gaps
 
 COUNTS = {
     "XNYS": {2019: 252, 2020: 253, 2021: 252, 2022: 251, 2023: 250, 2024: 252}, "XLON": {2019: 253, 2020: 254, 2021: 253, 2022: 250, 2023: 251, 2024: 254}, "XETR": {2021: 255, 2022: 257, 2023: 255, 2024: 254},
-    "XTKS": {2017: 247, 2018: 245, 2019: 241, 2020: 243, 2021: 245, 2022: 244, 2023: 246, 2024: 245}, "XTSE": {2021: 251, 2022: 250, 2023: 250, 2024: 252},
+    "XTKS": {2017: 247, 2018: 245, 2019: 241, 2020: 243, 2021: 245, 2022: 244, 2023: 246, 2024: 245}, "XTSE": {2021: 251, 2022: 250, 2023: 250, 2024: 252}, "XASX": {2021: 254, 2022: 251, 2023: 252, 2024: 254},
 }
 CLOSED = {
     ("XLON", 2020): "01-01 04-10 04-13 05-08 05-25 08-31 12-25 12-28", ("XLON", 2022): "01-03 04-15 04-18 05-02 06-02 06-03 08-29 09-19 12-26 12-27", ("XETR", 2024): "01-01 03-29 04-01 05-01 12-24 12-25 12-26 12-31",
     ("XTKS", 2019): "01-01 01-02 01-03 01-14 02-11 03-21 04-29 04-30 05-01 05-02 05-03 05-06 07-15 08-12 09-16 09-23 10-14 10-22 11-04 12-31",
-    ("XTKS", 2015): "01-01 01-02 01-12 02-11 04-29 05-04 05-05 05-06 07-20 09-21 09-22 09-23 10-12 11-03 11-23 12-23 12-31", ("XTSE", 2021): "01-01 02-15 04-02 05-24 07-01 08-02 09-06 10-11 12-27 12-28",
+    ("XTKS", 2015): "01-01 01-02 01-12 02-11 04-29 05-04 05-05 05-06 07-20 09-21 09-22 09-23 10-12 11-03 11-23 12-23 12-31", ("XASX", 2022): "01-03 01-26 04-15 04-18 04-25 06-13 09-22 12-26 12-27", ("XTSE", 2021): "01-01 02-15 04-02 05-24 07-01 08-02 09-06 10-11 12-27 12-28",
 }
 
 
@@ -48,6 +48,7 @@ def test_times_are_utc(sessions):
     assert told("XLON", 2024, 6, 5) == ["07:00", "15:30", None, None, 510, 510] and told("XLON", 2017, 12, 22) == ["08:00", "12:30", None, None, 270, 270] and told("XLON", 2024, 12, 31)[1] == "12:30"
     assert told("XETR", 2024, 1, 5) == ["08:00", "16:30", None, None, 510, 510] and told("XETR", 2023, 12, 29)[4] == 300 and told("XETR", 2023, 12, 28)[4] == 510
     assert told("XTKS", 2024, 11, 1) == ["00:00", "06:00", "02:30", "03:30", 360, 300] and told("XTKS", 2024, 11, 5) == ["00:00", "06:30", "02:30", "03:30", 390, 330]
+    assert told("XASX", 2024, 1, 5) == ["23:00", "05:00", None, None, 360, 360] and told("XASX", 2024, 7, 5)[:2] == ["00:00", "06:00"] and told("XASX", 2022, 12, 23)[4] == 250
     assert told("XTSE", 2024, 12, 24) == ["14:30", "18:00", None, None, 210, 210]
 
 

@@ -97,6 +97,10 @@ def _toronto(d: Column) -> list[Column]:
     ]
 
 
+def _sydney(d: Column) -> list[Column]:
+    return [_moved(d, 1, 1, 2, 1), _moved(d, 1, 26, 2, 1), _easter(d, -2), _easter(d, 1), _on(d, 4, 25), _in_week(d, 6, 0, 8), _moved(d, 12, 25, 2, 2), _moved(d, 12, 26, 2, 2)]
+
+
 def _equinox(d: Column, month: int, at_1980: float) -> Column:
     """The equinox's day of March or September in Japan: a formula for 1980 to 2099."""
     years = F.year(d) - 1980
@@ -154,15 +158,16 @@ class Exchange:
 
 
 # The exchanges' public trading hours, holidays and closures. They hold from 1998 (XNYS), 2003 (XLON),
-# 2010 (XETR, XTSE) and 2007 (XTKS) on; older days go by the same rules.
+# 2010 (XETR, XTSE, XASX) and 2007 (XTKS) on; older days go by the same rules.
 EXCHANGES = {
     "XNYS": Exchange("America/New_York", "09:30", "16:00", lambda d: [is_holiday(d)], early=("13:00", lambda d: _in_week(d, 11, 4, 23) | _on(d, 7, 3) | _on(d, 12, 24))),
     "XLON": Exchange("Europe/London", "08:00", "16:30", _london, ("1999-12-31", "2002-06-03", "2002-06-04", "2011-04-29", "2012-06-04", "2012-06-05", "2020-05-08", "2022-06-02", "2022-06-03", "2022-09-19", "2023-05-08"), ("12:30", lambda d: _moved(d, 12, 24, -1, -2) | _moved(d, 12, 31, -1, -2))),
     "XETR": Exchange("Europe/Berlin", "09:00", "17:30", _frankfurt, ("2007-05-28", "2017-10-31"), ("14:00", lambda d: _moved(d, 12, 30, -1, -2))),
     "XTSE": Exchange("America/Toronto", "09:30", "16:00", _toronto, ("2001-09-11", "2001-09-12"), ("13:00", lambda d: _on(d, 12, 24))),
+    "XASX": Exchange("Australia/Sydney", "10:00", "16:00", _sydney, ("2022-09-22",), ("14:10", lambda d: _moved(d, 12, 24, -1, -2) | _moved(d, 12, 31, -1, -2))),
     "XTKS": Exchange("Asia/Tokyo", "09:00", "15:00", _tokyo, later=("2024-11-05", "15:30"), break_=("11:30", "12:30")),
 }
-ALIASES = {"NYSE": "XNYS", "LSE": "XLON", "JPX": "XTKS", "TSX": "XTSE"}
+ALIASES = {"NYSE": "XNYS", "LSE": "XLON", "ASX": "XASX", "JPX": "XTKS", "TSX": "XTSE"}
 KNOWN = EVERY + WEEKDAY + tuple(EXCHANGES) + tuple(ALIASES)
 
 

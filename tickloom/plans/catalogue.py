@@ -273,7 +273,7 @@ SELECT *, expected_days - observed_days AS missing_day_count, observed_days / ex
  concat_ws('; ', CASE WHEN rows_total = 0 THEN 'NO_ROWS' END, CASE WHEN expected_days > observed_days THEN 'missing_days=' || (expected_days - observed_days) END) AS notes FROM q""")
 def exchange_coverage(spark, d):
     own, table = daily(spark, d), f"{shared_dir(spark)}/{uuid.uuid4().hex}/calendars"
-    gaps.exchange_sessions(spark, "2000-01-01", "2000-12-31").write.parquet(table)
+    gaps.exchange_sessions(spark, "2000-01-01", "2000-12-31", tuple(DAYS_2000)).write.parquet(table)
     return gaps.exchange_coverage(own, _listing(spark, d, own), spark.read.parquet(table))
 
 
@@ -286,7 +286,7 @@ o AS (SELECT m.symbol, count(c.day) AS observed_minutes, count(*) - count(c.day)
 SELECT l.symbol, l.exchange, sessions, expected_minutes, coalesce(observed_minutes, 0) AS observed_minutes, coalesce(outside_minutes, 0) AS outside_minutes FROM l JOIN e USING (exchange) LEFT JOIN o USING (symbol)""")
 def exchange_minutes(spark, d):
     own, table = bars(spark, d), f"{shared_dir(spark)}/{uuid.uuid4().hex}/calendars"
-    gaps.exchange_sessions(spark, "2024-01-01", "2024-01-31").write.parquet(table)
+    gaps.exchange_sessions(spark, "2024-01-01", "2024-01-31", tuple(HOURS_2024)).write.parquet(table)
     return gaps.exchange_minutes(own, _listing(spark, d, own), spark.read.parquet(table))
 
 
