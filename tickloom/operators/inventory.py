@@ -2,29 +2,30 @@
 
 from __future__ import annotations
 
+import fnmatch
 import hashlib
-import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import partitions_of
-from ..sources.files import located
+from ..sources.files import exists, located
+from ..sources.listing import listing
 
 
 def file_inventory(spark: SparkSession, root: str, pattern: str = "*.parquet", contents: bool = True) -> DataFrame:
-    """relative_path, size_bytes, dataset, partitions and sha256 (or no contents are read) of files below root. Files stream through the hash in pieces."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(root).select("path", "length")
-    base = root.rstrip("/").removeprefix("file:").removeprefix("//")
-    relative = F.regexp_replace(F.regexp_replace("path", "^file:/*", "/"), f"^{base}/", "")
-    out = files.withColumn("relative_path", relative).withColumnRenamed("length", "size_bytes")
+    """relative_path, size_bytes, dataset, partitions and sha256 (or no contents are read) of files below root, listed and hashed by
+    tasks; files stream through the hash in pieces. A missing root raises FileNotFoundError."""
+    if not exists(root):
+        raise FileNotFoundError(f"no folder at {root}")
+    out = listing(spark, root, fnmatch.translate(pattern)).select("relative_path", "size_bytes")
 
     def hashed(batches):
         for b in batches:
             sums = []
-            for path in b.column("path").to_pylist():
-                fs, inner = located(re.sub("^file:/+", "/", path))
+            for path in b.column("relative_path").to_pylist():
+                fs, inner = located(f"{root.rstrip('/')}/{path}")
                 sha = hashlib.sha256()
                 with fs.open_input_stream(inner, compression=None) as f:
                     while piece := f.read(1 << 20):
@@ -33,8 +34,7 @@ def file_inventory(spark: SparkSession, root: str, pattern: str = "*.parquet", c
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sums, pa.string())], [*b.schema.names, "sha256"])
 
     if contents:
-        rows = out.select("path", "relative_path", "size_bytes")
-        out = rows.repartition(spark.sparkContext.defaultParallelism * 4, "path").mapInArrow(hashed, rows.schema.add("sha256", "string"))
+        out = out.repartition(spark.sparkContext.defaultParallelism * 4, "relative_path").mapInArrow(hashed, "relative_path string, size_bytes long, sha256 string")
     own = ["sha256"] if contents else []
     return out.select("relative_path", "size_bytes", F.substring_index("relative_path", "/", 1).alias("dataset"), partitions_of("relative_path").alias("partitions"), *own)
 
