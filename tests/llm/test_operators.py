@@ -519,5 +519,5 @@ def test_registry():
     import __spark_entry__
     import corpus_pipeline
 
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in __spark_entry__.queries() if k.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in __spark_entry__.queries() if k.startswith("op")}
     assert len(corpus_pipeline.STAGES) == 5 and json.dumps([n for n, _ in corpus_pipeline.STAGES]) and pa

@@ -100,8 +100,12 @@ def test_fill_of_size_classes(seed):
     left, over0, over1 = rng.randint(0, 3000) + rng.random(), rng.choice([0, 3500]), rng.choice([0, 4000])
     t = [(False, "s", c, i, i, float(s), n, 0, 0) for i, (c, s, n) in enumerate(rows)] + [(False, "s", -1, 0, -1, left, 1, over0, over1)]
     names = ["none", "of", "class", "place", "id", "size", "n", "over0", "over1"]
-    got = mixing.fill(pd.DataFrame(t, columns=names).sample(frac=1, random_state=seed))
-    assert got.equals(mixing.fill(pd.DataFrame(t, columns=names)))
+    mixed = list(t)
+    rng.shuffle(mixed)
+    frame = pd.DataFrame(t, columns=names)
+    got = mixing.fill(pa.Table.from_pandas(pd.DataFrame(mixed, columns=names)))
+    assert got.equals(mixing.fill(pa.Table.from_pandas(frame)))
+    got = got.to_pandas()
     taken, over, unused = 0, 0, []
     for r in got.itertuples():
         taken += over0 * r.more0 + over1 * r.more1

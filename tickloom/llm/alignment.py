@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, stored, table
+from .common import bound_batches, claim, keeps, stored, table
 from .pieces import Memo, cut, lots
 
 BROADCAST_PAIRS = 400_000
@@ -147,6 +147,7 @@ class Aligner:
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
+keeps("alignment", _aligners.clear)
 
 
 def aligner_for(path_a: str, path_b: str) -> Aligner:
@@ -165,6 +166,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, groups: bool = False) -> Da
     schema = "row long, doc_id string, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<int>" + ", groups string" * groups
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        claim("alignment")
         aligner = aligner_for(path_a, path_b)
         for frame in frames:
             texts = [t if isinstance(t, str) else None for t in frame["text"]]

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +57,24 @@ def maybe_broadcast(df: DataFrame, rows: int | None = None, most: int = BROADCAS
     return F.broadcast(df) if (df.count() if rows is None else rows) <= most else df
 
 
+#: What empties the caches that operators keep in a Python worker, by operator.
+_CACHES: dict[str, Callable[[], None]] = {}
+
+
+def keeps(name: str, empty: Callable[[], None]) -> None:
+    """Tells that an operator keeps a cache over tasks, and how it is emptied."""
+    _CACHES[name] = empty
+
+
+def claim(name: str) -> None:
+    """Empties other operators' caches in this Python worker: of the stages of a pipeline one works at a time."""
+    others = [empty for other, empty in _CACHES.items() if other != name]
+    for empty in others:
+        empty()
+    if others and sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)  # gives what was freed back to the system
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Maximal runs without ASCII white space, A-Z lower-cased; bytes.split() knows just \\x20 and \\x09-\\x0D."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []

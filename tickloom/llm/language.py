@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, maybe_broadcast, stored, table, unused
+from .common import bound_batches, claim, maybe_broadcast, stored, table, unused
 from .gru import BiGru
 
 PER_LANG, SAMPLE, WINDOWS, WINDOW = 300, 60_000, 3, 300
@@ -72,6 +72,7 @@ def predict(df: DataFrame, model: BiGru | None, text: str = "text", runs: bool =
     held = df.sparkSession.sparkContext.broadcast(model)
 
     def run(it):
+        claim("language")
         m = held.value
         for b in it:
             texts = b.column(text).to_pylist()

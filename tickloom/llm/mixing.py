@@ -25,7 +25,7 @@ from functools import reduce
 from operator import or_
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -117,16 +117,21 @@ def _first_above(sums: DataFrame, what: str, keys: tuple[str, ...] = ("key",)) -
     return sums.withColumn("upto", upto).where("upto > gap").groupBy(*keys).agg(F.min_by(F.struct(what, (F.col("upto") - F.col("words")).alias("before")), what).alias("edge")).select(*keys, "edge.*")
 
 
-def fill(t: pd.DataFrame) -> pd.DataFrame:
+FILLED = pa.schema([("none", pa.bool_()), ("of", pa.string()), ("class", pa.int32()), ("id", pa.int64()), ("take", pa.int64()), ("more0", pa.bool_()), ("more1", pa.bool_())])
+
+
+def fill(t: pa.Table) -> pa.Table:
     """What one source's filling takes. t: class, place (in the order of its class), id, size and n (equal rows); one row of class -1
     tells what is left (size), and of two larger documents, the one that ended the order and the smallest later one, over0 and over1.
 
     Gives of each class the id where it is cut (null: all are taken) and how many rows are taken there; and which larger one is taken."""
-    own = t[t["class"] < 0].iloc[0]
+    t = t.sort_by([("class", "descending"), ("place", "ascending")])
+    kind = t["class"].to_numpy()
+    own = t.slice(len(t) - 1).to_pylist()[0]
     left, out, following = float(own["size"]), [], []
-    for name, rows in sorted(t[t["class"] >= 0].groupby("class"), key=lambda x: -x[0]):
-        rows = rows.sort_values("place")
-        size, n, ids = rows["size"].to_numpy(), rows["n"].to_numpy(), rows["id"].to_numpy()
+    begins = np.flatnonzero(np.diff(kind, prepend=kind[0] + 1)).tolist()
+    for i, j in zip(begins, begins[1:], strict=False):  # but for the last, the row of class -1
+        size, n, ids = (t[c].slice(i, j - i).to_numpy() for c in ("size", "n", "id"))
         upto = np.cumsum(size * n)
         k = int(np.searchsorted(upto, left, side="right"))
         left -= int(upto[k - 1]) if k else 0
@@ -134,14 +139,14 @@ def fill(t: pd.DataFrame) -> pd.DataFrame:
         if k < len(ids):
             take = int(left // size[k])
             left -= take * int(size[k])
-            following.append((int(size[k]), len(out), 2))
-        out.append([name, ids[k] if k < len(ids) else None, take, False, False])
-    out.append([-1, None, 0, False, False])
-    following += [(int(own[c]), len(out) - 1, which) for which, c in ((3, "over0"), (4, "over1")) if own[c] > 0]
-    size, at, which = min(following, key=lambda x: abs(x[0] - left), default=(math.inf, 0, 0))
+            following.append((int(size[k]), len(out), "take"))
+        out.append({"class": int(kind[i]), "id": int(ids[k]) if k < len(ids) else None, "take": take, "more0": False, "more1": False})
+    out.append({"class": -1, "id": None, "take": 0, "more0": False, "more1": False})
+    following += [(int(own[c]), len(out) - 1, more) for more, c in (("more0", "over0"), ("more1", "over1")) if own[c] > 0]
+    size, at, which = min(following, key=lambda x: abs(x[0] - left), default=(math.inf, 0, "take"))
     if abs(size - left) < left:
-        out[at][which] = out[at][which] + 1 if which == 2 else True
-    return pd.DataFrame({"none": t["none"].iloc[0], "of": t["of"].iloc[0], "class": [x[0] for x in out], "id": pd.array([x[1] for x in out], "Int64"), "take": [x[2] for x in out], "more0": [x[3] for x in out], "more1": [x[4] for x in out]})
+        out[at][which] = out[at][which] + 1 if which == "take" else True
+    return pa.Table.from_pylist([x | {"none": own["none"], "of": own["of"]} for x in out], schema=FILLED)
 
 
 def _cuts(sized: DataFrame, targets: DataFrame, bins: int) -> tuple[DataFrame, DataFrame]:
@@ -179,7 +184,7 @@ def _cuts(sized: DataFrame, targets: DataFrame, bins: int) -> tuple[DataFrame, D
     # A row a source, so that one without later documents is seen, too.
     each = out.select("key", F.lit(-1).alias("class"), F.lit(0).alias("place"), F.lit(-1).cast("long").alias("id"), F.col("gap").alias("size"), F.lit(1).cast("long").alias("n"), F.coalesce("over0", F.lit(0)).alias("over0"), F.coalesce("over1", F.lit(0)).alias("over1"))
     shared = near.select("key", "class", "place", "id", F.col("size").cast("double").alias("size"), "n", F.lit(0).cast("long").alias("over0"), F.lit(0).cast("long").alias("over1")).unionByName(each)
-    filled = shared.select("key.none", "key.of", *shared.columns[1:]).groupBy("none", "of").applyInPandas(fill, "none boolean, of string, class int, id long, take long, more0 boolean, more1 boolean")
+    filled = shared.select("key.none", "key.of", *shared.columns[1:]).groupBy("none", "of").applyInArrow(fill, "none boolean, of string, class int, id long, take long, more0 boolean, more1 boolean")
     filled = stored(filled.withColumn("key", F.struct("none", "of")).drop("none", "of"), "filled")
     out = out.join(maybe_broadcast(filled.where("class < 0").select("key", "more0", "more1"), n), "key").withColumn("left", F.col("gap"))
     out = out.withColumns({"take0": F.col("take0") + F.col("more0").cast("long"), "take1": F.col("more1").cast("long")}).drop("gap", "over0", "over1", "more0", "more1")

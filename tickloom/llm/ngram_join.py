@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, maybe_broadcast, shingle_hashes, stored, table, unused, words_of
+from .common import bound_batches, claim, maybe_broadcast, shingle_hashes, stored, table, unused, words_of
 from .components import components
 from .rtree import RTree
 
@@ -43,6 +43,7 @@ def _counts(docs: DataFrame, bits: int, size: int) -> np.ndarray:
     each = (1 << bits) // SKETCH_BLOCKS
 
     def run(it):
+        claim("ngram_join")
         total = np.zeros(1 << bits, np.int32)
         for b in it:
             for t in b.column("text").to_pylist():

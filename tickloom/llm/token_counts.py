@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, table
+from .common import bound_batches, claim, keeps, table
 from .pieces import Memo, cut, lots
 
 LIMIT = 2048
@@ -109,6 +109,7 @@ class Counter:
 
 
 _counters: dict[str, Counter] = {}
+keeps("token_counts", _counters.clear)
 
 
 def counter_for(path: str) -> Counter:
@@ -124,6 +125,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = LIMIT) -> DataFr
 
     @F.arrow_udf("long")
     def n_tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        claim("token_counts")
         counter = counter_for(vocabulary)
         for texts in batches:
             yield pa.array(counter.counts([t or "" for t in texts.to_pylist()]), pa.int64())

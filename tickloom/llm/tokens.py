@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, shared_dir, table
+from .common import bound_batches, claim, keeps, shared_dir, table
 from .files import joined, located, made
 
 LENGTH, ROWS, END, TOGETHER = 2048, 64, 0, 64
@@ -121,6 +121,7 @@ class Encoder:
 
 
 _encoders: dict[str, Encoder] = {}
+keeps("tokens", _encoders.clear)
 
 
 def encoder_for(path: str) -> Encoder:
@@ -208,6 +209,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, length: int = LE
     def run(it):
         from pyspark import TaskContext
 
+        claim("tokens")
         part, name = TaskContext.get().partitionId(), uuid.uuid4().hex
         encoder = writer = None
         for b in it:
