@@ -178,6 +178,20 @@ def test_shard_plan_against_a_loop(spark, seed):
     assert got == loop_plan(sizes, 100)
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_shard_plan_of_many_ranges(spark, seed):
+    """Cells are joined to ranges by files: as many calls as the files need, not one for each few shards; the plan is that of the loop for any number of files in a range."""
+    rng = random.Random(100 + seed)
+    most = (30, 130, 3, 1000, 60, 15)[seed]
+    sizes = [rng.choice([0, rng.randrange(most), most, rng.choice([0, 0, 100, 101])]) for _ in range(600)] + [0, 2] * (40 * (seed % 2))
+    inv = spark.createDataFrame([(f"p{i:05d}", s) for i, s in enumerate(sizes)], "relative_path string, size_bytes long").repartition(3)
+    got = shards.shard_plan(inv, 100, (2, 1, 8)[seed % 3], (1, 20, 90)[seed // 2]).orderBy("relative_path").collect()
+    assert [r.shard for r in got] == loop_plan(sizes, 100)
+    cells = spark.range(1000).select((F.col("id") * 3).alias("place"), F.floor(F.col("id") / 2).alias("own"))
+    assert [(r.range, r["count"]) for r in shards.ranges(cells, 300).groupBy("range").count().orderBy("range").collect()] == [(i, 50) for i in range(10)]
+    assert shards.ranges(cells, 300).where("near IS NOT NULL").orderBy("own").select("own", "range", "near").first()[:] == (50, 1, 0)
+
+
 @pytest.mark.parametrize("sizes, want", [([0, 20, 3], [0, 1, 2]), ([20, 0, 0, 3, 20], [0, 1, 1, 1, 2]), ([10, 0, 1], [0, 0, 1]), ([0] * 30, [0] * 30), ([20, 20, 20], [0, 1, 2]), ([10] * 40, list(range(40))), ([1] * 35, [i // 10 for i in range(35)]), ([500, 1, 500, 0], [0, 1, 2, 3])])
 def test_shard_plan_edges(spark, sizes, want):
     inv = spark.createDataFrame([(f"p{i:05d}", s) for i, s in enumerate(sizes)], "relative_path string, size_bytes long").repartition(3)
