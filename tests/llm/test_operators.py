@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.llm import decontamination, flac, gru, language, lattice, media, mixing, ngram_join, scoring, secrets, tokens, trigrams, warc, wrapper
-from tickloom.llm.common import words_of
+from tickloom.llm.common import shingle_hashes, words_of
 from tickloom.llm.dom import matched, parsed
 from tickloom.llm.rtree import RTree
 
@@ -521,3 +521,14 @@ def test_registry():
 
     assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in __spark_entry__.queries() if k.startswith("op")}
     assert len(corpus_pipeline.STAGES) == 5 and json.dumps([n for n, _ in corpus_pipeline.STAGES]) and pa
+
+
+def test_shingle_sketch(spark):
+    """As many shingles fall into a bucket for five times the documents; packed counts are exact, beyond a byte too."""
+    assert [ngram_join.sketch_bits(n) for n in (1, 51_282, 256_410, 10**9)] == [18, 20, 22, 24]
+    texts = ["a b c d"] * 700 + [f"w{i} x y z v{i}" for i in range(50)] + [None]
+    got = ngram_join._counts(spark.createDataFrame([(t,) for t in texts], "text string").repartition(2), 18, 4)
+    want = np.zeros(1 << 18, np.int64)
+    for t in texts:
+        np.add.at(want, (shingle_hashes(words_of(t), 4) >> np.uint64(46)).astype(np.int64), 1)
+    assert want.max() >= 700 and (got == np.floor(2 * np.log2(np.maximum(want, 1)))).all()

@@ -20,6 +20,7 @@ one class. An empty table gives no rows. Extra columns are left out. Sets, and t
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +35,26 @@ from .rtree import RTree
 SIZE, SHARE, GROUPS, TILE = 4, (85, 100), 128, 2048
 #: Most groups of a tree's vectors; partners of each set that are verified first.
 MOST_GROUPS, NEAREST = 1024, 2
-#: Buckets of the count sketch (as a power of two), and the blocks that its sums are dealt in.
-LEAST_BITS, MOST_BITS, SKETCH_BLOCKS = 18, 22, 256
+#: Buckets of the count sketch (as a power of two; 16 a document up to the most, so that as many shingles fall into one for any corpus), and the blocks that its sums are dealt in.
+LEAST_BITS, MOST_BITS, SKETCH_BLOCKS = 18, 24, 256
+
+
+def sketch_bits(docs: int) -> int:
+    return min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(2, 16 * docs)))))
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes as the largest needs, deflated: a task's are mostly 0."""
+    kind = np.min_scalar_type(counts.max())
+    return kind.char.encode() + zlib.compress(counts.astype(kind).tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed[1:]), np.dtype(packed[:1].decode()))
 
 
 def _counts(docs: DataFrame, bits: int, size: int) -> np.ndarray:
-    """Frequency class (half octaves) of each of 2**bits buckets of shingle hashes, over all documents. A task sends one array of fixed size; blocks are summed as they stream in."""
+    """Frequency class (half octaves) of each of 2**bits buckets of shingle hashes, over all documents. A task sends its counts, packed; blocks are summed as they stream in."""
     each = (1 << bits) // SKETCH_BLOCKS
 
     def run(it):
@@ -49,14 +64,14 @@ def _counts(docs: DataFrame, bits: int, size: int) -> np.ndarray:
             for t in b.column("text").to_pylist():
                 np.add.at(total, (shingle_hashes(words_of(t), size) >> np.uint64(64 - bits)).astype(np.int64), 1)
         if total.any():
-            yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_BLOCKS), pa.int32()), pa.array([total[i * each : (i + 1) * each].tobytes() for i in range(SKETCH_BLOCKS)], pa.binary())], ["block", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_BLOCKS), pa.int32()), pa.array([_packed(total[i * each : (i + 1) * each]) for i in range(SKETCH_BLOCKS)], pa.binary())], ["block", "counts"])
 
     def add(it):
         totals: dict[int, np.ndarray] = {}
         for b in it:
-            for block, counts in zip(b.column("block").to_pylist(), b.column("counts"), strict=True):
+            for block, counts in zip(b.column("block").to_pylist(), b.column("counts").to_pylist(), strict=True):
                 totals.setdefault(block, np.zeros(each, np.int64))
-                totals[block] += np.frombuffer(counts.as_buffer(), np.int32)
+                totals[block] += _unpacked(counts)
         levels = [np.floor(2 * np.log2(np.maximum(x, 1))).astype(np.uint8).tobytes() for x in totals.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array(levels, pa.binary())], ["block", "levels"])
 
@@ -69,8 +84,8 @@ def _counts(docs: DataFrame, bits: int, size: int) -> np.ndarray:
 
 def shingle_sets(docs: DataFrame, size: int = SIZE, share: tuple[int, int] = SHARE) -> DataFrame:
     """doc_id, n, sig (128-bit hash of the set, null if empty), vec (its count vector) and keys: the rarest shingles, one of which any link shares."""
-    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(2, docs.count())))))
-    levels = docs.sparkSession.sparkContext.broadcast(_counts(docs, bits, size))  # 4 MB at most
+    bits = sketch_bits(docs.count())
+    levels = docs.sparkSession.sparkContext.broadcast(_counts(docs, bits, size))  # 16 MB at most
 
     def run(it):
         for b in it:
