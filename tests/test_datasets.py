@@ -341,6 +341,37 @@ def test_windows_of_any_width_by_buckets_of_days(spark, pre, post):
     assert copies.isEmpty() and (pre + post) // ew.bucket_days(pre, post) + 2 <= ew.COPIES + 2
 
 
+def test_sorted_windows_are_neither_shuffled_nor_sorted_again(spark, tmp_path, monkeypatch):
+    rng = random.Random(3)
+    first = dt.datetime(2023, 1, 1)
+    events = [(f"e{rng.randrange(60)}", rng.choice("ab"), str((first + dt.timedelta(rng.randrange(50))).date()), i / 8) for i in range(400)]
+    events += events[:150]  # twice, whose rows lie side by side
+    bars = [(s, first + dt.timedelta(d, 3600 * h), d + h / 8) for s in "AB" for d in range(-9, 60) for h in (9, 17) if rng.random() < 0.8]
+    ev = spark.createDataFrame(events, "corporate_action_id string, symbol string, ex_date string, cash_amount double")
+    br = spark.createDataFrame(bars, "symbol string, ts timestamp, open double").repartition(5)
+    key, whole = (lambda r: (r.event_symbol, r.event_date, r.event_corporate_action_id, r.bar_date, r.bar_ts)), (lambda rows: sorted(map(str, rows)))
+    plain = ew.event_windows(ev, br, 5, 5, bar_date_field="ts").collect()
+    monkeypatch.setattr(ew, "RANGE_ROWS", 700)
+    dealt = ew.event_windows(ev, br, 5, 5, bar_date_field="ts", dealt=True)
+    plan = dealt.orderBy(*ew.event_order())._jdf.queryExecution().toString().rpartition("Physical Plan")[2]
+    assert plan.count("Exchange rangepartitioning") == 1 and "hashpartitioning" not in plan and "REPARTITION_BY_NUM" in plan
+    monkeypatch.setattr(ew, "BROADCAST", 0)
+    assert whole(ew.event_windows(ev, br, 5, 5, bar_date_field="ts", dealt=True).collect()) == whole(plain)
+    out = str(tmp_path / "out")
+    said = tables.write_event_windows(dealt, out, 5, 5)
+    assert said["row_count"] == len(plain) and len(said["ordered_files"]) > 4
+    rows = tables.read_event_windows(spark, out)
+    got = rows.collect()
+    assert "Exchange" not in rows._jdf.queryExecution().toString() and rows.schema == spark.read.parquet(out).schema
+    assert [key(r) for r in got] == sorted(map(key, plain)) and whole(got) == whole(plain)
+    assert [tuple(r) for r in tables.read_event_windows(spark, out, ["bar_ts", "event_symbol"]).collect()] == [(r.bar_ts, r.event_symbol) for r in got]
+    spark.read.parquet(out).limit(1).write.mode("append").parquet(out)  # a file that the metadata doesn't name
+    more = tables.read_event_windows(spark, out).collect()
+    assert len(more) == len(got) + 1 and [key(r) for r in more] == sorted(map(key, more))
+    tables.write_event_windows(dealt.limit(0), out, 5, 5)
+    assert tables.read_event_windows(spark, out).collect() == []
+
+
 def test_guards_in_the_plan(spark):
     bars = spark.createDataFrame([("A", "2025-01-02", 1.0), (" ", "2025-01-03", 2.0)], "symbol string, ts string, open double")
     events = spark.createDataFrame([("e", "A", "2025-01-02")], "corporate_action_id string, symbol string, ex_date string")

@@ -6,10 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import symbol_of
+from ..session import stored
 from .normalize import COUNT, checked
 
 #: Copies of an event for the buckets of its window, but for one more.
 COPIES = 4
+#: Bars that are broadcast at most, and rows of a range of the order if each event meets a bar a day.
+BROADCAST, RANGE_ROWS = 100_000, 1 << 20
 # Columns of the contract, in their order.
 EVENT = ("corporate_action_id", "symbol", "corporate_action_type", "ex_date", "declaration_date", "record_date", "payable_date", "process_date", "cash_amount", "stock_amount", "currency", "source_payload_hash")
 DERIVED = ("event_date_field", "event_date", "event_day_offset")
@@ -32,13 +35,16 @@ def _column(df: DataFrame, name: str):
     return F.col(name) if name in df.columns else F.lit(None).cast("double" if name in NUMBERS else "string")
 
 
-def event_windows(dividends: DataFrame, bars: DataFrame, pre: int = 5, post: int = 5, symbol: str | None = None, bar_date_field: str | None = None, timeframe: str = "1D", guard: str = COUNT) -> DataFrame:
+def event_windows(dividends: DataFrame, bars: DataFrame, pre: int = 5, post: int = 5, symbol: str | None = None, bar_date_field: str | None = None, timeframe: str = "1D", guard: str = COUNT, dealt: bool = False) -> DataFrame:
     """A row for each event and bar of its symbol from pre days before to post days after ex_date, both included.
 
     Dates that can't be read and blank symbols raise, before the symbol filter (see normalize.checked()); duplicates stay. The
     join is by symbol and a range of days: events are copied to the buckets of days that their window meets, COPIES + 1 at
     most for any width, so that it is an equality join on (symbol, bucket) and no symbol's bars meet in one task. The order is
-    that of event_order()."""
+    that of event_order().
+
+    dealt: for results that are sorted. Bars are stored and events counted first; up to BROADCAST bars are sent to all tasks, and
+    events are dealt to ranges of the order before they meet them, so that sorting the rows shuffles none of them."""
     if pre < 0 or post < 0:
         raise ValueError("pre and post must not be negative")
     field = bar_date_field or next((f for f in DATE_FIELDS if f in bars.columns), None)
@@ -58,10 +64,18 @@ def event_windows(dividends: DataFrame, bars: DataFrame, pre: int = 5, post: int
         ev, br = ev.where(F.col("event_symbol") == symbol.strip().upper()), br.where(F.col("bar_symbol") == symbol.strip().upper())
     width = bucket_days(pre, post)
     first, last = F.date_sub("event_date", pre), F.date_add("event_date", post)
+    if dealt:
+        br = stored(br)
+        dealt = br.count() <= BROADCAST
+    if dealt:
+        ranges = max(1, -(-ev.count() * (pre + post + 1) // RANGE_ROWS))
+        key = event_order()[:3]
+        br = stored(br.coalesce(1).sortWithinPartitions(F.desc("bar_date"), F.desc("bar_ts")))  # lookups give the last of a key first, and rows that are almost in order are sorted sooner
+        ev = ev.repartitionByRange(ranges, *key).sortWithinPartitions(*key)
     spread = ev.withColumn("event_bucket", F.explode(F.sequence(_bucket(first, width), _bucket(last, width))))
     br = br.withColumn("bar_bucket", _bucket(F.col("bar_date"), width))
     near = (F.col("event_symbol") == F.col("bar_symbol")) & (F.col("event_bucket") == F.col("bar_bucket"))
-    out = spread.join(br, near & F.col("bar_date").between(first, last))
+    out = spread.join(F.broadcast(br) if dealt else br, near & F.col("bar_date").between(first, last))
     return out.withColumns({"event_date_field": F.lit("ex_date"), "event_day_offset": F.datediff("bar_date", "event_date")}).select(*OUTPUT)
 
 

@@ -345,8 +345,8 @@ def bars_partition_cols(spark, d):
     return bars(spark, d).groupBy("symbol", F.year("ts_utc").alias("year"), F.date_format("ts_utc", "yyyy-MM-dd").alias("date")).agg(F.count("*").alias("n"))
 
 
-def _events(spark, d, pre=5, post=5, symbol=None) -> DataFrame:
-    return ew.event_windows(dividends(spark, d), view(spark, d, "bars_daily").withColumnRenamed("d", "date"), pre, post, symbol, guard="plan")
+def _events(spark, d, pre=5, post=5, symbol=None, dealt=False) -> DataFrame:
+    return ew.event_windows(dividends(spark, d), view(spark, d, "bars_daily").withColumnRenamed("d", "date"), pre, post, symbol, guard="plan", dealt=dealt)
 
 
 def _events_sql(pre: int, post: int, more: str = "") -> str:
@@ -572,8 +572,8 @@ def _snapshot(spark, d, path: str) -> dict:
 @_query(_events_sql(5, 5) + " SELECT * FROM w")
 def event_window_output(spark, d):
     path = _folder(spark)
-    tables.write_event_windows(_events(spark, d), path, 5, 5)
-    return tables.read_event_windows(spark, path).select(*EVENT_COLUMNS)
+    tables.write_event_windows(_events(spark, d, dealt=True), path, 5, 5)
+    return tables.read_event_windows(spark, path, EVENT_COLUMNS)
 
 
 @_query(_events_sql(2, 2) + " SELECT event_corporate_action_id, bar_date, event_day_offset FROM w")

@@ -214,7 +214,7 @@ def run_event_windows(spark: SparkSession, bars: DataFrame, out: str, snapshot:
         raise ValueError("name a snapshot or a mart")
     source = snapshot or mart
     dividends = tables.read_snapshot(spark, snapshot) if snapshot else tables.read_mart(spark, mart)
-    windows = event_windows(dividends, bars, pre, post, **more)
+    windows = event_windows(dividends, bars, pre, post, dealt=kind == "contract", **more)
     counts = {"event_count": dividends.count(), "bar_count": bars.count()}
     said = {"source": source, "out": out, "pre": pre, "post": post, "symbol": more.get("symbol")} | counts
     if kind == "contract":

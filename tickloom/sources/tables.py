@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from pathlib import PurePosixPath
 
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..operators.dividends import action_order, dedup_dividends, mart_rows, snapshot_metadata, source_counts
 from ..functions.columns import symbol_of
@@ -24,6 +28,10 @@ SIDECAR = "_dataset.json"
 ANCHOR = "ex_date"
 #: Folders by which a scan is pruned at most: two short texts each.
 FOLDERS = 500_000
+#: A file of a Parquet folder: number of its task, then of the file in it.
+PART = re.compile(r"part-(\d+)-.*c(\d+)(?:\.\w+)*\.parquet")
+#: Rows that a task hands over at once.
+BATCH = 16_384
 
 
 def safe_output(path: str, inputs: list[str] = ()) -> str:
@@ -216,6 +224,31 @@ def mart_windows(spark: SparkSession, root: str, bars: DataFrame | str, pre: int
     return event_windows(dividends, bars_near(spark, bars, dividends, pre, post) if isinstance(bars, str) else bars, pre, post, **more)
 
 
+def _in_order(path: str) -> list[str] | None:
+    """Names of the Parquet files in a folder, by task and number: the order of their rows, if these were sorted when written. None if other files lie there."""
+    fs, inner = files.located(path)
+    found = [x.base_name for x in fs.get_file_info(pafs.FileSelector(inner)) if x.base_name[0] not in "._"]
+    parts = {n: PART.fullmatch(n) for n in found}
+    return sorted(found, key=lambda n: tuple(map(int, parts[n].groups()))) if all(parts.values()) else None
+
+
+def _one_by_one(spark: SparkSession, path: str, names: list[str], columns: list[str]) -> DataFrame:
+    """Columns of these files below path, a partition for each file, in their order, which a scan doesn't keep."""
+    schema = spark.read.parquet(path).select(*columns).schema
+    shape, wanted = to_arrow_schema(schema), schema.names
+
+    def run(batches):
+        for b in batches:
+            for name in b.column("name").to_pylist():
+                fs, inner = files.located(f"{path}/{name}")
+                with fs.open_input_file(inner) as f, pq.ParquetFile(f, coerce_int96_timestamp_unit="us") as rows:
+                    for x in rows.iter_batches(BATCH, columns=wanted):
+                        yield x.select(wanted).cast(shape)
+
+    # numbers of names are dealt to partitions in order, one to each
+    return spark.range(0, len(names), 1, len(names)).select(F.element_at(F.lit(names), (F.col("id") + 1).cast("int")).alias("name")).mapInArrow(run, schema)
+
+
 def write_event_windows(windows: DataFrame, path: str, pre: int, post: int, dividends: str | None = None, bars: str | None = None, timeframe: str = "1D", symbol: str | None = None, anchor: str = ANCHOR, counts: dict | None = None, keep: int = 0) -> dict:
     """Replaces the contract output by these windows, in order; writes and returns its metadata. The paths of the inputs must not overlap it.
 
@@ -231,16 +264,23 @@ def write_event_windows(windows: DataFrame, path: str, pre: int, post: int, divi
     n = windows.sparkSession.read.parquet(path).count()
     metadata = {
         "dataset": "dividend_event_windows", "format": "parquet", "source_dividend_path": dividends, "source_bar_path": bars, "event_anchor": anchor, "pre_window_days": pre, "post_window_days": post,
-        "bar_timeframe": timeframe, "symbol_filter": symbol, "event_count": None, "bar_count": None, "joined_row_count": n, "row_count": n, "schema_fields": list(OUTPUT),
+        "bar_timeframe": timeframe, "symbol_filter": symbol, "event_count": None, "bar_count": None, "joined_row_count": n, "row_count": n, "schema_fields": list(OUTPUT), "ordered_files": _in_order(path),
     } | (counts or {})
     files.write_json(metadata, f"{path}/{SIDECAR}")
     return metadata
 
 
-def read_event_windows(spark: SparkSession, path: str) -> DataFrame:
-    """The contract output, in its order; a missing one raises FileNotFoundError."""
+def read_event_windows(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """The contract output (or these columns of it), in its order; a missing one raises FileNotFoundError.
+
+    Files that the metadata names, and no others, were sorted when written and are read one after the other; others are sorted."""
     try:
-        return spark.read.parquet(versions.current(path)).select(*OUTPUT).orderBy(*event_order())
+        path, columns = versions.current(path), columns or list(OUTPUT)
+        rows = spark.read.parquet(path)
+        names = files.read_json(f"{path}/{SIDECAR}").get("ordered_files")
+        if names and names == _in_order(path):
+            return _one_by_one(spark, path, names, columns)
+        return rows.select(*OUTPUT).orderBy(*event_order()).select(*columns)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
